@@ -54,7 +54,7 @@ def parse_date_int(c: Column | str, strict: bool = False) -> Column:
     text = F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
     if strict:
         return F.to_date(text, DATE_KEY_FORMAT)
-    return F.try_to_date(text, F.lit(DATE_KEY_FORMAT))
+    return F.try_to_date(text, DATE_KEY_FORMAT)
 
 
 def date_key(c: Column | str) -> Column:

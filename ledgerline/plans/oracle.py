@@ -2,6 +2,23 @@
 
 from __future__ import annotations
 
+_SCD2_INPUTS = """
+    early AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'),
+    existing AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS cik, c_name AS name,
+               CASE WHEN c_acctbal < 0 THEN 'OLD' ELSE c_mktsegment END AS sic
+        FROM customer WHERE c_custkey IN (SELECT o_custkey FROM early)),
+    incoming AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS cik, c_name AS name, c_mktsegment AS sic
+        FROM customer),
+    j AS (
+        SELECT e.cik AS ecik, e.name AS ename, e.sic AS esic,
+               i.cik AS icik, i.name AS iname, i.sic AS isic,
+               (e.cik IS NOT NULL AND i.cik IS NOT NULL
+                AND (e.name IS DISTINCT FROM i.name OR e.sic IS DISTINCT FROM i.sic)) AS changed
+        FROM existing e FULL OUTER JOIN incoming i ON e.cik = i.cik)
+"""
+
 ORACLE_SQL = {
     "company_totals": """
         SELECT c.c_name AS company_name, round(sum(l.l_extendedprice), 2) AS total_value
@@ -19,4 +36,68 @@ ORACLE_SQL = {
         JOIN customer c ON o.o_custkey = c.c_custkey
         GROUP BY c.c_name
     """,
+    "dedup_tag_first": """
+        SELECT p_name AS tag, p_brand AS version, p_size AS custom, p_type AS label
+        FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn
+              FROM part WHERE p_name IS NOT NULL)
+        WHERE rn = 1
+    """,
+    "metric_dim": """
+        SELECT p_name AS tag, p_brand AS version, p_type AS tlabel,
+               CAST(NULL AS VARCHAR) AS datatype, CAST(NULL AS VARCHAR) AS iord
+        FROM (SELECT *, row_number() OVER (PARTITION BY p_name, p_brand ORDER BY p_partkey) AS rn
+              FROM part)
+        WHERE rn = 1
+    """,
+    "statement_dim": """
+        SELECT DISTINCT l_returnflag AS statement_code,
+               CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'R' THEN 'Returned'
+                    ELSE 'Other' END AS statement_name
+        FROM lineitem WHERE l_returnflag IS NOT NULL
+    """,
+    "statement_label_dim": """
+        SELECT DISTINCT l_returnflag AS stmt, l_linestatus AS plabel
+        FROM lineitem WHERE l_returnflag IS NOT NULL
+    """,
+    "date_dim_insert": """
+        WITH ex AS (SELECT DISTINCT strftime(l_shipdate, '%Y%m%d') AS date_key FROM lineitem
+                    WHERE l_shipdate < TIMESTAMP '1998-01-01'),
+             src AS (SELECT DISTINCT strftime(l_shipdate, '%Y%m%d') AS date_key FROM lineitem
+                     WHERE l_shipdate IS NOT NULL)
+        SELECT date_key, FALSE AS inserted FROM ex
+        UNION ALL
+        SELECT date_key, TRUE AS inserted FROM src WHERE date_key NOT IN (SELECT date_key FROM ex)
+    """,
+    "filing_dim_insert": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS accession_number, o_orderpriority AS form_type,
+               NOT coalesce(CAST(o_orderdate AS DATE) < DATE '1998-01-01', FALSE) AS inserted
+        FROM orders JOIN customer ON o_custkey = c_custkey
+    """,
+    "calendar_dim": """
+        SELECT strftime(d, '%Y-%m-%d') AS date, CAST(year(d) AS INTEGER) AS year,
+               CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+               CAST(quarter(d) AS INTEGER) AS quarter, CAST(NULL AS INTEGER) AS fiscal_year
+        FROM (SELECT CAST(unnest(generate_series(CAST(min(l_shipdate) AS DATE),
+                                                 CAST(max(l_shipdate) AS DATE),
+                                                 INTERVAL 1 DAY)) AS DATE) AS d
+              FROM lineitem)
+    """,
+    "scd2_classify": f"""
+        WITH {_SCD2_INPUTS}
+        SELECT coalesce(icik, ecik) AS cik,
+               CASE WHEN ecik IS NULL THEN 'new' WHEN icik IS NULL THEN 'vanished'
+                    WHEN changed THEN 'changed' ELSE 'same' END AS change_kind
+        FROM j
+    """,
+    "scd2_company": f"""
+        WITH {_SCD2_INPUTS}
+        SELECT ecik AS cik, ename AS name, esic AS sic, '2024-01-01 00:00:00' AS valid_from,
+               CASE WHEN changed THEN '2025-01-01 00:00:00' ELSE '9999-12-31 00:00:00' END
+                   AS valid_to,
+               NOT changed AS is_current
+        FROM j WHERE ecik IS NOT NULL
+        UNION ALL
+        SELECT icik, iname, isic, '2025-01-01 00:00:00', '9999-12-31 00:00:00', TRUE
+        FROM j WHERE icik IS NOT NULL AND (ecik IS NULL OR changed)
+    """,
 }

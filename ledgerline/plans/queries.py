@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ts_text
+from ..operators import dimensions as D
 from ..operators.totals import ranked_totals
 from ..sources.tables import read_tables
+from . import adapter, fixtures
 
 TOTALS_LIMIT = 10
 
@@ -46,7 +49,76 @@ def company_totals_all(spark: SparkSession, sf_dir: str) -> DataFrame:
                          name="c_name", limit=None)
 
 
+# --- A2/A4 dedup and small dimensions ---------------------------------------------
+# Statement labels for the driver's flags; the unmapped flag N falls to "Other".
+DRIVER_STATEMENT_LABELS = {"A": "Accepted", "R": "Returned"}
+
+
+def dedup_tag_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.tag_source(adapter.tag(_tables(spark, sf_dir)))
+
+
+def metric_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tag = adapter.tag(_tables(spark, sf_dir)).withColumnRenamed("label", "tlabel")
+    return D.metric_dim(tag)
+
+
+def statement_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.statement_source(adapter.pre(_tables(spark, sf_dir)), DRIVER_STATEMENT_LABELS)
+
+
+def statement_label_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _tables(spark, sf_dir)["lineitem"]
+    pre = li.select(F.col("l_returnflag").alias("stmt"), F.col("l_linestatus").alias("plabel"))
+    return D.statement_label_dim(pre)
+
+
+def date_dim_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    existing = fixtures.existing_datedim(t)
+    delta = D.insert_only(existing, D.date_source(adapter.silver_num(t)), "date_key")
+    return (existing.withColumn("inserted", F.lit(False))
+            .unionByName(delta.withColumn("inserted", F.lit(True)))
+            .select("date_key", "inserted"))
+
+
+def filing_dim_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    existing = fixtures.existing_filingdim(t)
+    delta = D.insert_only(existing, D.filing_source(adapter.sub(t)), "accession_number")
+    return (existing.withColumn("inserted", F.lit(False))
+            .unionByName(delta.withColumn("inserted", F.lit(True)))
+            .select("accession_number", "form_type", "inserted"))
+
+
+def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.calendar_from(_tables(spark, sf_dir)["lineitem"], "l_shipdate")
+
+
+# --- W1 SCD2 --------------------------------------------------------------------
+def scd2_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return D.scd2_classify(fixtures.existing_companydim(t), fixtures.incoming_companies(t))
+
+
+def scd2_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    snap = D.scd2_merge(fixtures.existing_companydim(t), fixtures.incoming_companies(t),
+                        fixtures.BATCH_TS)
+    return snap.select("cik", "name", "sic", ts_text("valid_from").alias("valid_from"),
+                       ts_text("valid_to").alias("valid_to"), "is_current")
+
+
 QUERIES = {
     "company_totals": company_totals,
     "company_totals_all": company_totals_all,
+    "dedup_tag_first": dedup_tag_first,
+    "metric_dim": metric_dim,
+    "statement_dim": statement_dim,
+    "statement_label_dim": statement_label_dim,
+    "date_dim_insert": date_dim_insert,
+    "filing_dim_insert": filing_dim_insert,
+    "calendar_dim": calendar_dim,
+    "scd2_classify": scd2_classify,
+    "scd2_company": scd2_company,
 }
