@@ -19,6 +19,42 @@ _SCD2_INPUTS = """
         FROM existing e FULL OUTER JOIN incoming i ON e.cik = i.cik)
 """
 
+_STAR_INPUTS = """
+    num AS (SELECT CAST(l_orderkey AS VARCHAR) AS adsh, l_partkey AS tag_id,
+                   CAST(l_shipdate AS DATE) AS ddate, l_extendedprice AS value FROM lineitem),
+    sub AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh, CAST(o_custkey AS VARCHAR) AS cik
+            FROM orders JOIN customer ON o_custkey = c_custkey)
+"""
+
+_NULL_COLUMNS = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                 "l_shipdate"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+}
+
+
+def _null_counts_sql() -> str:
+    parts = []
+    for table, cols in _NULL_COLUMNS.items():
+        for c in cols:
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+                f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+                f"CAST(count(*) AS BIGINT) AS row_count FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _orphan_sql(name: str, child: str, fk: str, parent: str, pk: str) -> str:
+    return (f"SELECT '{name}' AS relation, "
+            f"CAST(count(*) FILTER (WHERE {fk} NOT IN (SELECT {pk} FROM {parent} "
+            f"WHERE {pk} IS NOT NULL)) AS BIGINT) AS orphan_rows, "
+            f"CAST(count(*) AS BIGINT) AS checked_rows FROM {child} WHERE {fk} IS NOT NULL")
+
+
 ORACLE_SQL = {
     "company_totals": """
         SELECT c.c_name AS company_name, round(sum(l.l_extendedprice), 2) AS total_value
@@ -100,4 +136,61 @@ ORACLE_SQL = {
         SELECT icik, iname, isic, '2025-01-01 00:00:00', '9999-12-31 00:00:00', TRUE
         FROM j WHERE icik IS NOT NULL AND (ecik IS NULL OR changed)
     """,
+    "fact_star": f"""
+        WITH {_STAR_INPUTS},
+        pre AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh, l_partkey AS tag_id,
+                       l_returnflag AS stmt FROM lineitem)
+        SELECT n.adsh, s.cik, p.p_name AS tag, strftime(n.ddate, '%Y%m%d') AS date_key,
+               pre.stmt, n.value
+        FROM num n
+        JOIN pre ON n.adsh = pre.adsh AND n.tag_id = pre.tag_id
+        JOIN sub s ON s.adsh = n.adsh
+        JOIN part p ON p.p_partkey = n.tag_id
+        WHERE p.p_name IS NOT NULL AND n.ddate IS NOT NULL AND pre.stmt IS NOT NULL
+    """,
+    "fact_left_variant": f"""
+        WITH {_STAR_INPUTS},
+        pre AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh, l_partkey AS tag_id,
+                       l_returnflag AS stmt FROM lineitem WHERE l_returnflag IN ('A', 'R'))
+        SELECT n.adsh, s.cik, p.p_name AS tag, strftime(n.ddate, '%Y%m%d') AS date_key,
+               pre.stmt, n.value
+        FROM num n
+        LEFT JOIN pre ON n.adsh = pre.adsh AND n.tag_id = pre.tag_id
+        LEFT JOIN sub s ON s.adsh = n.adsh
+        LEFT JOIN part p ON p.p_partkey = n.tag_id
+        WHERE n.adsh IS NOT NULL AND p.p_name IS NOT NULL AND s.cik IS NOT NULL
+              AND n.ddate IS NOT NULL
+    """,
+    "star_company_totals": f"""
+        WITH {_STAR_INPUTS},
+        pre AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh, l_partkey AS tag_id,
+                       l_returnflag AS stmt FROM lineitem)
+        SELECT c.c_name AS company_name, round(sum(n.value), 2) AS total_value
+        FROM num n
+        JOIN pre ON n.adsh = pre.adsh AND n.tag_id = pre.tag_id
+        JOIN sub s ON s.adsh = n.adsh
+        JOIN part p ON p.p_partkey = n.tag_id
+        JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = s.cik
+        WHERE p.p_name IS NOT NULL AND n.ddate IS NOT NULL AND pre.stmt IS NOT NULL
+        GROUP BY c.c_name
+        ORDER BY total_value DESC, company_name
+        LIMIT 10
+    """,
+    "key_duplicates": """
+        SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+    """,
+    "null_counts": _null_counts_sql(),
+    "fact_orphans": "\nUNION ALL\n".join([
+        _orphan_sql("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+        _orphan_sql("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey"),
+        _orphan_sql("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        _orphan_sql("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
+    ]),
+    "date_parse": """
+        SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS ddate_int,
+               CAST(l_shipdate AS DATE) AS ddate, strftime(l_shipdate, '%Y%m%d') AS date_key,
+               count(*) AS n
+        FROM lineitem GROUP BY ALL
+    """,
 }

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ts_text
+from ..functions.columns import date_key, parse_date_int, ts_text
 from ..operators import dimensions as D
+from ..operators import quality as Qc
+from ..operators.totals import company_totals as star_totals
 from ..operators.totals import ranked_totals
 from ..sources.tables import read_tables
-from . import adapter, fixtures
+from . import adapter, fixtures, star
 
 TOTALS_LIMIT = 10
 
@@ -109,6 +111,68 @@ def scd2_company(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ts_text("valid_to").alias("valid_to"), "is_current")
 
 
+# --- W4/W10 fact build and W5 on the star ------------------------------------------
+def _star(spark: SparkSession, sf_dir: str, pre_codes: list[str] | None = None):
+    t = _tables(spark, sf_dir)
+    silver = adapter.silver(t)
+    if pre_codes is not None:
+        silver["pre"] = star.restrict_statements(silver["pre"], pre_codes)
+    dims = star.first_load_dimensions(silver, fixtures.INITIAL_TS, DRIVER_STATEMENT_LABELS)
+    return silver, dims
+
+
+def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, dims = _star(spark, sf_dir)
+    return star.fact(silver, dims, natural_keys=True)
+
+
+def fact_left_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements restricted to the mapped flags, so N rows keep a null statement."""
+    silver, dims = _star(spark, sf_dir, sorted(DRIVER_STATEMENT_LABELS))
+    return star.fact_left(silver, dims, natural_keys=True)
+
+
+def star_company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, dims = _star(spark, sf_dir)
+    return star_totals(star.fact(silver, dims), dims["companydim"], limit=TOTALS_LIMIT)
+
+
+# --- Q1-Q3 checks, F1/F2 dates ----------------------------------------------------
+def key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Qc.duplicate_keys(_tables(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
+
+
+NULL_CHECK_TABLES = ("lineitem", "orders", "customer", "part")
+
+
+def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    out = None
+    for name in NULL_CHECK_TABLES:
+        part = Qc.null_counts(t[name], name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    li, o = t["lineitem"], t["orders"]
+    return Qc.orphan_report([
+        ("lineitem.l_orderkey->orders", li, ["l_orderkey"], o, ["o_orderkey"]),
+        ("lineitem.l_partkey->part", li, ["l_partkey"], t["part"], ["p_partkey"]),
+        ("lineitem.l_suppkey->supplier", li, ["l_suppkey"], t["supplier"], ["s_suppkey"]),
+        ("orders.o_custkey->customer", o, ["o_custkey"], t["customer"], ["c_custkey"]),
+    ])
+
+
+def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze int yyyyMMdd -> date (F1) -> yyyyMMdd key (F2), per distinct value."""
+    num = adapter.num(_tables(spark, sf_dir))
+    per_day = num.groupBy(F.col("ddate").alias("ddate_int")).agg(F.count(F.lit(1)).alias("n"))
+    parsed = per_day.withColumn("ddate", parse_date_int("ddate_int"))
+    return parsed.select("ddate_int", "ddate", date_key("ddate").alias("date_key"), "n")
+
+
 QUERIES = {
     "company_totals": company_totals,
     "company_totals_all": company_totals_all,
@@ -121,4 +185,11 @@ QUERIES = {
     "calendar_dim": calendar_dim,
     "scd2_classify": scd2_classify,
     "scd2_company": scd2_company,
+    "fact_star": fact_star,
+    "fact_left_variant": fact_left_variant,
+    "star_company_totals": star_company_totals,
+    "key_duplicates": key_duplicates,
+    "null_counts": null_counts,
+    "fact_orphans": fact_orphans,
+    "date_parse": date_parse,
 }
