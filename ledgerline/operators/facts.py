@@ -14,20 +14,23 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_key
 
 
-def _keyed_filings(sub: DataFrame, filingdim: DataFrame, how: str = "inner") -> DataFrame:
+def _keyed_filings(sub: DataFrame, filingdim: DataFrame, companydim: DataFrame,
+                   how: str = "inner") -> DataFrame:
+    """(adsh, cik, filing_id, company_id): the filing and company lookups done on
+    the filings, which are far fewer than the facts, so the facts are never
+    shuffled by cik."""
     filings = filingdim.select(F.col("accession_number").alias("adsh"),
                                F.col("id").alias("filing_id"))
-    return sub.select("adsh", F.col("cik").cast("string").alias("cik")).join(filings, "adsh", how)
+    company = companydim.filter("is_current").select("cik", F.col("id").alias("company_id"))
+    return (sub.select("adsh", F.col("cik").cast("string").alias("cik"))
+            .join(filings, "adsh", how)
+            .join(company, "cik", how))
 
 
-def _lookups(facts: DataFrame, companydim: DataFrame, tagdim: DataFrame, datedim: DataFrame,
-             how: str) -> DataFrame:
-    company = companydim.filter("is_current").select("cik", F.col("id").alias("company_id"))
+def _lookups(facts: DataFrame, tagdim: DataFrame, datedim: DataFrame, how: str) -> DataFrame:
     tags = tagdim.select("tag", F.col("id").alias("tag_fk"))
     dates = datedim.select("date_key", F.col("id").alias("date_id"))
-    return (facts.join(tags, "tag", how)
-            .join(dates, "date_key", how)
-            .join(company, "cik", how))
+    return facts.join(tags, "tag", how).join(dates, "date_key", how)
 
 
 def build_fact(num: DataFrame, pre: DataFrame, sub: DataFrame, tag: DataFrame,
@@ -42,11 +45,11 @@ def build_fact(num: DataFrame, pre: DataFrame, sub: DataFrame, tag: DataFrame,
     """
     facts = (num.select("adsh", "tag_id", date_key("ddate").alias("date_key"), "value")
              .join(pre.select("adsh", "tag_id", "stmt"), ["adsh", "tag_id"])
-             .join(_keyed_filings(sub, filingdim), "adsh")
+             .join(_keyed_filings(sub, filingdim, companydim), "adsh")
              .join(tag.select("tag_id", "tag"), "tag_id"))
     stmts = statementdim.select(F.col("statement_code").alias("stmt"),
                                 F.col("id").alias("statement_id"))
-    facts = _lookups(facts, companydim, tagdim, datedim, "inner").join(stmts, "stmt")
+    facts = _lookups(facts, tagdim, datedim, "inner").join(stmts, "stmt")
     if natural_keys:
         return facts.select("adsh", "cik", "tag", "date_key", "stmt", "value")
     return facts.select("value", "filing_id", "company_id", F.col("tag_fk").alias("tag_id"),
@@ -60,10 +63,10 @@ def build_fact_left(num: DataFrame, pre: DataFrame, sub: DataFrame, tag: DataFra
     looked-up id. Rows without a statement survive; there is no statement key."""
     facts = (num.select("adsh", "tag_id", date_key("ddate").alias("date_key"), "value")
              .join(pre.select("adsh", "tag_id", "stmt"), ["adsh", "tag_id"], "left")
-             .join(_keyed_filings(sub, filingdim, "left"), "adsh", "left")
+             .join(_keyed_filings(sub, filingdim, companydim, "left"), "adsh", "left")
              .join(tag.select("tag_id", "tag"), "tag_id", "left")
              .dropna(subset=["adsh", "tag", "cik"]))
-    facts = _lookups(facts, companydim, tagdim, datedim, "left").dropna(
+    facts = _lookups(facts, tagdim, datedim, "left").dropna(
         subset=["company_id", "filing_id", "tag_fk", "date_id"])
     if natural_keys:
         return facts.select("adsh", "cik", "tag", "date_key", "stmt", "value")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_key_int, parse_date_int
+from ..functions.columns import date_key_int
 from ..sources.tables import TableSet
 
 
@@ -55,8 +55,15 @@ def num(t: TableSet) -> DataFrame:
 
 
 def silver_num(t: TableSet) -> DataFrame:
-    """Silver ``num``: ddate parsed to a date (F1)."""
-    return num(t).withColumn("ddate", parse_date_int("ddate"))
+    """Silver ``num``: ddate as a date. The driver's ship dates are already typed,
+    so no int round trip; ``bronze_to_silver`` applies F1 to real bronze ints."""
+    return t["lineitem"].select(
+        adsh("l_orderkey").alias("adsh"),
+        F.col("l_partkey").alias("tag_id"),
+        F.to_date("l_shipdate").alias("ddate"),
+        F.col("l_linenumber").alias("qtrs"),
+        F.col("l_extendedprice").alias("value"),
+    )
 
 
 def pre(t: TableSet) -> DataFrame:

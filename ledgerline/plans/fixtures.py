@@ -65,3 +65,27 @@ def raw_batch(t: TableSet) -> DataFrame:
     """A batch of new submissions; its first half-year overlaps the raw table."""
     sub = adapter.sub(t, with_filed=True)
     return sub.filter(F.col("filed") >= F.lit(BATCH_START).cast("date"))
+
+
+RAW_COLUMNS = ("adsh", "cik", "name", "form", "sic")
+
+
+def raw_requests(t: TableSet) -> DataFrame:
+    """Keys to look up or delete: the filings behind returned line items."""
+    return (t["lineitem"].filter(F.col("l_returnflag") == "R")
+            .select(adapter.adsh("l_orderkey").alias("adsh")).distinct())
+
+
+def raw_updates(t: TableSet) -> DataFrame:
+    """Change set from order status: P -> form set to 'AMENDED'; F -> sic set to null."""
+    o = t["orders"].filter(F.col("o_orderstatus").isin("P", "F"))
+    pending = F.col("o_orderstatus") == "P"
+    return o.select(
+        adapter.adsh("o_orderkey").alias("adsh"),
+        F.lit(None).cast("string").alias("name"),
+        F.when(pending, F.lit("AMENDED")).alias("form"),
+        F.lit(None).cast("string").alias("sic"),
+        F.lit(None).cast("string").alias("filing_summary"),
+        F.when(pending, F.array(F.lit("form"))).otherwise(F.array(F.lit("sic")))
+        .alias("set_fields"),
+    )

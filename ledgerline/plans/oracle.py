@@ -55,6 +55,23 @@ def _orphan_sql(name: str, child: str, fk: str, parent: str, pk: str) -> str:
             f"CAST(count(*) AS BIGINT) AS checked_rows FROM {child} WHERE {fk} IS NOT NULL")
 
 
+_RAW = """
+    sub AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh, o_custkey AS cik, c_name AS name,
+                   o_orderpriority AS form, c_mktsegment AS sic,
+                   CAST(o_orderdate AS DATE) AS filed, o_orderstatus AS status
+            FROM orders JOIN customer ON o_custkey = c_custkey),
+    raw AS (SELECT * FROM sub WHERE filed < DATE '1998-01-01'),
+    batch AS (SELECT * FROM sub WHERE filed >= DATE '1997-07-01'),
+    req AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh FROM lineitem
+            WHERE l_returnflag = 'R'),
+    upd AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh FROM orders
+            WHERE o_orderstatus IN ('P', 'F')),
+    conflicts AS (
+        SELECT adsh, 'exists' AS reason FROM batch WHERE adsh IN (SELECT adsh FROM raw)
+        UNION ALL
+        SELECT adsh, 'duplicate_in_batch' AS reason FROM batch GROUP BY adsh HAVING count(*) > 1)
+"""
+
 ORACLE_SQL = {
     "company_totals": """
         SELECT c.c_name AS company_name, round(sum(l.l_extendedprice), 2) AS total_value
@@ -193,4 +210,41 @@ ORACLE_SQL = {
                count(*) AS n
         FROM lineitem GROUP BY ALL
     """,
+    "raw_create": f"""
+        WITH {_RAW}
+        SELECT adsh, cik, name, form, sic FROM raw
+        UNION ALL
+        SELECT adsh, cik, name, form, sic FROM batch
+        WHERE adsh NOT IN (SELECT adsh FROM conflicts)
+    """,
+    "raw_conflicts": f"""
+        WITH {_RAW}
+        SELECT adsh, reason FROM conflicts
+    """,
+    "raw_page": f"""
+        WITH {_RAW}
+        SELECT adsh, cik, name, form, sic FROM raw ORDER BY adsh LIMIT 100 OFFSET 100
+    """,
+    "raw_get": f"""
+        WITH {_RAW}
+        SELECT req.adsh, r.adsh IS NOT NULL AS found, r.cik, r.name, r.form, r.sic
+        FROM req LEFT JOIN raw r ON r.adsh = req.adsh
+    """,
+    "raw_update": f"""
+        WITH {_RAW}
+        SELECT adsh, cik, name,
+               CASE WHEN status = 'P' THEN 'AMENDED' ELSE form END AS form,
+               CASE WHEN status = 'F' THEN NULL ELSE sic END AS sic
+        FROM raw
+    """,
+    "raw_delete": f"""
+        WITH {_RAW}
+        SELECT adsh, cik, name, form, sic FROM raw WHERE adsh NOT IN (SELECT adsh FROM req)
+    """,
+    "raw_not_found": f"""
+        WITH {_RAW}
+        SELECT 'update' AS op, adsh FROM upd WHERE adsh NOT IN (SELECT adsh FROM raw)
+        UNION ALL
+        SELECT 'delete' AS op, adsh FROM req WHERE adsh NOT IN (SELECT adsh FROM raw)
+    """,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key, parse_date_int, ts_text
+from ..operators import changes as C
 from ..operators import dimensions as D
 from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
@@ -173,6 +174,57 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("ddate_int", "ddate", date_key("ddate").alias("date_key"), "n")
 
 
+# --- M1-M5 change sets on the raw table ---------------------------------------------
+def _raw(t) -> DataFrame:
+    return fixtures.raw_table(t).select(*fixtures.RAW_COLUMNS)
+
+
+def raw_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    batch = fixtures.raw_batch(t).select(*fixtures.RAW_COLUMNS)
+    return C.create_rows(_raw(t), batch).table
+
+
+def raw_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    batch = fixtures.raw_batch(t).select(*fixtures.RAW_COLUMNS)
+    return C.create_conflicts(_raw(t), batch)
+
+
+RAW_PAGE_SKIP, RAW_PAGE_SIZE = 100, 100
+
+
+def raw_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.list_page(_raw(_tables(spark, sf_dir)), RAW_PAGE_SKIP, RAW_PAGE_SIZE)
+
+
+def raw_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return C.get_rows(_raw(t), fixtures.raw_requests(t)).select(
+        "adsh", "found", "cik", "name", "form", "sic")
+
+
+def raw_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    table, _ = C.apply_updates(_raw(t), fixtures.raw_updates(t))
+    return table
+
+
+def raw_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    table, _ = C.delete_rows(_raw(t), fixtures.raw_requests(t))
+    return table
+
+
+def raw_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    raw = _raw(t)
+    _, upd_missing = C.apply_updates(raw, fixtures.raw_updates(t))
+    _, del_missing = C.delete_rows(raw, fixtures.raw_requests(t))
+    return (upd_missing.select(F.lit("update").alias("op"), "adsh")
+            .unionByName(del_missing.select(F.lit("delete").alias("op"), "adsh")))
+
+
 QUERIES = {
     "company_totals": company_totals,
     "company_totals_all": company_totals_all,
@@ -192,4 +244,11 @@ QUERIES = {
     "null_counts": null_counts,
     "fact_orphans": fact_orphans,
     "date_parse": date_parse,
+    "raw_create": raw_create,
+    "raw_conflicts": raw_conflicts,
+    "raw_page": raw_page,
+    "raw_get": raw_get,
+    "raw_update": raw_update,
+    "raw_delete": raw_delete,
+    "raw_not_found": raw_not_found,
 }
