@@ -70,6 +70,11 @@ def iso_date(c: Column | str) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
 
+def rounded(c: Column | str, digits: int) -> Column:
+    """round() with negative zero folded to zero (-0.0 + 0.0 = 0.0)."""
+    return F.round(F.col(c) if isinstance(c, str) else c, digits) + F.lit(0.0)
+
+
 # --- code labels (F5) ---------------------------------------------------------
 def code_label(c: Column | str, labels: Mapping[str, str] = STATEMENT_NAMES,
                default: str = STATEMENT_DEFAULT) -> Column:

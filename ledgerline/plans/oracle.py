@@ -72,6 +72,44 @@ _RAW = """
         SELECT adsh, 'duplicate_in_batch' AS reason FROM batch GROUP BY adsh HAVING count(*) > 1)
 """
 
+_PAGE_TEXT = r"""
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+        '(?is)<script[^>]*>.*?</script>', ' ', 'g'),
+        '(?is)<style[^>]*>.*?</style>', ' ', 'g'),
+        '<[^>]*>', ' ', 'g'),
+        '\s+', ' ', 'g'))
+"""
+
+
+def _cosine(a: str, b: str) -> str:
+    def dot(x, y):
+        return f"list_dot_product(CAST({x} AS DOUBLE[]), CAST({y} AS DOUBLE[]))"
+    return (f"(1 - {dot(a, b)} / (sqrt({dot(a, a)}) * sqrt({dot(b, b)})))")
+
+
+_PROBE = "probe AS (SELECT embedding AS qv, label AS ql FROM embeddings ORDER BY vec_id LIMIT 1)"
+
+_TFIDF = r"""
+    WITH q AS (SELECT text FROM benchmark ORDER BY item_id LIMIT 1),
+    toks AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term <> '' GROUP BY doc_id, term),
+    n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((SELECT n FROM n) / df.df) AS w
+          FROM tf JOIN df USING (term)),
+    qtok AS (SELECT unnest(string_split_regex(lower(text), '\s+')) AS term FROM q),
+    qt AS (SELECT term, count(*) AS tf FROM qtok WHERE term <> '' GROUP BY term),
+    qw AS (SELECT qt.term, qt.tf * ln((SELECT n FROM n) / df.df) AS qw FROM qt JOIN df USING (term)),
+    qn AS (SELECT sqrt(sum(qw * qw)) AS qn FROM qw),
+    per_doc AS (SELECT w.doc_id, sqrt(sum(w.w * w.w)) AS norm, sum(w.w * qw.qw) AS dot,
+                       bool_or(qw.qw IS NOT NULL) AS hit
+                FROM w LEFT JOIN qw USING (term) GROUP BY w.doc_id)
+    SELECT doc_id,
+           round(CASE WHEN norm * (SELECT qn FROM qn) > 0
+                      THEN 1 - dot / (norm * (SELECT qn FROM qn)) END, 5) + 0.0 AS distance
+    FROM per_doc WHERE hit
+"""
+
 ORACLE_SQL = {
     "company_totals": """
         SELECT c.c_name AS company_name, round(sum(l.l_extendedprice), 2) AS total_value
@@ -247,4 +285,44 @@ ORACLE_SQL = {
         UNION ALL
         SELECT 'delete' AS op, adsh FROM req WHERE adsh NOT IN (SELECT adsh FROM raw)
     """,
+    "page_text": f"""
+        SELECT page_id, coalesce({_PAGE_TEXT}, '') AS extracted_text FROM pages
+    """,
+    "filing_text_left_join": f"""
+        WITH pt AS (SELECT page_id, coalesce({_PAGE_TEXT}, '') AS t FROM pages)
+        SELECT d.doc_id, pt.page_id IS NOT NULL AS has_text,
+               coalesce(d.text, '') || chr(10) || chr(10) || coalesce(pt.t, '') AS full_text
+        FROM documents d LEFT JOIN pt ON d.doc_id = pt.page_id
+    """,
+    "knn_all": f"""
+        WITH {_PROBE}
+        SELECT vec_id, label, round({_cosine("e.embedding", "probe.qv")}, 6) + 0.0 AS distance
+        FROM embeddings e, probe
+        ORDER BY distance NULLS LAST, vec_id LIMIT 10
+    """,
+    "knn_filtered": f"""
+        WITH {_PROBE}
+        SELECT vec_id, label, round({_cosine("e.embedding", "probe.qv")}, 6) + 0.0 AS distance
+        FROM embeddings e, probe WHERE e.label = probe.ql
+        ORDER BY distance NULLS LAST, vec_id LIMIT 10
+    """,
+    "knn_batch": f"""
+        WITH x AS (SELECT label, unnest(range(1, len(embedding) + 1)) AS i,
+                          unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+        c AS (SELECT label, i, avg(v) AS cv FROM x GROUP BY label, i),
+        q AS (SELECT label, list(cv ORDER BY i) AS qv FROM c GROUP BY label),
+        s AS (SELECT e.label, e.vec_id, round({_cosine("e.embedding", "q.qv")}, 6) + 0.0 AS distance
+              FROM embeddings e JOIN q ON e.label = q.label),
+        r AS (SELECT *, row_number() OVER (PARTITION BY label
+                                           ORDER BY distance NULLS LAST, vec_id) AS rank FROM s)
+        SELECT label, rank, vec_id, distance FROM r WHERE rank <= 10
+    """,
+    "vector_length_check": """
+        SELECT coalesce(len(embedding) = 64, FALSE) AS valid, count(*) AS n
+        FROM embeddings GROUP BY 1
+    """,
+    "facet_counts": """
+        SELECT label, count(*) AS n FROM embeddings GROUP BY label
+    """,
+    "tfidf_search": _TFIDF,
 }

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_key, parse_date_int, ts_text
 from ..operators import changes as C
 from ..operators import dimensions as D
+from ..operators import search as S
+from ..operators import text as X
 from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
 from ..operators.totals import ranked_totals
@@ -225,6 +227,67 @@ def raw_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(del_missing.select(F.lit("delete").alias("op"), "adsh")))
 
 
+# --- V1-V5 text and vectors -----------------------------------------------------------
+KNN_K = 10
+VECTOR_DIM = 64
+
+
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.extract_texts(_tables(spark, sf_dir)["pages"])
+
+
+def filing_text_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents (as filings, text as summary) left-joined to extracted page text."""
+    t = _tables(spark, sf_dir)
+    docs = t["documents"].select("doc_id", F.col("text").alias("filing_summary"))
+    texts = X.extract_texts(t["pages"], out="extracted_pdf_text")
+    corpus = S.build_corpus(docs, texts, key="doc_id", text_key="page_id")
+    return corpus.select("doc_id", "has_text", "full_text")
+
+
+def _probe(t) -> tuple[list[float], int]:
+    """'More like this': the vector and label of the first row by vec_id (one row)."""
+    row = t["embeddings"].orderBy("vec_id").select("embedding", "label").first()
+    return [float(x) for x in row["embedding"]], row["label"]
+
+
+def knn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    vec, _ = _probe(t)
+    return S.knn(t["embeddings"], vec, KNN_K, id_col="vec_id", keep=["label"])
+
+
+def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    vec, label = _probe(t)
+    return S.knn(t["embeddings"], vec, KNN_K, id_col="vec_id", keep=["label"],
+                 facet="label", facet_value=label)
+
+
+def knn_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label's centroid searched within its own label."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    queries = S.facet_centroids(emb, "label").withColumn("qid", F.col("label"))
+    out = S.knn_per_query(emb, queries, "label", KNN_K, id_col="vec_id")
+    return out.select("label", "rank", "vec_id", "distance")
+
+
+def vector_length_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = _tables(spark, sf_dir)["embeddings"]
+    return Qc.import_outcome(emb, Qc.vector_length(emb, "embedding", VECTOR_DIM))
+
+
+def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.facet_counts(_tables(spark, sf_dir)["embeddings"], "label")
+
+
+def tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first benchmark passage as the query against all documents."""
+    t = _tables(spark, sf_dir)
+    query = t["benchmark"].orderBy("item_id").select("text").first()["text"]
+    return X.TfIdf(t["documents"], "doc_id", "text").search(spark, query)
+
+
 QUERIES = {
     "company_totals": company_totals,
     "company_totals_all": company_totals_all,
@@ -251,4 +314,12 @@ QUERIES = {
     "raw_update": raw_update,
     "raw_delete": raw_delete,
     "raw_not_found": raw_not_found,
+    "page_text": page_text,
+    "filing_text_left_join": filing_text_left_join,
+    "knn_all": knn_all,
+    "knn_filtered": knn_filtered,
+    "knn_batch": knn_batch,
+    "vector_length_check": vector_length_check,
+    "facet_counts": facet_counts,
+    "tfidf_search": tfidf_search,
 }
