@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import join_texts, rounded
 from ..functions.vectors import cosine_distance, vector_literal
+from ..session import spread
 from .dedup import keep_first
 
 
@@ -49,7 +50,7 @@ def knn(corpus: DataFrame, query: Sequence[float], k: int = 10, id_col: str = "i
     dist: Column = cosine_distance(vec_col, vector_literal(query))
     if round_to is not None:
         dist = rounded(dist, round_to)
-    scored = _facet_filter(corpus, facet, facet_value).select(
+    scored = spread(_facet_filter(corpus, facet, facet_value)).select(
         id_col, *keep, dist.alias("distance"))
     return scored.orderBy(F.asc_nulls_last("distance"), id_col).limit(k)
 

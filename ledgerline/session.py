@@ -77,3 +77,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     scratch_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields too few splits.
+
+    For CPU-heavy per-row work (tokenising, regex extraction, vector distances)
+    straight after a scan. Large inputs already arrive in many splits and pass
+    through untouched; a single-row-group file would otherwise run in one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
