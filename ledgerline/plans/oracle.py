@@ -325,4 +325,7 @@ ORACLE_SQL = {
         SELECT label, count(*) AS n FROM embeddings GROUP BY label
     """,
     "tfidf_search": _TFIDF,
+    "delimiter_detect": """
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+    """,
 }

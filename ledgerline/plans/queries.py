@@ -18,6 +18,8 @@ from ..operators import text as X
 from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
 from ..operators.totals import ranked_totals
+from ..session import fresh_path
+from ..sources.delimited import read_delimited
 from ..sources.tables import read_tables
 from . import adapter, fixtures, star
 
@@ -288,6 +290,18 @@ def tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.TfIdf(t["documents"], "doc_id", "text").search(spark, query)
 
 
+# --- S5/S6/P4 delimited landing ----------------------------------------------------------
+def delimiter_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land ``customer`` as '|'-delimited text with display-style headers in the
+    shared scratch folder, then detect, parse, standardize and retype it."""
+    cust = _tables(spark, sf_dir)["customer"]
+    headers = [" " + c.replace("_", " ").title() for c in cust.columns]  # " C Custkey"
+    path = fresh_path(spark, "landing-customer")
+    cust.toDF(*headers).write.option("header", True).option("sep", "|").csv(path)
+    parsed = read_delimited(spark, path).table
+    return parsed.select(*[F.col(c).cast(t).alias(c) for c, t in cust.dtypes])
+
+
 QUERIES = {
     "company_totals": company_totals,
     "company_totals_all": company_totals_all,
@@ -322,4 +336,5 @@ QUERIES = {
     "vector_length_check": vector_length_check,
     "facet_counts": facet_counts,
     "tfidf_search": tfidf_search,
+    "delimiter_detect": delimiter_detect,
 }
