@@ -71,12 +71,15 @@ def apply_updates(raw: DataFrame, updates: DataFrame, key: str = KEY,
                   order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """M4: partial update. ``updates`` holds the key, new values and an
     ``array<string>`` of the fields actually set, so "set to null" differs from
-    "not set". One update per key (the first by ``order_col`` if repeated).
+    "not set". One update per key: the first by ``order_col``, or by the
+    update's own values when no order is given, so a repeated key can never
+    multiply table rows.
 
     Returns (next table, update keys not found).
     """
-    if order_col is not None:
-        updates = keep_first(updates, [key], [order_col])
+    order = [order_col] if order_col is not None else [
+        F.col(set_col).cast("string"), *[F.col(f) for f in fields]]
+    updates = keep_first(updates, [key], order)
     upd = updates.select(key, set_col, *[F.col(f).alias(f"_new_{f}") for f in fields])
     joined = raw.join(upd, key, "left")
     out_cols = []

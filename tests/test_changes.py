@@ -53,3 +53,13 @@ def test_page_and_get(spark):
     keys = spark.createDataFrame([("a",), ("q",)], "adsh string")
     got = rows(C.get_rows(raw, keys), "adsh", "found", "name")
     assert got == [("a", True, "A"), ("q", False, None)]
+
+
+def test_update_repeated_key_never_multiplies_rows(spark):
+    upd = spark.createDataFrame(
+        [("a", None, "X", None, None, ["form"]), ("a", None, "Y", None, None, ["form"])],
+        "adsh string, name string, form string, sic string, filing_summary string, "
+        "set_fields array<string>")
+    table, _ = C.apply_updates(_raw(spark), upd)
+    assert table.count() == 3
+    assert [r["form"] for r in table.filter("adsh = 'a'").collect()] == ["X"]
