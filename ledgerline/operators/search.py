@@ -36,6 +36,23 @@ def build_corpus(filings: DataFrame, texts: DataFrame, key: str = "adsh",
             .drop("_tk", "_extracted"))
 
 
+def publish_corpus(wh, corpus: DataFrame, facet: str = "form", name: str = "search_corpus",
+                   dim: int | None = None, vec_col: str = "embedding") -> tuple[str, DataFrame]:
+    """Write the search table partitioned by its facet, so a filtered
+    search prunes partitions. Rows whose vector length differs from ``dim``
+    are not written; they are returned as the failure side (A7).
+
+    Returns (version, rejected rows).
+    """
+    from .quality import vector_length
+
+    if dim is None:
+        return wh.publish({name: corpus}, partition_by={name: [facet]}), corpus.limit(0)
+    ok = vector_length(corpus, vec_col, dim)
+    version = wh.publish({name: corpus.filter(ok)}, partition_by={name: [facet]})
+    return version, corpus.filter(~ok)
+
+
 def _facet_filter(df: DataFrame, facet: str | None, value) -> DataFrame:
     """Filter only when a facet value is given."""
     if facet is None or value is None:

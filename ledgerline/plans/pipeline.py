@@ -95,3 +95,16 @@ def silver_to_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: s
     rows = {n: o.get["rows"] for n, o in obs.items()}
     rows["factfinancials"] = fobs.get["rows"]
     return RunReport(version, rows)
+
+
+def register_document_filings(filingdim: DataFrame, docs: DataFrame, form_type: str,
+                              key: str = "doc_key") -> DataFrame:
+    """Each document file becomes a filing row keyed by its file name
+    (not a constant accession), inserted only if the key is new (W2)."""
+    from ..operators.dimensions import insert_only
+
+    rows = docs.select(F.col(key).alias("accession_number")).dropna().distinct().select(
+        "accession_number", F.lit(form_type).alias("form_type"),
+        F.lit(None).cast("string").alias("period_of_report"),
+        F.lit(None).cast("string").alias("date_filed"))
+    return insert_only(filingdim, rows, "accession_number")

@@ -85,3 +85,25 @@ def test_read_delimited_rejects_bad_lines(spark):
     assert res.table.columns == ["company_name", "formtype", "sic"]
     assert rows(res.table) == [("Acme", "10-K", "1000"), ("Beta", "10-Q", "2000")]
     assert res.rejects.count() == 1
+
+
+def test_register_document_filings(spark):
+    from ledgerline.schemas import FILING_DIM
+    existing = spark.createDataFrame([(1, "a", "10-K", None, None)], FILING_DIM)
+    docs = spark.createDataFrame([("a",), ("b",), ("b",)], "doc_key string")
+    delta = pipeline.register_document_filings(existing, docs, "10-K")
+    assert rows(delta, "accession_number", "form_type") == [("b", "10-K")]
+
+
+def test_publish_corpus_partitioned_and_rejects(spark):
+    from ledgerline.operators.search import knn, publish_corpus
+    corpus = spark.createDataFrame(
+        [("1", "10-K", [1.0, 0.0]), ("2", "10-Q", [0.0, 1.0]), ("3", "10-K", [1.0])],
+        "id string, form string, embedding array<float>")
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-corpus-"))
+    version, bad = publish_corpus(wh, corpus, dim=2)
+    assert rows(bad, "id") == [("3",)]
+    table = wh.table("search_corpus", version)
+    assert table.count() == 2
+    plan = knn(table, [1.0, 0.0], 5, facet="form", facet_value="10-K")
+    assert [r["id"] for r in plan.collect()] == ["1"]
