@@ -86,7 +86,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     straight after a scan. Large inputs already arrive in many splits and pass
     through untouched; a single-row-group file would otherwise run in one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
