@@ -6,6 +6,7 @@ to double first so results do not depend on float accumulation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -26,10 +27,21 @@ def dot(a: Column | str, b: Column | str) -> Column:
 
 
 def norm(a: Column | str) -> Column:
-    return F.sqrt(dot(a, a))
+    """Euclidean norm in one pass (no intermediate zipped array)."""
+    return F.sqrt(F.aggregate(_arr(a), F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
 
 
-def cosine_distance(a: Column | str, b: Column | str) -> Column:
-    """1 - a.b / (|a| |b|); null when either vector has zero length."""
-    denom = norm(a) * norm(b)
+def literal_norm(values: Sequence[float]) -> float:
+    """Norm of a literal vector, summed in the same order as ``norm``."""
+    total = 0.0
+    for v in values:
+        total += float(v) * float(v)
+    return math.sqrt(total)
+
+
+def cosine_distance(a: Column | str, b: Column | str, b_norm: Column | None = None) -> Column:
+    """1 - a.b / (|a| |b|); null when either vector has zero length.
+
+    ``b_norm``: the norm of ``b`` when it is a constant (a literal query)."""
+    denom = norm(a) * (b_norm if b_norm is not None else norm(b))
     return F.when(denom > 0, F.lit(1.0) - dot(a, b) / denom)

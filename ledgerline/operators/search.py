@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import join_texts, rounded
-from ..functions.vectors import cosine_distance, vector_literal
+from ..functions.vectors import cosine_distance, literal_norm, vector_literal
 from ..session import spread
 from .dedup import keep_first
 
@@ -64,7 +64,8 @@ def knn(corpus: DataFrame, query: Sequence[float], k: int = 10, id_col: str = "i
         vec_col: str = "embedding", facet: str | None = None, facet_value=None,
         keep: Sequence[str] = (), round_to: int | None = 6) -> DataFrame:
     """The k nearest rows to one query vector by cosine distance (smaller is nearer)."""
-    dist: Column = cosine_distance(vec_col, vector_literal(query))
+    dist: Column = cosine_distance(vec_col, vector_literal(query),
+                                   b_norm=F.lit(literal_norm(query)))
     if round_to is not None:
         dist = rounded(dist, round_to)
     scored = spread(_facet_filter(corpus, facet, facet_value)).select(

@@ -110,6 +110,36 @@ _TFIDF = r"""
     FROM per_doc WHERE hit
 """
 
+_BUCKET = "CAST(CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 256 AS INTEGER)"
+
+_DOC_VECTORS = r"""
+    WITH pt AS (SELECT page_id, coalesce(PAGE_TEXT, '') AS t FROM pages),
+    corpus AS (SELECT d.doc_id,
+                      coalesce(d.text, '') || chr(10) || chr(10) || coalesce(pt.t, '') AS full_text
+               FROM documents d LEFT JOIN pt ON d.doc_id = pt.page_id),
+    q AS (SELECT text FROM benchmark ORDER BY item_id LIMIT 1),
+    toks AS (SELECT doc_id, unnest(string_split_regex(lower(full_text), '\s+')) AS term FROM corpus),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term <> '' GROUP BY doc_id, term),
+    n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM corpus),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((SELECT n FROM n) / df.df) AS w
+          FROM tf JOIN df USING (term)),
+    b AS (SELECT doc_id, BUCKET AS bucket, sum(w) AS v FROM w GROUP BY doc_id, bucket),
+    qtok AS (SELECT unnest(string_split_regex(lower(text), '\s+')) AS term FROM q),
+    qt AS (SELECT term, count(*) AS tf FROM qtok WHERE term <> '' GROUP BY term),
+    qw AS (SELECT qt.term, qt.tf * ln((SELECT n FROM n) / df.df) AS qw FROM qt JOIN df USING (term)),
+    qb AS (SELECT BUCKET AS bucket, sum(qw) AS qv FROM qw GROUP BY bucket),
+    qn AS (SELECT sqrt(sum(qv * qv)) AS qn FROM qb),
+    dn AS (SELECT doc_id, sqrt(sum(v * v)) AS dn FROM b GROUP BY doc_id),
+    dot AS (SELECT b.doc_id, sum(b.v * qb.qv) AS dot FROM b JOIN qb USING (bucket) GROUP BY b.doc_id)
+    SELECT dn.doc_id,
+           round(CASE WHEN dn.dn * (SELECT qn FROM qn) > 0
+                      THEN 1 - coalesce(dot.dot, 0) / (dn.dn * (SELECT qn FROM qn)) END, 6) + 0.0
+               AS distance
+    FROM dn LEFT JOIN dot USING (doc_id)
+    ORDER BY distance NULLS LAST, doc_id LIMIT 10
+""".replace("PAGE_TEXT", _PAGE_TEXT).replace("BUCKET", _BUCKET)
+
 ORACLE_SQL = {
     "company_totals": """
         SELECT c.c_name AS company_name, round(sum(l.l_extendedprice), 2) AS total_value
@@ -328,4 +358,5 @@ ORACLE_SQL = {
     "delimiter_detect": """
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
     """,
+    "doc_vector_search": _DOC_VECTORS,
 }

@@ -290,6 +290,22 @@ def tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.TfIdf(t["documents"], "doc_id", "text").search(spark, query)
 
 
+DOC_VECTOR_DIM = 256
+
+
+def doc_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 -> V4 -> V2 end to end: documents with their page text form the corpus,
+    hashed TF-IDF vectors are its embeddings, the first benchmark passage is the query."""
+    t = _tables(spark, sf_dir)
+    docs = t["documents"].select("doc_id", F.col("text").alias("filing_summary"))
+    texts = X.extract_texts(t["pages"], out="extracted_pdf_text")
+    corpus = S.build_corpus(docs, texts, key="doc_id", text_key="page_id")
+    model = X.TfIdf(corpus, "doc_id", "full_text")
+    query = t["benchmark"].orderBy("item_id").select("text").first()["text"]
+    qvec = model.query_vector(spark, query, DOC_VECTOR_DIM)
+    return S.knn(model.vectors(DOC_VECTOR_DIM), qvec, KNN_K, id_col="doc_id")
+
+
 # --- S5/S6/P4 delimited landing ----------------------------------------------------------
 def delimiter_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land ``customer`` as '|'-delimited text with display-style headers in the
@@ -337,4 +353,5 @@ QUERIES = {
     "facet_counts": facet_counts,
     "tfidf_search": tfidf_search,
     "delimiter_detect": delimiter_detect,
+    "doc_vector_search": doc_vector_search,
 }

@@ -90,3 +90,28 @@ def test_build_corpus(spark):
     got = {r["adsh"]: (r["full_text"], r["has_text"])
            for r in S.build_corpus(filings, texts).collect()}
     assert got == {"a": ("sum a\n\npdf a", True), "b": ("\n\n", False)}
+
+
+def test_hashed_vectors_match_brute_force(spark):
+    import hashlib
+    docs = [(1, "the cat sat on the mat"), (2, "The dog sat"), (3, "birds fly high")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    dim = 8
+    model = X.TfIdf(df)
+    got = {r["doc_id"]: r["embedding"] for r in model.vectors(dim).collect()}
+    tfs = {i: Counter(t.lower().split()) for i, t in docs}
+    dfreq = Counter(t for c in tfs.values() for t in c)
+
+    def bucket(term):
+        return int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % dim
+
+    for i, c in tfs.items():
+        want = [0.0] * dim
+        for term, n in c.items():
+            want[bucket(term)] += n * math.log(len(docs) / dfreq[term])
+        assert got[i] == pytest.approx(want, abs=1e-12)
+    q = model.query_vector(spark, "cat cat dog", dim)
+    want_q = [0.0] * dim
+    for term, n in Counter(["cat", "cat", "dog"]).items():
+        want_q[bucket(term)] += n * math.log(len(docs) / dfreq[term])
+    assert q == pytest.approx(want_q, abs=1e-12)
