@@ -26,8 +26,11 @@ def adsh(c: str) -> F.Column:
     return F.col(c).cast("string")
 
 
-def sub(t: TableSet, with_filed: bool = False) -> DataFrame:
-    """Filings with their company attributes (bronze ``sub``)."""
+def sub(t: TableSet, with_filed: bool = False, orders: DataFrame | None = None) -> DataFrame:
+    """Filings with their company attributes (bronze ``sub``).
+
+    ``orders``: a filtered ``orders`` to start from, so filters on raw order
+    columns reach the parquet scan."""
     cols = [
         adsh("o_orderkey").alias("adsh"),
         F.col("o_custkey").alias("cik"),
@@ -39,7 +42,8 @@ def sub(t: TableSet, with_filed: bool = False) -> DataFrame:
     if with_filed:
         cols.append(F.to_date("o_orderdate").alias("filed"))
         cols.append(F.col("o_orderstatus").alias("status"))
-    orders, customer = t["orders"], t["customer"]
+    orders = t["orders"] if orders is None else orders
+    customer = t["customer"]
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(*cols)
 
 

@@ -35,7 +35,7 @@ def incoming_companies(t: TableSet) -> DataFrame:
 
 
 def existing_companydim(t: TableSet) -> DataFrame:
-    early = t["orders"].filter(F.col("o_orderdate") < F.lit(COMPANY_CUTOFF).cast("timestamp_ntz"))
+    early = _orders_before(t, COMPANY_CUTOFF)
     cust = t["customer"].join(early, t["customer"].c_custkey == early.o_custkey, "left_semi")
     rows = cust.select(
         F.col("c_custkey").cast("string").alias("cik"), F.col("c_name").alias("name"),
@@ -43,8 +43,17 @@ def existing_companydim(t: TableSet) -> DataFrame:
     return scd2_initial(rows, INITIAL_TS)
 
 
+def _orders_before(t: TableSet, day: str) -> DataFrame:
+    """Orders filed before ``day``, as a filter on the raw column (pushed to the scan)."""
+    return t["orders"].filter(F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz"))
+
+
+def _orders_from(t: TableSet, day: str) -> DataFrame:
+    return t["orders"].filter(F.col("o_orderdate") >= F.lit(day).cast("timestamp_ntz"))
+
+
 def existing_filingdim(t: TableSet) -> DataFrame:
-    sub = adapter.sub(t, with_filed=True).filter(F.col("filed") < F.lit(FILING_CUTOFF).cast("date"))
+    sub = adapter.sub(t, with_filed=True, orders=_orders_before(t, FILING_CUTOFF))
     rows = filing_source(sub)
     return rows.select(surrogate_key("accession_number").alias("id"), *rows.columns)
 
@@ -57,14 +66,12 @@ def existing_datedim(t: TableSet) -> DataFrame:
 
 def raw_table(t: TableSet) -> DataFrame:
     """The raw submissions table before the change batch."""
-    sub = adapter.sub(t, with_filed=True)
-    return sub.filter(F.col("filed") < F.lit(FILING_CUTOFF).cast("date"))
+    return adapter.sub(t, with_filed=True, orders=_orders_before(t, FILING_CUTOFF))
 
 
 def raw_batch(t: TableSet) -> DataFrame:
     """A batch of new submissions; its first half-year overlaps the raw table."""
-    sub = adapter.sub(t, with_filed=True)
-    return sub.filter(F.col("filed") >= F.lit(BATCH_START).cast("date"))
+    return adapter.sub(t, with_filed=True, orders=_orders_from(t, BATCH_START))
 
 
 RAW_COLUMNS = ("adsh", "cik", "name", "form", "sic")
