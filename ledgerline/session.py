@@ -21,6 +21,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plan-time scan sizes come from compressed parquet bytes; decoded rows are
+    # several times larger. Without this factor a fact-sized scan can look
+    # "small" and be chosen as a broadcast build side.
+    "spark.sql.sources.fileCompressionFactor": "4",
 }
 
 
