@@ -1,7 +1,5 @@
 import datetime as dt
 
-from ledgerline.operators import dimensions as D
-from ledgerline.operators.facts import build_fact, build_fact_left
 from ledgerline.operators.totals import company_totals
 from ledgerline.plans import star
 from conftest import rows
