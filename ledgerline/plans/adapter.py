@@ -60,7 +60,7 @@ def num(t: TableSet) -> DataFrame:
 
 def silver_num(t: TableSet) -> DataFrame:
     """Silver ``num``: ddate as a date. The driver's ship dates are already typed,
-    so no int round trip; ``bronze_to_silver`` applies F1 to real bronze ints."""
+    so no int round trip; ``build_silver`` applies F1 to real bronze ints."""
     return t["lineitem"].select(
         adsh("l_orderkey").alias("adsh"),
         F.col("l_partkey").alias("tag_id"),

@@ -2,7 +2,7 @@
 
 Each stage reads a published version and publishes a new one (see
 ``sources.sinks.Warehouse``); written tables are also the lineage cuts, so a
-lost executor costs at most the stage in flight. Running ``silver_to_gold``
+lost executor costs at most the stage in flight. Running ``publish_gold``
 twice on the same silver gives identical gold tables (W11).
 """
 
@@ -32,7 +32,7 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def bronze_to_silver(spark: SparkSession, bronze_dir: str, documents_dir: str | None = None,
+def build_silver(spark: SparkSession, bronze_dir: str, documents_dir: str | None = None,
                      doc_glob: str = "*") -> tuple[dict[str, DataFrame], DataFrame]:
     """Read the four bronze CSVs with their schemas, attach document text to
     ``sub`` (left join on adsh), parse ``num.ddate`` leniently.
@@ -70,7 +70,7 @@ def publish_silver(wh: Warehouse, silver: dict[str, DataFrame]) -> str:
     return wh.publish({n: silver[n] for n in SILVER_TABLES})
 
 
-def silver_to_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str,
+def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str,
                    statement_labels: dict[str, str] | None = None) -> RunReport:
     """Apply a silver snapshot to the gold warehouse and publish a new version.
 

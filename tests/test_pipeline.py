@@ -23,10 +23,10 @@ def test_gold_rerun_is_identical_and_totals_match(spark):
     wh = Warehouse(spark, root, GOLD)
     assert wh.current_version() is None
     silver = _silver(spark)
-    r1 = pipeline.silver_to_gold(silver, wh, "2024-01-01 00:00:00")
+    r1 = pipeline.publish_gold(silver, wh, "2024-01-01 00:00:00")
     assert wh.current_version() == r1.version
     first = {n: rows(wh.table(n, r1.version)) for n in GOLD}
-    r2 = pipeline.silver_to_gold(silver, wh, "2025-01-01 00:00:00")
+    r2 = pipeline.publish_gold(silver, wh, "2025-01-01 00:00:00")
     assert r2.version > r1.version and wh.current_version() == r2.version
     for n in GOLD:
         assert rows(wh.table(n, r2.version)) == first[n], n
@@ -52,7 +52,7 @@ def test_bronze_csv_to_silver(spark):
     for key, html in [("0", "<p>zero</p>"), ("1", "<script>x</script><b>one</b>")]:
         with open(f"{docs}/{key}.html", "w") as fh:
             fh.write(html)
-    silver, rejects = pipeline.bronze_to_silver(spark, bronze, docs, "*.html")
+    silver, rejects = pipeline.build_silver(spark, bronze, docs, "*.html")
     assert rejects.count() == 0
     assert silver["num"].count() == parts["num"].count()
     assert silver["sub"].count() == parts["sub"].count()
