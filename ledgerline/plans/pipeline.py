@@ -20,6 +20,7 @@ from ..schemas import BRONZE, GOLD
 from ..sources.delimited import read_csv
 from ..sources.documents import document_texts, read_documents
 from ..sources.sinks import Warehouse, new_version
+from ..operators import dimensions as D
 from . import star
 
 SILVER_TABLES = ("sub", "num", "pre", "tag")
@@ -70,25 +71,46 @@ def publish_silver(wh: Warehouse, silver: dict[str, DataFrame]) -> str:
     return wh.publish({n: silver[n] for n in SILVER_TABLES})
 
 
+def gold_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """The gold warehouse: declared schemas; insert-only dimensions stored as
+    per-run deltas, so a run writes only their new rows."""
+    return Warehouse(spark, root, GOLD, append_only=star.INSERT_ONLY)
+
+
 def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str,
-                   statement_labels: dict[str, str] | None = None) -> RunReport:
+                 statement_labels: dict[str, str] | None = None) -> RunReport:
     """Apply a silver snapshot to the gold warehouse and publish a new version.
 
     Dimensions are written first (they are the fact's lookup tables); the fact
-    is then built against the *written* dimensions and reloaded in full.
+    is then built against the *written* dimensions and reloaded in full. For
+    append-only dimensions only the new rows are written. The version becomes
+    visible with its marker, after every table is in place.
     """
-    if gold_wh.current_version() is None:
-        dims = star.first_load_dimensions(silver, batch_ts, statement_labels)
+    previous = gold_wh.current_version()
+    if previous is None:
+        existing = {n: gold_wh.spark.createDataFrame([], GOLD[n]) for n in GOLD}
     else:
-        existing = gold_wh.tables(list(GOLD))
-        dims = star.dimensions(silver, existing, batch_ts, statement_labels)
+        existing = gold_wh.tables(list(GOLD), previous)
+    snapshots, deltas = star.dimension_changes(silver, existing, batch_ts, statement_labels)
+    if previous is None:
+        first = star.first_load_dimensions(silver, batch_ts, statement_labels)
+        snapshots = {"companydim": first["companydim"]}
+        deltas = {n: first[n] for n in star.INSERT_ONLY}
     version = new_version()
+    staged = dict(snapshots)
+    for name, delta in deltas.items():
+        staged[name] = delta if name in gold_wh.append_only else D.append_rows(existing[name], delta)
     observed, obs = {}, {}
-    for name, df in dims.items():
+    for name, df in staged.items():
         observed[name], obs[name] = load_stats(df, name)
     gold_wh.stage(version, observed, GOLD_PARTITIONS)
     # The fact is built against the dimensions as written, not their lineage.
-    written = gold_wh.tables(list(dims), version)
+    written = {}
+    for name in staged:
+        if name in gold_wh.append_only:
+            written[name] = existing[name].unionByName(gold_wh.read_delta(name, version))
+        else:
+            written[name] = gold_wh.table(name, version)
     fact, fobs = load_stats(star.fact(silver, written), "factfinancials")
     gold_wh.stage(version, {"factfinancials": fact})
     gold_wh.mark(version, len(GOLD))

@@ -25,24 +25,35 @@ def empty_gold(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema) for name, schema in GOLD.items()}
 
 
-def dimensions(silver: dict[str, DataFrame], gold: dict[str, DataFrame], batch_ts: str,
-               statement_labels: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """Next snapshot of each dimension after applying ``silver``."""
+INSERT_ONLY = ("filingdim", "tagdim", "datedim", "statementdim")
+
+
+def dimension_changes(silver: dict[str, DataFrame], gold: dict[str, DataFrame], batch_ts: str,
+                      statement_labels: dict[str, str] | None = None
+                      ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(snapshots, deltas): the next company dimension (SCD2 rewrites versions)
+    and the new rows of each insert-only dimension."""
     sub = silver["sub"]
     labels = statement_labels or {}
     stmt_src = (D.statement_source(silver["pre"], labels) if labels
                 else D.statement_source(silver["pre"]))
-    out = {
-        "companydim": D.scd2_merge(gold["companydim"], D.company_source(sub), batch_ts),
-        "filingdim": D.append_rows(gold["filingdim"], D.insert_only(
-            gold["filingdim"], D.filing_source(sub), "accession_number")),
-        "tagdim": D.append_rows(gold["tagdim"], D.insert_only(
-            gold["tagdim"], D.tag_source(silver["tag"]), "tag")),
-        "datedim": D.append_rows(gold["datedim"], D.insert_only(
-            gold["datedim"], D.date_source(silver["num"]), "date_key")),
-        "statementdim": D.append_rows(gold["statementdim"], D.insert_only(
-            gold["statementdim"], stmt_src, "statement_code")),
+    snapshots = {"companydim": D.scd2_merge(gold["companydim"], D.company_source(sub), batch_ts)}
+    deltas = {
+        "filingdim": D.insert_only(gold["filingdim"], D.filing_source(sub), "accession_number"),
+        "tagdim": D.insert_only(gold["tagdim"], D.tag_source(silver["tag"]), "tag"),
+        "datedim": D.insert_only(gold["datedim"], D.date_source(silver["num"]), "date_key"),
+        "statementdim": D.insert_only(gold["statementdim"], stmt_src, "statement_code"),
     }
+    return snapshots, deltas
+
+
+def dimensions(silver: dict[str, DataFrame], gold: dict[str, DataFrame], batch_ts: str,
+               statement_labels: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Next snapshot of each dimension after applying ``silver``."""
+    snapshots, deltas = dimension_changes(silver, gold, batch_ts, statement_labels)
+    out = dict(snapshots)
+    for name, delta in deltas.items():
+        out[name] = D.append_rows(gold[name], delta)
     return out
 
 

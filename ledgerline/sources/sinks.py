@@ -6,8 +6,14 @@ for that version; readers take the newest marked version. So a table is never
 overwritten while it is read, a failed run publishes nothing, and a rerun
 after an executor or driver loss simply writes another version.
 
-    <root>/versions/<version>/<table>/   parquet
-    <root>/_published/version=<version>/ marker (one row)
+Append-only tables (the insert-only dimensions) are not rewritten per run:
+each run writes only its new rows as one partition, and a reader unions the
+partitions of published versions up to the one it reads. Rows of a failed,
+unmarked run are never seen.
+
+    <root>/versions/<version>/<table>/          snapshot tables, parquet
+    <root>/appends/<table>/v=<version>/         append-only tables, one delta per run
+    <root>/_published/version=<version>/        marker (one row)
 """
 
 from __future__ import annotations
@@ -29,17 +35,26 @@ def new_version() -> str:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str,
-                 schemas: Mapping[str, StructType] | None = None):
-        """``schemas``: declared table schemas, used when reading (no inference)."""
+                 schemas: Mapping[str, StructType] | None = None,
+                 append_only: Sequence[str] = ()):
+        """``schemas``: declared table schemas, used when reading (no inference).
+        ``append_only``: tables stored as per-run deltas instead of snapshots."""
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = dict(schemas or {})
+        self.append_only = set(append_only)
 
     # --- reading ---------------------------------------------------------------
-    def current_version(self) -> str | None:
+    def _markers(self) -> DataFrame | None:
         try:
-            marks = self.spark.read.parquet(f"{self.root}/_published")
+            return self.spark.read.schema("tables int, version string").parquet(
+                f"{self.root}/_published")
         except AnalysisException:
             return None
+
+    def current_version(self) -> str | None:
+        marks = self._markers()
+        if marks is None:
+            return None
         row = marks.agg(F.max("version").alias("v")).first()
         return row["v"] if row else None
 
@@ -50,11 +65,41 @@ class Warehouse:
         return f"{self.root}/versions/{v}/{name}"
 
     def table(self, name: str, version: str | None = None) -> DataFrame:
+        if name in self.append_only:
+            return self._appended(name, version or self.current_version())
         reader = self.spark.read
         if name in self.schemas:
             reader = reader.schema(self.schemas[name])
         return reader.parquet(self.path(name, version))
 
+    def delta_path(self, name: str, version: str) -> str:
+        return f"{self.root}/appends/{name}/v={version}"
+
+    def read_delta(self, name: str, version: str) -> DataFrame:
+        reader = self.spark.read
+        if name in self.schemas:
+            reader = reader.schema(self.schemas[name])
+        return reader.parquet(self.delta_path(name, version))
+
+    def _appended(self, name: str, version: str | None) -> DataFrame:
+        """Union of the deltas of every published version up to ``version``."""
+        schema = self.schemas.get(name)
+        marks = self._markers()
+        if version is None or marks is None:
+            if schema is None:
+                raise FileNotFoundError(f"nothing published under {self.root}")
+            return self.spark.createDataFrame([], schema)
+        published = marks.filter(F.col("version") <= F.lit(version)).select(
+            F.col("version").alias("v"))
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(StructType(list(schema.fields)).add("v", "string"))
+        try:
+            deltas = reader.parquet(f"{self.root}/appends/{name}")
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
+        return deltas.join(published, "v", "left_semi").drop("v")
+
     def tables(self, names: Sequence[str], version: str | None = None) -> dict[str, DataFrame]:
         v = version or self.current_version()
         return {n: self.table(n, v) for n in names}
@@ -62,9 +107,13 @@ class Warehouse:
     # --- writing ---------------------------------------------------------------
     def stage(self, version: str, tables: Mapping[str, DataFrame],
               partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
-        """Write tables into an unpublished version folder."""
+        """Write tables into an unpublished version. For append-only tables the
+        DataFrame is the delta (new rows only) and lands in its own partition."""
         parts = partition_by or {}
         for name, df in tables.items():
+            if name in self.append_only:
+                df.write.mode("errorifexists").parquet(self.delta_path(name, version))
+                continue
             w = df.write.mode("errorifexists")
             if parts.get(name):
                 w = w.partitionBy(*parts[name])

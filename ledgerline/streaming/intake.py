@@ -26,6 +26,10 @@ from ..sources.sinks import Warehouse, new_version
 DIMS = {"companydim": COMPANY_DIM, "filingdim": FILING_DIM}
 
 
+def intake_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    return Warehouse(spark, root, DIMS, append_only=("filingdim",))
+
+
 def apply_filings(batch: DataFrame, wh: Warehouse, batch_ts: str) -> str:
     """Apply one batch of filings to the company and filing dimensions."""
     spark = batch.sparkSession
@@ -34,9 +38,9 @@ def apply_filings(batch: DataFrame, wh: Warehouse, batch_ts: str) -> str:
     else:
         current = wh.tables(list(DIMS))
     company = D.scd2_merge(current["companydim"], D.company_source(batch), batch_ts)
-    filings = D.append_rows(current["filingdim"], D.insert_only(
-        current["filingdim"], D.filing_source(batch), "accession_number"))
-    return wh.publish({"companydim": company, "filingdim": filings},
+    new_filings = D.insert_only(current["filingdim"], D.filing_source(batch), "accession_number")
+    # filingdim is append-only in the warehouse: only the new rows are written.
+    return wh.publish({"companydim": company, "filingdim": new_filings},
                       partition_by={"companydim": ["is_current"]}, version=new_version())
 
 
@@ -44,7 +48,7 @@ def start_intake(spark: SparkSession, landing: str, warehouse_root: str,
                  batch_ts: Callable[[int], str], fmt: str = "csv",
                  checkpoint: str | None = None) -> StreamingQuery:
     """Process every file that has landed so far, then stop (availableNow)."""
-    wh = Warehouse(spark, warehouse_root, DIMS)
+    wh = intake_warehouse(spark, warehouse_root)
     reader = spark.readStream.schema(SUB)
     if fmt == "csv":
         reader = reader.option("header", True)

@@ -1,7 +1,6 @@
 import tempfile
 
-from ledgerline.streaming.intake import DIMS, start_intake
-from ledgerline.sources.sinks import Warehouse
+from ledgerline.streaming.intake import intake_warehouse, start_intake
 from conftest import rows
 
 HEADER = "adsh,cik,name,form,sic,filing_summary\n"
@@ -24,7 +23,7 @@ def test_intake_applies_batches_incrementally(spark):
 
     q = start_intake(spark, landing, root, ts, checkpoint=ckpt)
     q.awaitTermination(120)
-    wh = Warehouse(spark, root, DIMS)
+    wh = intake_warehouse(spark, root)
     assert rows(wh.table("companydim"), "cik", "name", "is_current") == [
         ("1", "Acme", True), ("2", "Beta", True)]
     assert wh.table("filingdim").count() == 3
