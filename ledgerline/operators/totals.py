@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 def ranked_totals(values: DataFrame, key: str, companies: DataFrame, company_key: str = "id",
                   name: str = "name", value: str = "value", limit: int | None = 10,
-                  round_to: int | None = 2) -> DataFrame:
-    """values(key, value) x companies(company_key, name) -> (company_name, total_value)."""
+                  round_to: int | None = None) -> DataFrame:
+    """values(key, value) x companies(company_key, name) -> (company_name, total_value).
+
+    Exact sums by default, as the reference returns; ``round_to`` rounds them
+    (before ranking, so ties on the rounded value break by name)."""
     per_key = values.groupBy(key).agg(F.sum(value).alias("_part"))
     named = per_key.join(
         companies.select(F.col(company_key).alias(key), F.col(name).alias("company_name")), key)
@@ -27,7 +30,7 @@ def ranked_totals(values: DataFrame, key: str, companies: DataFrame, company_key
 
 
 def company_totals(fact: DataFrame, companydim: DataFrame, limit: int | None = 10,
-                   round_to: int | None = 2) -> DataFrame:
+                   round_to: int | None = None) -> DataFrame:
     """Totals of the star: factfinancials.company_id = companydim.id, by name."""
     return ranked_totals(fact.select("company_id", "value"), "company_id", companydim,
                          company_key="id", name="name", limit=limit, round_to=round_to)

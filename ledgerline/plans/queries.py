@@ -24,6 +24,7 @@ from ..sources.tables import read_tables
 from . import adapter, fixtures, star
 
 TOTALS_LIMIT = 10
+TOTALS_DIGITS = 2  # sums are rounded for comparison across engines
 
 
 def _tables(spark: SparkSession, sf_dir: str):
@@ -47,13 +48,13 @@ def _company_values(t) -> DataFrame:
 def company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     return ranked_totals(_company_values(t), "cik", t["customer"], company_key="c_custkey",
-                         name="c_name", limit=TOTALS_LIMIT)
+                         name="c_name", limit=TOTALS_LIMIT, round_to=TOTALS_DIGITS)
 
 
 def company_totals_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     return ranked_totals(_company_values(t), "cik", t["customer"], company_key="c_custkey",
-                         name="c_name", limit=None)
+                         name="c_name", limit=None, round_to=TOTALS_DIGITS)
 
 
 # --- A2/A4 dedup and small dimensions ---------------------------------------------
@@ -139,7 +140,8 @@ def fact_left_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, dims = _star(spark, sf_dir)
-    return star_totals(star.fact(silver, dims), dims["companydim"], limit=TOTALS_LIMIT)
+    return star_totals(star.fact(silver, dims), dims["companydim"], limit=TOTALS_LIMIT,
+                       round_to=TOTALS_DIGITS)
 
 
 # --- Q1-Q3 checks, F1/F2 dates ----------------------------------------------------
