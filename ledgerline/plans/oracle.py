@@ -359,4 +359,11 @@ ORACLE_SQL = {
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
     """,
     "doc_vector_search": _DOC_VECTORS,
+    "raw_create_strict": f"""
+        WITH {_RAW}
+        SELECT adsh, cik, name, form, sic FROM raw
+        UNION ALL
+        SELECT adsh, cik, name, form, sic FROM batch
+        WHERE NOT EXISTS (SELECT 1 FROM conflicts)
+    """,
 }

@@ -191,6 +191,13 @@ def raw_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.create_rows(_raw(t), batch).table
 
 
+def raw_create_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's all-or-nothing create: any conflict leaves the table as it was."""
+    t = _tables(spark, sf_dir)
+    batch = fixtures.raw_batch(t).select(*fixtures.RAW_COLUMNS)
+    return C.create_rows(_raw(t), batch, all_or_nothing=True).table
+
+
 def raw_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     batch = fixtures.raw_batch(t).select(*fixtures.RAW_COLUMNS)
@@ -340,6 +347,7 @@ QUERIES = {
     "fact_orphans": fact_orphans,
     "date_parse": date_parse,
     "raw_create": raw_create,
+    "raw_create_strict": raw_create_strict,
     "raw_conflicts": raw_conflicts,
     "raw_page": raw_page,
     "raw_get": raw_get,
