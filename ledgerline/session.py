@@ -55,19 +55,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SCRATCH_KEY = "ledgerline.scratch.dir"
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; sets a local one only when unset.
+    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (tests,
+    local runs) a local folder is created; ``spark.checkpoint.dir`` itself is a
+    static setting, so the folder is registered as the RDD checkpoint
+    directory and remembered under ``SCRATCH_KEY`` for this session.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    elif spark.sparkContext.getCheckpointDir() is None:
+        spark.conf.set(SCRATCH_KEY, path)
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 

@@ -113,3 +113,34 @@ def test_publish_corpus_partitioned_and_rejects(spark):
     assert table.count() == 2
     plan = knn(table, [1.0, 0.0], 5, facet="form", facet_value="10-K")
     assert [r["id"] for r in plan.collect()] == ["1"]
+
+
+def test_unmarked_version_is_invisible(spark):
+    schema = "id long, accession_number string, form_type string, period_of_report string, " \
+             "date_filed string"
+    from ledgerline.schemas import FILING_DIM, TAG_DIM
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-wh-"),
+                   {"filingdim": FILING_DIM, "tagdim": TAG_DIM}, append_only=["filingdim"])
+    first = spark.createDataFrame([(1, "a", "10-K", None, None)], schema)
+    v1 = wh.publish({"filingdim": first})
+    # a failed run: staged, never marked
+    wh.stage("99990101T000000000000Z-failed",
+             {"filingdim": spark.createDataFrame([(2, "b", "10-Q", None, None)], schema)})
+    assert wh.current_version() == v1
+    assert rows(wh.table("filingdim"), "accession_number") == [("a",)]
+    v2 = wh.publish({"filingdim": spark.createDataFrame([(3, "c", "8-K", None, None)], schema)})
+    assert wh.current_version() == v2
+    assert rows(wh.table("filingdim"), "accession_number") == [("a",), ("c",)]
+    assert rows(wh.table("filingdim", v1), "accession_number") == [("a",)]
+
+
+def test_scratch_dir_uses_session_checkpoint_dir(spark):
+    from ledgerline.session import SCRATCH_KEY, fresh_path, scratch_dir
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    d = scratch_dir(spark)
+    if shared:  # the cluster's shared folder wins
+        assert d == shared.rstrip("/")
+    else:       # local fallback, remembered for the session
+        assert d == spark.conf.get(SCRATCH_KEY)
+    assert fresh_path(spark, "x").startswith(d + "/x-")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
