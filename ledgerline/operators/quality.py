@@ -37,19 +37,44 @@ def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence
 
 def orphan_report(checks: Sequence[tuple[str, DataFrame, Sequence[str], DataFrame, Sequence[str]]]
                   ) -> DataFrame:
-    """One row per relation: (relation, orphan_rows, checked_rows)."""
+    """One row per relation: (relation, orphan_rows, checked_rows).
+
+    Checks on the same child table share one scan of it: the child meets each
+    parent's distinct key set by a left join (dimension-sized, so Spark's
+    size-checked broadcast applies), and one aggregate counts, per relation,
+    the rows with a non-null key and those whose key found no parent.
+    """
+    by_child: dict[int, list] = {}
+    for check in checks:
+        by_child.setdefault(id(check[1]), []).append(check)
     out = None
-    for name, child, fk, parent, pk in checks:
-        keyed = child.select(*fk).dropna()
-        flag = keyed.join(parent.select(*[F.col(p).alias(f) for f, p in zip(fk, pk)])
-                          .distinct().withColumn("_hit", F.lit(1)), list(fk), "left")
-        row = flag.agg(F.sum(F.when(F.col("_hit").isNull(), 1).otherwise(0)).cast("long")
-                       .alias("orphan_rows"),
-                       F.count(F.lit(1)).alias("checked_rows"))
-        row = row.select(F.lit(name).alias("relation"),
-                         F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"),
-                         "checked_rows")
-        out = row if out is None else out.unionByName(row)
+    for group in by_child.values():
+        child = group[0][1]
+        keys = sorted({c for _, _, fk, _, _ in group for c in fk})
+        joined = child.select(*keys)
+        aggs = []
+        for i, (name, _, fk, parent, pk) in enumerate(group):
+            hit = f"_hit{i}"
+            parents = parent.select(*[F.col(p).alias(f"_p{i}_{j}") for j, p in enumerate(pk)]) \
+                .distinct().withColumn(hit, F.lit(True))
+            cond = [joined[f] == parents[f"_p{i}_{j}"] for j, f in enumerate(fk)]
+            joined = joined.join(parents, cond, "left").drop(
+                *[f"_p{i}_{j}" for j in range(len(pk))])
+            keyed = F.lit(True)
+            for f in fk:
+                keyed = keyed & F.col(f).isNotNull()
+            aggs.append(F.sum(F.when(keyed & F.col(hit).isNull(), 1).otherwise(0))
+                        .cast("long").alias(f"o{i}"))
+            aggs.append(F.sum(F.when(keyed, 1).otherwise(0)).cast("long").alias(f"c{i}"))
+        wide = joined.agg(*aggs)
+        # one aggregate row -> one report row per relation, without re-reading it
+        report = F.array(*[
+            F.struct(F.lit(name).alias("relation"),
+                     F.coalesce(F.col(f"o{i}"), F.lit(0).cast("long")).alias("orphan_rows"),
+                     F.coalesce(F.col(f"c{i}"), F.lit(0).cast("long")).alias("checked_rows"))
+            for i, (name, *_rest) in enumerate(group)])
+        rows = wide.select(F.inline(report))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
