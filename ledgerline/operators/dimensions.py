@@ -65,37 +65,43 @@ def scd2_classify(dim: DataFrame, incoming: DataFrame, key: str = "cik",
     return _classified(dim, incoming, key, tracked).select(key, "change_kind")
 
 
-def scd2_merge(dim: DataFrame, incoming: DataFrame, batch_ts: str, key: str = "cik",
-               tracked: Sequence[str] = ("name", "sic")) -> DataFrame:
-    """Next snapshot of a type-2 dimension after applying ``incoming``.
-
-    new -> inserted as current; changed -> current version expired at
-    ``batch_ts`` plus a new current version from ``batch_ts``; same and
-    vanished -> untouched; historical versions pass through. One full outer
-    join on the key does the classification; each joined row then emits its
-    zero, one or two versions, so there is no branching or caching.
+def scd2_changes(dim: DataFrame, incoming: DataFrame, batch_ts: str, key: str = "cik",
+                 tracked: Sequence[str] = ("name", "sic")) -> tuple[DataFrame, DataFrame]:
+    """(next current versions, versions expired by this batch).
+
+    new -> a current version; changed -> the current version is expired at
+    ``batch_ts`` and a new current version starts there; same and vanished
+    -> untouched. One full outer join on the key classifies every key; each
+    joined row emits its versions, so there is no branching or caching.
+    Historical (already expired) rows are not read.
     """
     ts = batch_timestamp(batch_ts)
     c = _classified(dim, incoming, key, tracked)
-    old = F.struct(
-        F.col("id"), F.col(key),
-        *[F.col(f"old_{x}").alias(x) for x in tracked],
-        F.col("valid_from"),
-        F.when(F.col("change_kind") == "changed", ts).otherwise(open_end()).alias("valid_to"),
-        (F.col("change_kind") != "changed").alias("is_current"),
-    )
+    old_current = F.struct(
+        F.col("id"), F.col(key), *[F.col(f"old_{x}").alias(x) for x in tracked],
+        F.col("valid_from"), open_end().alias("valid_to"), F.lit(True).alias("is_current"))
+    old_expired = F.struct(
+        F.col("id"), F.col(key), *[F.col(f"old_{x}").alias(x) for x in tracked],
+        F.col("valid_from"), ts.alias("valid_to"), F.lit(False).alias("is_current"))
     new = F.struct(
         surrogate_key(F.col(key), ts).alias("id"), F.col(key),
         *[F.col(f"new_{x}").alias(x) for x in tracked],
-        ts.alias("valid_from"), open_end().alias("valid_to"), F.lit(True).alias("is_current"),
-    )
-    versions = (F.when(F.col("change_kind") == "new", F.array(new))
-                .when(F.col("change_kind") == "changed", F.array(old, new))
-                .otherwise(F.array(old)))
-    touched = c.select(F.inline(versions))
+        ts.alias("valid_from"), open_end().alias("valid_to"), F.lit(True).alias("is_current"))
+    kind = F.col("change_kind")
+    current = c.select(F.inline(
+        F.when(kind.isin("new", "changed"), F.array(new)).otherwise(F.array(old_current))))
+    expired = c.filter(kind == "changed").select(F.inline(F.array(old_expired)))
+    return current, expired
+
+
+def scd2_merge(dim: DataFrame, incoming: DataFrame, batch_ts: str, key: str = "cik",
+               tracked: Sequence[str] = ("name", "sic")) -> DataFrame:
+    """Next full snapshot of a type-2 dimension after applying ``incoming``:
+    history passes through, plus the next current versions and those just expired."""
+    current, expired = scd2_changes(dim, incoming, batch_ts, key, tracked)
     history = dim.filter(~F.col("is_current")).select(
         "id", key, *tracked, "valid_from", "valid_to", "is_current")
-    return history.unionByName(touched)
+    return history.unionByName(current).unionByName(expired)
 
 
 def scd2_initial(incoming: DataFrame, valid_from: str, key: str = "cik",
