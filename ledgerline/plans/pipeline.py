@@ -24,7 +24,10 @@ from ..operators import dimensions as D
 from . import star
 
 SILVER_TABLES = ("sub", "num", "pre", "tag")
-GOLD_PARTITIONS = {"companydim": ["is_current"]}
+GOLD_PARTITIONS: dict[str, list[str]] = {}
+# companydim is stored as its current versions (a snapshot, about one row per
+# company) plus an append-only history of expired versions.
+COMPANY_PARTS = ("companydim_current", "companydim_history")
 
 
 @dataclass
@@ -72,9 +75,13 @@ def publish_silver(wh: Warehouse, silver: dict[str, DataFrame]) -> str:
 
 
 def gold_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """The gold warehouse: declared schemas; insert-only dimensions stored as
-    per-run deltas, so a run writes only their new rows."""
-    return Warehouse(spark, root, GOLD, append_only=star.INSERT_ONLY)
+    """The gold warehouse: declared schemas; insert-only dimensions and the
+    company history stored as per-run deltas, so a run writes only new rows."""
+    schemas = dict(GOLD)
+    schemas.update({p: GOLD["companydim"] for p in COMPANY_PARTS})
+    return Warehouse(spark, root, schemas,
+                     append_only=(*star.INSERT_ONLY, "companydim_history"),
+                     views={"companydim": COMPANY_PARTS})
 
 
 def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str,
@@ -83,8 +90,9 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
 
     Dimensions are written first (they are the fact's lookup tables); the fact
     is then built against the *written* dimensions and reloaded in full. For
-    append-only dimensions only the new rows are written. The version becomes
-    visible with its marker, after every table is in place.
+    append-only tables only the new rows are written; the company dimension's
+    current versions are a snapshot. The version becomes visible with its
+    marker, after every table is in place.
     """
     previous = gold_wh.current_version()
     if previous is None:
@@ -94,26 +102,31 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
     snapshots, deltas = star.dimension_changes(silver, existing, batch_ts, statement_labels)
     if previous is None:
         first = star.first_load_dimensions(silver, batch_ts, statement_labels)
-        snapshots = {"companydim": first["companydim"]}
+        snapshots = {"companydim_current": first["companydim"]}
         deltas = {n: first[n] for n in star.INSERT_ONLY}
+        deltas["companydim_history"] = first["companydim"].limit(0)
     version = new_version()
     staged = dict(snapshots)
     for name, delta in deltas.items():
-        staged[name] = delta if name in gold_wh.append_only else D.append_rows(existing[name], delta)
+        if name in gold_wh.append_only:
+            staged[name] = delta
+        else:  # a warehouse without delta tables: write the whole next table
+            staged[name] = D.append_rows(existing[name], delta)
     observed, obs = {}, {}
     for name, df in staged.items():
         observed[name], obs[name] = load_stats(df, name)
     gold_wh.stage(version, observed, GOLD_PARTITIONS)
-    # The fact is built against the dimensions as written, not their lineage.
-    written = {}
-    for name in staged:
+    # The fact is built against the dimensions as written, not their lineage;
+    # it only looks up current company versions.
+    written = {"companydim": gold_wh.table("companydim_current", version)}
+    for name in star.INSERT_ONLY:
         if name in gold_wh.append_only:
             written[name] = existing[name].unionByName(gold_wh.read_delta(name, version))
         else:
             written[name] = gold_wh.table(name, version)
     fact, fobs = load_stats(star.fact(silver, written), "factfinancials")
     gold_wh.stage(version, {"factfinancials": fact})
-    gold_wh.mark(version, len(GOLD))
+    gold_wh.mark(version, len(staged) + 1)
     rows = {n: o.get["rows"] for n, o in obs.items()}
     rows["factfinancials"] = fobs.get["rows"]
     return RunReport(version, rows)

@@ -31,14 +31,17 @@ INSERT_ONLY = ("filingdim", "tagdim", "datedim", "statementdim")
 def dimension_changes(silver: dict[str, DataFrame], gold: dict[str, DataFrame], batch_ts: str,
                       statement_labels: dict[str, str] | None = None
                       ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """(snapshots, deltas): the next company dimension (SCD2 rewrites versions)
-    and the new rows of each insert-only dimension."""
+    """(snapshots, deltas): the next current company versions, and the new rows
+    of the append-only tables - versions expired by this batch
+    (``companydim_history``) and each insert-only dimension."""
     sub = silver["sub"]
     labels = statement_labels or {}
     stmt_src = (D.statement_source(silver["pre"], labels) if labels
                 else D.statement_source(silver["pre"]))
-    snapshots = {"companydim": D.scd2_merge(gold["companydim"], D.company_source(sub), batch_ts)}
+    current, expired = D.scd2_changes(gold["companydim"], D.company_source(sub), batch_ts)
+    snapshots = {"companydim_current": current}
     deltas = {
+        "companydim_history": expired,
         "filingdim": D.insert_only(gold["filingdim"], D.filing_source(sub), "accession_number"),
         "tagdim": D.insert_only(gold["tagdim"], D.tag_source(silver["tag"]), "tag"),
         "datedim": D.insert_only(gold["datedim"], D.date_source(silver["num"]), "date_key"),
@@ -51,9 +54,11 @@ def dimensions(silver: dict[str, DataFrame], gold: dict[str, DataFrame], batch_t
                statement_labels: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Next snapshot of each dimension after applying ``silver``."""
     snapshots, deltas = dimension_changes(silver, gold, batch_ts, statement_labels)
-    out = dict(snapshots)
-    for name, delta in deltas.items():
-        out[name] = D.append_rows(gold[name], delta)
+    history = gold["companydim"].filter(~F.col("is_current"))
+    out = {"companydim": history.unionByName(snapshots["companydim_current"])
+           .unionByName(deltas["companydim_history"])}
+    for name in INSERT_ONLY:
+        out[name] = D.append_rows(gold[name], deltas[name])
     return out
 
 

@@ -36,12 +36,15 @@ def new_version() -> str:
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str,
                  schemas: Mapping[str, StructType] | None = None,
-                 append_only: Sequence[str] = ()):
+                 append_only: Sequence[str] = (),
+                 views: Mapping[str, Sequence[str]] | None = None):
         """``schemas``: declared table schemas, used when reading (no inference).
-        ``append_only``: tables stored as per-run deltas instead of snapshots."""
+        ``append_only``: tables stored as per-run deltas instead of snapshots.
+        ``views``: logical tables read as the union of physical ones."""
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = dict(schemas or {})
         self.append_only = set(append_only)
+        self.views = {k: list(v) for k, v in (views or {}).items()}
 
     # --- reading ---------------------------------------------------------------
     def _markers(self) -> DataFrame | None:
@@ -65,6 +68,13 @@ class Warehouse:
         return f"{self.root}/versions/{v}/{name}"
 
     def table(self, name: str, version: str | None = None) -> DataFrame:
+        if name in self.views:
+            v = version or self.current_version()
+            parts = [self.table(p, v) for p in self.views[name]]
+            out = parts[0]
+            for part in parts[1:]:
+                out = out.unionByName(part)
+            return out
         if name in self.append_only:
             return self._appended(name, version or self.current_version())
         reader = self.spark.read

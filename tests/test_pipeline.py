@@ -144,3 +144,25 @@ def test_scratch_dir_uses_session_checkpoint_dir(spark):
         assert d == spark.conf.get(SCRATCH_KEY)
     assert fresh_path(spark, "x").startswith(d + "/x-")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_company_history_is_append_only(spark):
+    from pyspark.sql import functions as F
+    silver = _silver(spark)
+    wh = pipeline.gold_warehouse(spark, tempfile.mkdtemp(prefix="ll-gold2-"))
+    r1 = pipeline.publish_gold(silver, wh, "2024-01-01 00:00:00")
+    n_companies = wh.table("companydim_current", r1.version).count()
+    renamed = dict(silver)
+    some_cik = silver["sub"].select("cik").first()["cik"]
+    renamed["sub"] = silver["sub"].withColumn(
+        "name", F.when(F.col("cik") == some_cik, F.lit("Renamed Co")).otherwise(F.col("name")))
+    r2 = pipeline.publish_gold(renamed, wh, "2025-01-01 00:00:00")
+    assert r2.rows["companydim_history"] == 1          # only the expired version is written
+    assert r2.rows["companydim_current"] == n_companies
+    comp = wh.table("companydim")
+    assert comp.filter(F.col("cik") == str(some_cik)).count() == 2
+    assert comp.filter("is_current").groupBy("cik").count().filter("count > 1").count() == 0
+    # the fact follows the current version
+    cur = wh.table("companydim_current").filter(F.col("cik") == str(some_cik)).first()
+    assert cur["name"] == "Renamed Co"
+    assert wh.table("factfinancials").filter(F.col("company_id") == cur["id"]).count() > 0
