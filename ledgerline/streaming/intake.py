@@ -24,10 +24,15 @@ from ..session import scratch_dir
 from ..sources.sinks import Warehouse, new_version
 
 DIMS = {"companydim": COMPANY_DIM, "filingdim": FILING_DIM}
+COMPANY_PARTS = ("companydim_current", "companydim_history")
 
 
 def intake_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    return Warehouse(spark, root, DIMS, append_only=("filingdim",))
+    """Company dimension as current snapshot + append-only history; filings append-only."""
+    schemas = dict(DIMS)
+    schemas.update({p: COMPANY_DIM for p in COMPANY_PARTS})
+    return Warehouse(spark, root, schemas, append_only=("filingdim", "companydim_history"),
+                     views={"companydim": COMPANY_PARTS})
 
 
 def apply_filings(batch: DataFrame, wh: Warehouse, batch_ts: str) -> str:
@@ -37,11 +42,12 @@ def apply_filings(batch: DataFrame, wh: Warehouse, batch_ts: str) -> str:
         current = {n: spark.createDataFrame([], s) for n, s in DIMS.items()}
     else:
         current = wh.tables(list(DIMS))
-    company = D.scd2_merge(current["companydim"], D.company_source(batch), batch_ts)
+    company, expired = D.scd2_changes(current["companydim"], D.company_source(batch), batch_ts)
     new_filings = D.insert_only(current["filingdim"], D.filing_source(batch), "accession_number")
-    # filingdim is append-only in the warehouse: only the new rows are written.
-    return wh.publish({"companydim": company, "filingdim": new_filings},
-                      partition_by={"companydim": ["is_current"]}, version=new_version())
+    # Only the current company versions are rewritten; expired versions and new
+    # filings are appended as this batch's deltas.
+    return wh.publish({"companydim_current": company, "companydim_history": expired,
+                       "filingdim": new_filings}, version=new_version())
 
 
 def start_intake(spark: SparkSession, landing: str, warehouse_root: str,
