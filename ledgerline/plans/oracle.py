@@ -367,3 +367,4 @@ ORACLE_SQL = {
         WHERE NOT EXISTS (SELECT 1 FROM conflicts)
     """,
 }
+ORACLE_SQL["gold_company_totals"] = ORACLE_SQL["star_company_totals"]

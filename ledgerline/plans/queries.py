@@ -21,7 +21,7 @@ from ..operators.totals import ranked_totals
 from ..session import fresh_path
 from ..sources.delimited import read_delimited
 from ..sources.tables import read_tables
-from . import adapter, fixtures, star
+from . import adapter, fixtures, pipeline, star
 
 TOTALS_LIMIT = 10
 TOTALS_DIGITS = 2  # sums are rounded for comparison across engines
@@ -144,6 +144,18 @@ def star_company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                        round_to=TOTALS_DIGITS)
 
 
+def gold_company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W12/W11/W5 through storage: silver (with page text) is published to a
+    fresh gold warehouse in the shared scratch folder by the job runner, and
+    the totals are read back from the published tables."""
+    t = _tables(spark, sf_dir)
+    silver = pipeline.silver_from_pages(adapter.silver(t), t["pages"])
+    wh = pipeline.gold_warehouse(spark, fresh_path(spark, "gold"))
+    pipeline.publish_gold(silver, wh, fixtures.INITIAL_TS)
+    return star_totals(wh.table("factfinancials"), wh.table("companydim"), limit=TOTALS_LIMIT,
+                       round_to=TOTALS_DIGITS)
+
+
 # --- Q1-Q3 checks, F1/F2 dates ----------------------------------------------------
 def key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Qc.duplicate_keys(_tables(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
@@ -342,6 +354,7 @@ QUERIES = {
     "fact_star": fact_star,
     "fact_left_variant": fact_left_variant,
     "star_company_totals": star_company_totals,
+    "gold_company_totals": gold_company_totals,
     "key_duplicates": key_duplicates,
     "null_counts": null_counts,
     "fact_orphans": fact_orphans,
