@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,19 +117,36 @@ class Warehouse:
 
     # --- writing ---------------------------------------------------------------
     def stage(self, version: str, tables: Mapping[str, DataFrame],
-              partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
+              partition_by: Mapping[str, Sequence[str]] | None = None,
+              concurrency: int = 4) -> None:
         """Write tables into an unpublished version. For append-only tables the
-        DataFrame is the delta (new rows only) and lands in its own partition."""
+        DataFrame is the delta (new rows only) and lands in its own partition.
+
+        Independent tables are written as concurrent Spark jobs (one driver
+        thread each), so small dimension writes share the cluster instead of
+        running one after another. Any failure propagates; nothing is marked.
+        """
         parts = partition_by or {}
-        for name, df in tables.items():
+
+        def write(item: tuple[str, DataFrame]) -> None:
+            name, df = item
             if name in self.append_only:
                 df.write.mode("errorifexists").parquet(self.delta_path(name, version))
-                continue
+                return
             w = df.write.mode("errorifexists")
             if parts.get(name):
                 w = w.partitionBy(*parts[name])
             w.parquet(f"{self.root}/versions/{version}/{name}")
 
+        items = list(tables.items())
+        if concurrency <= 1 or len(items) <= 1:
+            for item in items:
+                write(item)
+            return
+        with ThreadPoolExecutor(max_workers=min(concurrency, len(items))) as pool:
+            for future in [pool.submit(write, item) for item in items]:
+                future.result()
+
     def mark(self, version: str, n_tables: int) -> None:
         """Make a staged version visible (append-only marker, never overwritten)."""
         marker = self.spark.createDataFrame([(version, n_tables)], "version string, tables int")
