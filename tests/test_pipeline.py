@@ -166,3 +166,21 @@ def test_company_history_is_append_only(spark):
     cur = wh.table("companydim_current").filter(F.col("cik") == str(some_cik)).first()
     assert cur["name"] == "Renamed Co"
     assert wh.table("factfinancials").filter(F.col("company_id") == cur["id"]).count() > 0
+
+
+def test_failed_table_write_publishes_nothing(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-wh-fail-"))
+    ok = spark.range(3).withColumnRenamed("id", "x")
+    v1 = wh.publish({"a": ok})
+    bad = spark.range(3).select(F.lit("not a number").cast("int").alias("x"))  # fails at run time
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        with pytest.raises(Exception):
+            wh.publish({"a": ok, "b": bad, "c": ok})
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
+    assert wh.current_version() == v1
+    assert wh.table("a").count() == 3
