@@ -16,11 +16,15 @@ KEY_FROM_PATH = r"([^/]+)\.[^./]+$"
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*",
-                   key: str = "doc_key") -> DataFrame:
-    """(key, path, content) per file; key = file name without its extension."""
+                   key: str = "doc_key", ordered: bool = False) -> DataFrame:
+    """(key, path, content) per file; key = file name without its extension.
+
+    ``ordered`` sorts by key (T6), for outputs that need the sorted listing;
+    reading and joining need no order."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", True).load(folder))
-    return files.select(F.regexp_extract("path", KEY_FROM_PATH, 1).alias(key), "path", "content")
+    out = files.select(F.regexp_extract("path", KEY_FROM_PATH, 1).alias(key), "path", "content")
+    return out.orderBy(key) if ordered else out
 
 
 def document_texts(docs: DataFrame, key: str = "doc_key", out: str = "extracted_text",

@@ -73,6 +73,10 @@ def test_read_documents_key_from_name(spark):
         fh.write("<html><body>Annual  report</body></html>")
     got = rows(document_texts(read_documents(spark, d)))
     assert got == [("0000320193-23-000106", "Annual report")]
+    with open(f"{d}/0000000001-23-000001.html", "w") as fh:
+        fh.write("<p>first</p>")
+    keys = [r["doc_key"] for r in read_documents(spark, d, ordered=True).collect()]
+    assert keys == ["0000000001-23-000001", "0000320193-23-000106"]
 
 
 def test_detect_delimiter():
