@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.session import fresh_path
@@ -55,7 +56,7 @@ def row_slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[p
     if pa.types.is_null(arr.type):
         yield batch
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(arr), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(arr), 0), dtype=np.int64)
     block = np.cumsum(sizes) // max_bytes
     cuts = np.flatnonzero(np.diff(block)) + 1
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
@@ -64,7 +65,7 @@ def row_slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[p
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(uint8 buffer, int64 offsets of n+1 rows) of a string column; null: empty."""
-    arr = pa.compute.fill_null(arr.cast(pa.large_string()), "")
+    arr = pc.fill_null(arr.cast(pa.large_string()), "")
     arr = pa.concat_arrays([arr])
     offsets = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset:arr.offset + len(arr) + 1]
     data = arr.buffers()[2]
