@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import (decontam, license_scan, packing, quality_rules, simhash, url_filter,
-                            warc)
+from ledgerline.llm import (decontam, license_scan, packing, quality_rules, simhash, suffix_dedup,
+                            url_filter, warc)
 from ledgerline.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), with_ids=False)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.per_document(license_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
