@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import (decontam, license_scan, packing, quality_rules, simhash, suffix_dedup,
-                            url_filter, warc)
+from ledgerline.llm import (chat, decontam, license_scan, packing, quality_rules, simhash,
+                            suffix_dedup, toxicity, url_filter, warc)
 from ledgerline.llm.common import table
 
 
@@ -30,6 +30,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: The contract's extra conversation, whose texts hold control strings.
+CONTROL = ((-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    extra = spark.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string")
+    found, nodes = chat.format_conversations(
+        turns.select("conv_id", "turn", "role", "text").unionByName(extra))
+    return chat.digests(chat.read_back(found, nodes))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -58,13 +70,19 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
+    "op10_toxicity": op10_toxicity,
 }
