@@ -29,6 +29,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def text_hash(text: Column) -> Column:
+    """Tells rows apart that share an id; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again.
 

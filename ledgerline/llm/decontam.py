@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import row_slices, text_bytes, written
+from ledgerline.llm.common import row_slices, text_bytes, text_hash, written
 
 WINDOW = 10
 SHINGLE = 3
@@ -252,7 +252,7 @@ def _scan(docs: DataFrame, bitmaps: dict[int, np.ndarray], least: dict[int, int]
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                         F.xxhash64(text).alias("text_hash"), text.alias("text"))
+                         text_hash(text).alias("text_hash"), text.alias("text"))
     return source.mapInArrow(run, SCAN)
 
 
@@ -352,3 +352,12 @@ def judge(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
                 F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                 F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
                 (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """``docs`` (columns doc_id and text) without the rows that hold a benchmark window."""
+    _, hits = occurrences(docs, items, **options)
+    bad = hits.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash"))
+    bad = written(bad.distinct(), "bench-hits")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_hit_id"])
+                     & (text_hash(docs["text"]) == bad["_hit_hash"]), "left_anti")

@@ -36,9 +36,9 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import text_hash, written
 from ledgerline.llm.components import components
 
 SHINGLE = 3
@@ -53,6 +53,8 @@ FINE_BLOCKS = 8
 #: Shingles hashed at once, so a long text needs no more memory than a short one.
 CHUNK = 1 << 16
 PIVOTS = 48
+#: Names from here on stand for fingerprints without any document id.
+NO_ID = 1 << 62
 
 
 # --- fingerprints -------------------------------------------------------------------
@@ -75,17 +77,20 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  size: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long) per row."""
+    """doc_id, text_hash, fp (the fingerprint's bits as a signed long) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.fromiter(
                 (fingerprint(x.as_buffer().to_pybytes(), size) if x.is_valid else 0
-                 for x in batch.column(1)), np.uint64, batch.num_rows)
+                 for x in batch.column(2)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+                [batch.column(0), batch.column(1), pa.array(prints.view(np.int64))],
+                names=["doc_id", "text_hash", "fp"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                         text_hash(F.col(text_col)).alias("text_hash"),
+                         F.col(text_col).alias("text"))
+    return source.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 # --- meeting places -------------------------------------------------------------------
@@ -211,14 +216,16 @@ def _links(met: DataFrame, max_bits: int) -> DataFrame:
 
 
 def link(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """fp, node, root: every distinct fingerprint with its smallest document (``node``)
-    and the smallest document its component reaches (``root``)."""
+    """fp, node, root: each distinct fingerprint's own name and its component's.
+
+    A name is the smallest document id; a fingerprint, or component, of null ids
+    alone has a name of ``NO_ID`` or more.
+    """
     if max_bits > MAX_BITS:
         raise ValueError(f"the meeting places are built for at most {MAX_BITS} bits")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    # A fingerprint of null ids alone takes part under a name of its own, above all ids.
     named = classes.withColumn("node", F.coalesce(
-        "node", F.lit((1 << 62)) + F.pmod(F.xxhash64("fp"), F.lit(1 << 62))))
+        "node", F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(NO_ID))))
     met = _meet(named)
     crowded = written(met.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"))
                       .filter(F.col("n") > 1), "simhash-places")
@@ -230,8 +237,7 @@ def link(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     links = written(_links(dealt, max_bits).distinct(), "simhash-links")
     found = components(links)
     return (named.join(found, named["node"] == found["node"], "left")
-            .select(named["fp"], F.when(named["node"] < (1 << 62), named["node"]).alias("node"),
-                    F.coalesce("component", named["node"]).alias("root")))
+            .select(named["fp"], named["node"], F.coalesce("component", named["node"]).alias("root")))
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE,
@@ -241,4 +247,26 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
     classes = link(prints, max_bits)
     return (prints.join(classes.select("fp", "root"), "fp", "left")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                    F.when(F.col("root") < (1 << 62), F.col("root")).alias("component_id")))
+                    F.when(F.col("root") < NO_ID, F.col("root")).alias("component_id")))
+
+
+
+def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE) -> DataFrame:
+    """Of each component one row of ``docs`` (columns doc_id and text): that of the smallest id.
+
+    Only ids and hashes travel until the keepers are known; then each text is moved
+    once, to meet its id. Where that id stands on several rows of the component, the
+    one with the smallest hash of its text, then of its row, stays; a component of
+    null ids keeps one row by the same order.
+    """
+    prints = written(fingerprints(docs, size=size), "simhash-prints")
+    roots = link(prints, max_bits).filter(F.col("node") == F.col("root")).select("fp", "root")
+    keepers = (prints.join(roots, "fp").filter(F.coalesce("doc_id", "root") == F.col("root"))
+               .groupBy("root").agg(F.min("text_hash").alias("_keep_hash"),
+                                    F.max("doc_id").alias("_keep_id")).drop("root"))
+    met = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col("_keep_id"))
+                    & (text_hash(docs["text"]) == F.col("_keep_hash")))
+    plain = [docs[c] for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    first = Window.partitionBy("_keep_id", "_keep_hash").orderBy(F.xxhash64(*plain))
+    return (met.withColumn("_keep_rank", F.row_number().over(first)).filter("_keep_rank = 1")
+            .select(*docs.columns))

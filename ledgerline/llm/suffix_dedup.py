@@ -39,9 +39,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerline.llm.common import row_slices, text_bytes, written
+from ledgerline.llm.common import row_slices, text_bytes, text_hash, written
 
 LENGTH = 400
 GRAM = 8
@@ -95,10 +95,12 @@ def spans_of(buf: np.ndarray, offsets: np.ndarray, length: int, reach: int) \
     return doc[first], trigger[first], at[first], at[last]
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.xxhash64(text).alias("text_hash"), text.alias("text"))
+def _source(docs: DataFrame, id_col: str, text_col: str, rest: list[str]) -> DataFrame:
+    """doc_id, text_hash, text and ``rest``: a struct of further columns of ``docs``."""
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.struct(F.lit(True).alias("_row"), *[F.col(f"`{c}`") for c in rest]).alias("rest"))
 
 
 def _parse(source: DataFrame, length: int, reach: int) -> DataFrame:
@@ -128,7 +130,7 @@ def _parse(source: DataFrame, length: int, reach: int) -> DataFrame:
              pa.array((last - base).astype(np.int32))],
             names=["doc_id", "text_hash", "core", "span", "first", "last"])
 
-    return source.mapInArrow(run, "doc_id long, text_hash long, core long, span long, "
+    return source.drop("rest").mapInArrow(run, "doc_id long, text_hash long, core long, span long, "
                                   "first int, last int")
 
 
@@ -202,16 +204,16 @@ RESULT = ("doc_id long, text_hash long, n_bytes long, n_removed long, n_spans lo
 
 
 def _cut(marked: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """``RESULT`` rows of documents with runs, from their full runs and repeated strings."""
-    names = [f.strip().split(" ")[0] for f in RESULT.split(",")]
+    """``RESULT`` and ``rest`` of documents with runs, from full runs and repeated strings."""
+    names = [f.strip().split(" ")[0] for f in RESULT.split(",")] + ["rest"]
     types = [pa.int64()] * 5 + [pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, text_hash, text, runs, at in zip(
+            rows, held, first = [], 0, 0
+            for k, (doc_id, text_hash, text, runs, at) in enumerate(zip(
                     batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                    batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                    batch.column(3).to_pylist(), batch.column(4).to_pylist())):
                 raw = text.as_buffer().to_pybytes()
                 gone = _merged([(r["first"], r["last"] + length) for r in runs
                                 if r["status"] != "edge"] + [(p, p + length) for p in at or ()])
@@ -223,25 +225,29 @@ def _cut(marked: DataFrame, length: int, with_text: bool) -> DataFrame:
                 rows.append((doc_id, text_hash, len(raw), len(raw) - len(left), len(gone),
                              hashlib.sha256(left).hexdigest(), left if with_text else None))
                 held += len(left) if with_text else 100
-                if held > 8_000_000:
-                    yield pack(rows)
-                    rows, held = [], 0
-            if rows:
-                yield pack(rows)
+                if held > 8_000_000 or k == batch.num_rows - 1:
+                    yield pack(rows, batch.column(5).slice(first, len(rows)))
+                    rows, held, first = [], 0, k + 1
 
-    def pack(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+    def pack(rows: list[tuple], rest: pa.Array) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+        return pa.RecordBatch.from_arrays([*columns, rest], names=names)
 
-    return marked.select("doc_id", "text_hash", "text", "runs", "at").mapInArrow(run, RESULT)
+    source = marked.select("doc_id", "text_hash", "text", "runs", "at", "rest")
+    schema = T._parse_datatype_string(RESULT).add("rest", source.schema["rest"].dataType)
+    return source.mapInArrow(run, schema)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, id_col: str = "doc_id",
-            text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """``RESULT`` per row of ``docs``; ``kept`` only ``with_text``."""
+            text_col: str = "text", with_text: bool = False,
+            rest: tuple[str, ...] = ()) -> DataFrame:
+    """``RESULT`` per row of ``docs``, and ``rest``, a struct of the columns named so.
+
+    ``kept``, the remaining bytes, is filled only ``with_text``.
+    """
     if not GRAM <= reach <= length:
         raise ValueError("reach must lie between the rolling hash's size and the length")
-    source = _source(docs, id_col, text_col)
+    source = _source(docs, id_col, text_col, list(rest))
     marks = _marks(written(_parse(source, length, reach), "suffix-parse"))
     per_doc = marks.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
         F.collect_set(F.struct("status", "first", "last")).alias("runs"),
@@ -251,7 +257,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, id_col: s
     joined = written(joined.select(
         "doc_id", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"),
         F.when(whole, F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"),
-        F.when(~whole | F.lit(with_text), F.col("text")).alias("text"), "runs",
+        F.when(~whole | F.lit(with_text), F.col("text")).alias("text"), "runs", "rest",
         F.coalesce("looked_at", F.lit(False)).alias("looked_at")), "suffix-documents")
 
     strings = written(_strings(joined, length), "suffix-strings")
@@ -264,5 +270,32 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, id_col: s
     untouched = joined.filter("runs IS NULL").select(
         "doc_id", "text_hash", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), "kept_sha256",
-        (F.col("text") if with_text else F.lit(None)).cast("binary").alias("kept"))
+        (F.col("text") if with_text else F.lit(None)).cast("binary").alias("kept"), "rest")
     return cut.unionByName(untouched)
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` (columns doc_id and text) without the repeated bytes.
+
+    A character of which a byte goes, goes whole. ``n_chars``, where there is such a
+    column, is counted again for rows that lose something; null texts stay null.
+    """
+    others = tuple(c for c in docs.columns if c != "text")
+    spare = docs.filter("text IS NULL")
+    found = repeats(docs.filter("text IS NOT NULL"), length, with_text=True, rest=others)
+    # Cuts inside a character leave some of its bytes, which are not UTF-8 any more.
+    text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")) \
+        .otherwise(F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"),
+                             F.lit("")))
+    cut = found.select(F.col("n_removed"), text.alias("_text"), "rest")
+    columns = []
+    for c in docs.columns:
+        if c == "text":
+            columns.append(F.col("_text").alias(c))
+        elif c == "n_chars":
+            columns.append(F.when(F.col("n_removed") > 0, F.length("_text"))
+                           .otherwise(F.col("rest").getField(c))
+                           .cast(docs.schema[c].dataType).alias(c))
+        else:
+            columns.append(F.col("rest").getField(c).alias(c))
+    return cut.select(*columns).unionByName(spare)
