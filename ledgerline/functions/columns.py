@@ -20,11 +20,6 @@ DATE_KEY_FORMAT = "yyyyMMdd"
 
 
 # --- column names (P3, P4) ---------------------------------------------------
-def trim_headers(df: DataFrame) -> DataFrame:
-    """Strip blanks around column names (CSV headers keep them)."""
-    return df.toDF(*[c.strip() for c in df.columns])
-
-
 def standard_name(name: str) -> str:
     """strip -> blanks to '_' -> drop '.' -> lower, in that order."""
     return name.strip().replace(" ", "_").replace(".", "").lower()

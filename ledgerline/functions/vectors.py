@@ -45,3 +45,15 @@ def cosine_distance(a: Column | str, b: Column | str, b_norm: Column | None = No
     ``b_norm``: the norm of ``b`` when it is a constant (a literal query)."""
     denom = norm(a) * (b_norm if b_norm is not None else norm(b))
     return F.when(denom > 0, F.lit(1.0) - dot(a, b) / denom)
+
+
+#: Distances closer than this many decimals count as equal when ranking: the last bits
+#: of a float sum depend on the order of its terms, which no shuffle fixes.
+TIE_DIGITS = 12
+
+
+def ranking(distance: Column | str, *then: Column | str) -> list[Column]:
+    """Order of search results: nearest first, then by ``then``; no distance comes last."""
+    c = F.col(distance) if isinstance(distance, str) else distance
+    return [F.asc_nulls_last(F.round(c, TIE_DIGITS)),
+            *[F.col(t) if isinstance(t, str) else t for t in then]]

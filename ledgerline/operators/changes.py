@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CHANGE_FIELDS
@@ -66,20 +66,43 @@ def get_rows(raw: DataFrame, keys: DataFrame, key: str = KEY,
     return out.withColumn("found", F.coalesce("found", F.lit(False)))
 
 
+def merge_updates(updates: DataFrame, order_col: str, key: str = KEY,
+                  fields: Sequence[str] = CHANGE_FIELDS,
+                  set_col: str = "set_fields") -> DataFrame:
+    """One update per key, field by field: a field's value is the one that was set last.
+
+    As if the updates had been applied one after the other by ``order_col``. Equal
+    orders are settled by the value, so the result never depends on row order. A
+    grouped maximum per field: combined before the shuffle, whatever a key's share.
+    """
+    def last(field: str) -> tuple[Column, Column]:
+        is_set = F.array_contains(F.col(set_col), F.lit(field))
+        at = F.when(is_set, F.struct(F.col(order_col).alias("at"), F.col(field).alias("v")))
+        return F.max(at)["v"].alias(field), F.max(F.coalesce(is_set, F.lit(False))).alias(
+            f"_set_{field}")
+
+    merged = updates.groupBy(key).agg(*[c for f in fields for c in last(f)])
+    set_now = F.filter(F.array(*[F.when(F.col(f"_set_{f}"), F.lit(f)) for f in fields]),
+                       lambda f: f.isNotNull())
+    return merged.select(key, *fields, set_now.alias(set_col))
+
+
 def apply_updates(raw: DataFrame, updates: DataFrame, key: str = KEY,
                   fields: Sequence[str] = CHANGE_FIELDS, set_col: str = "set_fields",
-                  order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """M4: partial update. ``updates`` holds the key, new values and an
-    ``array<string>`` of the fields actually set, so "set to null" differs from
-    "not set". One update per key: the first by ``order_col``, or by the
-    update's own values when no order is given, so a repeated key can never
-    multiply table rows.
+                  order_col: str = "update_no") -> tuple[DataFrame, DataFrame]:
+    """M4: partial updates. ``updates`` holds the key, new values, an
+    ``array<string>`` of the fields actually set (so "set to null" differs from "not
+    set") and the order in which they were made. Updates of one key are merged in
+    that order, none is lost, and a repeated key never multiplies table rows.
+
+    The key must be unique in ``raw`` (check with ``quality.duplicate_keys``); all
+    rows of a repeated key would be updated.
 
     Returns (next table, update keys not found).
     """
-    order = [order_col] if order_col is not None else [
-        F.col(set_col).cast("string"), *[F.col(f) for f in fields]]
-    updates = keep_first(updates, [key], order)
+    if order_col not in updates.columns:
+        raise ValueError(f"updates need an order column {order_col!r}")
+    updates = merge_updates(updates, order_col, key, fields, set_col)
     upd = updates.select(key, set_col, *[F.col(f).alias(f"_new_{f}") for f in fields])
     joined = raw.join(upd, key, "left")
     out_cols = []

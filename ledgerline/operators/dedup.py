@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
-    """One row per key: the first by ``order_by`` (ties broken by the caller)."""
+    """One row per key: the first by ``order_by``, which must settle every tie."""
     w = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 

@@ -83,10 +83,15 @@ def scd2_changes(dim: DataFrame, incoming: DataFrame, batch_ts: str, key: str =
     old_expired = F.struct(
         F.col("id"), F.col(key), *[F.col(f"old_{x}").alias(x) for x in tracked],
         F.col("valid_from"), ts.alias("valid_to"), F.lit(False).alias("is_current"))
+    # Two versions of a key need two instants: else they share an id, and the older
+    # one ends before it begins. Such a batch fails here, before anything is marked.
+    begins = F.when(F.col("valid_from") >= ts, F.raise_error(F.concat(
+        F.lit(f"batch time {batch_ts} is not later than the current version of {key} "),
+        F.col(key).cast("string"))).cast("timestamp")).otherwise(ts)
     new = F.struct(
         surrogate_key(F.col(key), ts).alias("id"), F.col(key),
         *[F.col(f"new_{x}").alias(x) for x in tracked],
-        ts.alias("valid_from"), open_end().alias("valid_to"), F.lit(True).alias("is_current"))
+        begins.alias("valid_from"), open_end().alias("valid_to"), F.lit(True).alias("is_current"))
     kind = F.col("change_kind")
     current = c.select(F.inline(
         F.when(kind.isin("new", "changed"), F.array(new)).otherwise(F.array(old_current))))
@@ -114,11 +119,12 @@ def scd2_initial(incoming: DataFrame, valid_from: str, key: str = "cik",
 
 
 def company_source(sub: DataFrame, order_by: Sequence[str] = ("adsh",)) -> DataFrame:
-    """One row per cik from the filings (keep-first by filing key), cik as text."""
+    """One row per cik from the filings (keep-first by filing key, then by the values
+    themselves, so a repeated filing key can't make a false change), cik as text."""
     rows = sub.select(F.col("cik").cast("string").alias("cik"), "name",
                       F.col("sic").cast("string").alias("sic"), *order_by)
-    return keep_first(rows.filter(F.col("cik").isNotNull()), ["cik"], list(order_by)).select(
-        "cik", "name", "sic")
+    return keep_first(rows.filter(F.col("cik").isNotNull()), ["cik"],
+                      [*order_by, "name", "sic"]).select("cik", "name", "sic")
 
 
 # --- W2: insert-only dimensions -------------------------------------------------
@@ -146,7 +152,8 @@ def filing_source(sub: DataFrame, order_by: Sequence[str] = ("form", "cik")) ->
 
 def tag_source(tag: DataFrame) -> DataFrame:
     """One row per tag name, the first by tag_id (live key: tag alone)."""
-    rows = keep_first(tag.filter(F.col("tag").isNotNull()), ["tag"], ["tag_id"])
+    rows = keep_first(tag.filter(F.col("tag").isNotNull()), ["tag"],
+                      ["tag_id", "version", "custom", "label"])
     return rows.select("tag", "version", "custom", "label")
 
 
@@ -185,7 +192,10 @@ def calendar_from(df: DataFrame, col: str) -> DataFrame:
 
 def metric_dim(tag: DataFrame, optional: Sequence[str] = ("tlabel", "datatype", "iord")) -> DataFrame:
     """Keep-first by (tag, version); optional columns are null when absent."""
-    rows = keep_first(tag, ["tag", "version"], ["tag_id"] if "tag_id" in tag.columns else ["tag"])
+    order = ["tag_id"] if "tag_id" in tag.columns else []
+    rows = keep_first(tag, ["tag", "version"],
+                      [*order, *[c for c in tag.columns if c not in ("tag", "version", "tag_id")]]
+                      or ["tag"])
     return rows.select("tag", "version", *[optional_column(rows, c) for c in optional])
 
 

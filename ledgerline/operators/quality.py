@@ -28,6 +28,34 @@ def null_counts(df: DataFrame, table: str, columns: Sequence[str] | None = None)
                        F.col("_rows").cast("long").alias("row_count"))
 
 
+class CheckFailed(ValueError):
+    """A constraint does not hold; nothing has been published."""
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], table: str) -> None:
+    """Q1 as a gate: raises if a key occurs twice (one emptiness probe)."""
+    bad = duplicate_keys(df, keys).first()
+    if bad is not None:
+        raise CheckFailed(f"{table}: {', '.join(f'{k}={bad[k]!r}' for k in keys)} "
+                          f"occurs {bad['n']} times")
+
+
+def require_not_null(df: DataFrame, columns: Sequence[str], table: str) -> None:
+    """Q2 as a gate: raises if a column that must not be null is (one emptiness probe)."""
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    if not df.filter(missing).isEmpty():
+        raise CheckFailed(f"{table}: null in one of {', '.join(columns)}")
+
+
+def require_no_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, table: str) -> None:
+    """Q3 as a gate: raises if a foreign key has no parent (distinct keys meet, not rows)."""
+    keys = child.select(F.col(fk).alias("_fk")).distinct().dropna()
+    if not keys.join(parent.select(F.col(pk).alias("_fk")), "_fk", "left_anti").isEmpty():
+        raise CheckFailed(f"{table}.{fk}: a key without a parent row")
+
+
 def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Q3: child rows whose (non-null) foreign key has no parent row."""
     cond = [child[f] == parent[p] for f, p in zip(fk, pk)]
@@ -39,42 +67,22 @@ def orphan_report(checks: Sequence[tuple[str, DataFrame, Sequence[str], DataFram
                   ) -> DataFrame:
     """One row per relation: (relation, orphan_rows, checked_rows).
 
-    Checks on the same child table share one scan of it: the child meets each
-    parent's distinct key set by a left join (dimension-sized, so Spark's
-    size-checked broadcast applies), and one aggregate counts, per relation,
-    the rows with a non-null key and those whose key found no parent.
+    The child is reduced to its distinct key values with counts, one aggregate per
+    relation and combined before the shuffle; only those meet the parent's keys, so
+    neither side is shuffled by rows and a hot key is one row.
     """
-    by_child: dict[int, list] = {}
-    for check in checks:
-        by_child.setdefault(id(check[1]), []).append(check)
     out = None
-    for group in by_child.values():
-        child = group[0][1]
-        keys = sorted({c for _, _, fk, _, _ in group for c in fk})
-        joined = child.select(*keys)
-        aggs = []
-        for i, (name, _, fk, parent, pk) in enumerate(group):
-            hit = f"_hit{i}"
-            parents = parent.select(*[F.col(p).alias(f"_p{i}_{j}") for j, p in enumerate(pk)]) \
-                .distinct().withColumn(hit, F.lit(True))
-            cond = [joined[f] == parents[f"_p{i}_{j}"] for j, f in enumerate(fk)]
-            joined = joined.join(parents, cond, "left").drop(
-                *[f"_p{i}_{j}" for j in range(len(pk))])
-            keyed = F.lit(True)
-            for f in fk:
-                keyed = keyed & F.col(f).isNotNull()
-            aggs.append(F.sum(F.when(keyed & F.col(hit).isNull(), 1).otherwise(0))
-                        .cast("long").alias(f"o{i}"))
-            aggs.append(F.sum(F.when(keyed, 1).otherwise(0)).cast("long").alias(f"c{i}"))
-        wide = joined.agg(*aggs)
-        # one aggregate row -> one report row per relation, without re-reading it
-        report = F.array(*[
-            F.struct(F.lit(name).alias("relation"),
-                     F.coalesce(F.col(f"o{i}"), F.lit(0).cast("long")).alias("orphan_rows"),
-                     F.coalesce(F.col(f"c{i}"), F.lit(0).cast("long")).alias("checked_rows"))
-            for i, (name, *_rest) in enumerate(group)])
-        rows = wide.select(F.inline(report))
-        out = rows if out is None else out.unionByName(rows)
+    for name, child, fk, parent, pk in checks:
+        counted = child.dropna(subset=list(fk)).groupBy(*fk).agg(F.count(F.lit(1)).alias("_n"))
+        parents = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)]) \
+            .distinct().withColumn("_hit", F.lit(True))
+        cond = [counted[f] == parents[f"_p{i}"] for i, f in enumerate(fk)]
+        row = counted.join(parents, cond, "left").agg(
+            F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n")).otherwise(0)), F.lit(0))
+            .cast("long").alias("orphan_rows"),
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("checked_rows"))
+        row = row.select(F.lit(name).alias("relation"), "orphan_rows", "checked_rows")
+        out = row if out is None else out.unionByName(row)
     return out
 
 

@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import join_texts, rounded
-from ..functions.vectors import cosine_distance, literal_norm, vector_literal
-from ..session import spread
+from ..functions.vectors import cosine_distance, literal_norm, ranking, vector_literal
 from .dedup import keep_first
 
 
@@ -25,8 +24,12 @@ def build_corpus(filings: DataFrame, texts: DataFrame, key: str = "adsh",
                  extracted: str = "extracted_pdf_text",
                  order_by: Sequence[str] | None = None) -> DataFrame:
     """V1 before encoding: one row per key (keep-first), texts left-joined,
-    nulls as '' and ``full_text = summary + "\\n\\n" + extracted``."""
-    first = keep_first(filings, [key], list(order_by or [key]))
+    nulls as '' and ``full_text = summary + "\\n\\n" + extracted``.
+
+    "First" is by ``order_by``, then by all other columns, so the row kept never
+    depends on the order in which rows arrive."""
+    first = keep_first(filings, [key], [*(order_by or []),
+                                        *[c for c in filings.columns if c != key]])
     tk = text_key or key
     t = texts.select(F.col(tk).alias("_tk"), F.col(extracted).alias("_extracted"))
     joined = first.join(t, first[key] == t["_tk"], "left")
@@ -63,14 +66,21 @@ def _facet_filter(df: DataFrame, facet: str | None, value) -> DataFrame:
 def knn(corpus: DataFrame, query: Sequence[float], k: int = 10, id_col: str = "id",
         vec_col: str = "embedding", facet: str | None = None, facet_value=None,
         keep: Sequence[str] = (), round_to: int | None = 6) -> DataFrame:
-    """The k nearest rows to one query vector by cosine distance (smaller is nearer)."""
+    """The k nearest rows to one query vector by cosine distance (smaller is nearer).
+
+    Rows are ranked by the distance itself (see ``vectors.ranking``), then by id; only
+    the output is rounded to ``round_to``."""
     dist: Column = cosine_distance(vec_col, vector_literal(query),
                                    b_norm=F.lit(literal_norm(query)))
-    if round_to is not None:
-        dist = rounded(dist, round_to)
-    scored = spread(_facet_filter(corpus, facet, facet_value)).select(
+    scored = _facet_filter(corpus, facet, facet_value).select(
         id_col, *keep, dist.alias("distance"))
-    return scored.orderBy(F.asc_nulls_last("distance"), id_col).limit(k)
+    top = scored.orderBy(*ranking("distance", id_col)).limit(k)
+    return top.withColumn("distance", _shown(round_to))
+
+
+def _shown(round_to: int | None, col: str = "distance") -> Column:
+    """The distance as returned; ranking doesn't use the rounded one."""
+    return F.col(col) if round_to is None else rounded(col, round_to)
 
 
 def knn_per_query(corpus: DataFrame, queries: DataFrame, facet: str, k: int = 10,
@@ -83,13 +93,11 @@ def knn_per_query(corpus: DataFrame, queries: DataFrame, facet: str, k: int = 10
     """
     j = corpus.select(facet, id_col, vec_col).join(
         queries.select(qid, facet, qvec), facet)
-    dist: Column = cosine_distance(vec_col, qvec)
-    if round_to is not None:
-        dist = rounded(dist, round_to)
-    scored = j.select(qid, facet, id_col, dist.alias("distance"))
-    w = Window.partitionBy(qid).orderBy(F.asc_nulls_last("distance"), id_col)
+    scored = j.select(qid, facet, id_col, cosine_distance(vec_col, qvec).alias("distance"))
+    w = Window.partitionBy(qid).orderBy(*ranking("distance", id_col))
     ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select(qid, facet, F.col("rank").cast("long").alias("rank"), id_col, "distance")
+    return ranked.select(qid, facet, F.col("rank").cast("long").alias("rank"), id_col,
+                         _shown(round_to).alias("distance"))
 
 
 def facet_centroids(corpus: DataFrame, facet: str, vec_col: str = "embedding") -> DataFrame:
@@ -104,3 +112,26 @@ def facet_centroids(corpus: DataFrame, facet: str, vec_col: str = "embedding") -
 def facet_counts(corpus: DataFrame, facet: str) -> DataFrame:
     """Rows per facet value."""
     return corpus.groupBy(facet).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- text search as users call it (V2 over V1) -------------------------------------
+def search_corpus(filings: DataFrame, texts: DataFrame, key: str = "adsh",
+                  text_key: str | None = None, **corpus) -> DataFrame:
+    """(id, cik, name, form, full_text): what the search table and its index are built from."""
+    built = build_corpus(filings, texts, key=key, text_key=text_key, **corpus)
+    return built.select(F.col(key).cast("string").alias("id"), F.col("cik").cast("string").alias("cik"),
+                        "name", "form", "full_text")
+
+
+def search_texts(index, documents: DataFrame, queries: DataFrame, k: int = 10,
+                 facet: str = "form", round_to: int | None = 5) -> DataFrame:
+    """(qid, rank, id, cik, name, form, distance): each text query's k nearest documents.
+
+    ``index``: a ``text.TfIdf`` over ``documents`` (key ``id``), built with the facet.
+    ``queries``: qid, text and optionally ``facet``; a null facet searches all
+    documents. Only the k rows per query meet the documents' attributes.
+    """
+    hits = index.search_batch(queries, k=k, facet=facet, round_to=round_to)
+    shown = documents.select("id", "cik", "name", "form")
+    return hits.withColumnRenamed(index.key, "id").join(shown, "id").select(
+        "qid", "rank", "id", "cik", "name", "form", "distance")

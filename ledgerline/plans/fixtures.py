@@ -74,6 +74,11 @@ def raw_batch(t: TableSet) -> DataFrame:
     return adapter.sub(t, with_filed=True, orders=_orders_from(t, BATCH_START))
 
 
+def raw_later(t: TableSet) -> DataFrame:
+    """A batch of new submissions none of which the raw table has."""
+    return adapter.sub(t, with_filed=True, orders=_orders_from(t, FILING_CUTOFF))
+
+
 RAW_COLUMNS = ("adsh", "cik", "name", "form", "sic")
 
 
@@ -84,15 +89,23 @@ def raw_requests(t: TableSet) -> DataFrame:
 
 
 def raw_updates(t: TableSet) -> DataFrame:
-    """Change set from order status: P -> form set to 'AMENDED'; F -> sic set to null."""
-    o = t["orders"].filter(F.col("o_orderstatus").isin("P", "F"))
-    pending = F.col("o_orderstatus") == "P"
-    return o.select(
-        adapter.adsh("o_orderkey").alias("adsh"),
-        F.lit(None).cast("string").alias("name"),
-        F.when(pending, F.lit("AMENDED")).alias("form"),
+    """Change sets from the line items: each line updates its filing, in line order.
+
+    A returned line sets form to 'AMENDED'; an accepted one sets sic to null; any
+    other sets the name to 'LINE <number>'."""
+    flag = F.col("l_returnflag")
+    return t["lineitem"].select(
+        adapter.adsh("l_orderkey").alias("adsh"), F.col("l_linenumber").alias("update_no"),
+        F.concat(F.lit("LINE "), F.col("l_linenumber").cast("string")).alias("name"),
+        F.when(flag == "R", F.concat(F.lit("AMENDED "), F.col("l_linenumber").cast("string")))
+        .alias("form"),
         F.lit(None).cast("string").alias("sic"),
         F.lit(None).cast("string").alias("filing_summary"),
-        F.when(pending, F.array(F.lit("form"))).otherwise(F.array(F.lit("sic")))
-        .alias("set_fields"),
+        F.when(flag == "R", F.array(F.lit("form"))).when(flag == "A", F.array(F.lit("sic")))
+        .otherwise(F.array(F.lit("name"))).alias("set_fields"),
     )
+
+
+def raw_all(t: TableSet) -> DataFrame:
+    """The raw submissions table with every filing."""
+    return adapter.sub(t, with_filed=True)

@@ -64,8 +64,13 @@ _RAW = """
     batch AS (SELECT * FROM sub WHERE filed >= DATE '1997-07-01'),
     req AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh FROM lineitem
             WHERE l_returnflag = 'R'),
-    upd AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh FROM orders
-            WHERE o_orderstatus IN ('P', 'F')),
+    upd AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh FROM lineitem),
+    last AS (SELECT CAST(l_orderkey AS VARCHAR) AS adsh,
+                    max(l_linenumber) FILTER (WHERE l_returnflag = 'R') AS form_at,
+                    coalesce(bool_or(l_returnflag = 'A'), FALSE) AS sic_set,
+                    max(l_linenumber) FILTER (WHERE l_returnflag NOT IN ('A', 'R')) AS name_at
+             FROM lineitem GROUP BY l_orderkey),
+    later AS (SELECT * FROM sub WHERE filed >= DATE '1998-01-01'),
     conflicts AS (
         SELECT adsh, 'exists' AS reason FROM batch WHERE adsh IN (SELECT adsh FROM raw)
         UNION ALL
@@ -104,10 +109,11 @@ _TFIDF = r"""
     per_doc AS (SELECT w.doc_id, sqrt(sum(w.w * w.w)) AS norm, sum(w.w * qw.qw) AS dot,
                        bool_or(qw.qw IS NOT NULL) AS hit
                 FROM w LEFT JOIN qw USING (term) GROUP BY w.doc_id)
-    SELECT doc_id,
-           round(CASE WHEN norm * (SELECT qn FROM qn) > 0
-                      THEN 1 - dot / (norm * (SELECT qn FROM qn)) END, 5) + 0.0 AS distance
-    FROM per_doc WHERE hit
+    SELECT doc_id, round(d, 5) + 0.0 AS distance
+    FROM (SELECT doc_id, CASE WHEN norm * (SELECT qn FROM qn) > 0
+                      THEN 1 - dot / (norm * (SELECT qn FROM qn)) END AS d
+          FROM per_doc WHERE hit)
+    ORDER BY round(d, 12) NULLS LAST, doc_id LIMIT 10
 """
 
 _BUCKET = "CAST(CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 256 AS INTEGER)"
@@ -132,12 +138,11 @@ _DOC_VECTORS = r"""
     qn AS (SELECT sqrt(sum(qv * qv)) AS qn FROM qb),
     dn AS (SELECT doc_id, sqrt(sum(v * v)) AS dn FROM b GROUP BY doc_id),
     dot AS (SELECT b.doc_id, sum(b.v * qb.qv) AS dot FROM b JOIN qb USING (bucket) GROUP BY b.doc_id)
-    SELECT dn.doc_id,
-           round(CASE WHEN dn.dn * (SELECT qn FROM qn) > 0
-                      THEN 1 - coalesce(dot.dot, 0) / (dn.dn * (SELECT qn FROM qn)) END, 6) + 0.0
-               AS distance
-    FROM dn LEFT JOIN dot USING (doc_id)
-    ORDER BY distance NULLS LAST, doc_id LIMIT 10
+    SELECT doc_id, round(d, 6) + 0.0 AS distance
+    FROM (SELECT dn.doc_id, CASE WHEN dn.dn * (SELECT qn FROM qn) > 0
+                      THEN 1 - coalesce(dot.dot, 0) / (dn.dn * (SELECT qn FROM qn)) END AS d
+          FROM dn LEFT JOIN dot USING (doc_id)) x
+    ORDER BY round(d, 12) NULLS LAST, doc_id LIMIT 10
 """.replace("PAGE_TEXT", _PAGE_TEXT).replace("BUCKET", _BUCKET)
 
 ORACLE_SQL = {
@@ -291,7 +296,7 @@ ORACLE_SQL = {
     """,
     "raw_page": f"""
         WITH {_RAW}
-        SELECT adsh, cik, name, form, sic FROM raw ORDER BY adsh LIMIT 100 OFFSET 100
+        SELECT adsh, cik, name, form, sic FROM sub ORDER BY adsh LIMIT 100 OFFSET 100
     """,
     "raw_get": f"""
         WITH {_RAW}
@@ -300,14 +305,15 @@ ORACLE_SQL = {
     """,
     "raw_update": f"""
         WITH {_RAW}
-        SELECT adsh, cik, name,
-               CASE WHEN status = 'P' THEN 'AMENDED' ELSE form END AS form,
-               CASE WHEN status = 'F' THEN NULL ELSE sic END AS sic
-        FROM raw
+        SELECT sub.adsh, cik,
+               CASE WHEN name_at IS NOT NULL THEN 'LINE ' || name_at ELSE name END AS name,
+               CASE WHEN form_at IS NOT NULL THEN 'AMENDED ' || form_at ELSE form END AS form,
+               CASE WHEN sic_set THEN NULL ELSE sic END AS sic
+        FROM sub LEFT JOIN last USING (adsh)
     """,
     "raw_delete": f"""
         WITH {_RAW}
-        SELECT adsh, cik, name, form, sic FROM raw WHERE adsh NOT IN (SELECT adsh FROM req)
+        SELECT adsh, cik, name, form, sic FROM sub WHERE adsh NOT IN (SELECT adsh FROM req)
     """,
     "raw_not_found": f"""
         WITH {_RAW}
@@ -326,26 +332,27 @@ ORACLE_SQL = {
     """,
     "knn_all": f"""
         WITH {_PROBE}
-        SELECT vec_id, label, round({_cosine("e.embedding", "probe.qv")}, 6) + 0.0 AS distance
-        FROM embeddings e, probe
-        ORDER BY distance NULLS LAST, vec_id LIMIT 10
+        SELECT vec_id, label, round(d, 6) + 0.0 AS distance
+        FROM (SELECT vec_id, label, {_cosine("e.embedding", "probe.qv")} AS d
+              FROM embeddings e, probe ORDER BY round(d, 12) NULLS LAST, vec_id LIMIT 10)
     """,
     "knn_filtered": f"""
         WITH {_PROBE}
-        SELECT vec_id, label, round({_cosine("e.embedding", "probe.qv")}, 6) + 0.0 AS distance
-        FROM embeddings e, probe WHERE e.label = probe.ql
-        ORDER BY distance NULLS LAST, vec_id LIMIT 10
+        SELECT vec_id, label, round(d, 6) + 0.0 AS distance
+        FROM (SELECT vec_id, label, {_cosine("e.embedding", "probe.qv")} AS d
+              FROM embeddings e, probe WHERE e.label = probe.ql
+              ORDER BY round(d, 12) NULLS LAST, vec_id LIMIT 10)
     """,
     "knn_batch": f"""
         WITH x AS (SELECT label, unnest(range(1, len(embedding) + 1)) AS i,
                           unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
         c AS (SELECT label, i, avg(v) AS cv FROM x GROUP BY label, i),
         q AS (SELECT label, list(cv ORDER BY i) AS qv FROM c GROUP BY label),
-        s AS (SELECT e.label, e.vec_id, round({_cosine("e.embedding", "q.qv")}, 6) + 0.0 AS distance
+        s AS (SELECT e.label, e.vec_id, {_cosine("e.embedding", "q.qv")} AS d
               FROM embeddings e JOIN q ON e.label = q.label),
         r AS (SELECT *, row_number() OVER (PARTITION BY label
-                                           ORDER BY distance NULLS LAST, vec_id) AS rank FROM s)
-        SELECT label, rank, vec_id, distance FROM r WHERE rank <= 10
+                                           ORDER BY round(d, 12) NULLS LAST, vec_id) AS rank FROM s)
+        SELECT label, rank, vec_id, round(d, 6) + 0.0 AS distance FROM r WHERE rank <= 10
     """,
     "vector_length_check": """
         SELECT coalesce(len(embedding) = 64, FALSE) AS valid, count(*) AS n
@@ -368,3 +375,107 @@ ORACLE_SQL = {
     """,
 }
 ORACLE_SQL["gold_company_totals"] = ORACLE_SQL["star_company_totals"]
+ORACLE_SQL["fact_star_ids"] = ORACLE_SQL["fact_star"]
+ORACLE_SQL["raw_create_accepted"] = f"""
+    WITH {_RAW}
+    SELECT adsh, cik, name, form, sic FROM raw
+    UNION ALL
+    SELECT adsh, cik, name, form, sic FROM later
+"""
+ORACLE_SQL["gold_two_loads"] = f"""
+    WITH {_STAR_INPUTS},
+    pre AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh, l_partkey AS tag_id,
+                   l_returnflag AS stmt FROM lineitem),
+    facts AS (SELECT s.cik, count(*) AS facts
+              FROM num n JOIN pre ON n.adsh = pre.adsh AND n.tag_id = pre.tag_id
+              JOIN sub s ON s.adsh = n.adsh JOIN part p ON p.p_partkey = n.tag_id
+              WHERE p.p_name IS NOT NULL AND n.ddate IS NOT NULL AND pre.stmt IS NOT NULL
+              GROUP BY s.cik),
+    company AS (SELECT CAST(c_custkey AS VARCHAR) AS cik, c_name AS name, c_mktsegment AS sic,
+                       coalesce(c_acctbal < 0, FALSE) AND c_mktsegment IS DISTINCT FROM 'OLD'
+                           AS changed
+                FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders))
+    SELECT cik, name, CASE WHEN changed THEN 'OLD' ELSE sic END AS sic,
+           '2024-01-01 00:00:00' AS valid_from,
+           CASE WHEN changed THEN '2025-01-01 00:00:00' ELSE '9999-12-31 00:00:00' END AS valid_to,
+           NOT changed AS is_current,
+           CAST(CASE WHEN changed THEN 0 ELSE coalesce(facts, 0) END AS BIGINT) AS facts
+    FROM company LEFT JOIN facts USING (cik)
+    UNION ALL
+    SELECT cik, name, sic, '2025-01-01 00:00:00', '9999-12-31 00:00:00', TRUE,
+           CAST(coalesce(facts, 0) AS BIGINT)
+    FROM company LEFT JOIN facts USING (cik) WHERE changed
+"""
+ORACLE_SQL["bronze_to_silver"] = """
+    SELECT l_orderkey * 10 + l_linenumber AS num_id,
+           CASE WHEN l_linenumber < 6 AND l_shipdate IS NOT NULL
+                THEN CAST(l_orderkey AS VARCHAR) END AS adsh,
+           CASE WHEN l_linenumber < 6 AND l_shipdate IS NOT NULL THEN l_partkey END AS tag_id,
+           CASE WHEN l_linenumber < 6 AND l_shipdate IS NOT NULL THEN 'us-gaap/2023' END AS version,
+           CASE WHEN l_linenumber < 6 THEN CAST(l_shipdate AS DATE) END AS ddate,
+           CASE WHEN l_linenumber < 6 AND l_shipdate IS NOT NULL THEN l_linenumber END AS qtrs,
+           CASE WHEN l_linenumber < 6 AND l_shipdate IS NOT NULL THEN l_extendedprice END AS value,
+           CASE WHEN l_linenumber = 7 THEN 'ddate does not parse as yyyyMMdd'
+                WHEN l_linenumber = 6 OR l_shipdate IS NULL THEN 'ddate is missing' END AS reason
+    FROM lineitem
+"""
+ORACLE_SQL["silver_filings"] = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS adsh, o_custkey AS cik, c_name AS name,
+           o_orderpriority AS form, c_mktsegment AS sic,
+           'Summary of "' || c_name || '",' || chr(10) || 'form ' || o_orderpriority
+               AS filing_summary
+    FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+ORACLE_SQL["load_report"] = f"""
+    WITH {_STAR_INPUTS},
+    pre AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS adsh, l_partkey AS tag_id,
+                   l_returnflag AS stmt FROM lineitem)
+    SELECT 'companydim_current' AS table_name, count(DISTINCT cik) AS rows FROM sub
+    UNION ALL SELECT 'companydim_history', 0
+    UNION ALL SELECT 'filingdim', count(DISTINCT adsh) FROM sub
+    UNION ALL SELECT 'tagdim', count(DISTINCT p_name) FROM part
+    UNION ALL SELECT 'datedim', count(DISTINCT ddate) FROM num
+    UNION ALL SELECT 'statementdim', count(DISTINCT stmt) FROM pre
+    UNION ALL SELECT 'factfinancials', count(*)
+    FROM num n JOIN pre ON n.adsh = pre.adsh AND n.tag_id = pre.tag_id
+    JOIN sub s ON s.adsh = n.adsh JOIN part p ON p.p_partkey = n.tag_id
+    WHERE p.p_name IS NOT NULL AND n.ddate IS NOT NULL AND pre.stmt IS NOT NULL
+"""
+ORACLE_SQL["import_failures"] = """
+    SELECT vec_id, label, CAST(least(len(embedding), 8) AS INTEGER) AS length FROM embeddings
+    WHERE label = 0 OR len(embedding) <> 64 ORDER BY vec_id LIMIT 5
+"""
+_SEARCH = r"""
+    WITH pt AS (SELECT page_id, coalesce(PAGE_TEXT, '') AS t FROM pages),
+    corpus AS (SELECT d.doc_id, d.lang AS form, d.source AS name,
+                      coalesce(d.text, '') || chr(10) || chr(10) || coalesce(pt.t, '') AS full_text
+               FROM documents d LEFT JOIN pt ON d.doc_id = pt.page_id),
+    q AS (QUERIES),
+    toks AS (SELECT doc_id, unnest(string_split_regex(lower(full_text), '\s+')) AS term FROM corpus),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term <> '' GROUP BY doc_id, term),
+    n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM corpus),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((SELECT n FROM n) / df.df) AS w
+          FROM tf JOIN df USING (term)),
+    norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id),
+    qtok AS (SELECT qid, unnest(string_split_regex(lower(text), '\s+')) AS term FROM q),
+    qt AS (SELECT qid, term, count(*) AS tf FROM qtok WHERE term <> '' GROUP BY qid, term),
+    qw AS (SELECT qt.qid, qt.term, qt.tf * ln((SELECT n FROM n) / df.df) AS qw
+           FROM qt JOIN df USING (term)),
+    qn AS (SELECT qid, sqrt(sum(qw * qw)) AS qn FROM qw GROUP BY qid),
+    dot AS (SELECT qw.qid, w.doc_id, sum(w.w * qw.qw) AS dot FROM w JOIN qw USING (term)
+            GROUP BY qw.qid, w.doc_id),
+    s AS (SELECT dot.qid, doc_id, CASE WHEN norm * qn > 0 THEN 1 - dot / (norm * qn) END AS d
+          FROM dot JOIN norm USING (doc_id) JOIN qn USING (qid)),
+    r AS (SELECT s.*, row_number() OVER (PARTITION BY s.qid ORDER BY round(d, 12) NULLS LAST,
+                                         CAST(s.doc_id AS VARCHAR)) AS rank
+          FROM s JOIN corpus USING (doc_id) JOIN q ON q.qid = s.qid
+          WHERE q.form IS NULL OR q.form = corpus.form)
+    SELECT COLUMNS CAST(doc_id AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS cik,
+           corpus.name, corpus.form, round(d, 5) + 0.0 AS distance
+    FROM r JOIN corpus USING (doc_id) WHERE rank <= 10
+""".replace("PAGE_TEXT", _PAGE_TEXT)
+ORACLE_SQL["search_filtered"] = _SEARCH.replace("COLUMNS", "").replace(
+    "QUERIES", "SELECT 0 AS qid, text, 'en' AS form FROM benchmark ORDER BY item_id LIMIT 1")
+ORACLE_SQL["search_batch"] = _SEARCH.replace("COLUMNS", "qid, rank,").replace(
+    "QUERIES", "SELECT item_id AS qid, text, NULL AS form FROM benchmark")

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_date_int
-from ..operators.quality import load_stats
+from ..operators.quality import (load_stats, require_no_orphans, require_not_null,
+                                 require_unique)
 from ..operators.text import extract_texts
-from ..schemas import BRONZE, GOLD
+from ..schemas import BRONZE, GOLD, REQUIRED
 from ..sources.delimited import read_csv
 from ..sources.documents import document_texts, read_documents
 from ..sources.sinks import Warehouse, new_version
-from ..operators import dimensions as D
 from . import star
 
 SILVER_TABLES = ("sub", "num", "pre", "tag")
@@ -36,28 +36,51 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
 
 
+REJECTS = "table string, reason string, record string"
+
+
+def _as_json(df: DataFrame) -> F.Column:
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+
 def build_silver(spark: SparkSession, bronze_dir: str, documents_dir: str | None = None,
-                     doc_glob: str = "*") -> tuple[dict[str, DataFrame], DataFrame]:
-    """Read the four bronze CSVs with their schemas, attach document text to
-    ``sub`` (left join on adsh), parse ``num.ddate`` leniently.
+                 doc_glob: str = "*") -> tuple[dict[str, DataFrame], DataFrame]:
+    """Read the four bronze CSVs by column name, attach document text to ``sub`` (left
+    join on adsh), turn ``num.ddate`` into a date where the column is there.
 
-    Returns (silver tables, rejected num rows whose ddate did not parse).
+    Returns (silver tables, rejects): table, reason and record of lines that don't
+    fit their columns and of facts whose date is missing or doesn't parse.
     """
-    t = {name: read_csv(spark, f"{bronze_dir}/{name}.csv", schema)
-         for name, schema in BRONZE.items()}
-    sub = t["sub"]
+    reads = {name: read_csv(spark, f"{bronze_dir}/{name}.csv", schema, multi_line=name == "sub",
+                            required=REQUIRED[name]) for name, schema in BRONZE.items()}
+    rejects = None
+    for name, read in reads.items():
+        bad = read.rejects.select(F.lit(name).alias("table"), "reason", "record")
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    sub = reads["sub"].table
     if documents_dir is not None:
         texts = document_texts(read_documents(spark, documents_dir, doc_glob, key="adsh"),
                                key="adsh", out="extracted_pdf_text", html=True)
         sub = sub.join(texts, "adsh", "left")
     else:
         sub = sub.withColumn("extracted_pdf_text", F.lit(None).cast("string"))
-    num = t["num"].withColumn("ddate_raw", F.col("ddate")).withColumn(
-        "ddate", parse_date_int("ddate"))
-    rejects = num.filter(F.col("ddate").isNull())
-    silver = {"sub": sub, "num": num.filter(F.col("ddate").isNotNull()).drop("ddate_raw"),
-              "pre": t["pre"], "tag": t["tag"]}
-    return silver, rejects
+    num, undated = split_dates(reads["num"].table)
+    rejects = rejects.unionByName(undated)
+    return {"sub": sub, "num": num, "pre": reads["pre"].table, "tag": reads["tag"].table}, rejects
+
+
+def split_dates(num: DataFrame, col: str = "ddate") -> tuple[DataFrame, DataFrame]:
+    """(rows with ``col`` as a date, rejects) (F1); P12: without the column, all rows
+    pass as they are."""
+    if col not in num.columns:
+        return num, num.sparkSession.createDataFrame([], REJECTS)
+    dated = num.withColumn("_date", parse_date_int(F.trim(F.col(col).cast("string"))))
+    reason = F.when(F.col(col).isNull(), F.lit(f"{col} is missing")).otherwise(
+        F.lit(f"{col} does not parse as yyyyMMdd"))
+    rejects = dated.filter("_date IS NULL").select(
+        F.lit("num").alias("table"), reason.alias("reason"), _as_json(num).alias("record"))
+    good = dated.filter("_date IS NOT NULL").withColumn(col, F.col("_date")).drop("_date")
+    return good, rejects
 
 
 def silver_from_pages(silver: dict[str, DataFrame], pages: DataFrame) -> dict[str, DataFrame]:
@@ -70,8 +93,13 @@ def silver_from_pages(silver: dict[str, DataFrame], pages: DataFrame) -> dict[st
     return out
 
 
-def publish_silver(wh: Warehouse, silver: dict[str, DataFrame]) -> str:
-    return wh.publish({n: silver[n] for n in SILVER_TABLES})
+def publish_silver(wh: Warehouse, silver: dict[str, DataFrame],
+                   rejects: DataFrame | None = None) -> str:
+    """A new version of the silver tables (and the rejects, if given)."""
+    tables = {n: silver[n] for n in SILVER_TABLES}
+    if rejects is not None:
+        tables["rejects"] = rejects
+    return wh.publish(tables)
 
 
 def gold_warehouse(spark: SparkSession, root: str) -> Warehouse:
@@ -84,16 +112,42 @@ def gold_warehouse(spark: SparkSession, root: str) -> Warehouse:
                      views={"companydim": COMPANY_PARTS})
 
 
+# Natural key of each dimension; with the surrogate id it must be unique.
+NATURAL_KEYS = {"filingdim": "accession_number", "tagdim": "tag", "datedim": "date_key",
+                "statementdim": "statement_code"}
+FACT_PARENTS = {"filing_id": "filingdim", "company_id": "companydim", "tag_id": "tagdim",
+                "date_id": "datedim", "statement_id": "statementdim"}
+
+
+def check_gold(dims: dict[str, DataFrame], fact: DataFrame) -> None:
+    """Q1 to Q3 over the written tables of a version, before it is marked: unique ids and
+    natural keys (a clash of two 64-bit ids is one kind of duplicate), no null
+    keys, and every fact key with its dimension row. Raises ``CheckFailed``."""
+    for name, dim in dims.items():
+        require_not_null(dim, [f.name for f in GOLD[name].fields if not f.nullable], name)
+        require_unique(dim, ["id"], name)
+        if name in NATURAL_KEYS:
+            require_unique(dim, [NATURAL_KEYS[name]], name)
+    require_unique(dims["companydim"].filter("is_current"), ["cik"], "companydim (current)")
+    for fk, parent in FACT_PARENTS.items():
+        require_no_orphans(fact, fk, dims[parent], "id", "factfinancials")
+
+
 def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str,
                  statement_labels: dict[str, str] | None = None) -> RunReport:
     """Apply a silver snapshot to the gold warehouse and publish a new version.
 
-    Dimensions are written first (they are the fact's lookup tables); the fact
+    ``silver`` should be a published silver version: its tables are read several
+    times. Dimensions are written first (they are the fact's lookup tables); the fact
     is then built against the *written* dimensions and reloaded in full. For
     append-only tables only the new rows are written; the company dimension's
-    current versions are a snapshot. The version becomes visible with its
-    marker, after every table is in place.
+    current versions are a snapshot. After every table is in place and the checks
+    hold, the version becomes visible with its marker, as successor of the version
+    that was read.
     """
+    if not {*star.INSERT_ONLY, "companydim_history"} <= gold_wh.append_only:
+        raise ValueError("make the warehouse with gold_warehouse(): the insert-only dimensions "
+                         "and the company history are append-only tables")
     previous = gold_wh.current_version()
     if previous is None:
         existing = {n: gold_wh.spark.createDataFrame([], GOLD[n]) for n in GOLD}
@@ -106,27 +160,24 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
         deltas = {n: first[n] for n in star.INSERT_ONLY}
         deltas["companydim_history"] = first["companydim"].limit(0)
     version = new_version()
-    staged = dict(snapshots)
-    for name, delta in deltas.items():
-        if name in gold_wh.append_only:
-            staged[name] = delta
-        else:  # a warehouse without delta tables: write the whole next table
-            staged[name] = D.append_rows(existing[name], delta)
+    staged = {**snapshots, **deltas}
     observed, obs = {}, {}
     for name, df in staged.items():
         observed[name], obs[name] = load_stats(df, name)
     gold_wh.stage(version, observed, GOLD_PARTITIONS)
     # The fact is built against the dimensions as written, not their lineage;
     # it only looks up current company versions.
-    written = {"companydim": gold_wh.table("companydim_current", version)}
+    current = gold_wh.read_staged("companydim_current", version)
+    history = existing["companydim"].filter("NOT is_current").unionByName(
+        gold_wh.read_delta("companydim_history", version))
+    written = {"companydim": current.unionByName(history)}
     for name in star.INSERT_ONLY:
-        if name in gold_wh.append_only:
-            written[name] = existing[name].unionByName(gold_wh.read_delta(name, version))
-        else:
-            written[name] = gold_wh.table(name, version)
-    fact, fobs = load_stats(star.fact(silver, written), "factfinancials")
+        written[name] = existing[name].unionByName(gold_wh.read_delta(name, version))
+    fact, fobs = load_stats(star.fact(silver, {**written, "companydim": current}),
+                            "factfinancials")
     gold_wh.stage(version, {"factfinancials": fact})
-    gold_wh.mark(version, len(staged) + 1)
+    check_gold(written, gold_wh.read_staged("factfinancials", version))
+    gold_wh.mark(version, len(staged) + 1, previous)
     rows = {n: o.get["rows"] for n, o in obs.items()}
     rows["factfinancials"] = fobs.get["rows"]
     return RunReport(version, rows)

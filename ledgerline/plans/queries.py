@@ -17,9 +17,11 @@ from ..operators import search as S
 from ..operators import text as X
 from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
+from ..operators.facts import natural_fact
 from ..operators.totals import ranked_totals
-from ..session import fresh_path
+from ..session import configure, fresh_path, spread
 from ..sources.delimited import read_delimited
+from ..sources.sinks import Warehouse, write_csv
 from ..sources.tables import read_tables
 from . import adapter, fixtures, pipeline, star
 
@@ -28,7 +30,7 @@ TOTALS_DIGITS = 2  # sums are rounded for comparison across engines
 
 
 def _tables(spark: SparkSession, sf_dir: str):
-    return read_tables(spark, sf_dir)
+    return read_tables(configure(spark), sf_dir)
 
 
 # --- W5 company totals --------------------------------------------------------
@@ -144,18 +146,99 @@ def star_company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                        round_to=TOTALS_DIGITS)
 
 
+def fact_star_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact by its five surrogate ids, joined back through each of them."""
+    silver, dims = _star(spark, sf_dir)
+    return natural_fact(star.fact(silver, dims), dims)
+
+
+def _published_silver(spark: SparkSession, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Silver tables through storage: published to a fresh warehouse and read back."""
+    wh = Warehouse(spark, fresh_path(spark, "silver"))
+    version = pipeline.publish_silver(wh, silver)
+    return wh.tables(pipeline.SILVER_TABLES, version)
+
+
 def gold_company_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W12/W11/W5 through storage: silver (with page text) is published to a
-    fresh gold warehouse in the shared scratch folder by the job runner, and
-    the totals are read back from the published tables."""
-    t = _tables(spark, sf_dir)
-    silver = pipeline.silver_from_pages(adapter.silver(t), t["pages"])
+    """W11/W5 through storage: silver is published, loaded into a fresh gold warehouse
+    in the shared scratch folder, and the totals are read back from there."""
+    silver = _published_silver(spark, adapter.silver(_tables(spark, sf_dir)))
     wh = pipeline.gold_warehouse(spark, fresh_path(spark, "gold"))
     pipeline.publish_gold(silver, wh, fixtures.INITIAL_TS)
     return star_totals(wh.table("factfinancials"), wh.table("companydim"), limit=TOTALS_LIMIT,
                        round_to=TOTALS_DIGITS)
 
 
+def gold_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W11, W1, S9 on a non-empty warehouse: company versions after a second load in which
+    companies with a negative balance have another sic, with each version's facts."""
+    t = _tables(spark, sf_dir)
+    later = _published_silver(spark, adapter.silver(t))
+    old = t["customer"].filter("c_acctbal < 0").select(F.col("c_custkey").alias("cik"))
+    first = dict(later)
+    first["sub"] = later["sub"].join(old.withColumn("_old", F.lit(True)), "cik", "left").withColumn(
+        "sic", F.when(F.col("_old"), F.lit("OLD")).otherwise(F.col("sic"))).drop("_old")
+    wh = pipeline.gold_warehouse(spark, fresh_path(spark, "gold"))
+    pipeline.publish_gold(first, wh, fixtures.INITIAL_TS)
+    pipeline.publish_gold(later, wh, fixtures.BATCH_TS)
+    facts = wh.table("factfinancials").groupBy(F.col("company_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("facts"))
+    return wh.table("companydim").join(facts, "id", "left").select(
+        "cik", "name", "sic", ts_text("valid_from").alias("valid_from"),
+        ts_text("valid_to").alias("valid_to"), "is_current",
+        F.coalesce("facts", F.lit(0)).cast("long").alias("facts"))
+
+
+def _land_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """The driver's tables as bronze CSV folders in the layout of the filings' source:
+    all columns, quoted texts with quotes and line breaks, some dates bad or missing."""
+    t = _tables(spark, sf_dir)
+    li = t["lineitem"]
+    folder = fresh_path(spark, "bronze")
+    sub = adapter.sub(t).withColumn("filing_summary", F.concat(
+        F.lit('Summary of "'), F.col("name"), F.lit('",\nform '), F.col("form")))
+    date = (F.when(F.col("l_linenumber") == 7, F.lit("n/a"))
+            .when(F.col("l_linenumber") < 6, date_key("l_shipdate")))
+    num = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("num_id"),
+                    adapter.adsh("l_orderkey").alias("adsh"), F.col("l_partkey").alias("tag_id"),
+                    F.lit("us-gaap/2023").alias("version"), date.alias("ddate"),
+                    F.col("l_linenumber").alias("qtrs"), F.col("l_extendedprice").alias("value"))
+    pre = adapter.pre(t).select(F.xxhash64("adsh", "tag_id", "stmt").alias("pre_id"), "adsh",
+                                "stmt", "tag_id")
+    for name, df in (("sub", sub), ("num", num), ("pre", pre), ("tag", adapter.tag(t))):
+        write_csv(df, f"{folder}/{name}.csv")
+    return folder
+
+
+def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze CSVs to published silver. Facts of the silver table and of the rejects,
+    with the reject's reason."""
+    silver, rejects = pipeline.build_silver(spark, _land_bronze(spark, sf_dir))
+    wh = Warehouse(spark, fresh_path(spark, "silver"))
+    version = pipeline.publish_silver(wh, silver, rejects)
+    bad = wh.table("rejects", version).select(
+        F.get_json_object("record", "$.num_id").cast("long").alias("num_id"), "reason")
+    return wh.table("num", version).select(
+        "num_id", "adsh", "tag_id", "version", "ddate", "qtrs", "value",
+        F.lit(None).cast("string").alias("reason")).unionByName(bad, allowMissingColumns=True)
+
+
+def silver_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filings of published silver, multi-line quoted summaries included."""
+    silver, rejects = pipeline.build_silver(spark, _land_bronze(spark, sf_dir))
+    wh = Warehouse(spark, fresh_path(spark, "silver"))
+    version = pipeline.publish_silver(wh, silver, rejects)
+    return wh.table("sub", version).select("adsh", "cik", "name", "form", "sic", "filing_summary")
+
+
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: rows written per table by a first gold load, as the run reports them."""
+    silver = _published_silver(spark, adapter.silver(_tables(spark, sf_dir)))
+    wh = pipeline.gold_warehouse(spark, fresh_path(spark, "gold"))
+    report = pipeline.publish_gold(silver, wh, fixtures.INITIAL_TS)
+    return spark.createDataFrame(sorted(report.rows.items()), "table_name string, rows long")
+
+
 # --- Q1-Q3 checks, F1/F2 dates ----------------------------------------------------
 def key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Qc.duplicate_keys(_tables(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
@@ -210,6 +293,13 @@ def raw_create_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.create_rows(_raw(t), batch, all_or_nothing=True).table
 
 
+def raw_create_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The all-or-nothing create with a batch that has no conflict: everything is taken."""
+    t = _tables(spark, sf_dir)
+    batch = fixtures.raw_later(t).select(*fixtures.RAW_COLUMNS)
+    return C.create_rows(_raw(t), batch, all_or_nothing=True).table
+
+
 def raw_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     batch = fixtures.raw_batch(t).select(*fixtures.RAW_COLUMNS)
@@ -219,8 +309,12 @@ def raw_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_PAGE_SKIP, RAW_PAGE_SIZE = 100, 100
 
 
+def _raw_all(t) -> DataFrame:
+    return fixtures.raw_all(t).select(*fixtures.RAW_COLUMNS)
+
+
 def raw_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.list_page(_raw(_tables(spark, sf_dir)), RAW_PAGE_SKIP, RAW_PAGE_SIZE)
+    return C.list_page(_raw_all(_tables(spark, sf_dir)), RAW_PAGE_SKIP, RAW_PAGE_SIZE)
 
 
 def raw_get(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,13 +325,13 @@ def raw_get(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    table, _ = C.apply_updates(_raw(t), fixtures.raw_updates(t))
+    table, _ = C.apply_updates(_raw_all(t), fixtures.raw_updates(t))
     return table
 
 
 def raw_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    table, _ = C.delete_rows(_raw(t), fixtures.raw_requests(t))
+    table, _ = C.delete_rows(_raw_all(t), fixtures.raw_requests(t))
     return table
 
 
@@ -256,7 +350,7 @@ VECTOR_DIM = 64
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.extract_texts(_tables(spark, sf_dir)["pages"])
+    return X.extract_texts(spread(_tables(spark, sf_dir)["pages"]))
 
 
 def filing_text_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,13 +371,13 @@ def _probe(t) -> tuple[list[float], int]:
 def knn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     vec, _ = _probe(t)
-    return S.knn(t["embeddings"], vec, KNN_K, id_col="vec_id", keep=["label"])
+    return S.knn(spread(t["embeddings"]), vec, KNN_K, id_col="vec_id", keep=["label"])
 
 
 def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     vec, label = _probe(t)
-    return S.knn(t["embeddings"], vec, KNN_K, id_col="vec_id", keep=["label"],
+    return S.knn(spread(t["embeddings"]), vec, KNN_K, id_col="vec_id", keep=["label"],
                  facet="label", facet_value=label)
 
 
@@ -304,38 +398,91 @@ def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.facet_counts(_tables(spark, sf_dir)["embeddings"], "label")
 
 
+def import_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five vectors refused by an import that wants label-0 vectors shorter."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    cut = emb.withColumn("embedding", F.when(F.col("label") == 0, F.slice("embedding", 1, 8))
+                         .otherwise(F.col("embedding")))
+    bad = Qc.first_failures(cut, Qc.vector_length(cut, "embedding", VECTOR_DIM), ["vec_id"])
+    return bad.select("vec_id", "label", F.size("embedding").alias("length"))
+
+
 def tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first benchmark passage as the query against all documents."""
+    """The first benchmark passage as the query: its nearest documents."""
     t = _tables(spark, sf_dir)
     query = t["benchmark"].orderBy("item_id").select("text").first()["text"]
-    return X.TfIdf(t["documents"], "doc_id", "text").search(spark, query)
+    return X.TfIdf(spread(t["documents"]), "doc_id", "text").search(query, SEARCH_K)
 
 
 DOC_VECTOR_DIM = 256
+SEARCH_K = 10
+
+
+def _filing_corpus(t) -> DataFrame:
+    """Documents as filings (text as summary, language as form, source as name) with
+    page text: the search corpus of V1."""
+    filings = t["documents"].select(
+        F.col("doc_id").alias("adsh"), F.col("doc_id").alias("cik"), F.col("source").alias("name"),
+        F.col("lang").alias("form"), F.col("text").alias("filing_summary"))
+    texts = X.extract_texts(spread(t["pages"]), out="extracted_pdf_text")
+    return S.search_corpus(filings, texts, key="adsh", text_key="page_id")
+
+
+def _search_table(spark: SparkSession, t) -> DataFrame:
+    """The corpus stored partitioned by form, as a search service would load it."""
+    wh = Warehouse(spark, fresh_path(spark, "search"))
+    version, _ = S.publish_corpus(wh, _filing_corpus(t))
+    return wh.table("search_corpus", version)
+
+
+def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 as users call it: text, form and k to (id, cik, name, form, distance)."""
+    t = _tables(spark, sf_dir)
+    table = _search_table(spark, t)
+    index = X.TfIdf(table, "id", "full_text", facet="form")
+    query = t["benchmark"].orderBy("item_id").select(F.lit(0).alias("qid"), "text",
+                                                     F.lit("en").alias("form")).limit(1)
+    return S.search_texts(index, table, query, SEARCH_K).select(
+        "id", "cik", "name", "form", "distance")
+
+
+def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All benchmark passages at once, each against all documents of the search table."""
+    t = _tables(spark, sf_dir)
+    table = _search_table(spark, t)
+    index = X.TfIdf(table, "id", "full_text", facet="form")
+    queries = t["benchmark"].select(F.col("item_id").alias("qid"), "text",
+                                    F.lit(None).cast("string").alias("form"))
+    return S.search_texts(index, table, queries, SEARCH_K)
 
 
 def doc_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1 -> V4 -> V2 end to end: documents with their page text form the corpus,
-    hashed TF-IDF vectors are its embeddings, the first benchmark passage is the query."""
+    """V1 -> V4 -> V2 with the hashed option: documents with their page text, the first
+    benchmark passage as the query, distances of fixed-length hashed vectors."""
     t = _tables(spark, sf_dir)
     docs = t["documents"].select("doc_id", F.col("text").alias("filing_summary"))
-    texts = X.extract_texts(t["pages"], out="extracted_pdf_text")
+    texts = X.extract_texts(spread(t["pages"]), out="extracted_pdf_text")
     corpus = S.build_corpus(docs, texts, key="doc_id", text_key="page_id")
     model = X.TfIdf(corpus, "doc_id", "full_text")
     query = t["benchmark"].orderBy("item_id").select("text").first()["text"]
-    qvec = model.query_vector(spark, query, DOC_VECTOR_DIM)
-    return S.knn(model.vectors(DOC_VECTOR_DIM), qvec, KNN_K, id_col="doc_id")
+    return model.search_hashed(query, KNN_K, DOC_VECTOR_DIM)
 
 
 # --- S5/S6/P4 delimited landing ----------------------------------------------------------
 def delimiter_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land ``customer`` as '|'-delimited text with display-style headers in the
-    shared scratch folder, then detect, parse, standardize and retype it."""
+    """Land ``customer`` as files with display-style headers in one folder, '|'-delimited
+    and, for customers in debt, comma-delimited with the columns the other way round;
+    then detect per file, parse, standardize and retype."""
     cust = _tables(spark, sf_dir)["customer"]
-    headers = [" " + c.replace("_", " ").title() for c in cust.columns]  # " C Custkey"
     path = fresh_path(spark, "landing-customer")
-    cust.toDF(*headers).write.option("header", True).option("sep", "|").csv(path)
-    parsed = read_delimited(spark, path).table
+
+    def landed(df: DataFrame, sep: str, part: str) -> None:
+        headers = [" " + c.replace("_", " ").title() for c in df.columns]  # " C Custkey"
+        write_csv(df.toDF(*headers), f"{path}/{part}", sep)
+
+    landed(cust.filter("c_acctbal >= 0"), "|", "a")
+    landed(cust.filter("c_acctbal < 0 OR c_acctbal IS NULL").select(*cust.columns[::-1]), ",", "b")
+    parsed = read_delimited(spark, f"{path}/*").table
     return parsed.select(*[F.col(c).cast(t).alias(c) for c, t in cust.dtypes])
 
 
@@ -377,4 +524,13 @@ QUERIES = {
     "tfidf_search": tfidf_search,
     "delimiter_detect": delimiter_detect,
     "doc_vector_search": doc_vector_search,
+    "fact_star_ids": fact_star_ids,
+    "gold_two_loads": gold_two_loads,
+    "bronze_to_silver": bronze_to_silver,
+    "silver_filings": silver_filings,
+    "load_report": load_report,
+    "raw_create_accepted": raw_create_accepted,
+    "import_failures": import_failures,
+    "search_filtered": search_filtered,
+    "search_batch": search_batch,
 }

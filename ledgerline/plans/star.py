@@ -7,24 +7,18 @@ and reloads the fact against the resulting dimensions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators import dimensions as D
 from ..operators.facts import build_fact, build_fact_left
-from ..schemas import GOLD
 
 
 def _with_id(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(surrogate_key(key).alias("id"), *rows.columns)
 
 
-def empty_gold(spark: SparkSession) -> dict[str, DataFrame]:
-    """Empty tables with the declared schemas."""
-    return {name: spark.createDataFrame([], schema) for name, schema in GOLD.items()}
-
-
 INSERT_ONLY = ("filingdim", "tagdim", "datedim", "statementdim")
 
 
@@ -77,18 +71,19 @@ def first_load_dimensions(silver: dict[str, DataFrame], batch_ts: str,
     }
 
 
+# ``silver`` and the dimensions it has been loaded into: each of its keys is there.
 def fact(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
          natural_keys: bool = False) -> DataFrame:
     return build_fact(silver["num"], silver["pre"], silver["sub"], silver["tag"],
                       dims["companydim"], dims["filingdim"], dims["tagdim"], dims["datedim"],
-                      dims["statementdim"], natural_keys=natural_keys)
+                      dims["statementdim"], natural_keys=natural_keys, complete=True)
 
 
 def fact_left(silver: dict[str, DataFrame], dims: dict[str, DataFrame],
               natural_keys: bool = False) -> DataFrame:
     return build_fact_left(silver["num"], silver["pre"], silver["sub"], silver["tag"],
                            dims["companydim"], dims["filingdim"], dims["tagdim"],
-                           dims["datedim"], natural_keys=natural_keys)
+                           dims["datedim"], natural_keys=natural_keys, complete=True)
 
 
 def restrict_statements(pre: DataFrame, codes: list[str]) -> DataFrame:

@@ -43,17 +43,24 @@ TAG = _schema(
     ("label", StringType(), True),
 )
 PRE = _schema(
+    ("pre_id", LongType(), True),
     ("adsh", StringType(), True),
     ("stmt", StringType(), True),
     ("tag_id", LongType(), True),
 )
+# ``ddate`` comes as text: what doesn't parse as yyyyMMdd is rejected row by row.
 NUM = _schema(
+    ("num_id", LongType(), True),
     ("adsh", StringType(), True),
     ("tag_id", LongType(), True),
-    ("ddate", IntegerType(), True),
+    ("version", StringType(), True),
+    ("ddate", StringType(), True),
     ("qtrs", IntegerType(), True),
     ("value", DoubleType(), True),
 )
+# Columns a bronze file must have; the others may be missing and are null then.
+REQUIRED = {"sub": ("adsh", "cik"), "tag": ("tag_id", "tag"), "pre": ("adsh", "tag_id", "stmt"),
+            "num": ("adsh", "tag_id", "value")}
 BRONZE = {"sub": SUB, "tag": TAG, "pre": PRE, "num": NUM}
 
 # --- gold -------------------------------------------------------------------

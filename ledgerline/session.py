@@ -25,6 +25,9 @@ DEFAULTS = {
     # several times larger. Without this factor a fact-sized scan can look
     # "small" and be chosen as a broadcast build side.
     "spark.sql.sources.fileCompressionFactor": "4",
+    # A side partitioned by adsh alone serves a join on (adsh, tag_id) as well; skewed
+    # partitions are split by AQE.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -61,13 +64,18 @@ SCRATCH_KEY = "ledgerline.scratch.dir"
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (tests,
-    local runs) a local folder is created; ``spark.checkpoint.dir`` itself is a
-    static setting, so the folder is registered as the RDD checkpoint
-    directory and remembered under ``SCRATCH_KEY`` for this session.
+    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset and the
+    master is local (tests, local runs) a local folder is created; on any other
+    master an unset folder is an error, since executors would write to their own
+    disks. ``spark.checkpoint.dir`` itself is a static setting, so the folder is
+    registered as the RDD checkpoint directory and remembered under ``SCRATCH_KEY``
+    for this session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, scratch tables "
+                               "need a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set(SCRATCH_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -80,24 +88,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table made under ``fresh_path``, on whatever store holds it."""
+    if not path.startswith(scratch_dir(spark) + "/"):
+        raise ValueError(f"not a scratch path: {path}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan yields too few splits.
+def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a bare scan over the cluster when it has too few splits.
 
     For CPU-heavy per-row work (tokenising, regex extraction, vector distances)
-    straight after a scan. Large inputs already arrive in many splits and pass
-    through untouched; a single-row-group file would otherwise run in one task.
+    straight after a read. Large inputs arrive in many splits and pass through
+    untouched; a single-row-group file would otherwise run in one task. Meant for
+    scans alone: there, counting the partitions runs no job.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df
+    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < target:
+        return scan.repartition(target)
+    return scan

@@ -1,9 +1,10 @@
-"""Delimited-text sources (S1, S5, S6) with explicit schemas and a reject table.
+"""Delimited-text sources (S1, S5, S6): declared schemas bound by column name, and
+reject tables.
 
-Delimiter detection reads one header line (a single short string) and counts
-the candidates in it; the data itself is parsed by Spark's CSV reader in
-PERMISSIVE mode, so malformed lines land in a reject table instead of
-aborting or vanishing.
+Every file says in its header which columns it holds and in what order; columns are
+taken by name, never by position. Quoted texts may hold doubled quotes and, with
+``multi_line``, line breaks. Malformed lines land in a reject table with a
+reason instead of aborting or vanishing.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.columns import standard_name, standardize_columns, trim_headers
+from ..functions.columns import optional_column, standard_name, standardize_columns
 from ..session import fresh_path
 
 # Fixed candidate order: tab, comma, semicolon, pipe.
@@ -23,16 +24,24 @@ DELIMITERS = ("\t", ",", ";", "|")
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
-             strict: bool = True) -> DataFrame:
-    """Header CSV with a declared schema (no inference); FAILFAST when strict."""
-    return (spark.read.schema(schema).option("header", True).option("sep", sep)
-            .option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(path))
+def header_lines(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """header line -> its files, for a file or a folder.
+
+    One pass finds the first line of every file; the driver holds file names, which it
+    lists for any read. Empty files have no header and are left out."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("line")).alias("at"))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    out: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():
+        out.setdefault(r["header"], []).append(r["file"])
+    return out
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    row = spark.read.text(path).first()
-    return row[0] if row else ""
+def _split_header(header: str, sep: str) -> list[str]:
+    return [h.strip().strip('"').strip() for h in header.lstrip("﻿").split(sep)]
 
 
 def detect_delimiter(header: str, candidates: Sequence[str] = DELIMITERS) -> str:
@@ -51,30 +60,83 @@ class DelimitedRead:
     sep: str
 
 
+def _parsed(spark: SparkSession, files: Sequence[str], schema: StructType, sep: str,
+            multi_line: bool) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected records) of files that share one header.
+
+    Parsed once into the shared scratch folder, then split: the text is not parsed
+    twice, and Spark allows queries on the corrupt column of a table."""
+    full = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+    raw = (spark.read.schema(full).option("header", True).option("sep", sep)
+           .option("escape", '"').option("multiLine", multi_line).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(list(files)))
+    path = fresh_path(spark, "delimited")
+    raw.select("*", F.col("_metadata.file_path").alias("_file")).write.parquet(path)
+    parsed = spark.read.parquet(path)
+    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col("_file").alias("file"), F.lit("line does not fit the columns").alias("reason"),
+        F.col(CORRUPT).alias("record"))
+    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file"), bad
+
+
+def _together(reads: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    good, bad = reads[0]
+    for g, b in reads[1:]:
+        good, bad = good.unionByName(g, allowMissingColumns=True), bad.unionByName(b)
+    return good, bad
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+             multi_line: bool = False, required: Sequence[str] = ()) -> DelimitedRead:
+    """Header CSV with a declared schema, bound by column name.
+
+    Declared columns that a file lacks are null (P11), unless ``required``; columns
+    that aren't declared are left out. Fields that don't parse as their type make the
+    line a reject."""
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
+    reads = []
+    for header, files in header_lines(spark, path).items():
+        names = [h.lower() for h in _split_header(header, sep)]
+        missing = [c for c in required if c.lower() not in names]
+        if missing:
+            raise ValueError(f"{files[0]}: no column {', '.join(missing)} in the header")
+        fields = StructType([StructField(n, kinds.get(n, StringType()), True) for n in names])
+        good, bad = _parsed(spark, files, fields, sep, multi_line)
+        reads.append((good.select(*[
+            optional_column(good, f.name.lower(), f.dataType.simpleString()).alias(f.name)
+            for f in schema.fields]), bad))
+    if not reads:
+        nothing = StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+        return DelimitedRead(spark.createDataFrame([], nothing), spark.createDataFrame(
+            [], "file string, reason string, record string"), sep)
+    good, bad = _together(reads)
+    return DelimitedRead(good, bad, sep)
+
+
 def read_delimited(spark: SparkSession, path: str, candidates: Sequence[str] = DELIMITERS,
-                   schema: StructType | None = None) -> DelimitedRead:
-    """Detect the delimiter, parse all columns (as strings unless a schema is
-    given), standardize the column names (P4) and split off malformed lines."""
-    header = header_line(spark, path)
-    sep = detect_delimiter(header, candidates)
-    names = [standard_name(h) for h in header.split(sep)]
-    if schema is None:
+                   multi_line: bool = False) -> DelimitedRead:
+    """Per file, detect the delimiter and take the columns its own header names
+    (as strings, names standardized, P3/P4), and split off malformed lines. Files
+    with other delimiters or column orders in one folder are read alike; columns
+    that only some files have are null in the others. ``sep`` is that of the first file."""
+    reads, seps = [], []
+    for header, files in header_lines(spark, path).items():
+        sep = detect_delimiter(header, candidates)
+        seps.append(sep)
+        names = [standard_name(h) for h in _split_header(header, sep)]
         schema = StructType([StructField(n, StringType(), True) for n in names])
-    full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    raw = (spark.read.schema(full).option("header", True).option("sep", sep)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .option("enforceSchema", True).csv(path))
-    # Parse once into the shared scratch folder, then split: the text is not
-    # parsed twice, and Spark allows queries on the corrupt column of a table.
-    parsed_path = fresh_path(spark, "delimited")
-    raw.write.parquet(parsed_path)
-    parsed = spark.read.parquet(parsed_path)
-    ok = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = parsed.filter(F.col(CORRUPT).isNotNull())
-    return DelimitedRead(standardize_columns(ok), bad, sep)
-
-
-def land_csv_as_parquet(spark: SparkSession, src: str, dst: str, schema: StructType) -> None:
-    """CSV -> parquet with trimmed headers (written to a new path)."""
-    df = spark.read.schema(schema).option("header", True).csv(src)
-    trim_headers(df).write.mode("errorifexists").parquet(dst)
+        good, bad = _parsed(spark, files, schema, sep, multi_line)
+        reads.append((standardize_columns(good), bad))
+    if not reads:
+        raise ValueError(f"{path}: no file with a header line")
+    good, bad = _together(reads)
+    return DelimitedRead(good, bad, seps[0])
+
+
+def land_csv_as_parquet(spark: SparkSession, src: str, dst: str, schema: StructType,
+                        multi_line: bool = False) -> DataFrame:
+    """CSV -> parquet (written to a new path), columns by trimmed header name.
+    Returns the rejects."""
+    read = read_csv(spark, src, schema, multi_line=multi_line)
+    read.table.write.mode("errorifexists").parquet(dst)
+    return read.rejects

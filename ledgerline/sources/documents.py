@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..operators.text import html_text
 
-KEY_FROM_PATH = r"([^/]+)\.[^./]+$"
+# The file name, without its extension if it has one.
+KEY_FROM_PATH = r"([^/]+?)(?:\.[^./]+)?$"
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*",
@@ -29,8 +30,9 @@ def read_documents(spark: SparkSession, folder: str, glob: str = "*",
 
 def document_texts(docs: DataFrame, key: str = "doc_key", out: str = "extracted_text",
                    html: bool = True) -> DataFrame:
-    """(key, text): UTF-8 decoded content, HTML stripped when ``html``; unreadable -> ''."""
-    text = F.decode(F.col("content"), "UTF-8")
+    """(key, text): UTF-8 content, HTML stripped when ``html``; a file that isn't valid
+    UTF-8, or can't be read, gives empty text and doesn't disturb the others."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
     if html:
         text = html_text(text)
     return docs.select(key, F.coalesce(text, F.lit("")).alias(out))

@@ -11,9 +11,14 @@ each run writes only its new rows as one partition, and a reader unions the
 partitions of published versions up to the one it reads. Rows of a failed,
 unmarked run are never seen.
 
+A marker names its parent, the version that the run was built on. Readers follow the
+chain of parents; where two versions name one parent, the one with the smaller id
+is its successor. So of two publishers that start from one version, one is told
+that it lost (``Superseded``), and its tables are never read.
+
     <root>/versions/<version>/<table>/          snapshot tables, parquet
     <root>/appends/<table>/v=<version>/         append-only tables, one delta per run
-    <root>/_published/version=<version>/        marker (one row)
+    <root>/_published/version=<version>/        marker (one row: tables, parent)
 """
 
 from __future__ import annotations
@@ -26,7 +31,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 
 def new_version() -> str:
@@ -34,6 +38,10 @@ def new_version() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ") + "-" + uuid.uuid4().hex[:6]
 
 
+class Superseded(RuntimeError):
+    """Another run published on the same parent first; publish again on the newest version."""
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str,
                  schemas: Mapping[str, StructType] | None = None,
@@ -48,25 +56,37 @@ class Warehouse:
         self.views = {k: list(v) for k, v in (views or {}).items()}
 
     # --- reading ---------------------------------------------------------------
-    def _markers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("tables int, version string").parquet(
-                f"{self.root}/_published")
-        except AnalysisException:
-            return None
+    def _exists(self, path: str) -> bool:
+        """Whether the store has the path; any other trouble is raised."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return hadoop.getFileSystem(conf).exists(hadoop)
+
+    def chain(self, upto: str | None = None) -> list[str]:
+        """Published versions, oldest first, each built on the one before.
+
+        One row per run is read; ``upto`` ends the chain at that version."""
+        if not self._exists(f"{self.root}/_published"):
+            return []
+        rows = self.spark.read.schema("tables int, parent string, version string").parquet(
+            f"{self.root}/_published").select("parent", "version").collect()
+        after: dict[str | None, str] = {}
+        for r in rows:
+            after[r["parent"]] = min(after.get(r["parent"], r["version"]), r["version"])
+        out: list[str] = []
+        at = after.get(None)
+        while at is not None:
+            out.append(at)
+            if at == upto:
+                return out
+            at = after.get(at)
+        if upto is not None:
+            raise FileNotFoundError(f"version {upto} is not published under {self.root}")
+        return out
 
     def current_version(self) -> str | None:
-        marks = self._markers()
-        if marks is None:
-            return None
-        row = marks.agg(F.max("version").alias("v")).first()
-        return row["v"] if row else None
-
-    def path(self, name: str, version: str | None = None) -> str:
-        v = version or self.current_version()
-        if v is None:
-            raise FileNotFoundError(f"nothing published under {self.root}")
-        return f"{self.root}/versions/{v}/{name}"
+        chain = self.chain()
+        return chain[-1] if chain else None
 
     def table(self, name: str, version: str | None = None) -> DataFrame:
         if name in self.views:
@@ -78,10 +98,18 @@ class Warehouse:
             return out
         if name in self.append_only:
             return self._appended(name, version or self.current_version())
+        if version is None:
+            version = self.current_version()
+        if version is None:
+            raise FileNotFoundError(f"nothing published under {self.root}")
+        return self.read_staged(name, version)
+
+    def read_staged(self, name: str, version: str) -> DataFrame:
+        """A snapshot table of a version that need not be published yet."""
         reader = self.spark.read
         if name in self.schemas:
             reader = reader.schema(self.schemas[name])
-        return reader.parquet(self.path(name, version))
+        return reader.parquet(f"{self.root}/versions/{version}/{name}")
 
     def delta_path(self, name: str, version: str) -> str:
         return f"{self.root}/appends/{name}/v={version}"
@@ -93,23 +121,18 @@ class Warehouse:
         return reader.parquet(self.delta_path(name, version))
 
     def _appended(self, name: str, version: str | None) -> DataFrame:
-        """Union of the deltas of every published version up to ``version``."""
+        """Union of the deltas of the chain of versions up to ``version``."""
         schema = self.schemas.get(name)
-        marks = self._markers()
-        if version is None or marks is None:
+        versions = [] if version is None else [
+            v for v in self.chain(version) if self._exists(self.delta_path(name, v))]
+        if not versions:
             if schema is None:
-                raise FileNotFoundError(f"nothing published under {self.root}")
+                raise FileNotFoundError(f"no {name} published under {self.root}")
             return self.spark.createDataFrame([], schema)
-        published = marks.filter(F.col("version") <= F.lit(version)).select(
-            F.col("version").alias("v"))
         reader = self.spark.read
         if schema is not None:
-            reader = reader.schema(StructType(list(schema.fields)).add("v", "string"))
-        try:
-            deltas = reader.parquet(f"{self.root}/appends/{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-        return deltas.join(published, "v", "left_semi").drop("v")
+            reader = reader.schema(schema)
+        return reader.parquet(*[self.delta_path(name, v) for v in versions])
 
     def tables(self, names: Sequence[str], version: str | None = None) -> dict[str, DataFrame]:
         v = version or self.current_version()
@@ -147,19 +170,33 @@ class Warehouse:
             for future in [pool.submit(write, item) for item in items]:
                 future.result()
 
-    def mark(self, version: str, n_tables: int) -> None:
-        """Make a staged version visible (append-only marker, never overwritten)."""
-        marker = self.spark.createDataFrame([(version, n_tables)], "version string, tables int")
+    def mark(self, version: str, n_tables: int, parent: str | None) -> None:
+        """Make a staged version visible, as the successor of ``parent``.
+
+        Refuses if ``parent`` is not the newest version any more, and checks again
+        after the marker is written, so that of two runs at the same moment exactly
+        one stays on the chain."""
+        if self.current_version() != parent:
+            raise Superseded(f"{self.root}: {parent} is not the newest version any more")
+        marker = self.spark.createDataFrame([(version, n_tables, parent)],
+                                            "version string, tables int, parent string")
         marker.coalesce(1).write.mode("append").partitionBy("version").parquet(
             f"{self.root}/_published")
+        if version not in self.chain():
+            raise Superseded(f"{self.root}: another run was published on {parent} first")
 
     def publish(self, tables: Mapping[str, DataFrame],
                 partition_by: Mapping[str, Sequence[str]] | None = None,
-                version: str | None = None) -> str:
-        """Write all tables into a new version, then mark it published."""
+                version: str | None = None, parent: str | None = None,
+                parent_known: bool = False) -> str:
+        """Write all tables into a new version, then mark it published.
+
+        A run that has read the warehouse passes the version it read as ``parent``
+        (with ``parent_known``, as None is one); otherwise the newest one counts."""
         v = version or new_version()
+        built_on = parent if parent_known else self.current_version()
         self.stage(v, tables, partition_by)
-        self.mark(v, len(tables))
+        self.mark(v, len(tables), built_on)
         return v
 
     def publish_empty(self, schemas: Mapping[str, StructType]) -> str:
@@ -168,5 +205,7 @@ class Warehouse:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Whole-table CSV with header, written to a new path."""
-    df.write.mode("errorifexists").option("header", True).option("sep", sep).csv(path)
+    """Whole-table CSV with header, written to a new path. Quotes inside a text are
+    doubled; read texts with line breaks back with ``multi_line``."""
+    (df.write.mode("errorifexists").option("header", True).option("sep", sep)
+     .option("escape", '"').csv(path))

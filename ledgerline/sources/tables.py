@@ -67,17 +67,6 @@ class TableSet(dict):
         self[name] = df
         return df
 
-    def register_views(self) -> None:
-        """Expose every table to ``spark.sql`` under its own name."""
-        for name in self.names:
-            self[name].createOrReplaceTempView(name)
-
 
 def read_tables(spark: SparkSession, root: str, names: Iterable[str] = DRIVER_TABLES) -> TableSet:
     return TableSet(spark, root, names)
-
-
-def read_current(dim: DataFrame, *cols: str) -> DataFrame:
-    """``SELECT cols FROM dim WHERE is_current`` (pushed into the scan)."""
-    out = dim.filter("is_current")
-    return out.select(*cols) if cols else out

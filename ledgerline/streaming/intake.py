@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import dimensions as D
 from ..schemas import COMPANY_DIM, FILING_DIM, SUB
-from ..session import scratch_dir
 from ..sources.sinks import Warehouse, new_version
 
 DIMS = {"companydim": COMPANY_DIM, "filingdim": FILING_DIM}
@@ -38,33 +37,39 @@ def intake_warehouse(spark: SparkSession, root: str) -> Warehouse:
 def apply_filings(batch: DataFrame, wh: Warehouse, batch_ts: str) -> str:
     """Apply one batch of filings to the company and filing dimensions."""
     spark = batch.sparkSession
-    if wh.current_version() is None:
+    parent = wh.current_version()
+    if parent is None:
         current = {n: spark.createDataFrame([], s) for n, s in DIMS.items()}
     else:
-        current = wh.tables(list(DIMS))
+        current = wh.tables(list(DIMS), parent)
     company, expired = D.scd2_changes(current["companydim"], D.company_source(batch), batch_ts)
     new_filings = D.insert_only(current["filingdim"], D.filing_source(batch), "accession_number")
     # Only the current company versions are rewritten; expired versions and new
     # filings are appended as this batch's deltas.
     return wh.publish({"companydim_current": company, "companydim_history": expired,
-                       "filingdim": new_filings}, version=new_version())
+                       "filingdim": new_filings}, version=new_version(), parent=parent,
+                      parent_known=True)
 
 
 def start_intake(spark: SparkSession, landing: str, warehouse_root: str,
-                 batch_ts: Callable[[int], str], fmt: str = "csv",
-                 checkpoint: str | None = None) -> StreamingQuery:
-    """Process every file that has landed so far, then stop (availableNow)."""
+                 batch_ts: Callable[[int], str], checkpoint: str,
+                 fmt: str = "csv") -> StreamingQuery:
+    """Process every file that has landed so far, then stop (availableNow).
+
+    ``checkpoint``: a folder of this intake alone, on storage that outlives the
+    cluster; it remembers which files have been taken in."""
     wh = intake_warehouse(spark, warehouse_root)
     reader = spark.readStream.schema(SUB)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # Files of another column order are refused by name instead of read by position.
+        reader = (reader.option("header", True).option("enforceSchema", False)
+                  .option("escape", '"').option("multiLine", True))
     stream = reader.format(fmt).load(landing)
-    ckpt = checkpoint or f"{scratch_dir(spark)}/intake-checkpoint"
 
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         if not batch.isEmpty():
             apply_filings(batch, wh, batch_ts(epoch_id))
 
     return (stream.writeStream.foreachBatch(_apply)
-            .option("checkpointLocation", ckpt)
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -28,11 +28,14 @@ def test_create_all_or_nothing(spark):
     assert ok.table.count() == 4
 
 
+UPDATE = "update_no int, adsh string, name string, form string, sic string, " \
+         "filing_summary string, set_fields array<string>"
+
+
 def test_update_set_null_vs_unset(spark):
     upd = spark.createDataFrame(
-        [("a", None, "AMENDED", None, None, ["form", "sic"]), ("zz", "X", None, None, None, ["name"])],
-        "adsh string, name string, form string, sic string, filing_summary string, "
-        "set_fields array<string>")
+        [(1, "a", None, "AMENDED", None, None, ["form", "sic"]),
+         (2, "zz", "X", None, None, None, ["name"])], UPDATE)
     table, missing = C.apply_updates(_raw(spark), upd)
     got = {r["adsh"]: r for r in table.collect()}
     assert (got["a"]["name"], got["a"]["form"], got["a"]["sic"]) == ("A", "AMENDED", None)
@@ -55,11 +58,19 @@ def test_page_and_get(spark):
     assert got == [("a", True, "A"), ("q", False, None)]
 
 
-def test_update_repeated_key_never_multiplies_rows(spark):
+def test_updates_of_one_key_are_merged_in_order(spark):
     upd = spark.createDataFrame(
-        [("a", None, "X", None, None, ["form"]), ("a", None, "Y", None, None, ["form"])],
-        "adsh string, name string, form string, sic string, filing_summary string, "
-        "set_fields array<string>")
+        [(2, "a", None, "Y", None, None, ["form"]), (1, "a", "N1", "X", "9", None,
+                                                     ["name", "form", "sic"]),
+         (3, "a", None, None, None, None, ["sic"]), (4, "a", None, "ignored", None, None, [])],
+        UPDATE)
     table, _ = C.apply_updates(_raw(spark), upd)
     assert table.count() == 3
-    assert [r["form"] for r in table.filter("adsh = 'a'").collect()] == ["X"]
+    a = table.filter("adsh = 'a'").first()
+    assert (a["name"], a["form"], a["sic"], a["filing_summary"]) == ("N1", "Y", None, "s")
+
+
+def test_updates_need_an_order(spark):
+    import pytest
+    with pytest.raises(ValueError, match="order column"):
+        C.apply_updates(_raw(spark), spark.createDataFrame([], UPDATE).drop("update_no"))

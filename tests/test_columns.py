@@ -17,11 +17,6 @@ def test_standardize_columns_collision(spark):
         C.standardize_columns(df)
 
 
-def test_trim_headers(spark):
-    df = spark.createDataFrame([(1,)], [" adsh  "])
-    assert C.trim_headers(df).columns == ["adsh"]
-
-
 def test_parse_date_int_lenient(spark):
     df = spark.createDataFrame([(20230131,), (20231340,), (None,)], "d int")
     out = [r[0] for r in df.select(C.parse_date_int("d")).collect()]

@@ -45,7 +45,7 @@ def test_empty_totals_checks_and_search(spark):
     corpus = spark.createDataFrame([], "id long, embedding array<float>")
     assert S.knn(corpus, [1.0, 0.0], 3).count() == 0
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert X.TfIdf(docs).search(spark, "anything").count() == 0
+    assert X.TfIdf(docs).search("anything").count() == 0
 
 
 def test_change_sets_on_empty_table(spark):

@@ -43,28 +43,62 @@ def test_gold_rerun_is_identical_and_totals_match(spark):
     assert got.count() > 0
 
 
-def test_bronze_csv_to_silver(spark):
-    t = read_tables(spark, SMALL_SF)
+def test_bronze_csv_in_the_source_layout(spark):
+    """Columns by name whatever their order, quotes, line breaks, bad and missing dates."""
     bronze = tempfile.mkdtemp(prefix="ll-bronze-")
-    parts = {"sub": adapter.sub(t), "num": adapter.num(t), "pre": adapter.pre(t),
-             "tag": adapter.tag(t)}
-    for name, df in parts.items():
-        # one CSV file per table, named like the bronze files
-        tmp = f"{bronze}/_{name}"
-        write_csv(df.coalesce(1), tmp)
-        part = [f for f in os.listdir(tmp) if f.endswith(".csv")][0]
-        os.link(f"{tmp}/{part}", f"{bronze}/{name}.csv")
+    files = {
+        "sub": 'adsh,cik,name,form,sic,filing_summary\n'
+               'f1,1,"A ""B"" Co",10-K,1000,"line one,\nline two"\nf2,2,Beta,10-Q,2000,\n',
+        "tag": "tag_id,tag,version,custom,label\n1,Revenues,us-gaap/2023,0,Revenues\n",
+        "pre": "pre_id,adsh,stmt,tag_id\n77,f1,IS,1\n",
+        "num": "num_id,adsh,tag_id,version,ddate,qtrs,value\n0,f1,1,us-gaap/2023,20240131,4,10.5\n"
+               "1,f1,1,us-gaap/2023,soon,4,11\n2,f2,1,us-gaap/2023,,1,12\n"
+               "3,f2,1,us-gaap/2023,20240201,x,13\n",
+    }
+    for name, text in files.items():
+        with open(f"{bronze}/{name}.csv", "w") as fh:
+            fh.write(text)
     docs = tempfile.mkdtemp(prefix="ll-docs-")
-    for key, html in [("0", "<p>zero</p>"), ("1", "<script>x</script><b>one</b>")]:
-        with open(f"{docs}/{key}.html", "w") as fh:
-            fh.write(html)
+    with open(f"{docs}/f2.html", "w") as fh:
+        fh.write("<script>x</script><b>one</b>")
     silver, rejects = pipeline.build_silver(spark, bronze, docs, "*.html")
-    assert rejects.count() == 0
-    assert silver["num"].count() == parts["num"].count()
-    assert silver["sub"].count() == parts["sub"].count()
-    got = dict(rows(silver["sub"].filter(F.col("extracted_pdf_text").isNotNull()),
-                    "adsh", "extracted_pdf_text"))
-    assert got == {"0": "zero", "1": "one"}
+    assert rows(silver["sub"], "adsh", "name", "filing_summary", "extracted_pdf_text") == [
+        ("f1", 'A "B" Co', "line one,\nline two", None), ("f2", "Beta", None, "one")]
+    assert [(r["num_id"], str(r["ddate"])) for r in silver["num"].collect()] == [(0, "2024-01-31")]
+    assert rows(silver["pre"]) == [(77, "f1", "IS", 1)]
+    assert rows(rejects, "table", "reason") == [
+        ("num", "ddate does not parse as yyyyMMdd"), ("num", "ddate is missing"),
+        ("num", "line does not fit the columns")]
+
+
+def test_columns_are_bound_by_name(spark):
+    from ledgerline.schemas import NUM
+    from ledgerline.sources.delimited import read_csv
+    import pytest
+    d = tempfile.mkdtemp(prefix="ll-csv-")
+    for name, text in (("a", "value,adsh,tag_id\n1.5,x,1\n"), ("b", "tag_id,extra,adsh,value\n2,e,y,2\n")):
+        with open(f"{d}/{name}.csv", "w") as fh:
+            fh.write(text)
+    read = read_csv(spark, d, NUM)
+    assert rows(read.table, "adsh", "tag_id", "value", "num_id") == [("x", 1, 1.5, None), ("y", 2, 2.0, None)]
+    with pytest.raises(ValueError, match="no column qtrs"):
+        read_csv(spark, d, NUM, required=["qtrs"])
+
+
+def test_without_a_date_column_all_facts_pass(spark):
+    num = spark.createDataFrame([(1,)], "num_id long")
+    good, bad = pipeline.split_dates(num)
+    assert good.count() == 1 and bad.count() == 0
+
+
+def test_bad_and_extensionless_documents(spark):
+    d = tempfile.mkdtemp(prefix="ll-docs-")
+    for name, data in (("bad.html", b"\xff\xfe<p>x</p>"), ("ok.html", b"<p>fine</p>"),
+                       ("plain", b"no ending"), (".hidden", b"dots")):
+        with open(f"{d}/{name}", "wb") as fh:
+            fh.write(data)
+    got = dict(rows(document_texts(read_documents(spark, d))))
+    assert got["bad"] == "" and got["ok"] == "fine" and got["plain"] == "no ending"
 
 
 def test_read_documents_key_from_name(spark):
@@ -97,6 +131,18 @@ def test_read_delimited_rejects_bad_lines(spark):
     assert res.rejects.count() == 1
 
 
+def test_each_file_has_its_own_header_and_delimiter(spark):
+    d = tempfile.mkdtemp(prefix="ll-txt-")
+    for name, text in (("a", "Name|SIC\nAcme|1000\n"), ("b", "SIC|Name\n2000|Beta\n"),
+                       ("c", "sic,name,form\n3000,Gamma,10-K\n"), ("d", "")):
+        with open(f"{d}/{name}.txt", "w") as fh:
+            fh.write(text)
+    res = read_delimited(spark, d)
+    assert rows(res.table, "name", "sic", "form") == [
+        ("Acme", "1000", None), ("Beta", "2000", None), ("Gamma", "3000", "10-K")]
+    assert res.rejects.count() == 0
+
+
 def test_register_document_filings(spark):
     from ledgerline.schemas import FILING_DIM
     existing = spark.createDataFrame([(1, "a", "10-K", None, None)], FILING_DIM)
@@ -188,3 +234,75 @@ def test_failed_table_write_publishes_nothing(spark):
         spark.conf.set("spark.sql.ansi.enabled", prev)
     assert wh.current_version() == v1
     assert wh.table("a").count() == 3
+
+
+def test_of_two_publishers_one_is_refused(spark):
+    import pytest
+    from ledgerline.schemas import FILING_DIM
+    from ledgerline.sources.sinks import Superseded, new_version
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-wh2-"), {"filingdim": FILING_DIM},
+                   append_only=["filingdim"])
+
+    def filing(key):
+        return spark.createDataFrame([(hash(key) % 1000, key, "10-K", None, None)], FILING_DIM)
+
+    v1 = wh.publish({"filingdim": filing("a")})
+    ours, theirs = new_version(), new_version()
+    for v in (ours, theirs):       # both read v1 and add the same filing
+        wh.stage(v, {"filingdim": filing("b")})
+    wh.mark(theirs, 1, v1)
+    with pytest.raises(Superseded):
+        wh.mark(ours, 1, v1)
+    assert rows(wh.table("filingdim"), "accession_number") == [("a",), ("b",)]
+    assert wh.chain() == [v1, theirs]
+    # a marker written in the same moment: the smaller version id stays on the chain
+    marker = spark.createDataFrame([(ours, 1, v1)], "version string, tables int, parent string")
+    marker.write.mode("append").partitionBy("version").parquet(f"{wh.root}/_published")
+    assert len(wh.chain()) == 2
+
+
+def test_a_broken_marker_folder_is_an_error(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="ll-wh3-")
+    os.makedirs(f"{root}/_published")
+    with open(f"{root}/_published/part-0.parquet", "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception):
+        Warehouse(spark, root).current_version()
+
+
+def test_a_reused_batch_time_is_refused_and_publishes_nothing(spark):
+    import pytest
+    silver = _silver(spark)
+    wh = pipeline.gold_warehouse(spark, tempfile.mkdtemp(prefix="ll-gold3-"))
+    r1 = pipeline.publish_gold(silver, wh, "2024-01-01 00:00:00")
+    renamed = dict(silver)
+    renamed["sub"] = silver["sub"].withColumn("name", F.concat("name", F.lit("!")))
+    with pytest.raises(Exception, match="not later than"):
+        pipeline.publish_gold(renamed, wh, "2024-01-01 00:00:00")
+    assert wh.current_version() == r1.version
+
+
+def test_checks_run_before_a_version_is_marked(spark):
+    import pytest
+    from ledgerline.operators.quality import CheckFailed
+    silver = _silver(spark)
+    wh = pipeline.gold_warehouse(spark, tempfile.mkdtemp(prefix="ll-gold4-"))
+    dims = {n: wh.spark.createDataFrame([], GOLD[n]) for n in GOLD}
+    bad = spark.createDataFrame([(1, "20240101"), (1, "20240102")], GOLD["datedim"])
+    with pytest.raises(CheckFailed, match="datedim"):
+        pipeline.check_gold({**{n: dims[n] for n in ("companydim", "filingdim", "tagdim",
+                                                     "statementdim")}, "datedim": bad},
+                            dims["factfinancials"])
+    with pytest.raises(ValueError, match="gold_warehouse"):
+        pipeline.publish_gold(silver, Warehouse(spark, wh.root, GOLD), "2024-01-01 00:00:00")
+
+
+def test_no_local_scratch_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from ledgerline.session import scratch_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: None),
+                              sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(cluster)

@@ -39,7 +39,7 @@ def test_tfidf_matches_brute_force(spark):
     docs = [(1, "the cat sat on the mat"), (2, "The dog sat"), (3, "birds fly high"),
             (4, "cat and dog and cat"), (5, "")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r["distance"] for r in X.TfIdf(df).search(spark, "cat sat").collect()}
+    got = {r["doc_id"]: r["distance"] for r in X.TfIdf(df).search("cat sat").collect()}
     want = _brute_tfidf(docs, "cat sat")
     assert got.keys() == want.keys()
     for k in want:
@@ -110,8 +110,44 @@ def test_hashed_vectors_match_brute_force(spark):
         for term, n in c.items():
             want[bucket(term)] += n * math.log(len(docs) / dfreq[term])
         assert got[i] == pytest.approx(want, abs=1e-12)
-    q = model.query_vector(spark, "cat cat dog", dim)
+    q = model.query_vector("cat cat dog", dim)
     want_q = [0.0] * dim
     for term, n in Counter(["cat", "cat", "dog"]).items():
         want_q[bucket(term)] += n * math.log(len(docs) / dfreq[term])
     assert q == pytest.approx(want_q, abs=1e-12)
+
+
+def test_ranking_uses_the_exact_distance(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 1e-4]), (2, [1.0, 0.0])],
+                                   "id long, embedding array<double>")
+    assert [r["id"] for r in S.knn(corpus, [1.0, 0.0], 1).collect()] == [2]
+    queries = spark.createDataFrame([(7, "x", [1.0, 0.0])], "qid long, f string, qvec array<double>")
+    corpus = corpus.selectExpr("*", "'x' AS f")
+    assert [r["id"] for r in S.knn_per_query(corpus, queries, "f", 1).collect()] == [2]
+
+
+def test_corpus_row_does_not_depend_on_input_order(spark):
+    rows = [("a", "one"), ("a", "two"), ("a", None)]
+    texts = spark.createDataFrame([], "adsh string, extracted_pdf_text string")
+    got = set()
+    for order in (rows, rows[::-1]):
+        filings = spark.createDataFrame(order, "adsh string, filing_summary string").coalesce(1)
+        got |= {r["full_text"] for r in S.build_corpus(filings, texts).collect()}
+    assert len(got) == 1
+
+
+def test_search_with_and_without_a_form(spark):
+    docs = spark.createDataFrame(
+        [("1", "11", "A", "10-K", "cat sat"), ("2", "12", "B", "10-Q", "cat sat"),
+         ("3", "13", "C", "10-K", "dog ran"), ("4", "14", "D", "8-K", "bird")],
+        "id string, cik string, name string, form string, full_text string")
+    index = X.TfIdf(docs, "id", "full_text", facet="form")
+    queries = spark.createDataFrame([(1, "cat sat", None), (2, "cat sat", "10-Q"), (3, "zzz", None)],
+                                    "qid long, text string, form string")
+    got = [(r["qid"], r["rank"], r["id"], r["cik"], r["name"], r["form"]) for r in
+           S.search_texts(index, docs, queries, k=5).orderBy("qid", "rank").collect()]
+    assert got == [(1, 1, "1", "11", "A", "10-K"), (1, 2, "2", "12", "B", "10-Q"),
+                   (2, 1, "2", "12", "B", "10-Q")]
+    hits = index.search_hashed("cat sat", k=2, dim=64).collect()
+    assert [r["id"] for r in hits] == ["1", "2"]
+    index.release()
