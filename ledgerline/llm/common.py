@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +47,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps that are over.
+
+    It does so when the driver collects its garbage, which a driver with little to do
+    puts off; between the steps of a long job their files would pile up on the
+    executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table through Spark's own file system layer."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

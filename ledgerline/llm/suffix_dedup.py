@@ -13,18 +13,20 @@ classes of equal suffixes (shuffled digests) take the place of globally sorted
 suffix arrays, which would need a sort of the whole parse for every doubling of
 the depth:
 
-1. All strings with trigger a share the ``CORE`` bytes from a on. Triggers whose core
-   occurs once have no repeats and end here; that is almost all of them.
+1. All strings with trigger a share the bytes from a on up to the end of the first
+   of them, their core. Triggers whose core occurs once have no repeats and end here;
+   that is almost all of them.
 2. Triggers whose whole span (all strings with this trigger) has an equal elsewhere
    are repeats throughout.
-3. What is left are the ends of repeated stretches. There each string is compared
-   by its own digest, against the others of its class and one representative of
-   each span found in step 2.
+3. What is left are the ends of repeated stretches. There the strings are taken in
+   blocks of ``BLOCKS`` by their distance to the trigger, with core and span of each
+   block, and compared in the same way, against each other and one representative of
+   each span found before; the last block size is one string.
 
-Cores, spans and strings are compared by two 64-bit BLAKE2 digests together
-(core and span, or the halves of 128 bits). Digests are grouped by sums and
-joined back, so a passage shared by a third of the corpus is combined before it is
-shuffled. Every step's table is written to the shared folder.
+Strings are judged equal by two 64-bit BLAKE2 digests together, of core and span.
+Digests are grouped by sums and joined back, so a passage shared by a third of the
+corpus is combined before it is shuffled. Every step's table is written to the
+shared folder, and the files of steps that are over are released.
 
 Defined results: null text is empty; texts below ``LENGTH`` bytes keep all; rows
 repeated with id and text are repeats of each other, and both lose them; rows that
@@ -41,11 +43,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerline.llm.common import row_slices, text_bytes, text_hash, written
+from ledgerline.llm.common import release, row_slices, text_bytes, text_hash, written
 
 LENGTH = 400
 GRAM = 8
 REACH = 240
+#: Block sizes of step 3.
+BLOCKS = (16, 1)
 SLICE_BYTES = 1 << 19
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -103,9 +107,26 @@ def _source(docs: DataFrame, id_col: str, text_col: str, rest: list[str]) -> Dat
         F.struct(F.lit(True).alias("_row"), *[F.col(f"`{c}`") for c in rest]).alias("rest"))
 
 
+#: A run of string starts with one trigger, or a block of it. ``copies``: 2 where the row
+#: stands for a span already found twice, else 1.
+RUNS = ("doc_id long, text_hash long, core long, span long, trigger int, first int, last int, "
+        "copies int")
+
+
+def _digests(raw: bytes, length: int, block: int, trigger: int, first: int, last: int,
+             k: int) -> tuple[int, int]:
+    """(core, span) of the strings from first to last, which lie in block k of a trigger.
+
+    The core is what all strings of the whole block share, even where the run
+    holds only some of them, so that it is the same for equal strings."""
+    core = raw[trigger - k * block:trigger - (k + 1) * block + 1 + length]
+    span = raw[first:last + length]
+    return _digest(core + b"%d" % k), _digest(span + b"%d" % (trigger - first))
+
+
 def _parse(source: DataFrame, length: int, reach: int) -> DataFrame:
-    """One row per run: its document, core and span digest and places in the document."""
-    core = length - (reach - GRAM)
+    """``RUNS``: one row per trigger of every document."""
+    block = reach - GRAM + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,75 +139,87 @@ def _parse(source: DataFrame, length: int, reach: int) -> DataFrame:
         if not len(doc):
             return
         raw = buf.tobytes()
-        cores = [_digest(raw[a:a + core]) for a in trigger.tolist()]
-        # The trigger's place in the span belongs to it.
-        whole = [_digest(raw[lo:hi] + a.to_bytes(2, "little")) for lo, hi, a in
-                 zip(first.tolist(), (last + length).tolist(), (trigger - first).tolist())]
+        pairs = [_digests(raw, length, block, a, lo, hi, 0)
+                 for a, lo, hi in zip(trigger.tolist(), first.tolist(), last.tolist())]
         base = offsets[:-1][doc]
         take = pa.array(doc)
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0).take(take), part.column(1).take(take), pa.array(cores, pa.int64()),
-             pa.array(whole, pa.int64()), pa.array((first - base).astype(np.int32)),
-             pa.array((last - base).astype(np.int32))],
-            names=["doc_id", "text_hash", "core", "span", "first", "last"])
-
-    return source.drop("rest").mapInArrow(run, "doc_id long, text_hash long, core long, span long, "
-                                  "first int, last int")
-
-
-def _marks(parse: DataFrame) -> DataFrame:
-    """Runs that may hold repeats: status 'full' (a repeat throughout), 'edge' (to be
-    looked at string by string) or 'both' (full, and stands for its span)."""
-    classes = parse.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("s1"),
-                                        F.max("span").alias("s2")).filter("n > 1")
-    shared = written(parse.join(classes, "core")
-                     .withColumn("same", F.col("s1") == F.col("s2")).drop("n", "s1", "s2"),
-                     "suffix-shared")
-    mixed = shared.filter("NOT same").drop("same")
+        place = lambda x: pa.array((x - base).astype(np.int32))
+        yield _runs(part.column(0).take(take), part.column(1).take(take), pairs, place(trigger),
+                    place(first), place(last), pa.array(np.ones(len(doc), np.int32)))
+
+    return source.drop("rest").mapInArrow(run, RUNS)
+
+
+def _runs(doc_id, text_hash, pairs, trigger, first, last, copies) -> pa.RecordBatch:
+    cores, spans = zip(*pairs)
+    return pa.RecordBatch.from_arrays(
+        [doc_id, text_hash, pa.array(cores, pa.int64()), pa.array(spans, pa.int64()),
+         trigger, first, last, copies], names=[f.strip().split(" ")[0] for f in RUNS.split(",")])
+
+
+def _judged(runs: DataFrame) -> DataFrame:
+    """Runs whose core occurs twice, with ``status``:
+
+    'full': all strings are repeats; 'both': so, and the run stands for its span in the
+    next step, because others share its core alone; 'edge': to be looked at closer.
+    """
+    twice = runs.groupBy("core").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
+    shared = written(runs.join(twice, "core"), "suffix-shared")
+    release(runs.sparkSession)
+    spans = shared.groupBy("core").agg(F.min("span").alias("s1"), F.max("span").alias("s2"))
+    mixed_cores = written(spans.filter("s1 <> s2").select("core", F.lit(True).alias("mixed")),
+                          "suffix-mixed")
+    marked = shared.join(mixed_cores, "core", "left")
     place = F.struct("doc_id", "text_hash", "first")
-    spans = mixed.groupBy("core", "span").agg(F.count(F.lit(1)).alias("copies"),
-                                              F.min(place).alias("stands"))
-    judged = mixed.join(spans, ["core", "span"]).withColumn(
-        "status", F.when(F.col("copies") == 1, "edge")
+    equal = marked.filter("mixed").groupBy("core", "span").agg(
+        F.sum("copies").alias("n"), F.min(place).alias("stands"))
+    judged = marked.filter("mixed").join(equal, ["core", "span"]).withColumn(
+        "status", F.when(F.col("n") == 1, "edge")
         .when(place.eqNullSafe(F.col("stands")), "both").otherwise("full"))
-    columns = ["doc_id", "text_hash", "status", "first", "last"]
-    return shared.filter("same").withColumn("status", F.lit("full")).select(*columns) \
-        .unionByName(judged.select(*columns))
+    columns = ["doc_id", "text_hash", "status", "trigger", "first", "last", "copies"]
+    out = written(marked.filter("mixed IS NULL").withColumn("status", F.lit("full"))
+                  .select(*columns).unionByName(judged.select(*columns)), "suffix-judged")
+    release(runs.sparkSession)
+    return out
+
+
+def _per_document(judged: DataFrame) -> DataFrame:
+    """d, t, full: starts of strings to remove; open: runs of the next step."""
+    full = F.when((F.col("status") != "edge") & (F.col("copies") == 1),
+                  F.struct("first", "last"))
+    further = F.when(F.col("status") != "full", F.struct(
+        "trigger", "first", "last",
+        F.when(F.col("status") == "edge", 1).otherwise(2).alias("copies")))
+    return judged.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
+        F.collect_set(full).alias("full"), F.collect_set(further).alias("open"))
 
 
 def _same_document(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["d"]) & (left["text_hash"] == right["t"])
 
 
-def _strings(marked: DataFrame, length: int) -> DataFrame:
-    """h1, h2, copies, at: every string of a run that is looked at string by string."""
+def _blocks(opened: DataFrame, length: int, block: int) -> DataFrame:
+    """``RUNS``: the open runs of (doc_id, text_hash, text, open), cut into blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, texts, lists = batch.columns
-            for doc_id, text_hash, text, runs in zip(ids.to_pylist(), hashes.to_pylist(), texts,
-                                                     lists.to_pylist()):
+            for doc_id, text_hash, text, runs in zip(
+                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
+                    batch.column(3).to_pylist()):
                 raw = text.as_buffer().to_pybytes()
-                at, copies = [], []
+                rows, pairs = [], []
                 for r in runs:
-                    if r["status"] != "full":
-                        at.extend(range(r["first"], r["last"] + 1))
-                        copies.extend([1 if r["status"] == "edge" else 2]
-                                      * (r["last"] + 1 - r["first"]))
-                if not at:
-                    continue
-                digest = b"".join(hashlib.blake2b(raw[p:p + length], digest_size=16).digest()
-                                  for p in at)
-                halves = np.frombuffer(digest, np.int64).reshape(-1, 2)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_id] * n, pa.int64()), pa.array([text_hash] * n, pa.int64()),
-                     pa.array(halves[:, 0]), pa.array(halves[:, 1]),
-                     pa.array(copies, pa.int32()), pa.array(at, pa.int32())],
-                    names=["doc_id", "text_hash", "h1", "h2", "copies", "at"])
-
-    edges = marked.filter("looked_at").select("doc_id", "text_hash", "text", "runs")
-    return edges.mapInArrow(run, "doc_id long, text_hash long, h1 long, h2 long, "
-                                 "copies int, at int")
+                    at, first, last = r["trigger"], r["first"], r["last"]
+                    for k in range((at - last) // block, (at - first) // block + 1):
+                        lo, hi = max(first, at - (k + 1) * block + 1), min(last, at - k * block)
+                        rows.append((at, lo, hi, r["copies"]))
+                        pairs.append(_digests(raw, length, block, at, lo, hi, k))
+                if rows:
+                    n = len(rows)
+                    yield _runs(pa.array([doc_id] * n, pa.int64()),
+                                pa.array([text_hash] * n, pa.int64()), pairs,
+                                *[pa.array(c, pa.int32()) for c in zip(*rows)])
+
+    return opened.select("doc_id", "text_hash", "text", "open").mapInArrow(run, RUNS)
 
 
 def _merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -204,19 +237,19 @@ RESULT = ("doc_id long, text_hash long, n_bytes long, n_removed long, n_spans lo
 
 
 def _cut(marked: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """``RESULT`` and ``rest`` of documents with runs, from full runs and repeated strings."""
+    """``RESULT`` and ``rest`` of (doc_id, text_hash, text, gone, rest) without the strings
+    that ``gone`` (runs of starts) names."""
     names = [f.strip().split(" ")[0] for f in RESULT.split(",")] + ["rest"]
     types = [pa.int64()] * 5 + [pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, held, first = [], 0, 0
-            for k, (doc_id, text_hash, text, runs, at) in enumerate(zip(
+            for k, (doc_id, text_hash, text, runs) in enumerate(zip(
                     batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                    batch.column(3).to_pylist(), batch.column(4).to_pylist())):
+                    batch.column(3).to_pylist())):
                 raw = text.as_buffer().to_pybytes()
-                gone = _merged([(r["first"], r["last"] + length) for r in runs
-                                if r["status"] != "edge"] + [(p, p + length) for p in at or ()])
+                gone = _merged([(r["first"], r["last"] + length) for r in runs])
                 kept, done = [], 0
                 for lo, hi in gone:
                     kept.append(raw[done:lo])
@@ -226,14 +259,14 @@ def _cut(marked: DataFrame, length: int, with_text: bool) -> DataFrame:
                              hashlib.sha256(left).hexdigest(), left if with_text else None))
                 held += len(left) if with_text else 100
                 if held > 8_000_000 or k == batch.num_rows - 1:
-                    yield pack(rows, batch.column(5).slice(first, len(rows)))
+                    yield pack(rows, batch.column(4).slice(first, len(rows)))
                     rows, held, first = [], 0, k + 1
 
     def pack(rows: list[tuple], rest: pa.Array) -> pa.RecordBatch:
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
         return pa.RecordBatch.from_arrays([*columns, rest], names=names)
 
-    source = marked.select("doc_id", "text_hash", "text", "runs", "at", "rest")
+    source = marked.select("doc_id", "text_hash", "text", "gone", "rest")
     schema = T._parse_datatype_string(RESULT).add("rest", source.schema["rest"].dataType)
     return source.mapInArrow(run, schema)
 
@@ -247,27 +280,40 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, id_col: s
     """
     if not GRAM <= reach <= length:
         raise ValueError("reach must lie between the rolling hash's size and the length")
+    spark = docs.sparkSession
     source = _source(docs, id_col, text_col, list(rest))
-    marks = _marks(written(_parse(source, length, reach), "suffix-parse"))
-    per_doc = marks.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
-        F.collect_set(F.struct("status", "first", "last")).alias("runs"),
-        F.max(F.col("status") != "full").alias("looked_at"))
-    joined = source.join(per_doc, _same_document(source, per_doc), "left")
-    whole = F.col("runs").isNull()
-    joined = written(joined.select(
+    parse = written(_parse(source, length, reach), "suffix-parse")
+    per_doc = _per_document(_judged(parse))
+    whole = F.col("full").isNull()
+    documents = written(source.join(per_doc, _same_document(source, per_doc), "left").select(
         "doc_id", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"),
         F.when(whole, F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"),
-        F.when(~whole | F.lit(with_text), F.col("text")).alias("text"), "runs", "rest",
-        F.coalesce("looked_at", F.lit(False)).alias("looked_at")), "suffix-documents")
-
-    strings = written(_strings(joined, length), "suffix-strings")
-    twice = strings.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
-    again = (strings.filter("copies = 1").join(twice, ["h1", "h2"])
-             .groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"))
-             .agg(F.collect_set("at").alias("at")))
-    marked = joined.filter("runs IS NOT NULL")
-    cut = _cut(marked.join(again, _same_document(marked, again), "left"), length, with_text)
-    untouched = joined.filter("runs IS NULL").select(
+        F.when(~whole | F.lit(with_text), F.col("text")).alias("text"), "full", "open", "rest"),
+        "suffix-documents")
+    release(spark)
+
+    marked = documents.filter("full IS NOT NULL")
+    opened, found = marked.filter("size(open) > 0"), []
+    for block in BLOCKS:
+        runs = written(_blocks(opened, length, block), "suffix-blocks")
+        judged = _judged(runs)
+        found.append(judged.filter("copies = 1 AND status <> 'edge'").select(
+            "doc_id", "text_hash", "first", "last"))
+        further = _per_document(judged.filter("status <> 'full'")).select("d", "t", "open")
+        texts = marked.select("doc_id", "text_hash", "text")
+        opened = texts.join(further, _same_document(texts, further))
+        release(spark)
+
+    again = found[0]
+    for more in found[1:]:
+        again = again.unionByName(more)
+    again = again.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
+        F.collect_set(F.struct("first", "last")).alias("again"))
+    gone = marked.join(again, _same_document(marked, again), "left").withColumn(
+        "gone", F.concat("full", F.coalesce("again", F.array().cast(
+            "array<struct<first:int,last:int>>"))))
+    cut = _cut(gone, length, with_text)
+    untouched = documents.filter("full IS NULL").select(
         "doc_id", "text_hash", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), "kept_sha256",
         (F.col("text") if with_text else F.lit(None)).cast("binary").alias("kept"), "rest")
