@@ -3,9 +3,10 @@
 Pages are reduced to distinct (host, path shape) rows first: numbers, hex runs
 and mixed segments become wildcards, so every later step works on far fewer rows
 and a hot host is combined before any shuffle. The tree is then built from the
-root down. At each level a branch that can't be told from its siblings (its
-share of bad labels lies within ``Z`` standard errors of theirs taken together) is
-merged with them into one wildcard branch; a branch that differs stays. A node's
+root down. At each level a branch whose share of bad labels is larger than its
+siblings' by more than ``Z`` standard errors stays by itself; the others are compared
+among each other, and those that can't be told apart are merged into one
+wildcard branch. A node's
 badness is smoothed towards its parent's, as if ``WEIGHT`` labelled pages with the
 parent's share had been seen; templates at ``REJECT`` or above are blocked.
 
@@ -66,6 +67,25 @@ def _smooth(bad: str, labelled: str, prior: Column) -> Column:
     return (F.col(bad) + WEIGHT * prior) / (F.col(labelled) + WEIGHT)
 
 
+def _siblings(branches: DataFrame) -> DataFrame:
+    """Labels of all branches of a node together."""
+    return branches.groupBy("host", "template").agg(
+        F.sum("_l").alias("all_l"), F.sum("_b").alias("all_b"),
+        F.count(F.lit(1)).alias("branches"))
+
+
+def _differs(all_l: Column, all_b: Column) -> tuple[Column, Column]:
+    """(whether a branch's bad share differs from its siblings', whether it is larger):
+    two shares against ``Z`` standard errors of the pooled one."""
+    one = F.lit(1)
+    rest_l, rest_b = all_l - F.col("_l"), all_b - F.col("_b")
+    share = all_b / F.greatest(all_l, one)
+    error = F.sqrt(share * (1 - share) * (1 / F.greatest(F.col("_l"), one)
+                                          + 1 / F.greatest(rest_l, one)))
+    gap = F.col("_b") / F.greatest(F.col("_l"), one) - rest_b / F.greatest(rest_l, one)
+    return (F.col("_l") > 0) & (rest_l > 0) & (F.abs(gap) > Z * error), gap > 0
+
+
 def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """host, shape -> template and its smoothed badness.
 
@@ -90,21 +110,20 @@ def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
         level = level.withColumn("segment", F.coalesce(segment, F.lit("")))
         branch = level.groupBy("host", "template", "segment").agg(
             F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"))
-        whole = branch.groupBy("host", "template").agg(
-            F.sum("_l").alias("all_l"), F.sum("_b").alias("all_b"),
-            F.count(F.lit(1)).alias("branches"))
-        rest_l, rest_b = F.col("all_l") - F.col("_l"), F.col("all_b") - F.col("_b")
-        share = F.col("all_b") / F.greatest(F.col("all_l"), F.lit(1))
-        error = F.sqrt(share * (1 - share) * (1 / F.greatest(F.col("_l"), F.lit(1))
-                                              + 1 / F.greatest(rest_l, F.lit(1))))
-        gap = F.abs(F.col("_b") / F.greatest(F.col("_l"), F.lit(1))
-                    - rest_b / F.greatest(rest_l, F.lit(1)))
-        differs = (F.col("_l") > 0) & (rest_l > 0) & (gap > Z * error)
+        whole = _siblings(branch).withColumnsRenamed({"all_l": "tl", "all_b": "tb"})
+        judged = branch.join(whole, ["host", "template"])
+        differs, worse = _differs(F.col("tl"), F.col("tb"))
+        # Worse branches stand out first, so that they don't make their siblings look
+        # better than each other; the rest is compared among itself.
+        judged = judged.withColumn("worse", differs & worse)
+        rest = _siblings(judged.filter("NOT worse")).select("host", "template", "all_l", "all_b")
+        judged = judged.join(rest, ["host", "template"], "left")
+        apart, _ = _differs(F.col("all_l"), F.col("all_b"))
         # A template's end ('') and its trailing slash stay apart from deeper branches.
-        keeps = F.col("segment").isin("", "/") | (F.col("branches") == 1) | differs
-        choice = branch.join(whole, ["host", "template"]).select(
-            "host", "template", "segment",
-            F.when(keeps, F.col("segment")).otherwise(F.lit("*")).alias("merged"))
+        keeps = (F.col("segment").isin("", "/") | (F.col("branches") == 1)
+                 | F.col("worse") | F.coalesce(apart, F.lit(False)))
+        choice = judged.select("host", "template", "segment",
+                               F.when(keeps, F.col("segment")).otherwise(F.lit("*")).alias("merged"))
         level = level.join(choice, ["host", "template", "segment"])
         merged = level.groupBy("host", "template", "merged").agg(
             F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"),
