@@ -8,6 +8,7 @@ twice on the same silver gives identical gold tables (W11).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,14 +124,22 @@ def check_gold(dims: dict[str, DataFrame], fact: DataFrame) -> None:
     """Q1 to Q3 over the written tables of a version, before it is marked: unique ids and
     natural keys (a clash of two 64-bit ids is one kind of duplicate), no null
     keys, and every fact key with its dimension row. Raises ``CheckFailed``."""
+    checks = []
     for name, dim in dims.items():
-        require_not_null(dim, [f.name for f in GOLD[name].fields if not f.nullable], name)
-        require_unique(dim, ["id"], name)
+        must = [f.name for f in GOLD[name].fields if not f.nullable]
+        checks.append(lambda n=name, d=dim, m=must: require_not_null(d, m, n))
+        checks.append(lambda n=name, d=dim: require_unique(d, ["id"], n))
         if name in NATURAL_KEYS:
-            require_unique(dim, [NATURAL_KEYS[name]], name)
-    require_unique(dims["companydim"].filter("is_current"), ["cik"], "companydim (current)")
+            checks.append(lambda n=name, d=dim: require_unique(d, [NATURAL_KEYS[n]], n))
+    checks.append(lambda: require_unique(dims["companydim"].filter("is_current"), ["cik"],
+                                         "companydim (current)"))
     for fk, parent in FACT_PARENTS.items():
-        require_no_orphans(fact, fk, dims[parent], "id", "factfinancials")
+        checks.append(lambda k=fk, p=parent: require_no_orphans(fact, k, dims[p], "id",
+                                                                "factfinancials"))
+    # Independent small jobs: run side by side, like the writes of a version.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(check) for check in checks]:
+            done.result()
 
 
 def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str,

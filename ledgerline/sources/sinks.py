@@ -89,20 +89,20 @@ class Warehouse:
         return chain[-1] if chain else None
 
     def table(self, name: str, version: str | None = None) -> DataFrame:
+        return self._table(name, self.chain(version))
+
+    def _table(self, name: str, chain: list[str]) -> DataFrame:
         if name in self.views:
-            v = version or self.current_version()
-            parts = [self.table(p, v) for p in self.views[name]]
+            parts = [self._table(p, chain) for p in self.views[name]]
             out = parts[0]
             for part in parts[1:]:
                 out = out.unionByName(part)
             return out
         if name in self.append_only:
-            return self._appended(name, version or self.current_version())
-        if version is None:
-            version = self.current_version()
-        if version is None:
+            return self._appended(name, chain)
+        if not chain:
             raise FileNotFoundError(f"nothing published under {self.root}")
-        return self.read_staged(name, version)
+        return self.read_staged(name, chain[-1])
 
     def read_staged(self, name: str, version: str) -> DataFrame:
         """A snapshot table of a version that need not be published yet."""
@@ -120,11 +120,10 @@ class Warehouse:
             reader = reader.schema(self.schemas[name])
         return reader.parquet(self.delta_path(name, version))
 
-    def _appended(self, name: str, version: str | None) -> DataFrame:
-        """Union of the deltas of the chain of versions up to ``version``."""
+    def _appended(self, name: str, chain: list[str]) -> DataFrame:
+        """Union of the deltas of a chain of versions."""
         schema = self.schemas.get(name)
-        versions = [] if version is None else [
-            v for v in self.chain(version) if self._exists(self.delta_path(name, v))]
+        versions = [v for v in chain if self._exists(self.delta_path(name, v))]
         if not versions:
             if schema is None:
                 raise FileNotFoundError(f"no {name} published under {self.root}")
@@ -135,8 +134,8 @@ class Warehouse:
         return reader.parquet(*[self.delta_path(name, v) for v in versions])
 
     def tables(self, names: Sequence[str], version: str | None = None) -> dict[str, DataFrame]:
-        v = version or self.current_version()
-        return {n: self.table(n, v) for n in names}
+        chain = self.chain(version)
+        return {n: self._table(n, chain) for n in names}
 
     # --- writing ---------------------------------------------------------------
     def stage(self, version: str, tables: Mapping[str, DataFrame],
