@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import join_texts, rounded
 from ..functions.vectors import cosine_distance, literal_norm, ranking, vector_literal
+from ..schemas import vector_doc_schema
 from .dedup import keep_first
 
 
@@ -45,12 +46,15 @@ def publish_corpus(wh, corpus: DataFrame, facet: str = "form", name: str = "sear
     search prunes partitions. Rows whose vector length differs from ``dim``
     are not written; they are returned as the failure side (A7).
 
-    Returns (version, rejected rows).
+    With ``dim`` the table has the columns of ``schemas.vector_doc_schema``. Returns
+    (version, rejected rows).
     """
     from .quality import vector_length
 
     if dim is None:
         return wh.publish({name: corpus}, partition_by={name: [facet]}), corpus.limit(0)
+    wanted = [f.name for f in vector_doc_schema().fields if f.name in corpus.columns]
+    corpus = corpus.select(*wanted, *[c for c in corpus.columns if c not in wanted])
     ok = vector_length(corpus, vec_col, dim)
     version = wh.publish({name: corpus.filter(ok)}, partition_by={name: [facet]})
     return version, corpus.filter(~ok)

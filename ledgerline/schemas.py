@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
-    DateType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -113,23 +112,6 @@ GOLD = {
     "factfinancials": FACT,
 }
 
-# --- legacy shapes (own schemas, see README) ---------------------------------
-METRIC_DIM = _schema(
-    ("tag", StringType(), True),
-    ("version", StringType(), True),
-    ("tlabel", StringType(), True),
-    ("datatype", StringType(), True),
-    ("iord", StringType(), True),
-)
-CALENDAR_DIM = _schema(
-    ("date", StringType(), False),
-    ("year", IntegerType(), False),
-    ("month", IntegerType(), False),
-    ("day", IntegerType(), False),
-    ("quarter", IntegerType(), False),
-    ("fiscal_year", IntegerType(), True),
-)
-
 # --- search -----------------------------------------------------------------
 def vector_doc_schema(dim: int | None = None) -> StructType:
     """Search document; ``dim`` is checked by ``operators.quality.vector_length``."""
@@ -144,16 +126,4 @@ def vector_doc_schema(dim: int | None = None) -> StructType:
     )
 
 
-SEARCH_RESULT = _schema(
-    ("id", StringType(), False),
-    ("cik", StringType(), True),
-    ("name", StringType(), True),
-    ("form", StringType(), True),
-    ("distance", DoubleType(), True),
-)
-TOTALS_RESULT = _schema(
-    ("company_name", StringType(), True),
-    ("total_value", DoubleType(), True),
-)
 CHANGE_FIELDS = ("name", "form", "sic", "filing_summary")
-DATE_TYPE = DateType()

@@ -306,3 +306,27 @@ def test_no_local_scratch_on_a_cluster():
                               sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(cluster)
+
+
+def test_landing_and_text_tables(spark):
+    """CSV landed as parquet by trimmed header name; one (key, text) table."""
+    from ledgerline.schemas import TAG
+    from ledgerline.sources.delimited import land_csv_as_parquet
+    from ledgerline.sources.documents import write_texts
+    d = tempfile.mkdtemp(prefix="ll-land-")
+    with open(f"{d}/tag.csv", "w") as fh:
+        fh.write(" tag , tag_id,version\nCash,6,v1\nBad,x,v1\n")
+    rejects = land_csv_as_parquet(spark, f"{d}/tag.csv", f"{d}/tag.parquet", TAG)
+    assert rows(spark.read.parquet(f"{d}/tag.parquet"), "tag_id", "tag", "label") == [(6, "Cash", None)]
+    assert [r["record"] for r in rejects.collect()] == ["Bad,x,v1"]
+    with open(f"{d}/a.html", "w") as fh:
+        fh.write("<p>text</p>")
+    write_texts(document_texts(read_documents(spark, d, "*.html")), f"{d}/texts")
+    assert rows(spark.read.parquet(f"{d}/texts")) == [("a", "text")]
+
+
+def test_empty_reset(spark):
+    """A version of empty tables with the declared schemas."""
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-reset-"), GOLD)
+    wh.publish_empty(GOLD)
+    assert all(wh.table(n).count() == 0 and wh.table(n).columns == GOLD[n].fieldNames() for n in GOLD)
