@@ -38,7 +38,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import discard, written
+from ledgerline.operators.dedup import keep_first
 
 TRAIN_ROWS = 20_000
 LEXICON = 4_000
@@ -240,8 +241,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     sketch = F.array_min(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1))),
         lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(5)), " "))))
-    return (found.withColumn("w", words).withColumn("sketch", sketch).drop("w")
-            .dropDuplicates(["sketch", "toxic"]).drop("sketch"))
+    sketched = found.withColumn("w", words).withColumn("sketch", sketch).drop("w")
+    return keep_first(sketched, ["sketch", "toxic"], ["doc_id", "text"]).drop("sketch")
 
 
 def _count_terms(rows: DataFrame) -> DataFrame:
@@ -359,6 +360,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     counts = written(_count_terms(sample), "toxic-terms")
     model = _weights(counts, toxic, clean)
     seen = _figures_frame(sample, model, "toxic", "int").collect()  # at most ``rows`` rows
+    discard(sample, counts)
     y = np.array([r["toxic"] > 0 for r in seen], float)
     n = np.array([r["n"] for r in seen], float)
     count = np.array([[r[f"c{k}"] for k in range(4)] for r in seen])
