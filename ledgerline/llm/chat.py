@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import discard, written
 
 #: What stands for the characters that control strings are made of.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"), ("]", "&#93;"))
@@ -114,6 +114,7 @@ def tree(paths_: DataFrame) -> DataFrame:
                .sortWithinPartitions("path").select("node", "size"))
     places = written(ordered.mapInArrow(lay, "node string, part int, offset long"), "chat-places")
     laid = written(nodes.join(places, "node"), "chat-laid")
+    discard(nodes, places)
 
     above = laid.select("node", F.posexplode("path").alias("k", "up")).filter("up <> node")
     there = laid.select(F.col("node").alias("up"), "part", "offset", "size")

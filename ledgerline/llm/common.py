@@ -39,12 +39,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again.
 
     Cuts the lineage: if an executor is lost later, only tasks over the written
-    files run again.
+    files run again. ``discard`` removes the files once nothing reads them any more.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` has made."""
+    for table_ in tables:
+        drop_path(table_.sparkSession, table_.scratch_path)
 
 
 def release(spark: SparkSession) -> None:

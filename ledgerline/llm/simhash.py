@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerline.llm.common import text_hash, written
+from ledgerline.llm.common import discard, text_hash, written
 from ledgerline.llm.components import components
 
 SHINGLE = 3
@@ -236,6 +236,7 @@ def link(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
              .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
     links = written(_links(dealt, max_bits).distinct(), "simhash-links")
     found = components(links)
+    discard(crowded, links)
     return (named.join(found, named["node"] == found["node"], "left")
             .select(named["fp"], named["node"], F.coalesce("component", named["node"]).alias("root")))
 

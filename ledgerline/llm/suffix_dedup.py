@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerline.llm.common import release, row_slices, text_bytes, text_hash, written
+from ledgerline.llm.common import discard, release, row_slices, text_bytes, text_hash, written
 
 LENGTH = 400
 GRAM = 8
@@ -158,27 +158,31 @@ def _runs(doc_id, text_hash, pairs, trigger, first, last, copies) -> pa.RecordBa
 
 
 def _judged(runs: DataFrame) -> DataFrame:
-    """Runs whose core occurs twice, with ``status``:
+    """Of a written table of runs, which goes: those whose core occurs twice, with ``status``:
 
     'full': all strings are repeats; 'both': so, and the run stands for its span in the
     next step, because others share its core alone; 'edge': to be looked at closer.
     """
-    twice = runs.groupBy("core").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
+    # Written first, so that the join can split a core that many runs share.
+    twice = written(runs.groupBy("core").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n"),
+                    "suffix-twice")
     shared = written(runs.join(twice, "core"), "suffix-shared")
+    discard(twice, runs)
     release(runs.sparkSession)
     spans = shared.groupBy("core").agg(F.min("span").alias("s1"), F.max("span").alias("s2"))
     mixed_cores = written(spans.filter("s1 <> s2").select("core", F.lit(True).alias("mixed")),
                           "suffix-mixed")
     marked = shared.join(mixed_cores, "core", "left")
     place = F.struct("doc_id", "text_hash", "first")
-    equal = marked.filter("mixed").groupBy("core", "span").agg(
-        F.sum("copies").alias("n"), F.min(place).alias("stands"))
+    equal = written(marked.filter("mixed").groupBy("core", "span").agg(
+        F.sum("copies").alias("n"), F.min(place).alias("stands")), "suffix-equal")
     judged = marked.filter("mixed").join(equal, ["core", "span"]).withColumn(
         "status", F.when(F.col("n") == 1, "edge")
         .when(place.eqNullSafe(F.col("stands")), "both").otherwise("full"))
     columns = ["doc_id", "text_hash", "status", "trigger", "first", "last", "copies"]
     out = written(marked.filter("mixed IS NULL").withColumn("status", F.lit("full"))
                   .select(*columns).unionByName(judged.select(*columns)), "suffix-judged")
+    discard(shared, mixed_cores, equal)
     release(runs.sparkSession)
     return out
 
@@ -283,13 +287,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, id_col: s
     spark = docs.sparkSession
     source = _source(docs, id_col, text_col, list(rest))
     parse = written(_parse(source, length, reach), "suffix-parse")
-    per_doc = _per_document(_judged(parse))
+    first = _judged(parse)
+    per_doc = _per_document(first)
     whole = F.col("full").isNull()
     documents = written(source.join(per_doc, _same_document(source, per_doc), "left").select(
         "doc_id", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"),
         F.when(whole, F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"),
         F.when(~whole | F.lit(with_text), F.col("text")).alias("text"), "full", "open", "rest"),
         "suffix-documents")
+    discard(first)
     release(spark)
 
     marked = documents.filter("full IS NOT NULL")
@@ -320,7 +326,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, id_col: s
     return cut.unionByName(untouched)
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
     """``docs`` (columns doc_id and text) without the repeated bytes.
 
     A character of which a byte goes, goes whole. ``n_chars``, where there is such a
@@ -328,7 +334,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     others = tuple(c for c in docs.columns if c != "text")
     spare = docs.filter("text IS NULL")
-    found = repeats(docs.filter("text IS NOT NULL"), length, with_text=True, rest=others)
+    found = repeats(docs.filter("text IS NOT NULL"), length, reach, with_text=True,
+                    rest=others)
     # Cuts inside a character leave some of its bytes, which are not UTF-8 any more.
     text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")) \
         .otherwise(F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"),

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import discard, written
 
 DEPTH = 4
 Z = 1.96
@@ -105,6 +105,7 @@ def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
     hosts = hosts.select("host", _smooth("_b", "_l", F.lit(prior)).alias("badness"))
     level = (nodes.join(hosts, "host")
              .withColumns({"segments": F.split("shape", "\n", -1), "template": F.lit("")}))
+    written_before = nodes
     for k in range(DEPTH + 2):
         segment = F.get("segments", F.lit(k))
         level = level.withColumn("segment", F.coalesce(segment, F.lit("")))
@@ -139,6 +140,8 @@ def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
                      .otherwise(F.concat("template", F.lit("/"), "merged"))})
                  .select("host", "shape", "labelled", "bad", "segments", "template", "badness"))
         level = written(level, f"url-level{k}")
+        discard(written_before)
+        written_before = level
     return level.select("host", "shape", "template", "badness")
 
 
