@@ -18,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -27,10 +28,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerline.llm.common import row_slices
+
 MAX_LEN = 4096
 END_ID = 2
-#: Words whose ids one task remembers; beyond it the memory is cleared.
-CACHE_WORDS = 400_000
+#: Runs of a text that a Python worker remembers, twice.
+CACHE_WORDS = 300_000
+#: Texts of about so many bytes are taken at once.
+SLICE_BYTES = 1 << 20
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -56,29 +61,82 @@ def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
     return out
 
 
-class WordIds(dict):
-    """Ids of a run of bytes without ASCII white space, encoded on first use.
+class WordIds:
+    """Ids of texts, by way of their runs of bytes without ASCII white space.
 
-    The tokenizer drops white space and its pattern never spans it, so a text's
-    ids are those of its runs, one after the other.
+    The tokenizer drops white space and its pattern never spans it, so a text's ids are
+    those of its runs, one after the other. Most runs are a word and some punctuation,
+    which the pattern takes apart as well, and case is folded: such a run has the ids
+    of its word in lower case and those of its punctuation. Both runs and words are
+    remembered, packed as little-endian 32-bit ids, in two generations of
+    ``CACHE_WORDS``: when the younger one is full, it becomes the older one, so memory is
+    bounded and what is in use stays. Unknown words are encoded many at a time; as
+    each is one piece of the pattern, its ids end at an end-of-word token.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> list[int]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        if len(word) <= 64:
-            self[word] = ids
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
+                        "<u4")
+
+    def _known(self, run: bytes) -> bytes | None:
+        ids = self.young.get(run)
+        if ids is None and (ids := self.old.get(run)) is not None:
+            self.young[run] = ids
         return ids
 
-    def ids(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().split()
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.uint32)
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Words of letters alone."""
+        for k in range(0, len(words), 512):
+            part = words[k:k + 512]
+            ids = self._encode(b" ".join(part).decode())
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                data = ids.tobytes()
+                for word, lo, hi in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
+                    self.young[word] = data[4 * lo:4 * hi]
+            else:  # a tokenizer whose words don't end so
+                for word in part:
+                    self.young[word] = self._encode(word.decode()).tobytes()
+
+    def _learn(self, runs: list[bytes]) -> None:
+        parts, words = {}, []
+        for run in runs:
+            if found := _WORD.fullmatch(run.decode()):
+                parts[run] = word, _ = found[1].lower().encode(), found[2].encode()
+                words.append(word)
+            else:
+                self.young[run] = self._encode(run.decode()).tobytes()
+        self._learn_words([w for w in dict.fromkeys(words) if self._known(w) is None])
+        for run, (word, tail) in parts.items():
+            if tail and self._known(tail) is None:
+                self.young[tail] = self._encode(tail.decode()).tobytes()
+            self.young[run] = self.young[word] + (self.young[tail] if tail else b"")
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The packed ids of each text."""
+        split = [t.split() for t in texts]
+        self._learn([run for run in set(chain.from_iterable(split)) if self._known(run) is None])
+        for runs in split:
+            yield b"".join(map(self.young.__getitem__, runs))
+        if len(self.young) >= CACHE_WORDS:
+            self.old, self.young = self.young, {}
+
+
+#: Letters whose lower case is one letter again and that don't combine, then punctuation
+#: without apostrophes: two pieces of the tokenizer's pattern.
+_WORD = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
+
+#: One memory for each Python worker, which Spark uses for many tasks.
+_WORDS: dict[str, WordIds] = {}
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -93,34 +151,38 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     fields = [f for f in PIECES if with_ids or f.name != "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        if tokenizer_path not in _WORDS:
+            _WORDS[tokenizer_path] = WordIds(tokenizer_path)
+        words = _WORDS[tokenizer_path]
+        end = int(end_id).to_bytes(4, "little")
         sequence = TaskContext.get().partitionId() << 40
-        rows: dict[str, list] = {f.name: [] for f in fields}
-        held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(words.ids(text.as_py()), np.uint32(end_id)).astype("<u4")
-                start = 0
-                for n in piece_lengths(len(ids), max_len):
-                    piece = ids[start:start + n]
-                    values = {"doc_id": doc_id, "start": start, "length": n,
-                              "ids_crc32": zlib.crc32(piece.tobytes()), "doc_tokens": len(ids),
-                              "sequence_id": sequence, "offset": 0, "bucket": n.bit_length() - 1}
-                    if with_ids:
-                        values["ids"] = piece.astype(np.int64)
-                    for k, v in values.items():
-                        rows[k].append(v)
-                    start, sequence, held = start + n, sequence + 1, held + (n if with_ids else 8)
-                if held > 500_000:
-                    yield flush(rows)
-                    rows, held = {f.name: [] for f in fields}, 0
-        if rows["doc_id"]:
-            yield flush(rows)
+            for part in row_slices(batch, 1, SLICE_BYTES):
+                rows: dict[str, list] = {f.name: [] for f in fields}
+                texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column(1)]
+                for doc_id, ids in zip(part.column(0).to_pylist(), words.ids(texts)):
+                    ids += end
+                    total, start = len(ids) // 4, 0
+                    for n in piece_lengths(total, max_len):
+                        piece = ids[4 * start:4 * (start + n)]
+                        values = (doc_id, start, n, piece, zlib.crc32(piece), total, sequence, 0,
+                                  n.bit_length() - 1)
+                        for f, v in zip(PIECES, values):
+                            if f.name in rows:
+                                rows[f.name].append(v)
+                        start, sequence = start + n, sequence + 1
+                yield flush(rows)
 
     def flush(rows: dict[str, list]) -> pa.RecordBatch:
-        kinds = {"ids": pa.list_(pa.int64()), "bucket": pa.int32()}
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()], names=list(rows))
+        columns = []
+        for name, values in rows.items():
+            if name == "ids":
+                flat = np.frombuffer(b"".join(values), "<u4").astype(np.int64)
+                ends = np.concatenate([[0], np.cumsum(rows["length"], dtype=np.int64)])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
+            else:
+                columns.append(pa.array(values, pa.int32() if name == "bucket" else pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, names=list(rows))
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, T.StructType(fields))
@@ -129,7 +191,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 def padding_report(pieces: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     """Per bucket: sequences, tokens and padded tokens (none, by construction)."""
     return (pieces.groupBy("bucket")
-            .agg(F.countDistinct("sequence_id").alias("sequences"),
+            .agg(F.count(F.lit(1)).alias("sequences"),
                  F.sum("length").alias("tokens"))
             .withColumn("padding", F.col("sequences") * F.expr("shiftleft(1L, bucket)")
                         - F.col("tokens")))

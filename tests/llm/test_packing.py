@@ -39,7 +39,8 @@ def test_ids_of_runs_are_the_ids_of_the_text(text):
     from tokenizers import Tokenizer
     words = _WORDS.setdefault("w", packing.WordIds(word_tokenizer()))
     full = _WORDS.setdefault("t", Tokenizer.from_file(word_tokenizer()))
-    assert words.ids(text).tolist() == full.encode(text, add_special_tokens=False).ids
+    got = np.frombuffer(next(iter(words.ids([text.encode()]))), "<u4")
+    assert got.tolist() == full.encode(text, add_special_tokens=False).ids
 
 
 _WORDS = {}
@@ -64,6 +65,16 @@ def test_round_trip_of_edge_rows(docs, tokenizer):
     assert {k: sorted(v) for k, v in texts.items()} == {k: sorted(v) for k, v in want.items()}
 
 
+def test_memory_is_bounded_and_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 10)
+    words = packing.WordIds(word_tokenizer())
+    for k in range(20):
+        texts = [f"word{k} word{j} § |{j}| <|endoftext|>" for j in range(6)]
+        for text, ids in zip(texts, words.ids([t.encode() for t in texts])):
+            assert np.frombuffer(ids, "<u4").tolist() == whole(tokenizer, text)[:-1]
+        assert len(words.young) + len(words.old) < 120
+
+
 def test_no_padding_and_no_rows(docs, no_docs):
     assert {r["padding"] for r in packing.padding_report(
         packing.pack(docs, word_tokenizer())).collect()} == {0}
