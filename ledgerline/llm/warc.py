@@ -1,10 +1,12 @@
 """WARC archives: writer with revisit records, and a salvage reader.
 
-Writing is a plain Spark write: each page becomes one record as a string, and
-the text writer ends every record with the blank lines the format asks for.
-``records_per_file`` bounds an archive, so that a reader task holds a few
+Writing is a plain Spark write: each page becomes one record, gzipped as a member
+of its own, so that damage to one record leaves the others readable; without
+compression the text writer ends every record with the blank lines the format
+asks for. ``records_per_file`` bounds an archive, so that a reader task holds a few
 archives at most. Reading goes through ``binaryFile`` and works on any store
 Spark reads, with archives plain or gzipped, one member a record or one a file.
+In a member that holds many records, nothing behind its damage can be unpacked.
 
 The salvage reader checks every record: version line, header block, declared
 length, closing blank lines and block digest. After a failed check it searches
@@ -91,10 +93,42 @@ def record_text(date: str = DATE) -> Column:
     return F.concat(*header, block)
 
 
+def _member(record: bytes) -> bytes:
+    """A gzip member of one record; its last byte is zero.
+
+    A member ends with its text's length, whose last byte is zero below 16 MB;
+    behind a longer one an empty member follows.
+    """
+    out = zlib.compress(record, wbits=31)
+    return out if out.endswith(b"\0") else out + zlib.compress(b"", wbits=31)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gzip members of the records, without the zero that ends each."""
+    end = END.encode()
+    for batch in batches:
+        out, held = [], 0
+        for record in batch.column(0):
+            out.append(_member(record.as_buffer().to_pybytes() + end)[:-1])
+            held += len(out[-1])
+            if held > 8_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+
 def write_archives(pages: DataFrame, path: str, compression: str = "gzip",
                    records_per_file: int = RECORDS_PER_FILE, **cols) -> None:
-    (plan_records(pages, **cols).select(record_text().alias("value"))
-     .write.option("lineSep", END).option("compression", compression)
+    """Archives of the pages; ``gzip`` packs record by record, other codecs by file."""
+    records = plan_records(pages, **cols).select(record_text().alias("value"))
+    end = END
+    if compression == "gzip":
+        # The text writer passes bytes on as they are; the zero that it adds ends the member.
+        records = records.mapInArrow(_members, "value binary").select(
+            F.col("value").cast("string"))
+        compression, end = "none", "\0"
+    (records.write.option("lineSep", end).option("compression", compression)
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
@@ -180,33 +214,36 @@ def salvage_plain(data: bytes) -> Iterator[dict]:
         yield {"kind": "gap", "offset": good, "length": len(data) - good, "reason": why}
 
 
-def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of an archive, gzipped or plain.
+def _unpack(data: bytes, at: int) -> tuple[bytes, str, int]:
+    """(text, why it ends early, end) of the member at ``at``.
 
-    Offsets count bytes of the file; inside a gzip member, of the member's text,
-    with the member's own offset in ``member``.
+    Unpacking stops at damage; all that comes out ahead of it is kept.
     """
-    if not data.startswith(b"\x1f\x8b") and b"\nWARC/" not in data[:1 << 16] \
-            and not data.startswith(b"WARC/") and b"\x1f\x8b\x08" in data:
-        first = data.find(b"\x1f\x8b\x08")
-    else:
-        first = 0
-    if not data.startswith(b"\x1f\x8b", first):
-        yield from salvage_plain(data)
-        return
+    unpack, text, fed = zlib.decompressobj(31), [], at
+    try:
+        while fed < len(data) and not unpack.eof:
+            text.append(unpack.decompress(data[fed:fed + 4096]))
+            fed = min(fed + 4096, len(data))
+    except zlib.error as e:
+        # The failing step gave nothing: once more, byte by byte.
+        again = zlib.decompressobj(31)
+        text = [again.decompress(data[at:fed])]
+        try:
+            while True:
+                text.append(again.decompress(data[fed:fed + 1]))
+                fed += 1
+        except zlib.error:
+            return b"".join(text), f"member is damaged: {e}"[:80], fed
+    return (b"".join(text), "" if unpack.eof else "member is cut off",
+            fed - len(unpack.unused_data))
+
+
+def _salvage_members(data: bytes, first: int) -> Iterator[dict]:
+    """Records and gaps of gzip members, the first at ``first`` or later."""
     at, good, why = first, 0, "no member"
     while 0 <= at < len(data):
-        unpack, text, ended, fed = zlib.decompressobj(31), [], "", at
-        try:
-            # Small steps: what comes out ahead of any damage is kept.
-            while fed < len(data) and not unpack.eof:
-                text.append(unpack.decompress(data[fed:fed + 4096]))
-                fed = min(fed + 4096, len(data))
-            if not unpack.eof:
-                ended = "member is cut off"
-        except zlib.error as e:
-            ended = f"member is damaged: {e}"[:80]
-        rows = list(salvage_plain(b"".join(text)))
+        text, ended, after = _unpack(data, at)
+        rows = list(salvage_plain(text))
         if ended and not any(r["kind"] == "record" for r in rows):
             why, at = ended, data.find(b"\x1f\x8b\x08", at + 1)
             continue
@@ -218,14 +255,34 @@ def salvage(data: bytes) -> Iterator[dict]:
             after = data.find(b"\x1f\x8b\x08", at + 1)
             after = len(data) if after < 0 else after
             yield {"kind": "gap", "offset": at, "length": after - at, "reason": ended}
-        else:
-            after = fed - len(unpack.unused_data)
         good, why = after, "bytes after a member"
         at = after if data.startswith(b"\x1f\x8b", after) else data.find(b"\x1f\x8b\x08", after)
     if good < len(data):
         yield {"kind": "gap", "offset": good, "length": len(data) - good, "reason": why}
 
 
+def salvage(data: bytes) -> Iterator[dict]:
+    """Records and gaps of an archive, gzipped or plain.
+
+    Offsets count bytes of the file; inside a gzip member, of the member's text,
+    with the member's own offset in ``member``. A file that begins with neither a
+    member nor a version line is read both ways if it holds a member's mark
+    anywhere, and the way that finds more records counts. A record of a damaged
+    member is kept if it passes its own checks; the member is logged as a gap too, as
+    the damage may lie in the record's header, which has no digest.
+    """
+    if data.startswith(b"\x1f\x8b"):
+        yield from _salvage_members(data, 0)
+        return
+    first = -1 if data.startswith(b"WARC/") else data.find(b"\x1f\x8b\x08")
+    if first < 0:
+        yield from salvage_plain(data)
+        return
+    plain, packed = list(salvage_plain(data)), list(_salvage_members(data, first))
+    records = lambda rows: sum(r["kind"] == "record" for r in rows)
+    yield from packed if records(packed) > records(plain) else plain
+
+
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """``RECORD_SCHEMA`` rows: every record that passes, and every gap."""
     names = [f.strip().split(" ")[0] for f in RECORD_SCHEMA.split(",")]

@@ -127,6 +127,62 @@ def test_gaps_are_logged_by_the_reader(spark, pages, archive):
     assert b"x" * 200000 in texts
 
 
+def packed(spark, count=60):
+    """What write_archives writes by default, as one file of ``count`` records."""
+    path = tempfile.mkdtemp(prefix="ll-warc-") + "/a"
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"<p>{k}</p>" + hashlib.sha512(b"%d" % k).hexdigest() * 9)
+                                   for k in range(count)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), path)
+    return bytes(spark.read.format("binaryFile").load(path).select("content").collect()[0]["content"])
+
+
+def test_damage_of_default_archives_costs_only_the_records_it_touches(spark):
+    count = 60
+    data = packed(spark, count)
+    assert gzip.decompress(data).count(b"WARC/1.0\r\n") == count
+    whole = list(warc.salvage(data))
+    assert [r["kind"] for r in whole] == ["record"] * count  # no gaps between members
+    ids = {r["record_id"] for r in whole}
+    starts = [r["member"] for r in whole] + [len(data)]
+    for share in range(0, 100, 3):
+        for size in (1, 512):
+            lo = len(data) * share // 100
+            broken = bytearray(data)
+            for at in range(lo, min(lo + size, len(data))):
+                broken[at] ^= 0x55
+            hit = {r["record_id"] for r, a, b in zip(whole, starts, starts[1:]) if a < lo + size and b > lo}
+            rows = list(warc.salvage(bytes(broken)))
+            got = [r["record_id"] for r in rows if r["kind"] == "record"]
+            assert ids - hit <= set(got) and len(got) <= count
+            assert len(set(got) - ids) <= len(hit)  # a hit header has no digest of its own
+            if size > 1:
+                assert any(r["kind"] == "gap" for r in rows)
+    cut = list(warc.salvage(data[:starts[30] + 20]))
+    assert sum(r["kind"] == "record" for r in cut) == 30 and cut[-1]["kind"] == "gap"
+
+
+def test_records_ahead_of_damage_in_one_member_are_kept(archive):
+    small = b"".join(archive[r["offset"]:r["offset"] + r["length"]] for r in warc.salvage(archive)
+                     if r["length"] < 3000)
+    total = len(list(warc.salvage(small)))
+    whole = bytearray(gzip.compress(small, 9))
+    assert len(whole) < 4096 and total > 5
+    whole[-20:-8] = b"\xff" * 12  # near the end of the first step
+    rows = [r for r in warc.salvage(bytes(whole)) if r["kind"] == "record"]
+    assert len(rows) >= total - 2
+
+
+def test_large_records_end_their_member_with_a_zero():
+    big = bytes(1 << 24) + b"end"
+    assert warc._member(big).endswith(b"\0") and gzip.decompress(warc._member(big)) == big
+
+
+def test_late_version_line_of_a_plain_archive(archive):
+    junk = b"\x1f\x8b\x08 no member " + b"j" * (1 << 17) + b"\n"
+    found = [r for r in warc.salvage(b"x" + junk + archive) if r["kind"] == "record"]
+    assert len(found) == len(PAGES)
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(none).count() == 0
