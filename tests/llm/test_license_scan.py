@@ -59,3 +59,48 @@ def test_per_document_and_empty_table(spark, no_docs):
            ls.per_document(ls.scan(documents(spark, rows))).collect()}
     assert got == {1: ("Apache-2.0,MIT", 2, 1.0), 2: ("", 0, 0.0)}
     assert ls.scan(no_docs).count() == 0
+
+
+def licenses(spark, texts):
+    found = ls.per_document(ls.scan(documents(spark, list(enumerate(texts)))))
+    return [r["licenses"] for r in sorted(found.collect())]
+
+
+def edited(text, every):
+    """One word in ``every`` changed, other case and line breaks, text around it."""
+    words = [f"edit{i}" if i % every == every - 1 else w for i, w in enumerate(text.lower().split())]
+    return "Copyright 2024 somebody\n" + "\n * ".join(
+        " ".join(words[i:i + 9]) for i in range(0, len(words), 9)) + "\nmain() {}"
+
+
+def test_whole_texts_and_headers_with_edits(spark):
+    names = [name for name in ls.FORMS if len(ls.template_shingles(ls.FORMS[name])) > 60]
+    want = [ls.license_of(name) for name in names]
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0",
+            "LGPL-2.1", "MPL-2.0"} <= set(want)
+    for every in (10 ** 9, 40):
+        got = licenses(spark, [edited(ls.FORMS[name], every) for name in names])
+        for name, license_, found in zip(names, want, got):
+            assert license_ in found.split(","), (name, found)
+            if license_ in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "Zlib"):
+                assert found == license_
+    assert licenses(spark, [edited(ls.FORMS["GPL-3.0:header"], 10 ** 9),
+                            edited(ls.FORMS["GPL-2.0:header"], 10 ** 9)]) == ["GPL-3.0", "GPL-2.0"]
+
+
+def test_short_notices_and_spdx_tags(spark):
+    texts = ["x. Licensed under the MIT License, see file", "// SPDX-License-Identifier: MIT\ncode",
+             "# spdx-license-identifier: (apache-2.0 OR GPL-2.0-only WITH Classpath-exception-2.0)\n",
+             "/* SPDX-License-Identifier: LGPL-2.1-or-later AND X11 */ and more words",
+             "no SPDX tag", "<!-- SPDX-License-Identifier: GPL-2.0+ -->", ""]
+    assert licenses(spark, texts) == ["MIT", "MIT", "Apache-2.0,GPL-2.0", "LGPL-2.1,X11", "",
+                                      "GPL-2.0", ""]
+
+
+def test_keys_survive_whatever_a_match_may_lack():
+    for text in ls.TEMPLATES.values():
+        shingles = ls.template_shingles(text)
+        keys = ls.keys_for(shingles, ls.MIN_CONTAINMENT)
+        lacking = sum((len(shingles) - k) / len(shingles) >= ls.MIN_CONTAINMENT
+                      for k in range(1, len(shingles) + 1))
+        assert len(keys) == len(shingles) or len(keys) > lacking
