@@ -20,7 +20,7 @@ No pair is lost and no group is unbounded: a meeting place with more than
 ``CROWDED`` fingerprints is dealt out again over finer groups (``FINE_BLOCKS``),
 which fix all but 12 bits, so at most 4096 distinct fingerprints meet there.
 Within a place, links are reduced to one link per fingerprint to the smallest
-document it reaches there, so copies and near copies are never expanded into pairs.
+fingerprint it reaches there, so copies and near copies are never expanded into pairs.
 
 Defined results: null, empty or wordless texts have fingerprint zero, linked like
 any other; repeated rows share their component; a null id stands in a component
@@ -53,8 +53,6 @@ FINE_BLOCKS = 8
 #: Shingles hashed at once, so a long text needs no more memory than a short one.
 CHUNK = 1 << 16
 PIVOTS = 48
-#: Names from here on stand for fingerprints without any document id.
-NO_ID = 1 << 62
 
 
 # --- fingerprints -------------------------------------------------------------------
@@ -182,13 +180,13 @@ def _spanning(place: np.ndarray, fp: np.ndarray, node: np.ndarray, pivots: np.nd
 
 
 def _links(met: DataFrame, max_bits: int) -> DataFrame:
-    """Links of rows (mask, key, fp, node); a place holds few enough rows for one task."""
+    """Links of rows (mask, key, fp); a place holds few enough rows for one task."""
     pivots = _pivots()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            now = [np.asarray(batch.column(i)) for i in range(4)]
+            now = [np.asarray(batch.column(i)) for i in range(3)]
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now)]
             n = len(now[0])
@@ -204,41 +202,46 @@ def _links(met: DataFrame, max_bits: int) -> DataFrame:
             yield found(held)
 
     def found(cols: list[np.ndarray]) -> pa.RecordBatch:
-        mask, key, fp, node = cols
+        mask, key, fp = cols
         new = np.concatenate([[True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])])
-        a, b = _spanning(np.cumsum(new), fp.view(np.uint64), node, pivots, max_bits)
+        a, b = _spanning(np.cumsum(new), fp.view(np.uint64), fp, pivots, max_bits)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                           names=["a", "b"])
 
-    dealt = (met.select("mask", "key", "fp", "node").repartition("mask", "key")
+    dealt = (met.select("mask", "key", "fp").repartition("mask", "key")
              .sortWithinPartitions("mask", "key", "fp"))
     return dealt.mapInArrow(run, "a long, b long")
 
 
 def link(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """fp, node, root: each distinct fingerprint's own name and its component's.
+    """fp, node, component, root: each distinct fingerprint and its component.
 
-    A name is the smallest document id; a fingerprint, or component, of null ids
-    alone has a name of ``NO_ID`` or more.
+    The graph's nodes are the fingerprints. ``component`` is the smallest one reached;
+    ``node`` and ``root`` are the smallest document ids of the fingerprint and of the
+    component, null where all ids are. Components that share an id stay apart.
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the meeting places are built for at most {MAX_BITS} bits")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    named = classes.withColumn("node", F.coalesce(
-        "node", F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(NO_ID))))
-    met = _meet(named)
+    met = _meet(classes.select("fp"))
     crowded = written(met.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"))
                       .filter(F.col("n") > 1), "simhash-places")
     fine = F.create_map(*[x for m in COARSE for x in (F.lit(_signed(m)).cast("long"),
                                                       _masks(_fine(m)))])
     places = F.when(F.col("n") > CROWDED, fine[F.col("mask")]).otherwise(F.array("mask"))
-    dealt = (met.join(crowded, ["mask", "key"]).select("fp", "node", F.explode(places).alias("mask"))
+    dealt = (met.join(crowded, ["mask", "key"]).select("fp", F.explode(places).alias("mask"))
              .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
     links = written(_links(dealt, max_bits).distinct(), "simhash-links")
-    found = components(links)
+    found = components(links).withColumnRenamed("node", "fp")
     discard(crowded, links)
-    return (named.join(found, named["node"] == found["node"], "left")
-            .select(named["fp"], named["node"], F.coalesce("component", named["node"]).alias("root")))
+    # Fingerprints without links name themselves; only the others meet their component's label.
+    linked = written(classes.join(found, "fp", "left"), "simhash-linked")
+    labels = (linked.filter("component IS NOT NULL").groupBy("component")
+              .agg(F.min("node").alias("label")))
+    alone = linked.filter("component IS NULL").select(
+        "fp", "node", F.col("fp").alias("component"), F.col("node").alias("root"))
+    return linked.join(labels, "component").select(
+        "fp", "node", "component", F.col("label").alias("root")).unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE,
@@ -248,7 +251,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
     classes = link(prints, max_bits)
     return (prints.join(classes.select("fp", "root"), "fp", "left")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                    F.when(F.col("root") < NO_ID, F.col("root")).alias("component_id")))
+                    F.col("root").alias("component_id")))
 
 
 
@@ -256,15 +259,17 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE) ->
     """Of each component one row of ``docs`` (columns doc_id and text): that of the smallest id.
 
     Only ids and hashes travel until the keepers are known; then each text is moved
-    once, to meet its id. Where that id stands on several rows of the component, the
-    one with the smallest hash of its text, then of its row, stays; a component of
-    null ids keeps one row by the same order.
+    once, to meet its id and hash. Where that id stands on several rows of the component,
+    the one with the smallest hash of its text, then of its row, stays; a component of
+    null ids keeps one row by the same order. Unlike texts under one id are of different
+    components and stay.
     """
     prints = written(fingerprints(docs, size=size), "simhash-prints")
-    roots = link(prints, max_bits).filter(F.col("node") == F.col("root")).select("fp", "root")
-    keepers = (prints.join(roots, "fp").filter(F.coalesce("doc_id", "root") == F.col("root"))
-               .groupBy("root").agg(F.min("text_hash").alias("_keep_hash"),
-                                    F.max("doc_id").alias("_keep_id")).drop("root"))
+    roots = (link(prints, max_bits).filter(F.col("node").eqNullSafe(F.col("root")))
+             .select("fp", "component", "root"))
+    keepers = (prints.join(roots, "fp").filter(F.col("doc_id").eqNullSafe(F.col("root")))
+               .groupBy("component").agg(F.min("text_hash").alias("_keep_hash"),
+                                         F.max("doc_id").alias("_keep_id")).drop("component"))
     met = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col("_keep_id"))
                     & (text_hash(docs["text"]) == F.col("_keep_hash")))
     plain = [docs[c] for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]

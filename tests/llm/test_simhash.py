@@ -81,6 +81,26 @@ def test_keep_one_row_of_each_component(spark, docs):
     assert kept.filter("text = 'a row without an id, kept all the same'").count() == 1
 
 
+def test_unlike_texts_under_one_id_stay_apart(spark, docs):
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect()]
+    assert sorted(t for i, t in kept if i == 9) == ["other", "same id, another text"]
+    hot = [(0, f"text {i} of words {i * 7} all {i * 13} its own {i * 31}") for i in range(50)]
+    rows = hot + [(7, hot[3][1]), (8, "apart from them"), (0, hot[5][1])]
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(documents(spark, rows)).collect())
+    prints = [slow_fingerprint(t) for _, t in hot] + [slow_fingerprint("apart from them")]
+    groups = slow_components(list(enumerate(prints)))
+    assert len(kept) == len(set(groups)) > 40 and all(i in (0, 8) for i, _ in kept)
+
+
+def test_a_shared_id_does_not_join_components(spark):
+    values = [0, (1 << 20) - 1, (1 << 40) - 1, (1 << 40) - 1 ^ 1]
+    frame = spark.createDataFrame([(5, values[0]), (5, values[1]), (9, values[1]), (5, values[2]),
+                                   (2, values[3])], "doc_id long, fp long")
+    got = {r["fp"]: (r["component"], r["root"]) for r in simhash.link(frame).collect()}
+    assert len({c for c, _ in got.values()}) == 3
+    assert [got[v][1] for v in values] == [5, 5, 2, 2]  # before: 2 for all
+
+
 def test_copies_are_not_expanded(spark):
     same = documents(spark, [(i, "the very same words in every one of these") for i in range(300)])
     out = simhash.near_duplicates(same)
