@@ -10,7 +10,9 @@ wildcard branch. A node's
 badness is smoothed towards its parent's, as if ``WEIGHT`` labelled pages with the
 parent's share had been seen; templates at ``REJECT`` or above are blocked.
 
-Segments below ``DEPTH`` levels fall under one tail wildcard.
+Every segment is a level: levels go on until no page has a further segment. A shape
+that is alone under its node has no siblings left to differ from, so its
+remaining segments are walked at once; a long path by itself costs no further level.
 
 Only DataFrame functions. No window or list per host: branch and sibling figures
 are sums joined back, and every level is written to the shared folder.
@@ -23,10 +25,14 @@ twice; without labels the method allows everything.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.llm.common import discard, written
 
+#: Segments that ``shape`` shows unless told otherwise; the tree takes all of them.
 DEPTH = 4
 Z = 1.96
 WEIGHT = 5.0
@@ -46,8 +52,9 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def shape(path: Column) -> Column:
-    """The path's segments with variable parts generalised, at most DEPTH and a tail."""
+def shape(path: Column, depth: int | None = DEPTH) -> Column:
+    """The path's segments with variable parts generalised, at most ``depth`` and a tail
+    (None: all of them)."""
     kind = lambda s: (
         F.when(s.rlike(r"^\d+$"), F.lit("{n}"))
         .when(s.rlike(r"^\d+\.\w+$"), F.concat(F.lit("{n}."), F.regexp_extract(s, r"\.(\w+)$", 1)))
@@ -55,9 +62,12 @@ def shape(path: Column) -> Column:
         .when(s.rlike(r"\d"), F.regexp_replace(s, r"\d+", "{n}"))
         .otherwise(s))
     segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    top = F.transform(F.slice(segments, 1, DEPTH), kind)
-    tail = F.when(F.size(segments) > DEPTH, F.array(F.lit("{tail}"))).otherwise(
-        F.array().cast("array<string>"))
+    if depth is None:
+        top, tail = F.transform(segments, kind), F.array().cast("array<string>")
+    else:
+        top = F.transform(F.slice(segments, 1, depth), kind)
+        tail = F.when(F.size(segments) > depth, F.array(F.lit("{tail}"))).otherwise(
+            F.array().cast("array<string>"))
     slash = F.when(path.endswith("/"), F.array(F.lit("/"))).otherwise(
         F.array().cast("array<string>"))
     return F.array_join(F.concat(top, tail, slash), "\n")
@@ -105,8 +115,8 @@ def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
     hosts = hosts.select("host", _smooth("_b", "_l", F.lit(prior)).alias("badness"))
     level = (nodes.join(hosts, "host")
              .withColumns({"segments": F.split("shape", "\n", -1), "template": F.lit("")}))
-    written_before = nodes
-    for k in range(DEPTH + 2):
+    done = []
+    for k in count():
         segment = F.get("segments", F.lit(k))
         level = level.withColumn("segment", F.coalesce(segment, F.lit("")))
         branch = level.groupBy("host", "template", "segment").agg(
@@ -128,8 +138,8 @@ def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
         level = level.join(choice, ["host", "template", "segment"])
         merged = level.groupBy("host", "template", "merged").agg(
             F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"),
-            F.max("badness").alias("parent"))
-        merged = merged.select("host", "template", "merged",
+            F.max("badness").alias("parent"), F.count(F.lit(1)).alias("shapes"))
+        merged = merged.select("host", "template", "merged", "shapes",
                                F.when(F.col("merged") == "", F.col("parent"))
                                .otherwise(_smooth("_b", "_l", F.col("parent"))).alias("next"))
         level = (level.join(merged, ["host", "template", "merged"])
@@ -138,11 +148,23 @@ def template_tree(pages: DataFrame, labels: DataFrame) -> DataFrame:
                      "template": F.when(F.col("merged") == "", F.col("template"))
                      .when(F.col("merged") == "/", F.concat("template", F.lit("/")))
                      .otherwise(F.concat("template", F.lit("/"), "merged"))})
-                 .select("host", "shape", "labelled", "bad", "segments", "template", "badness"))
-        level = written(level, f"url-level{k}")
-        discard(written_before)
-        written_before = level
-    return level.select("host", "shape", "template", "badness")
+                 .select("host", "shape", "labelled", "bad", "segments", "template", "badness",
+                         # The level after its last segment compares where a path ends.
+                         ((F.size("segments") > k) & (F.col("shapes") > 1)).alias("open")))
+        rest = F.filter(F.slice("segments", k + 2, F.size("segments")), lambda x: x != "")
+        last = F.aggregate(rest, F.col("badness"), lambda b, _: (F.col("bad") + WEIGHT * b)
+                           / (F.col("labelled") + WEIGHT))
+        path = F.aggregate(rest, F.col("template"), lambda t, x: F.when(
+            x == "/", F.concat(t, F.lit("/"))).otherwise(F.concat(t, F.lit("/"), x)))
+        step = written(level, f"url-level{k}")
+        done.append(step.filter("NOT open").select(
+            "host", "shape", path.alias("template"), last.alias("badness")))
+        if k == 0:
+            discard(nodes)
+        level = step.filter("open").drop("open")
+        if level.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, done)
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -163,7 +185,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, id_col: str = "page_
     url = F.coalesce(F.col(url_col), F.lit(""))
     base = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"),
                         path_of(url).alias("path"))
-    base = base.withColumn("shape", shape(F.col("path")))
+    base = base.withColumn("shape", shape(F.col("path"), depth=None))
     tree = template_tree(base.select("page_id", "host", "shape"), labels)
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("badness") >= REJECT, "block").otherwise("allow")

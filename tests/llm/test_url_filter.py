@@ -60,6 +60,22 @@ def test_a_bad_branch_is_kept_apart_and_blocked(spark):
     assert got[1]["template"] == got[3]["template"] == "/*/{n}"  # alike: merged
 
 
+def test_branches_below_the_fourth_level_are_judged(spark):
+    kinds = ("good", "spam")
+    pages = [(k, f"x://site.test/2024/05/17/news/{kinds[k % 2]}/p{'qrst'[k // 2 % 4]}/{k}") for k in range(240)]
+    deep = "/".join(f"s{chr(97 + k % 26)}" for k in range(300))
+    pages += [(1000, f"x://long.test/{deep}/"), (1001, "x://site.test/2024/05/17/news/good/x/y/z/"),
+              (1002, "x://site.test/2024/05/17/news")]
+    got = _verdicts(spark, pages, [(k, k % 2) for k in range(240) if k < 120 or k % 2 == 0])
+    assert len(got) == len(pages)
+    for k in range(240):  # before: one template and one verdict for all
+        assert got[k]["verdict"] == ("block" if k % 2 else "allow"), k
+        assert got[k]["template"].startswith("/{n}/{n}/{n}/news/spam/") == bool(k % 2)
+    assert got[1000]["template"] == f"/{deep}/" and got[1000]["verdict"] == "allow"
+    assert got[1001]["verdict"] == "allow" and got[1001]["template"].endswith("/")
+    assert got[1002]["template"] == "/{n}/{n}/{n}/news"
+
+
 def test_badness_by_hand(spark):
     got = _verdicts(spark, [(k, f"x://one.test/a/{k}") for k in range(6)], [(0, 1), (1, 1), (2, 0)])
     share = 2 / 3
