@@ -1,20 +1,16 @@
-"""SimHash near-duplicates over pivot distance tables.
+"""SimHash near-duplicates: block banding, pivot distances as a filter.
 
 Fingerprints: 64-bit SimHash over three-word shingles, hashed with XXH64.
 
-Links: two fingerprints link if at most ``MAX_BITS`` bits differ. Each distinct
-fingerprint has a row of Hamming distances to many reference fingerprints (pivots).
-A flipped bit moves each distance by one, so linked fingerprints differ by at
-most ``MAX_BITS`` in every coordinate; pairs with a larger coordinate difference are
-discarded, and the rest is verified by counting differing bits.
-
-Random pivots alone can't bring pairs together without comparing all: one
-coordinate keeps almost half of all random pairs. So part of the pivots is built in
-groups: a group's pivots equal its base pivot outside one block of bits and
-differ in one bit inside. The differences between a group's distances and the
-base distance depend on that block alone (they spell its bits against the base
-pivot). With ``BLOCKS`` blocks and at most ``MAX_BITS`` flipped bits, at least
-``BLOCKS - MAX_BITS`` groups show equal differences: fingerprints meet on those.
+Links: two fingerprints link if at most ``MAX_BITS`` bits differ. Candidates are found
+by block banding, not by pivots: of ``BLOCKS`` blocks of bits at most ``MAX_BITS`` hold a
+flipped bit, so linked fingerprints agree on some ``BLOCKS - MAX_BITS`` whole blocks and
+meet there. Random pivots can't bring pairs together without comparing all: one
+distance keeps almost half of all random pairs. Within a meeting place, each
+fingerprint's Hamming distances to ``PIVOTS`` random reference fingerprints discard
+pairs first (a flipped bit moves each distance by one, so linked fingerprints differ by
+at most ``MAX_BITS`` in every coordinate); the rest is verified by counting
+differing bits.
 
 No pair is lost and no group is unbounded: a meeting place with more than
 ``CROWDED`` fingerprints is dealt out again over finer groups (``FINE_BLOCKS``),
@@ -123,11 +119,7 @@ def _masks(masks: list[int]) -> Column:
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """Adds mask and key: one row per coarse place.
-
-    ``fp & mask`` are the distance differences of the mask's pivot groups against
-    the base pivot zero.
-    """
+    """Adds mask and key, the fingerprint's own bits there: one row per coarse place."""
     return rows.select("*", F.explode(_masks(COARSE)).alias("mask")) \
         .withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
 
