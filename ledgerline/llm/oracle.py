@@ -136,10 +136,70 @@ _WARC = """
     FROM p LEFT JOIN first ON first.html = p.html AND n >= 1000
 """
 
+_LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            "'abcdefghijklmnopqrstuvwxyz')")
+
+_PHRASES = rf"""
+    WITH piece AS (SELECT coalesce(lang, 'und') AS lang,
+                          unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS p
+                   FROM documents),
+    words AS (SELECT lang, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') AS w
+              FROM piece),
+    total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    pos AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+    f AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+          FROM pos, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE i + size - 1 <= len(w)
+          GROUP BY ALL HAVING count(*) >= 100),
+    cand AS (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE size > 1),
+    cut AS (SELECT c.*, unnest(range(1, size)) AS k FROM cand c),
+    scored AS (SELECT cut.lang, cut.phrase, cut.f AS a, k, l.f AS l, r.f AS r, n,
+                      CAST((1000::HUGEINT * cut.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+               FROM cut JOIN f l ON l.lang = cut.lang
+                                 AND l.phrase = array_to_string(s[1:k], ' ')
+                    JOIN f r ON r.lang = cut.lang
+                             AND r.phrase = array_to_string(s[k + 1:cut.size], ' ')
+                    JOIN total ON total.lang = cut.lang),
+    lowest AS (SELECT * FROM scored
+               QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    part AS (SELECT DISTINCT c.lang, c.f, array_to_string(s[i:i + m - 1], ' ') AS phrase
+             FROM cand c, (SELECT unnest([2, 3, 4]) AS m), (SELECT unnest([1, 2, 3, 4]) AS i)
+             WHERE m < c.size AND i + m - 1 <= c.size)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a, l, r, n, score
+    FROM lowest
+    WHERE NOT EXISTS (SELECT 1 FROM part WHERE part.lang = lowest.lang
+                      AND part.phrase = lowest.phrase AND 100 * part.f >= 100 * lowest.a)
+    QUALIFY rank <= 2000
+"""
+
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH = f"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS no, {_TERMS} AS w FROM documents),
+    size AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+    t AS (SELECT doc_id, no, len(w) AS len, unnest(w) AS term FROM d),
+    tf AS (SELECT doc_id, no, len, term, count(*) AS tf FROM t GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    q AS (SELECT item_id, term, count(*) AS times
+          FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+    w AS (SELECT item_id, term, times,
+                 CAST(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS weight
+          FROM q JOIN df USING (term), size),
+    s AS (SELECT item_id, no, doc_id, CAST(sum(times * weight * ((1000000000 * tf)
+                     // (1000 * tf + 8 * (25 + (75 * len * n) // l)))) AS BIGINT) AS score
+          FROM w JOIN tf USING (term), size GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id
+                                            ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank,
+           doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
     "op3_chat_formatting": _CHAT,
     "op4_decontamination": _CONTAMINATION,
     "op7_license_scan": _license_sql(),
     "op9_warc": _WARC,
+    "op11_collocations": _PHRASES,
+    "op12_ranked_search": _SEARCH,
 }

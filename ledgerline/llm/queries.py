@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import (chat, decontam, license_scan, packing, quality_rules, simhash,
-                            suffix_dedup, toxicity, url_filter, warc)
+from ledgerline.llm import (chat, collocations, decontam, license_scan, packing, quality_qda,
+                            quality_rules, ranked_search, simhash, suffix_dedup, toxicity,
+                            url_filter, warc)
 from ledgerline.llm.common import table
 
 
@@ -74,6 +75,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.search(ranked_search.index(table(spark, sf_dir, "documents")),
+                                 table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -85,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_quality_classifier": op13_quality_classifier,
 }
