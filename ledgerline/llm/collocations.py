@@ -347,6 +347,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
         longer, (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_part"))
         & (F.col("a") == F.col("_f")), "left_anti")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    return kept.withColumn("rank", F.row_number().over(order).cast("long")) \
-        .filter(F.col("rank") <= top) \
-        .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top) \
+        .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
+                "score")

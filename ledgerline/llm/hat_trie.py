@@ -5,7 +5,7 @@ one container that holds every path. A container keeps new paths in a buffer, ad
 them up in a hash table when the buffer is full, and bursts when it then holds
 more than ``BURST`` different paths: one that covers several words at its depth is
 split in two at the middle word (a hybrid container), one that covers a single word
-becomes a node of the next depth. So the trie is shallow where paths are few and deep
+becomes a node of the next depth, with containers for the words beside it. So the trie is shallow where paths are few and deep
 only under words that begin many. When it holds more than ``LIMIT`` paths, its largest
 subtrees are given back whole as sorted runs, until half of the room is free.
 """
@@ -101,39 +101,41 @@ class Node:
                       for a, b in zip(first, ends)]
         for k, share in reversed(shares):
             self.children[k].add(share)
-            while isinstance(self.children[k], Container) and self.children[k].full():
-                if not self.burst(k):
-                    break
+            if self.children[k].full():
+                self.burst(k)
 
-    def burst(self, k: int) -> bool:
+    def burst(self, k: int) -> None:
+        """Split the full container k, and what comes of it as long as it is full."""
         held = self.children[k]
         word = _word(held.table[0], held.table[1], self.depth)
         low, high = int(word.min()), int(word.max())
-        if low == high:
-            if self.depth + 1 == DEPTH:
-                return False
+        start = int(self.cuts[k])
+        end = int(self.cuts[k + 1]) if k + 1 < len(self.cuts) else MASK + 1
+        if low < high:
+            cut = max(int(np.median(word)), low + 1)
+            left, right = Container(self.depth), Container(self.depth)
+            for part, take in ((left, word < cut), (right, word >= cut)):
+                part.table = tuple(c[take] for c in held.table)
+            self._replace(k, [start, cut], [left, right])
+            for at in (k + 1, k):
+                if self.children[at].full():
+                    self.burst(at)
+        elif self.depth + 1 < DEPTH:
             deeper = Node(self.depth + 1)
             deeper.children[0].table = held.table
-            self.children[k] = deeper
-            deeper.settle()
-            return False
-        cut = int(np.median(word))
-        cut = cut + 1 if cut == low else cut
-        left, right = Container(self.depth), Container(self.depth)
-        for part, take in ((left, word < cut), (right, word >= cut)):
-            part.table = tuple(c[take] for c in held.table)
-        self.children[k:k + 1] = [left, right]
-        self.cuts = np.insert(self.cuts, k + 1, cut)
-        for at in (k + 1, k):
-            while isinstance(self.children[at], Container) and self.children[at].full():
-                if not self.burst(at):
-                    break
-        return False
+            parts = [(start, Container(self.depth))] if start < low else []
+            parts += [(low, deeper)]
+            parts += [(low + 1, Container(self.depth))] if low + 1 < end else []
+            self._replace(k, *zip(*parts))
+            if deeper.children[0].full():
+                deeper.burst(0)
 
-    def settle(self) -> None:
-        while isinstance(self.children[0], Container) and self.children[0].full():
-            if not self.burst(0):
-                break
+    def _replace(self, k: int, cuts, children) -> None:
+        self.children[k:k + 1] = list(children)
+        self.cuts = np.concatenate([self.cuts[:k], cuts, self.cuts[k + 1:]]).astype(np.int64)
+
+    def full(self) -> bool:
+        return False
 
     def size(self) -> int:
         return sum(c.size() for c in self.children)
