@@ -95,13 +95,11 @@ class Vocabulary:
 
     def encode(self, words: pa.Array) -> np.ndarray:
         coded = words.dictionary_encode()
-        ids = np.empty(len(coded.dictionary), np.int64)
-        for k, word in enumerate(coded.dictionary.to_pylist()):
-            at = self.ids.get(word)
-            if at is None:
-                at = self.ids[word] = len(self.hashes)
-                self.hashes.append(xxhash.xxh64_intdigest(word.encode(), seed=self.seed))
-            ids[k] = at
+        found = coded.dictionary.to_pylist()
+        for word in [w for w in found if w not in self.ids]:
+            self.ids[word] = len(self.hashes)
+            self.hashes.append(xxhash.xxh64_intdigest(word.encode(), seed=self.seed))
+        ids = np.fromiter(map(self.ids.__getitem__, found), np.int64, len(found))
         return ids[coded.indices.to_numpy()]
 
     def full(self) -> bool:
@@ -174,6 +172,9 @@ def filter_of(frequent: DataFrame, size: int) -> Filter:
     return out
 
 
+#: Sorted runs shrink well when a phrase is written as what differs from the one before.
+SORTED = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+
 #: A node of a run: a phrase of ``size`` words and its occurrences there.
 RUNS = "lang string, phrase string, size int, f long"
 
@@ -270,7 +271,7 @@ def merged(parts: DataFrame) -> DataFrame:
 
 def _counted(docs: DataFrame, name: str, *args) -> tuple[DataFrame, DataFrame]:
     """(merged counts, not run yet; the written runs below them)."""
-    found = written(runs(docs, *args), f"phrase-runs-{name}")
+    found = written(runs(docs, *args), f"phrase-runs-{name}", **SORTED)
     return merged(found), found
 
 

@@ -35,15 +35,15 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again.
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written (with the writer's ``options``) to the shared folder and read again.
 
     Cuts the lineage: if an executor is lost later, only tasks over the written
     files run again. ``discard`` removes the files once nothing reads them any more.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
