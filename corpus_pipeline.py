@@ -20,6 +20,11 @@ from ledgerline.llm.common import table, written
 from ledgerline.llm.queries import word_tokenizer
 
 
+#: Bytes of a repeated string that the pipeline cuts: fewer than a passage of 51 words has.
+#: At 400 bytes most shared passages of 51 to 65 words stay (see README).
+PASSAGE_BYTES = 250
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar rejects go."""
     model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
@@ -33,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of repeated strings go; a character that loses a byte goes whole."""
-    return suffix_dedup.cut_repeats(docs)
+    return suffix_dedup.cut_repeats(docs, PASSAGE_BYTES)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
