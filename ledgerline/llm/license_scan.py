@@ -84,7 +84,11 @@ def template_shingles(text: str) -> list[str]:
 
 
 def _hash(shingle: str) -> int:
-    value = xxhash.xxh64_intdigest(shingle.encode(), seed=42)
+    """As ``_shingle_hashes``: XXH64 over the words' hashes, each the seed of the next."""
+    value = 42
+    for word in shingle.split(" "):
+        one = xxhash.xxh64_intdigest(word.encode(), seed=42)
+        value = xxhash.xxh64_intdigest(one.to_bytes(8, "little"), seed=value)
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -125,6 +129,13 @@ def _shingles(words: Column, count: Column) -> Column:
                        lambda i: F.array_join(F.slice(words, i, F.lit(SHINGLE)), " "))
 
 
+def _shingle_hashes(words: Column, count: Column) -> Column:
+    """Hashes of the shingles of ``words``: each word is hashed once, no text is joined."""
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])))
+
+
 def _tags(text: Column) -> Column:
     """Matches of SPDX tags: every license of their expressions, without a place."""
     ids = F.flatten(F.transform(
@@ -184,7 +195,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
 
     def retrieve(w: Column) -> Column:
         count = F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1))
-        hashes = F.transform(_shingles(w, count), lambda s: F.xxhash64(s))
+        hashes = _shingle_hashes(w, count)
         starts = F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(stride))
 
         def windows(h: Column) -> Column:

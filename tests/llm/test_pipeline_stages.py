@@ -1,7 +1,8 @@
 import hashlib
+import random
 
 import corpus_pipeline as cp
-from ledgerline.llm import decontam, simhash, suffix_dedup, toxicity
+from ledgerline.llm import decontam, simhash, toxicity
 from ledgerline.llm.common import table
 from conftest import SMALL_SF
 from .conftest import documents
@@ -41,7 +42,7 @@ def test_every_stage_by_brute_force(spark):
     out = cp.cut_repeats(spark, docs, SMALL_SF)
     assert out.columns == columns
     got = {r["doc_id"]: r["text"] for r in out.collect()}
-    want = {r[0] if r[0] != -1 else 0: r for r in slow_repeats(list(rows.items()), suffix_dedup.LENGTH)}
+    want = {r[0] if r[0] != -1 else 0: r for r in slow_repeats(list(rows.items()), cp.PASSAGE_BYTES)}
     for i, r in want.items():
         if got[i].isascii() and rows[i].isascii():
             assert hashlib.sha256(got[i].encode()).hexdigest() == r[4]
@@ -65,3 +66,20 @@ def test_edge_rows_pass_through_all_stages(spark, docs, no_docs):
             else:
                 assert out.count() >= frame.count()
     assert documents(spark, []).columns == no_docs.columns
+
+
+def test_passages_of_over_fifty_words_are_cut(spark):
+    """Also where they are far shorter than op6's 400 bytes; other texts stay as they are."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+                               for _ in range(n))
+    passages = [words(n) for n in (51, 53, 60)]
+    assert all(250 < len(p.encode()) < 400 for p in passages)
+    rows = [(i, f"{words(40)} {passages[i % 3]} {words(40)}") for i in range(9)]
+    clean = [(100 + i, words(120)) for i in range(6)]
+    out = {r["doc_id"]: r["text"] for r in cp.cut_repeats(
+        spark, documents(spark, rows + clean), SMALL_SF).collect()}
+    for i, text in rows:
+        assert passages[i % 3] not in out[i] and len(text) - len(out[i]) >= 250
+        assert len(text) - len(out[i]) <= len(passages[i % 3]) + 4
+    assert all(out[i] == t for i, t in clean)
