@@ -354,6 +354,14 @@ ORACLE_SQL = {
                                            ORDER BY round(d, 12) NULLS LAST, vec_id) AS rank FROM s)
         SELECT label, rank, vec_id, round(d, 6) + 0.0 AS distance FROM r WHERE rank <= 10
     """,
+    "knn_indexed": f"""
+        WITH s AS (SELECT q.vec_id AS qid, e.vec_id, {_cosine("e.embedding", "q.embedding")} AS d
+                   FROM embeddings e, embeddings q WHERE q.vec_id % 20 = 0)
+        SELECT qid, row_number() OVER (PARTITION BY qid
+                                       ORDER BY round(d, 12) NULLS LAST, vec_id) AS rank,
+               vec_id, round(d, 6) + 0.0 AS distance
+        FROM s QUALIFY rank <= 10
+    """,
     "vector_length_check": """
         SELECT coalesce(len(embedding) = 64, FALSE) AS valid, count(*) AS n
         FROM embeddings GROUP BY 1
@@ -479,3 +487,4 @@ ORACLE_SQL["search_filtered"] = _SEARCH.replace("COLUMNS", "").replace(
     "QUERIES", "SELECT 0 AS qid, text, 'en' AS form FROM benchmark ORDER BY item_id LIMIT 1")
 ORACLE_SQL["search_batch"] = _SEARCH.replace("COLUMNS", "qid, rank,").replace(
     "QUERIES", "SELECT item_id AS qid, text, NULL AS form FROM benchmark")
+ORACLE_SQL["search_topk"] = ORACLE_SQL["search_batch"]

@@ -18,7 +18,9 @@ from ..operators import text as X
 from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
 from ..operators.facts import natural_fact
+from ..operators.topk import BoundedIndex
 from ..operators.totals import ranked_totals
+from ..operators.vector_index import VectorIndex
 from ..session import configure, fresh_path, spread
 from ..sources.delimited import read_delimited
 from ..sources.sinks import Warehouse, write_csv
@@ -389,6 +391,14 @@ def knn_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("label", "rank", "vec_id", "distance")
 
 
+def knn_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 20th vector against all vectors, by a stored cluster index."""
+    emb = _tables(spark, sf_dir)["embeddings"]
+    asked = emb.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"),
+                                                 F.col("embedding").alias("qvec"))
+    return VectorIndex(emb, "vec_id").search(asked, KNN_K)
+
+
 def vector_length_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = _tables(spark, sf_dir)["embeddings"]
     return Qc.import_outcome(emb, Qc.vector_length(emb, "embedding", VECTOR_DIM))
@@ -456,6 +466,16 @@ def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.search_texts(index, table, queries, SEARCH_K)
 
 
+def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``search_batch`` with score bounds: the same rows, far fewer postings expanded."""
+    t = _tables(spark, sf_dir)
+    table = _search_table(spark, t)
+    index = BoundedIndex(X.TfIdf(table, "id", "full_text", facet="form"))
+    queries = t["benchmark"].select(F.col("item_id").alias("qid"), "text",
+                                    F.lit(None).cast("string").alias("form"))
+    return S.search_texts(index, table, queries, SEARCH_K)
+
+
 def doc_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 -> V4 -> V2 with the hashed option: documents with their page text, the first
     benchmark passage as the query, distances of fixed-length hashed vectors."""
@@ -519,6 +539,7 @@ QUERIES = {
     "knn_all": knn_all,
     "knn_filtered": knn_filtered,
     "knn_batch": knn_batch,
+    "knn_indexed": knn_indexed,
     "vector_length_check": vector_length_check,
     "facet_counts": facet_counts,
     "tfidf_search": tfidf_search,
@@ -533,4 +554,5 @@ QUERIES = {
     "import_failures": import_failures,
     "search_filtered": search_filtered,
     "search_batch": search_batch,
+    "search_topk": search_topk,
 }
