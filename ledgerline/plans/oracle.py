@@ -488,3 +488,18 @@ ORACLE_SQL["search_filtered"] = _SEARCH.replace("COLUMNS", "").replace(
 ORACLE_SQL["search_batch"] = _SEARCH.replace("COLUMNS", "qid, rank,").replace(
     "QUERIES", "SELECT item_id AS qid, text, NULL AS form FROM benchmark")
 ORACLE_SQL["search_topk"] = ORACLE_SQL["search_batch"]
+
+ORACLE_SQL["doc_embeddings"] = r"""
+    WITH tok AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS term
+                 FROM documents),
+    tf AS (SELECT DISTINCT doc_id, term FROM tok WHERE term <> ''),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    counted AS (SELECT DISTINCT doc_id FROM tf JOIN df USING (term)
+                WHERE df >= 2 AND df < (SELECT count(*) FROM documents)),
+    twins AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS twin
+              FROM documents)
+    SELECT doc_id, CAST(64 AS BIGINT) AS length, twin,
+           CASE WHEN counted.doc_id IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS norm,
+           CASE WHEN counted.doc_id IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS twin_cosine
+    FROM twins LEFT JOIN counted USING (doc_id)
+"""

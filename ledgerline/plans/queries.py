@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_key, parse_date_int, ts_text
+from ..functions.columns import date_key, parse_date_int, rounded, ts_text
+from ..functions.vectors import cosine_distance, norm
 from ..operators import changes as C
 from ..operators import dimensions as D
 from ..operators import search as S
@@ -18,6 +19,7 @@ from ..operators import text as X
 from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
 from ..operators.facts import natural_fact
+from ..operators.embeddings import LatentVectors
 from ..operators.topk import BoundedIndex
 from ..operators.totals import ranked_totals
 from ..operators.vector_index import VectorIndex
@@ -476,6 +478,24 @@ def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.search_texts(index, table, queries, SEARCH_K)
 
 
+def doc_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned vectors of all documents: their length and norm, and the cosine with the vector
+    of the first document of the same text."""
+    docs = _tables(spark, sf_dir)["documents"].select("doc_id", "text")
+    latent = LatentVectors(X.TfIdf(spread(docs), "doc_id", "text"), VECTOR_DIM)
+    same = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("same"))
+    twins = same.groupBy("same").agg(F.min("doc_id").alias("twin"))
+    whole = latent.with_vectors(same.join(twins, "same").select("doc_id", "twin"))
+    other = whole.filter("doc_id = twin").select(F.col("doc_id").alias("twin"),
+                                                 F.col("embedding").alias("of_twin"))
+    met = whole.join(other, "twin")
+    return met.select(
+        "doc_id", F.size("embedding").cast("long").alias("length"),
+        rounded(norm("embedding"), 6).alias("norm"), "twin",
+        rounded(F.coalesce(1 - cosine_distance("embedding", "of_twin"), F.lit(0.0)), 6)
+        .alias("twin_cosine"))
+
+
 def doc_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 -> V4 -> V2 with the hashed option: documents with their page text, the first
     benchmark passage as the query, distances of fixed-length hashed vectors."""
@@ -545,6 +565,7 @@ QUERIES = {
     "tfidf_search": tfidf_search,
     "delimiter_detect": delimiter_detect,
     "doc_vector_search": doc_vector_search,
+    "doc_embeddings": doc_embeddings,
     "fact_star_ids": fact_star_ids,
     "gold_two_loads": gold_two_loads,
     "bronze_to_silver": bronze_to_silver,
