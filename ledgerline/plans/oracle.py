@@ -503,3 +503,10 @@ ORACLE_SQL["doc_embeddings"] = r"""
            CASE WHEN counted.doc_id IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS twin_cosine
     FROM twins LEFT JOIN counted USING (doc_id)
 """
+
+ORACLE_SQL["dense_filing_ids"] = """
+    WITH f AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh, o_orderpriority AS form,
+                      CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 2 END AS load
+               FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT row_number() OVER (ORDER BY load, adsh) AS id, adsh, form, load FROM f
+"""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_key, parse_date_int, rounded, ts_text
 from ..functions.vectors import cosine_distance, norm
 from ..operators import changes as C
+from ..operators import dense_ids
 from ..operators import dimensions as D
 from ..operators import search as S
 from ..operators import text as X
@@ -105,6 +106,15 @@ def filing_dim_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("accession_number", "form_type", "inserted"))
 
 
+def dense_filing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of filings with dense ids: those before 1998, then all; ids go on gapless."""
+    t = _tables(spark, sf_dir)
+    early = fixtures.raw_table(t).select("adsh", "form")
+    first = dense_ids.number(early, ["adsh"])
+    later = dense_ids.continue_ids(first, fixtures.raw_all(t).select("adsh", "form"), ["adsh"])
+    return first.withColumn("load", F.lit(1)).unionByName(later.withColumn("load", F.lit(2)))
+
+
 def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.calendar_from(_tables(spark, sf_dir)["lineitem"], "l_shipdate")
 
@@ -535,6 +545,7 @@ QUERIES = {
     "statement_label_dim": statement_label_dim,
     "date_dim_insert": date_dim_insert,
     "filing_dim_insert": filing_dim_insert,
+    "dense_filing_ids": dense_filing_ids,
     "calendar_dim": calendar_dim,
     "scd2_classify": scd2_classify,
     "scd2_company": scd2_company,
