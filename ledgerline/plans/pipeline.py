@@ -186,7 +186,7 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
                             "factfinancials")
     gold_wh.stage(version, {"factfinancials": fact})
     check_gold(written, gold_wh.read_staged("factfinancials", version))
-    gold_wh.mark(version, len(staged) + 1, previous)
+    gold_wh.mark(version, [*staged, "factfinancials"], previous)
     rows = {n: o.get["rows"] for n, o in obs.items()}
     rows["factfinancials"] = fobs.get["rows"]
     return RunReport(version, rows)

@@ -11,19 +11,24 @@ each run writes only its new rows as one partition, and a reader unions the
 partitions of published versions up to the one it reads. Rows of a failed,
 unmarked run are never seen.
 
-A marker names its parent, the version that the run was built on. Readers follow the
-chain of parents; where two versions name one parent, the one with the smaller id
-is its successor. So of two publishers that start from one version, one is told
-that it lost (``Superseded``), and its tables are never read.
+A version has one parent, the version that the run was built on, and a parent has
+one marker: a file named after it, which the file system creates only if it is absent. It
+names the successor and its tables. So of two publishers that start from one version the
+first to create the marker wins, whatever happens between their checks; the other is told
+that it lost (``Superseded``), and its tables are never read. Readers follow the markers.
 
     <root>/versions/<version>/<table>/          snapshot tables, parquet
     <root>/appends/<table>/v=<version>/         append-only tables, one delta per run
-    <root>/_published/version=<version>/        marker (one row: tables, parent)
+    <root>/_published/after-<parent>            marker (one line: version, tables, parent)
+
+A publisher that dies between creating a marker and filling it leaves an empty one. Readers
+stop before it and later publishers are refused; remove it by hand.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
@@ -56,42 +61,55 @@ class Warehouse:
         self.views = {k: list(v) for k, v in (views or {}).items()}
 
     # --- reading ---------------------------------------------------------------
-    def _exists(self, path: str) -> bool:
-        """Whether the store has the path; any other trouble is raised."""
+    def _store(self, path: str):
+        """(file system, path) of a path in the store."""
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return hadoop.getFileSystem(conf).exists(hadoop)
+        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
-    def chain(self, upto: str | None = None) -> list[str]:
-        """Published versions, oldest first, each built on the one before.
+    def _exists(self, path: str) -> bool:
+        """Whether the store has the path; any other trouble is raised."""
+        fs, hadoop = self._store(path)
+        return fs.exists(hadoop)
 
-        One row per run is read; ``upto`` ends the chain at that version."""
+    def _markers(self) -> dict[str | None, dict]:
+        """parent -> the marker of its successor; one small row per run."""
         if not self._exists(f"{self.root}/_published"):
-            return []
-        rows = self.spark.read.schema("tables int, parent string, version string").parquet(
-            f"{self.root}/_published").select("parent", "version").collect()
-        after: dict[str | None, str] = {}
-        for r in rows:
-            after[r["parent"]] = min(after.get(r["parent"], r["version"]), r["version"])
-        out: list[str] = []
+            return {}
+        rows = self.spark.read.schema("version string, tables array<string>, parent string").option(
+            "mode", "FAILFAST").json(f"{self.root}/_published/after-*").collect() \
+            if self._any_marker() else []
+        return {r["parent"]: r.asDict() for r in rows if r["version"]}
+
+    def _any_marker(self) -> bool:
+        fs, path = self._store(f"{self.root}/_published")
+        return bool(fs.listStatus(path))
+
+    def _chain(self, upto: str | None = None) -> list[dict]:
+        after, out = self._markers(), []
         at = after.get(None)
         while at is not None:
             out.append(at)
-            if at == upto:
+            if at["version"] == upto:
                 return out
-            at = after.get(at)
+            at = after.get(at["version"])
         if upto is not None:
             raise FileNotFoundError(f"version {upto} is not published under {self.root}")
         return out
 
+    def chain(self, upto: str | None = None) -> list[str]:
+        """Published versions, oldest first, each built on the one before.
+
+        One row per run is read; ``upto`` ends the chain at that version."""
+        return [m["version"] for m in self._chain(upto)]
+
     def current_version(self) -> str | None:
         chain = self.chain()
         return chain[-1] if chain else None
 
     def table(self, name: str, version: str | None = None) -> DataFrame:
-        return self._table(name, self.chain(version))
+        return self._table(name, self._chain(version))
 
-    def _table(self, name: str, chain: list[str]) -> DataFrame:
+    def _table(self, name: str, chain: list[dict]) -> DataFrame:
         if name in self.views:
             parts = [self._table(p, chain) for p in self.views[name]]
             out = parts[0]
@@ -102,7 +120,7 @@ class Warehouse:
             return self._appended(name, chain)
         if not chain:
             raise FileNotFoundError(f"nothing published under {self.root}")
-        return self.read_staged(name, chain[-1])
+        return self.read_staged(name, chain[-1]["version"])
 
     def read_staged(self, name: str, version: str) -> DataFrame:
         """A snapshot table of a version that need not be published yet."""
@@ -120,10 +138,10 @@ class Warehouse:
             reader = reader.schema(self.schemas[name])
         return reader.parquet(self.delta_path(name, version))
 
-    def _appended(self, name: str, chain: list[str]) -> DataFrame:
-        """Union of the deltas of a chain of versions."""
+    def _appended(self, name: str, chain: list[dict]) -> DataFrame:
+        """Union of the deltas of a chain of versions, as their markers tell."""
         schema = self.schemas.get(name)
-        versions = [v for v in chain if self._exists(self.delta_path(name, v))]
+        versions = [m["version"] for m in chain if name in (m["tables"] or [])]
         if not versions:
             if schema is None:
                 raise FileNotFoundError(f"no {name} published under {self.root}")
@@ -134,7 +152,7 @@ class Warehouse:
         return reader.parquet(*[self.delta_path(name, v) for v in versions])
 
     def tables(self, names: Sequence[str], version: str | None = None) -> dict[str, DataFrame]:
-        chain = self.chain(version)
+        chain = self._chain(version)
         return {n: self._table(n, chain) for n in names}
 
     # --- writing ---------------------------------------------------------------
@@ -169,20 +187,32 @@ class Warehouse:
             for future in [pool.submit(write, item) for item in items]:
                 future.result()
 
-    def mark(self, version: str, n_tables: int, parent: str | None) -> None:
-        """Make a staged version visible, as the successor of ``parent``.
+    def mark(self, version: str, tables: Sequence[str], parent: str | None) -> None:
+        """Make a staged version of ``tables`` visible, as the successor of ``parent``.
 
-        Refuses if ``parent`` is not the newest version any more, and checks again
-        after the marker is written, so that of two runs at the same moment exactly
-        one stays on the chain."""
+        The marker file is created only if ``parent`` has none yet: the file system decides,
+        so there is no moment between a check and the write."""
         if self.current_version() != parent:
             raise Superseded(f"{self.root}: {parent} is not the newest version any more")
-        marker = self.spark.createDataFrame([(version, n_tables, parent)],
-                                            "version string, tables int, parent string")
-        marker.coalesce(1).write.mode("append").partitionBy("version").parquet(
-            f"{self.root}/_published")
-        if version not in self.chain():
-            raise Superseded(f"{self.root}: another run was published on {parent} first")
+        self._create_marker(version, tables, parent)
+
+    def _create_marker(self, version: str, tables: Sequence[str], parent: str | None) -> None:
+        from py4j.protocol import Py4JJavaError
+
+        line = json.dumps({"version": version, "tables": sorted(tables), "parent": parent})
+        fs, path = self._store(f"{self.root}/_published/after-{parent or 'none'}")
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName() \
+                    or "already exists" in str(error.java_exception.getMessage()):
+                raise Superseded(f"{self.root}: another run was published on {parent} first") \
+                    from error
+            raise
+        try:
+            out.write(bytearray(line.encode()))
+        finally:
+            out.close()
 
     def publish(self, tables: Mapping[str, DataFrame],
                 partition_by: Mapping[str, Sequence[str]] | None = None,
@@ -195,7 +225,7 @@ class Warehouse:
         v = version or new_version()
         built_on = parent if parent_known else self.current_version()
         self.stage(v, tables, partition_by)
-        self.mark(v, len(tables), built_on)
+        self.mark(v, list(tables), built_on)
         return v
 
     def publish_empty(self, schemas: Mapping[str, StructType]) -> str:

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators.totals import company_totals
@@ -237,7 +239,6 @@ def test_failed_table_write_publishes_nothing(spark):
 
 
 def test_of_two_publishers_one_is_refused(spark):
-    import pytest
     from ledgerline.schemas import FILING_DIM
     from ledgerline.sources.sinks import Superseded, new_version
     wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-wh2-"), {"filingdim": FILING_DIM},
@@ -250,15 +251,49 @@ def test_of_two_publishers_one_is_refused(spark):
     ours, theirs = new_version(), new_version()
     for v in (ours, theirs):       # both read v1 and add the same filing
         wh.stage(v, {"filingdim": filing("b")})
-    wh.mark(theirs, 1, v1)
+    wh.mark(theirs, ["filingdim"], v1)
     with pytest.raises(Superseded):
-        wh.mark(ours, 1, v1)
+        wh.mark(ours, ["filingdim"], v1)
     assert rows(wh.table("filingdim"), "accession_number") == [("a",), ("b",)]
     assert wh.chain() == [v1, theirs]
-    # a marker written in the same moment: the smaller version id stays on the chain
-    marker = spark.createDataFrame([(ours, 1, v1)], "version string, tables int, parent string")
-    marker.write.mode("append").partitionBy("version").parquet(f"{wh.root}/_published")
-    assert len(wh.chain()) == 2
+
+
+@pytest.mark.parametrize("first_load", [True, False])
+def test_a_publisher_between_check_and_marker_changes_nothing(spark, monkeypatch, first_load):
+    """The slower one (with the smaller id) has passed its check when the other marks."""
+    from ledgerline.sources.sinks import Superseded, new_version
+    root = tempfile.mkdtemp(prefix="ll-race-")
+    slow, fast = Warehouse(spark, root), Warehouse(spark, root)
+    one = spark.createDataFrame([(1,)], "x long")
+    parent = None if first_load else slow.publish({"t": one})
+    ours, theirs = new_version(), new_version()
+    assert ours < theirs
+    for v, x in ((ours, 2), (theirs, 3)):
+        slow.stage(v, {"t": spark.createDataFrame([(x,)], "x long")})
+    create = slow._create_marker
+
+    def late(*args):
+        fast.mark(theirs, ["t"], parent)  # told that it succeeded
+        create(*args)
+
+    monkeypatch.setattr(slow, "_create_marker", late)
+    with pytest.raises(Superseded):
+        slow.mark(ours, ["t"], parent)
+    assert slow.chain() == ([] if first_load else [parent]) + [theirs]
+    assert rows(slow.table("t")) == [(3,)]
+    after = fast.publish({"t": one})
+    assert fast.chain()[-2:] == [theirs, after]
+
+
+def test_an_empty_marker_ends_the_chain(spark):
+    from ledgerline.sources.sinks import Superseded
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-wh4-"))
+    one = spark.createDataFrame([(1,)], "x long")
+    v1 = wh.publish({"t": one})
+    open(f"{wh.root}/_published/after-{v1}", "w").close()
+    assert wh.chain() == [v1]
+    with pytest.raises(Superseded):
+        wh.publish({"t": one})
 
 
 def test_a_broken_marker_folder_is_an_error(spark):
