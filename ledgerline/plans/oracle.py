@@ -510,3 +510,19 @@ ORACLE_SQL["dense_filing_ids"] = """
                FROM orders JOIN customer ON o_custkey = c_custkey)
     SELECT row_number() OVER (ORDER BY load, adsh) AS id, adsh, form, load FROM f
 """
+
+ORACLE_SQL["document_files"] = """
+    WITH p AS (SELECT page_id, coalesce(html, '') || CASE WHEN page_id % 5 = 1
+                      THEN chr(12) || ' ' || chr(12) || '<p>Annex</p>' ELSE '' END AS page
+               FROM pages),
+    d AS (SELECT page_id, CASE WHEN page_id % 7 = 3
+                 THEN substr(page, 1, length(page) // 2) ELSE page END AS whole FROM p),
+    f AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh FROM orders JOIN customer
+          ON o_custkey = c_custkey WHERE o_orderdate < TIMESTAMP '1998-01-01')
+    SELECT page_id,
+           array_to_string(list_filter(list_transform(string_split(whole, chr(12)),
+               lambda html: PAGE_TEXT), lambda x: x <> ''), chr(10)) AS extracted_text,
+           CASE WHEN page_id % 7 = 3 THEN octet_length(encode(whole)) END AS bad_at,
+           CAST(page_id AS VARCHAR) NOT IN (SELECT adsh FROM f) AS is_new_filing
+    FROM d
+""".replace("PAGE_TEXT", _PAGE_TEXT)

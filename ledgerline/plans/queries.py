@@ -26,6 +26,7 @@ from ..operators.totals import ranked_totals
 from ..operators.vector_index import VectorIndex
 from ..session import configure, fresh_path, spread
 from ..sources.delimited import read_delimited
+from ..sources.documents import document_texts, document_warnings, read_documents
 from ..sources.sinks import Warehouse, write_csv
 from ..sources.tables import read_tables
 from . import adapter, fixtures, pipeline, star
@@ -367,6 +368,32 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.extract_texts(spread(_tables(spark, sf_dir)["pages"]))
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as files, one each, and read back: their text page by page, the place
+    where a damaged one stops, and whether it becomes a new filing.
+
+    Every fifth page gets an empty page and an annex behind it; in every seventh a byte that is
+    no UTF-8 comes after the first half of its characters."""
+    t = _tables(spark, sf_dir)
+    page = F.coalesce("html", F.lit(""))
+    page = F.when(F.col("page_id") % 5 == 1, F.concat(page, F.lit("\f \f<p>Annex</p>"))).otherwise(page)
+    half = F.floor(F.length("page") / 2).cast("int")
+    damaged = F.concat(F.substr("page", F.lit(1), half).cast("binary"), F.unhex(F.lit("FF")),
+                       F.substr("page", half + 1).cast("binary")).cast("string")
+    path = fresh_path(spark, "document-files")
+    t["pages"].select("page_id", page.alias("page")).select(
+        "page_id", F.when(F.col("page_id") % 7 == 3, damaged).otherwise(F.col("page")).alias("value")) \
+        .write.partitionBy("page_id").text(path)
+    docs = read_documents(spark, path, "*.txt", key="page_id", key_from="page_id=([^/]+)/")
+    new = pipeline.register_document_filings(fixtures.existing_filingdim(t), docs, "10-K", "page_id")
+    filings = new.select(F.col("accession_number").alias("page_id"), F.lit(True).alias("is_new"))
+    stops = document_warnings(docs, "page_id").select("page_id", F.col("at").cast("long").alias("bad_at"))
+    return document_texts(docs, "page_id").join(stops, "page_id", "left") \
+        .join(filings, "page_id", "left").select(
+            F.col("page_id").cast("long").alias("page_id"), "extracted_text", "bad_at",
+            F.coalesce("is_new", F.lit(False)).alias("is_new_filing"))
+
+
 def filing_text_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents (as filings, text as summary) left-joined to extracted page text."""
     t = _tables(spark, sf_dir)
@@ -566,6 +593,7 @@ QUERIES = {
     "raw_delete": raw_delete,
     "raw_not_found": raw_not_found,
     "page_text": page_text,
+    "document_files": document_files,
     "filing_text_left_join": filing_text_left_join,
     "knn_all": knn_all,
     "knn_filtered": knn_filtered,

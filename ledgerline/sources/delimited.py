@@ -10,6 +10,7 @@ reason instead of aborting or vanishing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +25,38 @@ DELIMITERS = ("\t", ",", ";", "|")
 CORRUPT = "_corrupt_record"
 
 
+#: Bytes asked of a file at once, until its first line ends.
+HEADER_BYTES = 4096
+
+
+def first_line(spark: SparkSession, file: str) -> tuple[str | None, int]:
+    """(first line, bytes read) of a file, compressed or not; None for an empty file.
+
+    Only the file's beginning is read, however long the file is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path, HEADER_BYTES)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        plain = codec.createInputStream(stream) if codec else stream
+        text = jvm.java.io.InputStreamReader(plain, "UTF-8")
+        line = jvm.java.io.BufferedReader(text, HEADER_BYTES).readLine()
+        return line, stream.getPos()
+    finally:
+        stream.close()
+
+
 def header_lines(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """header line -> its files, for a file or a folder.
 
-    One pass finds the first line of every file; the driver holds file names, which it
-    lists for any read. Empty files have no header and are left out."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value",
-        F.struct(F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("line")).alias("at"))
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    The files are listed as for any read, and their first lines looked up side by side; empty
+    files have no header and are left out."""
+    files = sorted(spark.read.text(path).inputFiles())
     out: dict[str, list[str]] = {}
-    for r in first.orderBy("file").collect():
-        out.setdefault(r["header"], []).append(r["file"])
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for file, (line, _) in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if line is not None:
+                out.setdefault(line, []).append(file)
     return out
 
 

@@ -7,7 +7,7 @@ need a per-file parser (PDF) are outside the installed libraries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import html_text
@@ -17,27 +17,63 @@ KEY_FROM_PATH = r"([^/]+?)(?:\.[^./]+)?$"
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*",
-                   key: str = "doc_key", ordered: bool = False) -> DataFrame:
-    """(key, path, content) per file; key = file name without its extension.
+                   key: str = "doc_key", ordered: bool = False,
+                   key_from: str = KEY_FROM_PATH) -> DataFrame:
+    """(key, path, content) per file; key = file name without its extension (``key_from``: the
+    pattern whose first group is the key in a path).
+
+    Empty files hold no document and give no row.
 
     ``ordered`` sorts by key (T6), for outputs that need the sorted listing;
     reading and joining need no order."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", True).load(folder))
-    out = files.select(F.regexp_extract("path", KEY_FROM_PATH, 1).alias(key), "path", "content")
+    out = files.select(F.regexp_extract("path", key_from, 1).alias(key), "path", "content")
     return out.orderBy(key) if ordered else out
 
 
+def decoded(content: Column | str) -> Column:
+    """Struct (text, bad_at) of bytes: the UTF-8 text before the first byte that doesn't decode,
+    and that byte's place (null: all of it decodes)."""
+    raw = (F.col(content) if isinstance(content, str) else content).cast("string")
+    mended = F.make_valid_utf8(raw)  # U+FFFD in place of what doesn't decode
+    mark = F.lit("\ufffd")
+    # A text may hold U+FFFD itself: the first one that isn't in the bytes is the damage.
+    own = ((F.octet_length(raw) - F.octet_length(F.replace(raw, mark, F.lit("")))) / 3).cast("int")
+    before = lambda i: F.substring_index(mended, "\ufffd", i) if isinstance(i, int) \
+        else F.call_function("substring_index", mended, mark, i)
+    damaged = F.element_at(F.filter(F.sequence(F.lit(1), own + 1), lambda i: ~F.startswith(
+        raw, F.concat(before(i), mark))), 1)
+    text = F.when(F.is_valid_utf8(raw), raw).when(own == 0, before(1)).otherwise(before(damaged))
+    return F.struct(F.coalesce(text, F.lit("")).alias("text"),
+                    F.when(~F.is_valid_utf8(raw), F.octet_length(text)).alias("bad_at"))
+
+
+def page_lines(text: Column, html: bool = True) -> Column:
+    """Pages (between form feeds) as lines; pages without text are skipped."""
+    clean = html_text if html else lambda page: F.trim(F.regexp_replace(page, r"^\s+|\s+$", ""))
+    pages = F.transform(F.split(text, "\f"), clean)
+    return F.array_join(F.filter(pages, lambda page: page != ""), "\n")
+
+
 def document_texts(docs: DataFrame, key: str = "doc_key", out: str = "extracted_text",
                    html: bool = True) -> DataFrame:
-    """(key, text): UTF-8 content, HTML stripped when ``html``; a file that isn't valid
-    UTF-8, or can't be read, gives empty text and doesn't disturb the others."""
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    if html:
-        text = html_text(text)
+    """(key, text): UTF-8 content up to its first damage, page by page, HTML stripped when
+    ``html``. A damaged file doesn't disturb the others; see ``document_warnings``."""
+    text = page_lines(decoded("content")["text"], html)
     return docs.select(key, F.coalesce(text, F.lit("")).alias(out))
 
 
+def document_warnings(docs: DataFrame, key: str = "doc_key") -> DataFrame:
+    """(key, path, reason, at): a row per file whose text is not whole."""
+    found = docs.select(key, "path", decoded("content")["bad_at"].alias("at"),
+                        F.col("content").isNull().alias("unread"))
+    reason = F.when(F.col("unread"), "the file can't be read").otherwise(
+        F.concat(F.lit("not UTF-8 from byte "), F.col("at").cast("string"),
+                 F.lit(" on: the text before it is kept")))
+    return found.filter("unread OR at IS NOT NULL").select(key, "path", reason.alias("reason"), "at")
+
+
 def write_texts(texts: DataFrame, path: str) -> None:
     """S13 re-aimed: one parquet table of (key, text), not one file per document."""
     texts.write.mode("errorifexists").parquet(path)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ledgerline.operators.totals import company_totals
 from ledgerline.plans import adapter, pipeline
 from ledgerline.schemas import GOLD
-from ledgerline.sources.delimited import detect_delimiter, read_delimited
-from ledgerline.sources.documents import document_texts, read_documents
+from ledgerline.sources.delimited import (detect_delimiter, first_line, header_lines,
+                                          read_delimited)
+from ledgerline.sources.documents import document_texts, document_warnings, read_documents
 from ledgerline.sources.sinks import Warehouse, write_csv
 from ledgerline.sources.tables import read_tables
 from conftest import SMALL_SF, rows
@@ -95,12 +96,53 @@ def test_without_a_date_column_all_facts_pass(spark):
 
 def test_bad_and_extensionless_documents(spark):
     d = tempfile.mkdtemp(prefix="ll-docs-")
-    for name, data in (("bad.html", b"\xff\xfe<p>x</p>"), ("ok.html", b"<p>fine</p>"),
-                       ("plain", b"no ending"), (".hidden", b"dots")):
+    files = {"bad.html": b"\xff\xfe<p>x</p>", "ok.html": b"<p>fine</p>", "plain": b"no ending",
+             ".hidden": b"dots", "half.html": "<p>kept n\u00e9</p>".encode() + b"\xe9<p>lost</p>",
+             "cut.txt": "caf\u00e9 \ufffd kept".encode() + "\u20ac".encode()[:2],
+             "own.txt": "only \ufffd its own".encode(), "empty.txt": b"",
+             "long.txt": b"x" * 300_000 + b"\xc3("}
+    for name, data in files.items():
         with open(f"{d}/{name}", "wb") as fh:
             fh.write(data)
-    got = dict(rows(document_texts(read_documents(spark, d))))
+    docs = read_documents(spark, d)
+    got = dict(rows(document_texts(docs)))
     assert got["bad"] == "" and got["ok"] == "fine" and got["plain"] == "no ending"
+    assert got["half"] == "kept n\u00e9" and got["cut"] == "caf\u00e9 \ufffd kept"
+    assert got["own"] == "only \ufffd its own" and "empty" not in got
+    assert got["long"] == "x" * 300_000
+    warned = {r["doc_key"]: r["at"] for r in document_warnings(docs).collect()}
+    assert warned == {"bad": 0, "half": len(files["half.html"]) - 12, "cut": len(files["cut.txt"]) - 2,
+                      "long": 300_000}
+
+
+def test_page_breaks_become_lines(spark):
+    d = tempfile.mkdtemp(prefix="ll-pages-")
+    for name, data in (("a.html", "<p>one</p>\f \n\f<b>two</b>\f"), ("b.txt", "\f\f")):
+        with open(f"{d}/{name}", "w") as fh:
+            fh.write(data)
+    assert rows(document_texts(read_documents(spark, d))) == [("a", "one\ntwo"), ("b", "")]
+    plain = document_texts(read_documents(spark, d, "a*"), html=False)
+    assert rows(plain) == [("a", "<p>one</p>\n<b>two</b>")]
+
+
+def test_headers_take_the_same_bytes_from_files_of_any_size(spark):
+    import gzip
+    d = tempfile.mkdtemp(prefix="ll-headers-")
+    for name, lines in (("small.csv", 10), ("large.csv", 200_000)):
+        with open(f"{d}/{name}", "w") as fh:
+            fh.write("\ufeffa,b\n" + "1,2\n" * lines)
+    with gzip.open(f"{d}/packed.csv.gz", "wt") as fh:
+        fh.write("b,a\r\n" + "3,4\r\n" * 1000)
+    open(f"{d}/empty.csv", "w").close()
+    sizes = {n: first_line(spark, f"file:{d}/{n}.csv")[1] for n in ("small", "large")}
+    assert sizes["large"] <= 64 * 1024 < os.path.getsize(f"{d}/large.csv")
+    assert first_line(spark, f"file:{d}/empty.csv")[0] is None
+    found = {h.lstrip("\ufeff"): [f.rsplit("/", 1)[1] for f in files]
+             for h, files in header_lines(spark, d).items()}
+    assert found == {"a,b": ["large.csv", "small.csv"], "b,a": ["packed.csv.gz"]}
+    read = read_delimited(spark, d)
+    assert read.table.groupBy("a", "b").count().orderBy("a").collect() == [
+        ("1", "2", 200_010), ("4", "3", 1000)]
 
 
 def test_read_documents_key_from_name(spark):
