@@ -206,22 +206,26 @@ def _blocks(opened: DataFrame, length: int, block: int) -> DataFrame:
     """``RUNS``: the open runs of (doc_id, text_hash, text, open), cut into blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text_hash, text, runs in zip(
-                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                    batch.column(3).to_pylist()):
-                raw = text.as_buffer().to_pybytes()
-                rows, pairs = [], []
-                for r in runs:
-                    at, first, last = r["trigger"], r["first"], r["last"]
-                    for k in range((at - last) // block, (at - first) // block + 1):
-                        lo, hi = max(first, at - (k + 1) * block + 1), min(last, at - k * block)
-                        rows.append((at, lo, hi, r["copies"]))
-                        pairs.append(_digests(raw, length, block, at, lo, hi, k))
-                if rows:
-                    n = len(rows)
-                    yield _runs(pa.array([doc_id] * n, pa.int64()),
-                                pa.array([text_hash] * n, pa.int64()), pairs,
-                                *[pa.array(c, pa.int32()) for c in zip(*rows)])
+            for part in row_slices(batch, 2, SLICE_BYTES):
+                yield from cut(part)
+
+    def cut(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for doc_id, text_hash, text, runs in zip(
+                part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2),
+                part.column(3)):
+            raw = text.as_buffer().to_pybytes()
+            rows, pairs = [], []
+            for r in runs.as_py():
+                at, first, last = r["trigger"], r["first"], r["last"]
+                for k in range((at - last) // block, (at - first) // block + 1):
+                    lo, hi = max(first, at - (k + 1) * block + 1), min(last, at - k * block)
+                    rows.append((at, lo, hi, r["copies"]))
+                    pairs.append(_digests(raw, length, block, at, lo, hi, k))
+            if rows:
+                n = len(rows)
+                yield _runs(pa.array([doc_id] * n, pa.int64()),
+                            pa.array([text_hash] * n, pa.int64()), pairs,
+                            *[pa.array(c, pa.int32()) for c in zip(*rows)])
 
     return opened.select("doc_id", "text_hash", "text", "open").mapInArrow(run, RUNS)
 
@@ -251,9 +255,9 @@ def _cut(marked: DataFrame, length: int, with_text: bool) -> DataFrame:
             rows, held, first = [], 0, 0
             for k, (doc_id, text_hash, text, runs) in enumerate(zip(
                     batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                    batch.column(3).to_pylist())):
+                    batch.column(3))):
                 raw = text.as_buffer().to_pybytes()
-                gone = _merged([(r["first"], r["last"] + length) for r in runs])
+                gone = _merged([(r["first"], r["last"] + length) for r in runs.as_py()])
                 kept, done = [], 0
                 for lo, hi in gone:
                     kept.append(raw[done:lo])
@@ -262,7 +266,7 @@ def _cut(marked: DataFrame, length: int, with_text: bool) -> DataFrame:
                 rows.append((doc_id, text_hash, len(raw), len(raw) - len(left), len(gone),
                              hashlib.sha256(left).hexdigest(), left if with_text else None))
                 held += len(left) if with_text else 100
-                if held > 8_000_000 or k == batch.num_rows - 1:
+                if held > 2_000_000 or k == batch.num_rows - 1:
                     yield pack(rows, batch.column(4).slice(first, len(rows)))
                     rows, held, first = [], 0, k + 1
 
