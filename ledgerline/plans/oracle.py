@@ -526,3 +526,17 @@ ORACLE_SQL["document_files"] = """
            CAST(page_id AS VARCHAR) NOT IN (SELECT adsh FROM f) AS is_new_filing
     FROM d
 """.replace("PAGE_TEXT", _PAGE_TEXT)
+
+ORACLE_SQL["hot_key_join"] = """
+    WITH l AS (SELECT CASE WHEN l_returnflag = 'R' THEN (SELECT min(o_orderkey) FROM orders)
+                      ELSE l_orderkey END AS o_orderkey, l_orderkey, l_linenumber,
+                      l_extendedprice AS value FROM lineitem)
+    SELECT l.*, o_custkey AS cik FROM l JOIN orders USING (o_orderkey)
+"""
+ORACLE_SQL["fact_bucketed"] = """
+    WITH pre AS (SELECT DISTINCT l_orderkey, l_partkey, l_returnflag AS stmt FROM lineitem)
+    SELECT CAST(n.l_orderkey AS VARCHAR) AS adsh, o_custkey AS cik, n.l_partkey AS tag_id, stmt,
+           n.l_linenumber AS qtrs, n.l_extendedprice AS value
+    FROM lineitem n JOIN pre ON n.l_orderkey = pre.l_orderkey AND n.l_partkey = pre.l_partkey
+    JOIN orders ON n.l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+"""

@@ -21,6 +21,7 @@ from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
 from ..operators.facts import natural_fact
 from ..operators.embeddings import LatentVectors
+from ..operators.skew import bucketed, salted_join
 from ..operators.topk import BoundedIndex
 from ..operators.totals import ranked_totals
 from ..operators.vector_index import VectorIndex
@@ -31,6 +32,7 @@ from ..sources.sinks import Warehouse, write_csv
 from ..sources.tables import read_tables
 from . import adapter, fixtures, pipeline, star
 
+HOT_ROWS = 10_000
 TOTALS_LIMIT = 10
 TOTALS_DIGITS = 2  # sums are rounded for comparison across engines
 
@@ -149,6 +151,32 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact(silver, dims, natural_keys=True)
 
 
+def hot_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items joined to filings where all returned lines name one filing."""
+    t = _tables(spark, sf_dir)
+    hot = F.lit(t["orders"].agg(F.min("o_orderkey")).first()[0])
+    lines = t["lineitem"].select(
+        F.when(F.col("l_returnflag") == "R", hot).otherwise(F.col("l_orderkey"))
+        .alias("o_orderkey"), "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("value"))
+    filings = t["orders"].select("o_orderkey", F.col("o_custkey").alias("cik"))
+    return salted_join(lines, filings, "o_orderkey", rows_per_task=HOT_ROWS)
+
+
+def fact_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, presentation rows and filings stored in buckets of adsh and joined in place."""
+    t = _tables(spark, sf_dir)
+    silver = adapter.silver(t)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {}
+    for name in ("num", "pre", "sub"):
+        path = fresh_path(spark, f"bucketed-{name}")
+        stored[name] = bucketed(silver[name], path.rsplit("/", 1)[1].replace("-", "_"), path,
+                                "adsh", buckets)
+    return (stored["num"].join(stored["sub"].select("adsh", "cik"), "adsh")
+            .join(stored["pre"], ["adsh", "tag_id"])
+            .select("adsh", "cik", "tag_id", "stmt", "qtrs", "value"))
+
+
 def fact_left_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements restricted to the mapped flags, so N rows keep a null statement."""
     silver, dims = _star(spark, sf_dir, sorted(DRIVER_STATEMENT_LABELS))
@@ -577,6 +605,8 @@ QUERIES = {
     "scd2_classify": scd2_classify,
     "scd2_company": scd2_company,
     "fact_star": fact_star,
+    "hot_key_join": hot_key_join,
+    "fact_bucketed": fact_bucketed,
     "fact_left_variant": fact_left_variant,
     "star_company_totals": star_company_totals,
     "gold_company_totals": gold_company_totals,
