@@ -540,3 +540,10 @@ ORACLE_SQL["fact_bucketed"] = """
     FROM lineitem n JOIN pre ON n.l_orderkey = pre.l_orderkey AND n.l_partkey = pre.l_partkey
     JOIN orders ON n.l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 """
+
+ORACLE_SQL["raw_deep_page"] = """
+    WITH f AS (SELECT CAST(o_orderkey AS VARCHAR) AS adsh, o_custkey AS cik,
+                      o_orderpriority AS form
+               FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT * FROM f ORDER BY adsh LIMIT 100 OFFSET (SELECT count(*) * 9 // 10 FROM f)
+"""

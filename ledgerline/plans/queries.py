@@ -21,6 +21,7 @@ from ..operators import quality as Qc
 from ..operators.totals import company_totals as star_totals
 from ..operators.facts import natural_fact
 from ..operators.embeddings import LatentVectors
+from ..operators.paging import PagedTable
 from ..operators.skew import bucketed, salted_join
 from ..operators.topk import BoundedIndex
 from ..operators.totals import ranked_totals
@@ -372,6 +373,12 @@ def raw_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def raw_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page at nine tenths of the raw table, from the ranges it lies in."""
+    table = PagedTable(_raw_all(_tables(spark, sf_dir)).select("adsh", "cik", "form"), ["adsh"])
+    return table.page(table.rows * 9 // 10, 100)
+
+
 def raw_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     table, _ = C.delete_rows(_raw_all(t), fixtures.raw_requests(t))
@@ -618,6 +625,7 @@ QUERIES = {
     "raw_create_strict": raw_create_strict,
     "raw_conflicts": raw_conflicts,
     "raw_page": raw_page,
+    "raw_deep_page": raw_deep_page,
     "raw_get": raw_get,
     "raw_update": raw_update,
     "raw_delete": raw_delete,
