@@ -35,6 +35,8 @@ from ledgerline.session import fresh_path
 CRLF = "\r\n"
 END = CRLF + CRLF
 DATE = "2025-01-01T00:00:00Z"
+#: Fixed value: the profile of revisits with the payload of another record.
+PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 #: Payloads below this size are always stored in full.
 MIN_REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 1000
@@ -86,8 +88,8 @@ def record_text(date: str = DATE) -> Column:
         F.lit(f"{CRLF}WARC-Date: {date}{CRLF}WARC-Target-URI: "), target,
         F.lit(f"{CRLF}WARC-Payload-Digest: sha1:"), F.col("digest"),
         F.lit(f"{CRLF}WARC-Block-Digest: sha1:"), F.sha1(block.cast("binary")),
-        F.when(is_revisit, F.concat(F.lit(f"{CRLF}WARC-Refers-To: "), _urn(F.col("refers_to"))))
-        .otherwise(F.lit("")),
+        F.when(is_revisit, F.concat(F.lit(f"{CRLF}WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: "),
+                                    _urn(F.col("refers_to")))).otherwise(F.lit("")),
         F.lit(f"{CRLF}Content-Type: application/http; msgtype=response{CRLF}Content-Length: "),
         size.cast("string"), F.lit(END)]
     return F.concat(*header, block)

@@ -186,3 +186,16 @@ def test_late_version_line_of_a_plain_archive(archive):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(none).count() == 0
+
+
+def test_revisits_name_their_profile(spark):
+    path = tempfile.mkdtemp(prefix="ll-warc-") + "/a"
+    pages = spark.createDataFrame([(k, f"http://h/{k}", "same " * 400) for k in range(4)] + [(9, "u", "x")],
+                                  "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), path, compression="none")
+    data = b"".join(bytes(r["content"]) for r in
+                    spark.read.format("binaryFile").load(path).select("content").collect())
+    records = data.split(b"WARC/1.0\r\n")[1:]
+    profile = b"\r\nWARC-Profile: " + warc.PROFILE.encode() + b"\r\n"
+    assert [(b"WARC-Type: revisit" in r, profile in r) for r in records].count((True, True)) == 3
+    assert not any(profile in r for r in records if b"WARC-Type: response" in r)
