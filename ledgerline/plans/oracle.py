@@ -547,3 +547,8 @@ ORACLE_SQL["raw_deep_page"] = """
                FROM orders JOIN customer ON o_custkey = c_custkey)
     SELECT * FROM f ORDER BY adsh LIMIT 100 OFFSET (SELECT count(*) * 9 // 10 FROM f)
 """
+
+ORACLE_SQL["raw_change_sets"] = f"""
+    SELECT * FROM ({ORACLE_SQL["raw_update"]}) WHERE adsh NOT IN (
+        SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')
+"""

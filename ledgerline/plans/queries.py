@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_key, parse_date_int, rounded, ts_text
 from ..functions.vectors import cosine_distance, norm
 from ..operators import changes as C
+from ..operators.change_sets import ChangeTable
 from ..operators import dense_ids
 from ..operators import dimensions as D
 from ..operators import search as S
@@ -353,6 +354,9 @@ def raw_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_PAGE_SKIP, RAW_PAGE_SIZE = 100, 100
 
 
+RAW_PARTS = 32
+
+
 def _raw_all(t) -> DataFrame:
     return fixtures.raw_all(t).select(*fixtures.RAW_COLUMNS)
 
@@ -373,6 +377,21 @@ def raw_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def raw_change_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M4, M5 on the stored raw table: later filings are created, the line items'
+    updates applied, the requested filings deleted; each rewrites the parts it touches."""
+    t = _tables(spark, sf_dir)
+    first = _raw(t)
+    wh = Warehouse(spark, fresh_path(spark, "raw"), {"raw": first.schema},
+                   parted={"raw": ("adsh", RAW_PARTS)})
+    table = ChangeTable(wh, "raw")
+    table.load(first)
+    table.create(fixtures.raw_later(t).select(*fixtures.RAW_COLUMNS))
+    table.update(fixtures.raw_updates(t))
+    table.delete(fixtures.raw_requests(t))
+    return table.rows()
+
+
 def raw_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page at nine tenths of the raw table, from the ranges it lies in."""
     table = PagedTable(_raw_all(_tables(spark, sf_dir)).select("adsh", "cik", "form"), ["adsh"])
@@ -629,6 +648,7 @@ QUERIES = {
     "raw_get": raw_get,
     "raw_update": raw_update,
     "raw_delete": raw_delete,
+    "raw_change_sets": raw_change_sets,
     "raw_not_found": raw_not_found,
     "page_text": page_text,
     "document_files": document_files,

@@ -17,8 +17,13 @@ names the successor and its tables. So of two publishers that start from one ver
 first to create the marker wins, whatever happens between their checks; the other is told
 that it lost (``Superseded``), and its tables are never read. Readers follow the markers.
 
+Parted tables are stored in hash parts of a key. A run writes only the parts it touches; its
+marker names them, and a reader takes each part from the newest version that wrote it. So the
+files of other parts are neither read nor written by a change.
+
     <root>/versions/<version>/<table>/          snapshot tables, parquet
     <root>/appends/<table>/v=<version>/         append-only tables, one delta per run
+    <root>/parts/<table>/v=<version>/_part=<k>/ parted tables, the parts a run has touched
     <root>/_published/after-<parent>            marker (one line: version, tables, parent)
 
 A publisher that dies between creating a marker and filling it leaves an empty one. Readers
@@ -33,9 +38,9 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 
 def new_version() -> str:
@@ -51,14 +56,20 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str,
                  schemas: Mapping[str, StructType] | None = None,
                  append_only: Sequence[str] = (),
-                 views: Mapping[str, Sequence[str]] | None = None):
+                 views: Mapping[str, Sequence[str]] | None = None,
+                 parted: Mapping[str, tuple[str, int]] | None = None):
         """``schemas``: declared table schemas, used when reading (no inference).
         ``append_only``: tables stored as per-run deltas instead of snapshots.
-        ``views``: logical tables read as the union of physical ones."""
+        ``views``: logical tables read as the union of physical ones.
+        ``parted``: table -> (key, number of hash parts); both stay as they are for the
+        life of the table, which needs a declared schema."""
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = dict(schemas or {})
         self.append_only = set(append_only)
         self.views = {k: list(v) for k, v in (views or {}).items()}
+        self.parted = dict(parted or {})
+        if not set(self.parted) <= set(self.schemas):
+            raise ValueError("parted tables need a declared schema")
 
     # --- reading ---------------------------------------------------------------
     def _store(self, path: str):
@@ -118,6 +129,8 @@ class Warehouse:
             return out
         if name in self.append_only:
             return self._appended(name, chain)
+        if name in self.parted:
+            return self._read_parts(name, self.part_versions(name, chain))
         if not chain:
             raise FileNotFoundError(f"nothing published under {self.root}")
         return self.read_staged(name, chain[-1]["version"])
@@ -151,6 +164,67 @@ class Warehouse:
             reader = reader.schema(schema)
         return reader.parquet(*[self.delta_path(name, v) for v in versions])
 
+    # --- parted tables -----------------------------------------------------------
+    def part_of(self, name: str) -> Column:
+        """Number of the part that a row of a parted table lies in."""
+        key, parts = self.parted[name]
+        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    def part_versions(self, name: str, chain: list[dict]) -> dict[int, str]:
+        """part -> the version that holds its rows; parts without rows are left out."""
+        held: dict[int, str] = {}
+        for marker in chain:
+            for entry in marker["tables"] or []:
+                table, _, part = entry.partition("/")
+                if table != name or not part:
+                    continue
+                if part.endswith("/empty"):
+                    held.pop(int(part.split("/")[0]), None)
+                else:
+                    held[int(part)] = marker["version"]
+        return held
+
+    def _read_parts(self, name: str, held: Mapping[int, str]) -> DataFrame:
+        schema = self.schemas[name]
+        if not held:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/parts/{name}"
+        full = StructType([*schema.fields, StructField("v", StringType()),
+                           StructField("_part", IntegerType())])
+        return self.spark.read.schema(full).option("basePath", base).parquet(
+            *[f"{base}/v={v}/_part={k}" for k, v in sorted(held.items())]).select(
+            *schema.fieldNames())
+
+    def parts(self, name: str, numbers: Sequence[int], version: str | None) -> DataFrame:
+        """The rows of some parts, as a version (None: before the first) holds them."""
+        held = self.part_versions(name, self._chain(version)) if version else {}
+        return self._read_parts(name, {k: v for k, v in held.items() if k in set(numbers)})
+
+    def touched(self, name: str, keys: DataFrame) -> list[int]:
+        """Parts that the rows of ``keys`` lie in: at most as many numbers as there are parts."""
+        part = self.part_of(name).alias("p")
+        return sorted(r["p"] for r in keys.select(part).distinct().collect())
+
+    def stage_parts(self, name: str, rows: DataFrame, touched: Sequence[int] | None,
+                    version: str) -> list[str]:
+        """Write the parts that ``rows`` hold, which take the place of ``touched`` (None: of
+        all). Returns the marker's entries.
+
+        Rebalanced by part: small parts share a task, a part that a hot key fills is split."""
+        key, parts = self.parted[name]
+        path = f"{self.root}/parts/{name}/v={version}"
+        (rows.select(*self.schemas[name].fieldNames()).withColumn("_part", self.part_of(name))
+         .hint("rebalance", "_part").write.mode("errorifexists").partitionBy("_part")
+         .parquet(path))
+        fs, folder = self._store(path)
+        folders = [s.getPath().getName() for s in fs.listStatus(folder)]
+        full = {int(f.split("=")[1]) for f in folders if f.startswith("_part=")}
+        numbers = range(parts) if touched is None else touched
+        if not full <= set(numbers):
+            raise ValueError(f"{name}: rows of parts that are not being replaced: "
+                             f"{sorted(full - set(numbers))[:5]}")
+        return [f"{name}/{k}" if k in full else f"{name}/{k}/empty" for k in numbers]
+
     def tables(self, names: Sequence[str], version: str | None = None) -> dict[str, DataFrame]:
         chain = self._chain(version)
         return {n: self._table(n, chain) for n in names}
