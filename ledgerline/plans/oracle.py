@@ -552,3 +552,5 @@ ORACLE_SQL["raw_change_sets"] = f"""
     SELECT * FROM ({ORACLE_SQL["raw_update"]}) WHERE adsh NOT IN (
         SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')
 """
+
+ORACLE_SQL["gold_incremental"] = ORACLE_SQL["gold_two_loads"]

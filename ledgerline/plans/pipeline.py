@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_date_int
+from ..functions.keys import surrogate_key
+from ..operators import fact_changes
 from ..operators.quality import (load_stats, require_no_orphans, require_not_null,
                                  require_unique)
 from ..operators.text import extract_texts
@@ -35,6 +37,10 @@ COMPANY_PARTS = ("companydim_current", "companydim_history")
 class RunReport:
     version: str
     rows: dict[str, int] = field(default_factory=dict)
+    # Parts of the fact that the run wrote, and filings whose facts were built again
+    # (incremental loads only).
+    fact_parts: int | None = None
+    filings_rebuilt: int | None = None
 
 
 REJECTS = "table string, reason string, record string"
@@ -103,14 +109,19 @@ def publish_silver(wh: Warehouse, silver: dict[str, DataFrame],
     return wh.publish(tables)
 
 
-def gold_warehouse(spark: SparkSession, root: str) -> Warehouse:
+def gold_warehouse(spark: SparkSession, root: str, fact_parts: int | None = None) -> Warehouse:
     """The gold warehouse: declared schemas; insert-only dimensions and the
-    company history stored as per-run deltas, so a run writes only new rows."""
+    company history stored as per-run deltas, so a run writes only new rows.
+
+    ``fact_parts``: store the fact in so many hash parts of its filing, and load it
+    incrementally (see ``publish_gold``); fixed for the life of the warehouse."""
     schemas = dict(GOLD)
     schemas.update({p: GOLD["companydim"] for p in COMPANY_PARTS})
+    schemas["fact_digests"] = fact_changes.DIGESTS
     return Warehouse(spark, root, schemas,
                      append_only=(*star.INSERT_ONLY, "companydim_history"),
-                     views={"companydim": COMPANY_PARTS})
+                     views={"companydim": COMPANY_PARTS},
+                     parted={"factfinancials": ("filing_id", fact_parts)} if fact_parts else None)
 
 
 # Natural key of each dimension; with the surrogate id it must be unique.
@@ -153,6 +164,10 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
     current versions are a snapshot. After every table is in place and the checks
     hold, the version becomes visible with its marker, as successor of the version
     that was read.
+
+    In a warehouse with ``fact_parts`` the fact is not reloaded: facts of filings that
+    changed since the last load (see ``fact_changes``) are built and replaced in the parts
+    they lie in. The resulting fact is that of a full reload.
     """
     if not {*star.INSERT_ONLY, "companydim_history"} <= gold_wh.append_only:
         raise ValueError("make the warehouse with gold_warehouse(): the insert-only dimensions "
@@ -182,8 +197,11 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
     written = {"companydim": current.unionByName(history)}
     for name in star.INSERT_ONLY:
         written[name] = existing[name].unionByName(gold_wh.read_delta(name, version))
-    fact, fobs = load_stats(star.fact(silver, {**written, "companydim": current}),
-                            "factfinancials")
+    lookups = {**written, "companydim": current}
+    if "factfinancials" in gold_wh.parted:
+        return _publish_parted_fact(silver, gold_wh, lookups, written, version, previous,
+                                    list(staged), {n: o.get["rows"] for n, o in obs.items()})
+    fact, fobs = load_stats(star.fact(silver, lookups), "factfinancials")
     gold_wh.stage(version, {"factfinancials": fact})
     check_gold(written, gold_wh.read_staged("factfinancials", version))
     gold_wh.mark(version, [*staged, "factfinancials"], previous)
@@ -192,6 +210,36 @@ def publish_gold(silver: dict[str, DataFrame], gold_wh: Warehouse, batch_ts: str
     return RunReport(version, rows)
 
 
+def _publish_parted_fact(silver: dict[str, DataFrame], wh: Warehouse,
+                         lookups: dict[str, DataFrame], dims: dict[str, DataFrame], version: str,
+                         previous: str | None, staged: list[str], rows: dict[str, int]) -> RunReport:
+    """The incremental end of ``publish_gold``: digests, changed filings, their facts.
+
+    Facts carried over keep keys that were checked when they were written; dimensions
+    lose no rows. So the foreign keys of the rewritten parts are checked, not of all."""
+    wh.stage(version, {"fact_digests": fact_changes.digests(silver, lookups["companydim"])})
+    digests = wh.read_staged("fact_digests", version)
+    if previous is None:
+        touched, rebuilt = None, digests.filter("kind = 'filing'").count()
+        facts = star.fact(silver, lookups)
+    else:
+        wh.stage(version, {"fact_changes": fact_changes.changed_filings(
+            wh.table("fact_digests", previous), digests, silver["num"])})
+        filings = wh.read_staged("fact_changes", version)
+        ids = filings.select(surrogate_key("adsh").alias("filing_id"))
+        touched, rebuilt = wh.touched("factfinancials", ids), filings.count()
+        kept = wh.parts("factfinancials", touched, previous).join(ids, "filing_id", "left_anti")
+        facts = star.fact(fact_changes.of_filings(silver, filings), lookups)
+        facts = kept.unionByName(facts.select(*kept.columns))
+    entries = wh.stage_parts("factfinancials", facts, touched, version)
+    full = {int(e.split("/")[1]): version for e in entries if not e.endswith("/empty")}
+    fact = wh.read_parts("factfinancials", full)
+    check_gold(dims, fact)
+    wh.mark(version, [*staged, "fact_digests", *entries], previous)
+    rows["factfinancials"] = fact.count()
+    return RunReport(version, rows, len(entries), rebuilt)
+
+
 def register_document_filings(filingdim: DataFrame, docs: DataFrame, form_type: str,
                               key: str = "doc_key") -> DataFrame:
     """Each document file becomes a filing row keyed by its file name

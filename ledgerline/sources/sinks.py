@@ -130,7 +130,7 @@ class Warehouse:
         if name in self.append_only:
             return self._appended(name, chain)
         if name in self.parted:
-            return self._read_parts(name, self.part_versions(name, chain))
+            return self.read_parts(name, self.part_versions(name, chain))
         if not chain:
             raise FileNotFoundError(f"nothing published under {self.root}")
         return self.read_staged(name, chain[-1]["version"])
@@ -184,7 +184,7 @@ class Warehouse:
                     held[int(part)] = marker["version"]
         return held
 
-    def _read_parts(self, name: str, held: Mapping[int, str]) -> DataFrame:
+    def read_parts(self, name: str, held: Mapping[int, str]) -> DataFrame:
         schema = self.schemas[name]
         if not held:
             return self.spark.createDataFrame([], schema)
@@ -198,7 +198,7 @@ class Warehouse:
     def parts(self, name: str, numbers: Sequence[int], version: str | None) -> DataFrame:
         """The rows of some parts, as a version (None: before the first) holds them."""
         held = self.part_versions(name, self._chain(version)) if version else {}
-        return self._read_parts(name, {k: v for k, v in held.items() if k in set(numbers)})
+        return self.read_parts(name, {k: v for k, v in held.items() if k in set(numbers)})
 
     def touched(self, name: str, keys: DataFrame) -> list[int]:
         """Parts that the rows of ``keys`` lie in: at most as many numbers as there are parts."""
