@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -76,17 +77,104 @@ def test_branches_below_the_fourth_level_are_judged(spark):
     assert got[1002]["template"] == "/{n}/{n}/{n}/news"
 
 
-def test_badness_by_hand(spark):
+def slow_tree(rows):
+    """(host, shape) -> (template, badness); rows: (host, shape, labelled, bad). Segment by segment."""
+    total = lambda rs: (sum(r[2] for r in rs), sum(r[3] for r in rs))
+    smooth = lambda l, b, prior: (b + uf.WEIGHT * prior) / (l + uf.WEIGHT)
+
+    def differs(l, b, all_l, all_b):
+        rest_l, rest_b = all_l - l, all_b - b
+        if min(l, rest_l) < uf.LEAST:
+            return False, False
+        share = all_b / all_l
+        gap = b / l - rest_b / rest_l
+        return abs(gap) > uf.Z * (share * (1 - share) * (1 / l + 1 / rest_l)) ** .5, gap > 0
+
+    out = {}
+
+    def visit(host, members, template, prior):  # members: (rest, row)
+        l, b = total([r for _, r in members])
+        parts = {}
+        for rest, r in members:
+            parts.setdefault(rest[0] if rest else "", []).append((rest[1:], r))
+        if set(parts) == {""}:
+            for _, r in members:
+                out[host, r[1]] = (template, smooth(l, b, prior))
+            return
+        sums = {s: total([r for _, r in ms]) for s, ms in parts.items()}
+        worse = {s for s in parts if differs(*sums[s], l, b) == (True, True)}
+        rest_sum = [sum(sums[s][k] for s in parts if s not in worse) for k in (0, 1)]
+        merged = {}
+        for s, ms in parts.items():
+            keep = (len(parts) == 1 or s in ("", "/") or s in worse
+                    or differs(*sums[s], *rest_sum)[0])
+            merged.setdefault(s if keep else "*", []).extend(ms)
+        for s, ms in merged.items():
+            sl, sb = total([r for _, r in ms])
+            visit(host, ms, template + ("/" + s if s not in ("", "/") else s),
+                  smooth(l - sl, b - sb, prior))
+
+    all_l, all_b = total(rows)
+    for host in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == host]
+        hl, hb = total(mine)
+        visit(host, [([x for x in r[1].split("\n") if x], r) for r in mine], "",
+              smooth(all_l - hl, all_b - hb, uf.BASE))
+    return out
+
+
+def test_tree_matches_brute_force(spark):
+    rng = random.Random(5)
+    pages, marks = [], []
+    for k in range(3000):
+        host = rng.choice(["a", "a", "a", "b", "c", ""])
+        segments = [rng.choice("uvwxy*") * rng.choice([1, 1, 2]) for _ in range(rng.randrange(5))]
+        if rng.random() < .3:
+            segments[:2] = ["long", "common", "part"]
+        shape = "\n".join(segments + (["/"] if rng.random() < .2 else []))
+        pages.append((k, host, shape.replace("*", "{*}")))
+        if rng.random() < .6:
+            marks.append((k, int(rng.random() < (.8 if segments[:1] == ["u"] or "yy" in segments else .1))))
+    got = {(r["host"], r["shape"]): (r["template"], r["badness"]) for r in uf.template_tree(
+        spark.createDataFrame(pages, "page_id long, host string, shape string"),
+        spark.createDataFrame(marks, "page_id long, bad int")).collect()}
+    bad, rows = dict(marks), {}
+    for k, h, s in pages:
+        row = rows.setdefault((h, s), [h, s, 0, 0])
+        row[2] += k in bad
+        row[3] += bad.get(k, 0)
+    want = slow_tree([tuple(r) for r in rows.values()])
+    assert set(got) == set(want)
+    for key, (template, badness) in want.items():
+        assert got[key][0] == template and got[key][1] == pytest.approx(badness), key
+
+
+def test_badness_counts_a_label_once(spark):
     got = _verdicts(spark, [(k, f"x://one.test/a/{k}") for k in range(6)], [(0, 1), (1, 1), (2, 0)])
-    share = 2 / 3
-    for _ in range(3):  # host, /a and /a/{n} hold the same labels
-        share = (2 + uf.WEIGHT * share) / (3 + uf.WEIGHT)
-    assert got[5]["badness"] == pytest.approx(share)
+    assert got[5]["badness"] == pytest.approx((2 + uf.WEIGHT * uf.BASE) / (3 + uf.WEIGHT))
+
+
+def test_depth_changes_neither_verdict_nor_rounds(spark, monkeypatch):
+    pages = [(k, f"x://good.test/p/{k}") for k in range(100)]
+    pages += [(100, "x://short.test/x/"), (101, "x://deep.test/x/a/b/c/d/e/f/")]
+    labels = [(k, 0) for k in range(100)] + [(100, 1), (101, 1)]
+    got = _verdicts(spark, pages, labels)
+    assert got[100]["badness"] == pytest.approx(got[101]["badness"])
+    assert got[100]["verdict"] == got[101]["verdict"]
+    rounds, plain = [], uf.written
+    monkeypatch.setattr(uf, "written", lambda df, name, **o: rounds.append(name) or plain(df, name, **o))
+    counts = []
+    for depth in (2, 20):
+        rounds.clear()
+        way = "/".join("d" for _ in range(depth))
+        _verdicts(spark, [(1, f"x://h.test/{way}/a"), (2, f"x://h.test/{way}/b")], [(1, 1)])
+        counts.append(len(rounds))
+    assert counts[0] == counts[1] <= 3
 
 
 def test_shapes(spark):
     paths = {"/en/123": "en\n{n}", "/en/123.html": "en\n{n}.html", "/a/0123456789abcdef01": "a\n{hex}",
-             "/v2x/": "v{n}x\n/", "": "", "/": "/", "/a/b/c/d/e/f": "a\nb\nc\nd\n{tail}"}
+             "/v2x/": "v{n}x\n/", "": "", "/": "/", "/a/b/c/d/e/*": "a\nb\nc\nd\ne\n{*}"}
     frame = spark.createDataFrame([(p,) for p in paths], "p string")
     assert {r["p"]: r["s"] for r in frame.select("p", uf.shape(frame["p"]).alias("s")).collect()} == paths
 
