@@ -53,6 +53,11 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def _name(path: Column) -> Column:
+    """120 bits of a digest in 20 characters: paths are lists of names, so short ones count."""
+    return F.base64(F.unhex(F.substring(F.sha2(path, 256), 1, 30)))
+
+
 def paths(turns: DataFrame) -> DataFrame:
     """conv_id, turns: array of (role, text), path: array of node names.
 
@@ -65,9 +70,9 @@ def paths(turns: DataFrame) -> DataFrame:
         .groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
     def names(t: Column) -> Column:
-        step = lambda acc, x: F.concat(acc, F.array(F.sha2(F.concat(
+        step = lambda acc, x: F.concat(acc, F.array(_name(F.concat(
             F.coalesce(F.get(acc, F.size(acc) - 1), F.lit("")), F.lit("\n"), escape(x["role"]),
-            F.lit("]"), escape(x["text"])), 256)))
+            F.lit("]"), escape(x["text"])))))
         return F.aggregate(t, F.array().cast("array<string>"), step)
 
     return lists.select("conv_id", "turns", names(F.col("turns")).alias("path"))
@@ -132,14 +137,18 @@ def tree(paths_: DataFrame) -> DataFrame:
 
 
 def read_back(paths_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """conv_id, formatted, turns (role, text), loss_text, from the stored nodes alone.
+    """conv_id, formatted, turns (role, text), loss_text, attended, from the stored nodes alone.
 
-    The conversation gives the path; text, turns and loss come out of the nodes.
+    The conversation gives the path; text, turns and loss come out of the nodes, in the order
+    of their position ids. ``attended``: code points in the intervals that the last node
+    attends to, its own among them.
     """
-    steps = paths_.select("conv_id", F.posexplode("path").alias("k", "node"))
-    parts = steps.join(nodes.select("node", "segment", "loss_from", "loss_to"), "node") \
+    steps = paths_.select("conv_id", F.explode("path").alias("node"))
+    attended = F.aggregate("ancestors", F.col("size"), lambda n, a: n + a["to"] - a["from"])
+    parts = steps.join(nodes.select("node", "position", "segment", "loss_from", "loss_to",
+                                    attended.alias("attended")), "node") \
         .groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
-            "k", "segment", "loss_from", "loss_to"))).alias("parts"))
+            "position", "segment", "loss_from", "loss_to", "attended"))).alias("parts"))
 
     def parsed(x: Column) -> Column:
         s = x["segment"]
@@ -152,7 +161,8 @@ def read_back(paths_: DataFrame, nodes: DataFrame) -> DataFrame:
 
     return parts.select(
         "conv_id", F.array_join(F.transform("parts", lambda x: x["segment"]), "").alias("formatted"),
-        F.transform("parts", parsed).alias("turns")) \
+        F.transform("parts", parsed).alias("turns"),
+        F.element_at("parts", -1)["attended"].alias("attended")) \
         .withColumn("loss_text", F.array_join(F.transform("turns", lambda t: t["loss"]), ""))
 
 
@@ -171,4 +181,5 @@ def digests(read: DataFrame) -> DataFrame:
         F.sha2(joined, 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.col("attended").alias("attended_chars"))

@@ -45,6 +45,7 @@ def test_turns_and_loss_come_back(formatted):
         loss = "".join(t for r, t in turns if r == "assistant")
         r = got.pop(c)
         assert (r["n_turns"], r["loss_chars"]) == (len(turns), len(loss))
+        assert r["attended_chars"] == r["formatted_chars"] > 0
         assert r["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
         assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
     assert not got
