@@ -52,6 +52,23 @@ _QUALITY = rf"""
     FROM f
 """
 
+_ABLATIONS = f"""
+    WITH r AS (SELECT * FROM (VALUES
+        ('too_few_words', 1), ('repeated_words', 2), ('symbol_noise', 4), ('repeated_lines', 8),
+        ('shouting', 16), ('exclamations', 32), ('word_length', 64), ('no_letters', 128))
+        AS t(rule, bit)),
+    p AS (SELECT * FROM (VALUES ('base', 1, 3), ('prose', 1, 15), ('prose', 2, 255))
+          AS t(policy, version, bits)),
+    q AS (SELECT policy, version, rule, bits, bit FROM p, r WHERE bits & bit <> 0)
+    SELECT policy, version, rule,
+           CAST(sum(CASE WHEN fail_bits & bits = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept,
+           CAST(sum(CASE WHEN fail_bits & bit <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+           CAST(sum(CASE WHEN fail_bits & bits = bit THEN 1 ELSE 0 END) AS BIGINT) AS failed_alone,
+           CAST(sum(CASE WHEN fail_bits & (bits - bit) = 0 THEN 1 ELSE 0 END) AS BIGINT)
+               AS kept_without
+    FROM ({_QUALITY}) AS ledger, q GROUP BY ALL
+"""
+
 _ESCAPE = ("replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), "
            "'[', '&#91;'), ']', '&#93;')")
 _CHAT = f"""
@@ -68,7 +85,9 @@ _CHAT = f"""
            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
                            FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
            CAST(sum(9 + length({_ESCAPE.format("role")}) + length({_ESCAPE.format("text")}))
-                AS BIGINT) AS formatted_chars
+                AS BIGINT) AS formatted_chars,
+           CAST(sum(9 + length({_ESCAPE.format("role")}) + length({_ESCAPE.format("text")}))
+                AS BIGINT) AS attended_chars
     FROM c GROUP BY conv_id
 """
 
@@ -196,6 +215,7 @@ _SEARCH = f"""
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
+    "quality_ablations": _ABLATIONS,
     "op3_chat_formatting": _CHAT,
     "op4_decontamination": _CONTAMINATION,
     "op7_license_scan": _license_sql(),

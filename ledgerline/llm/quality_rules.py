@@ -6,7 +6,8 @@ bits afterwards, and ablations (what a policy would keep without one of its
 rules) are bitwise counts over the distinct masks, without touching a text again.
 
 Only DataFrame functions; the ledger is one projection of the scan, without a
-shuffle. Words are maximal runs without ASCII white space.
+shuffle. ``store`` writes it once; policies and ablations read its few numbers from there.
+Words are maximal runs without ASCII white space.
 
 Defined results: null text has no words; empty text has one empty line; repeated
 rows get a ledger row each; null ids are kept; other columns are ignored; an
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.common import SPACES, let
+from ledgerline.llm.common import SPACES, let, written
 
 #: The symbol characters that count as noise.
 SYMBOLS = "#*$%&|<>"
@@ -137,6 +138,11 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, **cols) -> DataFram
     return measure(docs, **cols).withColumn("fail_bits", bits)
 
 
+def store(docs: DataFrame, rules: tuple[Rule, ...] = RULES, **cols) -> DataFrame:
+    """The ledger as a written table: no later step evaluates a rule again."""
+    return written(ledger(docs, rules, **cols), "quality-ledger")
+
+
 def apply_policy(ledger_rows: DataFrame, policy: str, version: int,
                  rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The ledger with ``kept``: none of the policy's rules failed."""

@@ -20,13 +20,18 @@ def word_tokenizer() -> str:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.lit(quality_rules.mask("base", 1)).cast("long")
     rows = quality_rules.apply_policy(
-        quality_rules.ledger(table(spark, sf_dir, "documents")), "prose", 2)
+        quality_rules.store(table(spark, sf_dir, "documents")), "prose", 2)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words",
                        (F.col("fail_bits").bitwiseAND(base) != 0).alias("base_failed"),
                        "kept", "fail_bits")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every policy keeps without each of its rules, from the stored bits."""
+    return quality_rules.ablations(quality_rules.store(table(spark, sf_dir, "documents")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -103,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_collocations": op11_collocations,
     "op12_ranked_search": op12_ranked_search,
     "op13_quality_classifier": op13_quality_classifier,
+    "quality_ablations": quality_ablations,
 }

@@ -47,6 +47,9 @@ def test_bits_policies_and_ablations(spark, docs):
     table = {r["rule"]: r for r in q.ablations(ledger).filter("policy = 'base'").collect()}
     assert set(table) == {"too_few_words", "repeated_words"}
     assert all(r["kept"] == kept for r in table.values())
+    stored = q.store(docs)
+    assert q.ablations(stored).collect() and "documents" not in stored._jdf.queryExecution().toString()
+    assert sorted(stored.collect(), key=str) == sorted(ledger.collect(), key=str)
     without = ledger.filter(f"fail_bits & {q.bit('repeated_words')} = 0").count()
     assert table["too_few_words"]["kept_without"] == without
 
