@@ -9,13 +9,16 @@ node's formatted text is stored once, in depth-first order of the tree, with
 - ``position``: the position id of its first code point, which counts along the
   path, not along the stream;
 - ``ancestors``: the (part, from, to) intervals of the path above it, to which its code
-  points attend, next to the earlier ones of its own interval;
+  points attend, next to the earlier ones of its own interval; turns that lie one behind
+  the other in the stream make one interval, so a long path has few;
 - ``loss_from``/``loss_to``: the interval of its text that carries loss (assistant
   turns), counted within the node.
 
 Depth-first order is the order of paths as lists of digests, so the stream is
 range-partitioned by path: no tree needs to fit into one task, even if all
-conversations begin alike. Equal paths are combined before any shuffle of texts.
+conversations begin alike. A task lays its part out in one pass, with the current path as
+its only state; turns above its first node lie in earlier parts and are looked up
+once a part. Equal paths are combined before any shuffle of texts.
 
 Template: ``<s>[role]text</s>``. In roles and texts ``&``, ``<``, ``[`` and ``]`` are written as
 character references, so no control string can occur inside; the reverse
@@ -101,39 +104,77 @@ def tree(paths_: DataFrame) -> DataFrame:
         *[F.first(c).alias(c) for c in ("path", "depth", "segment", "loss_from", "loss_to")])
         .withColumn("size", F.length("segment").cast("long")), "chat-nodes")
 
-    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            sizes = batch.column(1).to_pylist()
-            offsets = []
-            for n in sizes:
-                offsets.append(at)
-                at += n
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([part] * len(sizes), pa.int32()),
-                 pa.array(offsets, pa.int64())], names=["node", "part", "offset"])
-
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (nodes.select("node", "size", "path").repartitionByRange(width, "path")
-               .sortWithinPartitions("path").select("node", "size"))
-    places = written(ordered.mapInArrow(lay, "node string, part int, offset long"), "chat-places")
-    laid = written(nodes.join(places, "node"), "chat-laid")
+    ordered = (nodes.select("node", "size", "depth", "path").repartitionByRange(width, "path")
+               .sortWithinPartitions("path").select("node", "size", "depth"))
+    places = written(ordered.mapInArrow(_lay, PLACES), "chat-places")
+    # The path above the first node of a part, laid out by earlier parts: a list for each part.
+    heads = places.filter("offset = 0").select("part", "node").join(
+        nodes.select("node", "path"), "node").select(
+        "part", "node", F.posexplode("path").alias("k", "up")).filter("up <> node")
+    there = places.select(F.col("node").alias("up"), F.struct(
+        "part", F.col("offset").alias("from"), (F.col("offset") + F.col("size")).alias("to"))
+        .alias("span"))
+    borders = heads.join(there, "up").groupBy("part").agg(
+        F.sort_array(F.collect_list(F.struct("k", "span"))).alias("border"))
+    lent = F.slice(F.transform("border", lambda x: x["span"]), F.lit(1), F.col("lent"))
+    lent = F.when(F.col("lent") > 0, lent).otherwise(F.array().cast(SPANS))
+    places_ = places.join(borders, "part", "left").withColumn("lent_spans", lent).select(
+        "node", "part", "offset", F.aggregate(
+            "lent_spans", F.col("position"), lambda n, x: n + x["to"] - x["from"]).alias("position"),
+        F.aggregate(F.concat("lent_spans", "spans"), F.array().cast(SPANS), _joined).alias("ancestors"))
+    laid = written(nodes.drop("path").join(places_, "node"), "chat-laid")
     discard(nodes, places)
-
-    above = laid.select("node", F.posexplode("path").alias("k", "up")).filter("up <> node")
-    there = laid.select(F.col("node").alias("up"), "part", "offset", "size")
-    spans = above.join(there, "up").groupBy("node").agg(
-        F.sum("size").alias("position"),
-        F.sort_array(F.collect_list(F.struct(
-            "k", "part", F.col("offset").alias("from"),
-            (F.col("offset") + F.col("size")).alias("to")))).alias("above"))
-    return laid.join(spans, "node", "left").select(
-        "node", "depth", "conversations", "segment", "part", "offset", "size",
-        F.coalesce("position", F.lit(0).cast("long")).alias("position"), "loss_from", "loss_to",
-        F.transform(F.coalesce("above", F.array().cast(
-            "array<struct<k:int,part:int,from:bigint,to:bigint>>")),
-            lambda a: F.struct(a["part"], a["from"], a["to"])).alias("ancestors"))
+    return laid.select("node", "depth", "conversations", "segment", "part", "offset", "size",
+                       "position", "loss_from", "loss_to", "ancestors")
+
+
+SPANS = "array<struct<part:int,from:bigint,to:bigint>>"
+PLACES = f"node string, size long, part int, offset long, lent int, position long, spans {SPANS}"
+
+
+def _joined(spans: Column, x: Column) -> Column:
+    """``spans`` with one more, as part of the last one if it follows on it."""
+    last = F.get(spans, F.size(spans) - 1)
+    follows = (last["part"] == x["part"]) & (last["to"] == x["from"])
+    longer = F.struct(last["part"].alias("part"), last["from"].alias("from"), x["to"].alias("to"))
+    return F.when(F.coalesce(follows, F.lit(False)), F.concat(
+        F.slice(spans, F.lit(1), F.size(spans) - 1), F.array(longer))).otherwise(
+        F.concat(spans, F.array(x)))
+
+
+def _lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of a part's nodes, which come depth first.
+
+    ``lent``: how many turns of the path above lie in earlier parts; ``spans`` and
+    ``position`` cover the others."""
+    from pyspark import TaskContext
+    part, at, path, lent = TaskContext.get().partitionId(), 0, None, 0
+    span = pa.struct([("part", pa.int32()), ("from", pa.int64()), ("to", pa.int64())])
+    for batch in batches:
+        offsets, lents, positions, above = [], [], [], []
+        for size, depth in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if path is None:
+                path, lent = [((), 0)] * (depth - 1), depth - 1
+            del path[depth - 1:]
+            lent = min(lent, depth - 1)
+            spans, position = path[-1] if path else ((), 0)
+            offsets.append(at)
+            lents.append(lent)
+            positions.append(position)
+            above.append([{"part": part, "from": a, "to": b} for a, b in spans])
+            if spans and spans[-1][1] == at:
+                spans = (*spans[:-1], (spans[-1][0], at + size))
+            else:
+                spans = (*spans, (at, at + size))
+            path.append((spans, position + size))
+            at += size
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([part] * n, pa.int32()),
+             pa.array(offsets, pa.int64()), pa.array(lents, pa.int32()),
+             pa.array(positions, pa.int64()), pa.array(above, pa.list_(span))],
+            names=["node", "size", "part", "offset", "lent", "position", "spans"])
 
 
 def read_back(paths_: DataFrame, nodes: DataFrame) -> DataFrame:

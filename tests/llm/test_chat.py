@@ -29,6 +29,12 @@ def formatted(turns):
     return found, nodes, sorted(nodes.collect(), key=lambda n: (n["part"], n["offset"]))
 
 
+def above(n, nodes):
+    """The nodes that lie in the ancestor intervals of ``n``, in their order."""
+    return [x for a in n["ancestors"] for x in nodes
+            if x["part"] == a["part"] and a["from"] <= x["offset"] < a["to"]]
+
+
 def conversations():
     out = {}
     for c, t, role, text in sorted(ROWS, key=lambda r: (r[0] or -1, r[1] is not None, r[1] or 0,
@@ -60,23 +66,22 @@ def test_shared_turns_are_stored_once_and_depth_first(formatted):
     assert len(set(names)) == len(names)
     # A child follows its parent with only other descendants of the parent between them.
     at = {n["node"]: k for k, n in enumerate(nodes)}
-    by_place = {(n["part"], n["offset"]): n for n in nodes}
     for n in nodes:
-        for a in n["ancestors"]:
-            up = by_place[a["part"], a["from"]]
+        for up in above(n, nodes):
             between = nodes[at[up["node"]] + 1:at[n["node"]]]
-            assert all(any(x["from"] == a["from"] and x["part"] == a["part"] for x in b["ancestors"])
-                       for b in between)
+            assert all(up in above(b, nodes) for b in between)
 
 
 def test_positions_ancestors_and_loss_spans(formatted):
     _, _, nodes = formatted
-    by_place = {(n["part"], n["offset"]): n for n in nodes}
     for n in nodes:
-        assert len(n["ancestors"]) == n["depth"] - 1 and n["size"] == len(n["segment"])
-        assert n["position"] == sum(a["to"] - a["from"] for a in n["ancestors"])
-        assert [by_place[a["part"], a["from"]]["depth"] for a in n["ancestors"]] == \
-            list(range(1, n["depth"]))
+        up = above(n, nodes)
+        assert [x["depth"] for x in up] == list(range(1, n["depth"]))
+        assert n["size"] == len(n["segment"])
+        assert n["position"] == sum(x["size"] for x in up) \
+            == sum(a["to"] - a["from"] for a in n["ancestors"])
+        for a, b in zip(n["ancestors"], n["ancestors"][1:]):  # as few intervals as can be
+            assert (a["part"], a["to"]) != (b["part"], b["from"])
     part = {}
     for n in nodes:  # gapless in each partition
         assert n["offset"] == part.get(n["part"], 0)
@@ -90,6 +95,17 @@ def test_no_control_string_inside_texts(formatted):
         assert n["segment"].count("[") == 1 and n["segment"].count("]") == 1
 
 
+def test_a_long_path_over_many_parts_has_few_intervals(spark):
+    rows = [(c, t, "user", f"turn {t}") for c in (1, 2) for t in range(200)]
+    rows += [(2, 200, "user", "more"), (3, 0, "user", "turn 0"), (3, 1, "assistant", "else")]
+    found, nodes = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    nodes = sorted(nodes.collect(), key=lambda n: (n["part"], n["offset"]))
+    assert len(nodes) == 202 and len({n["part"] for n in nodes}) > 2
+    for n in nodes:
+        assert [x["depth"] for x in above(n, nodes)] == list(range(1, n["depth"]))
+        assert len(n["ancestors"]) <= 10
+
+
 def test_empty_table(spark):
     found, nodes = chat.format_conversations(spark.createDataFrame([], SCHEMA))
     assert nodes.count() == 0 and chat.read_back(found, nodes).count() == 0
