@@ -1,11 +1,11 @@
 """WARC archives: writer with revisit records, and a salvage reader.
 
 Writing is a plain Spark write: each page becomes one record, gzipped as a member
-of its own, so that damage to one record leaves the others readable; without
-compression the text writer ends every record with the blank lines the format
-asks for. ``records_per_file`` bounds an archive, so that a reader task holds a few
-archives at most. Reading goes through ``binaryFile`` and works on any store
-Spark reads, with archives plain or gzipped, one member a record or one a file.
+of its own, so that damage to one record leaves the others readable. An archive
+ends before the record that would take it over ``archive_bytes``, so it is longer
+only if one record alone is, and a reader task holds a few archives at most. Reading
+goes through ``binaryFile`` and works on any store Spark reads, with archives plain
+or gzipped, one member a record or one a file.
 In a member that holds many records, nothing behind its damage can be unpacked.
 
 The salvage reader checks every record: version line, header block, declared
@@ -39,7 +39,8 @@ DATE = "2025-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 #: Payloads below this size are always stored in full.
 MIN_REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 1000
+#: An archive's bytes (before compression by file, if any).
+ARCHIVE_BYTES = 32 << 20
 
 RECORD_SCHEMA = ("kind string, file string, offset long, length long, reason string, "
                  "record_type string, record_id string, target_uri string, refers_to string, "
@@ -105,33 +106,43 @@ def _member(record: bytes) -> bytes:
     return out if out.endswith(b"\0") else out + zlib.compress(b"", wbits=31)
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Gzip members of the records, without the zero that ends each."""
-    end = END.encode()
-    for batch in batches:
-        out, held = [], 0
-        for record in batch.column(0):
-            out.append(_member(record.as_buffer().to_pybytes() + end)[:-1])
-            held += len(out[-1])
-            if held > 8_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
-                out, held = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+def _archives(by_record: bool, size: int, records: int | None):
+    """Rows of records to rows of archives, without the bytes that the writer adds to each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        for batch in batches:
+            for record in batch.column(0):
+                data = record.as_buffer().to_pybytes() + END.encode()
+                data = _member(data) if by_record else data
+                if held and (total + len(data) > size or len(held) == records):
+                    yield pack(held)
+                    held, total = [], 0
+                held.append(data)
+                total += len(data)
+        if held:
+            yield pack(held)
+
+    def pack(held: list[bytes]) -> pa.RecordBatch:
+        whole = b"".join(held)[:-1 if by_record else -len(END)]
+        return pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["value"])
+
+    return run
 
 
 def write_archives(pages: DataFrame, path: str, compression: str = "gzip",
-                   records_per_file: int = RECORDS_PER_FILE, **cols) -> None:
+                   archive_bytes: int = ARCHIVE_BYTES, records_per_file: int | None = None,
+                   **cols) -> None:
     """Archives of the pages; ``gzip`` packs record by record, other codecs by file."""
+    by_record = compression == "gzip"
     records = plan_records(pages, **cols).select(record_text().alias("value"))
-    end = END
-    if compression == "gzip":
-        # The text writer passes bytes on as they are; the zero that it adds ends the member.
-        records = records.mapInArrow(_members, "value binary").select(
-            F.col("value").cast("string"))
-        compression, end = "none", "\0"
-    (records.write.option("lineSep", end).option("compression", compression)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    archives = records.mapInArrow(_archives(by_record, archive_bytes, records_per_file),
+                                  "value binary")
+    # The text writer passes bytes on as they are, one archive a file; what it adds ends
+    # the last record: its blank lines, or the zero that is its member's last byte.
+    (archives.select(F.col("value").cast("string")).write
+     .option("lineSep", "\0" if by_record else END)
+     .option("compression", "none" if by_record else compression)
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 # --- reading -----------------------------------------------------------------

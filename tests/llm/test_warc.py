@@ -199,3 +199,19 @@ def test_revisits_name_their_profile(spark):
     profile = b"\r\nWARC-Profile: " + warc.PROFILE.encode() + b"\r\n"
     assert [(b"WARC-Type: revisit" in r, profile in r) for r in records].count((True, True)) == 3
     assert not any(profile in r for r in records if b"WARC-Type: response" in r)
+
+
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_archives_are_bounded_by_bytes(spark, compression):
+    path = tempfile.mkdtemp(prefix="ll-warc-") + "/a"
+    noise = [hashlib.shake_256(b"%d" % k).hexdigest(20000 if k == 7 else 700) for k in range(40)]
+    pages = spark.createDataFrame([(k, f"http://h/{k}", x) for k, x in enumerate(noise)],
+                                  "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), path, compression=compression, archive_bytes=8000)
+    files = [bytes(r["content"]) for r in
+             spark.read.format("binaryFile").load(path + "/part-*").select("content").collect()]
+    found = [list(warc.salvage(f)) for f in files]
+    assert all(r["kind"] == "record" for rows in found for r in rows)
+    assert sum(map(len, found)) == 40
+    assert all(len(f) <= 8000 or len(rows) == 1 for f, rows in zip(files, found))
+    assert sum(len(f) > 8000 for f in files) == 1 and max(map(len, found)) > 2
