@@ -1,22 +1,23 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A text is cut into clauses. A lexicon transducer maps each word to a symbol: insult
-or other term with a weight, threat verb, target (the reader or a group),
-negation, reporting verb, or nothing. Further transducers, composed one after the
-other, rewrite a term's symbol by its clause: negated (a negation up to
-three words before it), reported (a reporting verb before it), targeted (a target
-within the clause), plain otherwise; a threat verb counts only where a target
-follows it. What is scored are the matched clauses, weighted by how their terms
-stand; a document's score is a logistic function of the total, of its density and of
-the length.
+A text is cut into clauses. A lexicon maps each word to a symbol: insult or other term
+with a weight, threat verb, target (the reader or a group), negation, reporting verb,
+or nothing. Five transducers rewrite a term's symbol by its clause: a threat verb counts
+only where a target follows it; a term is negated (a negation up to three words
+before it), else reported (a reporting verb before it), else targeted (a target within
+the clause), else plain. They are composed into two: what depends on later words is read
+from the end (``AHEAD``), what depends on earlier ones from the start (``BEHIND``).
+An arc that gives a term its reading weighs the reading's factor. What is scored are the
+matched clauses: the sum of the weights of their paths; a document's score is a
+logistic function of the total, of its density and of the length.
 
 Learning. Term weights are log ratios of a term's rate in toxic and clean labelled
 documents; terms are words or word beginnings of 5 to 7 letters, taken by a
 likelihood-ratio test on documents. The four readings' factors and the logistic
 are fitted too. All of it uses at most ``TRAIN_ROWS`` labelled rows (those with the
 smallest hashes of their ids) outside the held-out fold, of which near copies
-count once. Counting runs on Spark; the driver sees at most ``LEXICON`` terms and
-one short row of figures per training row.
+count once. Counting runs on Spark; the driver sees the terms of that sample that pass the
+test, and one short row of figures per training row.
 
 Scoring covers every document, whole texts, in the scan's own tasks, without a shuffle.
 
@@ -39,10 +40,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.llm.common import discard, written
+from ledgerline.llm.transducers import Transducer, chain
 from ledgerline.operators.dedup import keep_first
 
 TRAIN_ROWS = 20_000
-LEXICON = 4_000
 FOLDS = 5
 PREFIXES = (5, 6, 7)
 MIN_DOCS = 4
@@ -99,47 +100,50 @@ NEGATION_REACH = 3
 
 # --- transducers ------------------------------------------------------------------------
 
-def negation(symbols: list[str]) -> list[str]:
-    """States count down the words that a negation still reaches."""
-    out, state = [], 0
-    for s in symbols:
-        out.append("n" if s == "i" and state else s)
-        state = NEGATION_REACH if s == "N" else max(0, state - 1)
-    return out
+#: i insult or other term, H threat verb, Y target, N negation, R reporting verb, o others.
+ALPHABET = "iHYNRo"
 
 
-def reported(symbols: list[str]) -> list[str]:
-    """After a reporting verb, terms of the clause are another's words."""
-    out, state = [], False
-    for s in symbols:
-        out.append("r" if s == "i" and state else s)
-        state = state or s == "R"
-    return out
+def threats() -> Transducer:
+    """A threat verb becomes a term where a target follows; reads from the end."""
+    return Transducer({(0, "Y"): (1, "Y", ()), (0, "H"): (0, "o", ()), (1, "H"): (1, "i", ())})
 
 
-def threats(symbols: list[str]) -> list[str]:
-    """A threat verb becomes a term where a target follows; reads from the end."""
-    out, state = [], False
-    for s in reversed(symbols):
-        out.append(("i" if state else "o") if s == "H" else s)
-        state = state or s == "Y"
-    return out[::-1]
+def target_ahead() -> Transducer:
+    """A term that a target follows becomes ``j``; reads from the end."""
+    return Transducer({(0, "Y"): (1, "Y", ()), (1, "i"): (1, "j", ())})
+
+
+def negation(reach: int = NEGATION_REACH) -> Transducer:
+    """States count down the words that a negation still reaches."""
+    arcs = {(left, "N"): (reach, "N", ()) for left in range(reach + 1)}
+    for left in range(1, reach + 1):
+        arcs |= {(left, s): (left - 1, s, ()) for s in "HYRo"}
+        arcs |= {(left, s): (left - 1, "n", ("negated",)) for s in "ij"}
+    return Transducer(arcs)
+
+
+def reported() -> Transducer:
+    """After a reporting verb, terms of the clause are another's words."""
+    return Transducer({(0, "R"): (1, "R", ()),
+                       (1, "i"): (1, "r", ("reported",)), (1, "j"): (1, "r", ("reported",))})
 
 
-def targeted(symbols: list[str]) -> list[str]:
-    """Plain terms of a clause with a target."""
-    hit = "Y" in symbols
-    return ["t" if s == "i" and hit else s for s in symbols]
+def targeted() -> Transducer:
+    """What is left of the terms is targeted if a target stands before or behind it."""
+    return Transducer({(0, "Y"): (1, "Y", ()), (0, "i"): (0, "i", ("plain",)),
+                       (0, "j"): (0, "t", ("targeted",)), (1, "i"): (1, "t", ("targeted",)),
+                       (1, "j"): (1, "t", ("targeted",))})
 
 
-GRAMMAR = (threats, negation, reported, targeted)
-_READING = {"i": 0, "t": 1, "n": 2, "r": 3}
+AHEAD = chain([threats(), target_ahead()], ALPHABET)
+BEHIND = chain([negation(), reported(), targeted()], "ijHYNRo")
 
 
-def read_clause(symbols: list[str]) -> list[str]:
-    for step in GRAMMAR:
-        symbols = step(symbols)
-    return symbols
+def read_clause(symbols: list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """(symbol, weight) of each word as both transducers leave it."""
+    ahead = [s for s, _ in AHEAD.read(reversed(symbols))]
+    return BEHIND.read(reversed(ahead))
 
 
 @dataclass
@@ -186,10 +190,10 @@ def figures(text: str | None, lexicon: Lexicon) -> tuple[int, np.ndarray, np.nda
 
     def close() -> None:
         found = [lexicon[w] for w in clause]
-        for (_, weight), s in zip(found, read_clause([f[0] for f in found])):
-            if s in _READING:
-                counts[_READING[s]] += 1
-                weights[_READING[s]] += weight
+        for (_, weight), (_, paid) in zip(found, read_clause([f[0] for f in found])):
+            for reading in paid:
+                counts[READINGS.index(reading)] += 1
+                weights[READINGS.index(reading)] += weight
 
     for token in tokens:
         if token in _BREAKS:
@@ -291,22 +295,15 @@ def _weights(counts: DataFrame, toxic: int, clean: int) -> Model:
     rated = counts.withColumns({"weight": F.least(F.lit(6.0), ratio),
                                 "g2": _g2(F.col("t_docs"), F.col("c_docs"), toxic, clean)})
     picked = (rated.filter((F.col("t_docs") >= MIN_DOCS) & (F.col("g2") >= MIN_G2)
-                           & (F.col("weight") >= MIN_RATIO))
-              .orderBy(F.col("g2").desc(), "term", "is_prefix").limit(LEXICON).collect())
+                           & (F.col("weight") >= MIN_RATIO)).select("term", "is_prefix", "weight"))
+    beginnings = picked.filter("is_prefix").select(F.col("term").alias("beginning"))
+    under = (rated.filter(~F.col("is_prefix") & (F.col("t_docs") + F.col("c_docs") >= MIN_DOCS))
+             .select("term", "is_prefix", "weight", F.explode(
+                 F.array(*[F.substring("term", 1, k) for k in PREFIXES])).alias("beginning"))
+             .join(beginnings, "beginning", "left_semi").drop("beginning"))
     model = Model(words={w: SEED_WEIGHT for w in INSULTS})
-    for r in picked:
+    for r in picked.union(under).distinct().collect():  # terms of the bounded sample
         (model.prefixes if r["is_prefix"] else model.words)[r["term"]] = r["weight"]
-    if model.prefixes:
-        beginning = F.lit(False)
-        for k in PREFIXES:
-            some = [p for p in model.prefixes if len(p) == k]
-            if some:
-                beginning = beginning | F.substring("term", 1, k).isin(some)
-        own = (rated.filter(~F.col("is_prefix") & beginning
-                            & (F.col("t_docs") + F.col("c_docs") >= MIN_DOCS))
-               .orderBy(F.col("t_docs").desc(), F.col("c_docs").desc(), "term").limit(LEXICON))
-        for r in own.collect():
-            model.words[r["term"]] = r["weight"]
     return model
 
 

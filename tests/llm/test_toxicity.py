@@ -1,20 +1,65 @@
+import itertools
 import random
 import zlib
 
 import pytest
 
 from ledgerline.llm import toxicity as tx
+from ledgerline.llm.transducers import Transducer, compose
 from .conftest import ROWS, documents
 
 
+def symbols_of(symbols):
+    return [s for s, _ in tx.read_clause(symbols)]
+
+
 def test_readings_of_a_clause():
-    assert tx.read_clause(list("oi")) == ["o", "i"]
-    assert tx.read_clause(list("Yoi")) == ["Y", "o", "t"]
-    assert tx.read_clause(list("YNooi")) == ["Y", "N", "o", "o", "n"]  # three words reach
-    assert tx.read_clause(list("Noooi"))[-1] == "i"
-    assert tx.read_clause(list("oRoYi"))[-1] == "r"
-    assert tx.read_clause(list("oHoY")) == ["o", "t", "o", "Y"]  # a threat needs a target after it
-    assert tx.read_clause(list("YoH")) == ["Y", "o", "o"]
+    assert symbols_of(list("oi")) == ["o", "i"]
+    assert symbols_of(list("Yoi")) == ["Y", "o", "t"]
+    assert symbols_of(list("YNooi")) == ["Y", "N", "o", "o", "n"]  # three words reach
+    assert symbols_of(list("Noooi"))[-1] == "i"
+    assert symbols_of(list("oRoYi"))[-1] == "r"
+    assert symbols_of(list("oHoY")) == ["o", "t", "o", "Y"]  # a threat needs a target after it
+    assert symbols_of(list("YoH")) == ["Y", "o", "o"]
+
+
+def reading(symbols, k):
+    """A term's reading straight from the words around it."""
+    before, after = symbols[:k], symbols[k + 1:]
+    if symbols[k] == "H" and "Y" not in after:
+        return "o"
+    if "N" in before[-tx.NEGATION_REACH:]:
+        return "n"
+    if "R" in before:
+        return "r"
+    return "t" if "Y" in before + after else "i"
+
+
+def test_every_short_clause_is_read_as_its_words_say():
+    for size in range(7):
+        for symbols in map(list, itertools.product(tx.ALPHABET, repeat=size)):
+            want = [reading(symbols, k) if s in "iH" else s for k, s in enumerate(symbols)]
+            assert symbols_of(symbols) == want, symbols
+
+
+def test_weights_lie_on_the_arcs_that_give_a_reading():
+    name = dict(zip("itnr", tx.READINGS))
+    for symbols in map("".join, itertools.product("ijYNRo", repeat=5)):
+        for out, weight in tx.BEHIND.read(symbols):
+            assert weight == ((name[out],) if out in name else ())
+
+
+def test_composition_is_one_after_the_other():
+    r = random.Random(3)
+    for _ in range(200):
+        make = lambda: Transducer({(r.randrange(3), r.choice("abc")): (
+            r.randrange(3), r.choice("abc"), (str(r.randrange(9)),)) for _ in range(7)})
+        one, two = make(), make()
+        text = [r.choice("abc") for _ in range(12)]
+        first = one.read(text)
+        both = [(out, paid + more) for (_, paid), (out, more) in
+                zip(first, two.read([x for x, _ in first]))]
+        assert compose(one, two, "abc").read(text) == both
 
 
 def test_clauses_change_the_weight():
