@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: block banding, pivot distances as a filter.
+"""SimHash near-duplicates: block banding, and a table of pivot distances within places.
 
 Fingerprints: 64-bit SimHash over three-word shingles, hashed with XXH64.
 
@@ -6,11 +6,13 @@ Links: two fingerprints link if at most ``MAX_BITS`` bits differ. Candidates are
 by block banding, not by pivots: of ``BLOCKS`` blocks of bits at most ``MAX_BITS`` hold a
 flipped bit, so linked fingerprints agree on some ``BLOCKS - MAX_BITS`` whole blocks and
 meet there. Random pivots can't bring pairs together without comparing all: one
-distance keeps almost half of all random pairs. Within a meeting place, each
-fingerprint's Hamming distances to ``PIVOTS`` random reference fingerprints discard
-pairs first (a flipped bit moves each distance by one, so linked fingerprints differ by
-at most ``MAX_BITS`` in every coordinate); the rest is verified by counting
-differing bits.
+distance keeps almost half of all random pairs. The Hamming distances of each
+fingerprint to ``PIVOTS`` random reference fingerprints are computed once and go with
+it. A flipped bit moves each distance by one, so linked fingerprints differ by at most
+``MAX_BITS`` in every coordinate. A meeting place is ordered by the first coordinate,
+and each fingerprint is paired only with those that follow within ``MAX_BITS`` there;
+the maximum difference over the other coordinates discards pairs next, and the rest
+is verified by counting differing bits.
 
 No pair is lost and no group is unbounded: a meeting place with more than
 ``CROWDED`` fingerprints is dealt out again over finer groups (``FINE_BLOCKS``),
@@ -114,6 +116,23 @@ def _pivots(count: int = PIVOTS) -> np.ndarray:
                     np.uint64)
 
 
+def with_pivots(classes: DataFrame) -> DataFrame:
+    """Adds ``first``, the distance to the first pivot, and ``table``, a byte for each pivot."""
+    pivots = _pivots()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = np.asarray(batch.column(0)).view(np.uint64)
+            table = np.bitwise_count(fp[:, None] ^ pivots).astype(np.int8)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(table[:, 0]),
+                 pa.array([row.tobytes() for row in table], pa.binary())],
+                names=["fp", "node", "first", "table"])
+
+    return classes.select("fp", "node").mapInArrow(
+        run, "fp long, node long, first byte, table binary")
+
+
 def _masks(masks: list[int]) -> Column:
     return F.array(*[F.lit(_signed(m)).cast("long") for m in masks])
 
@@ -126,26 +145,27 @@ def _meet(rows: DataFrame) -> DataFrame:
 
 # --- links within a place ----------------------------------------------------------------
 
-def _spanning(place: np.ndarray, fp: np.ndarray, node: np.ndarray, pivots: np.ndarray,
+def _spanning(place: np.ndarray, fp: np.ndarray, table: np.ndarray,
               max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, smallest node reached in its place) of rows sorted by place."""
-    n = len(fp)
+    """Links (node, smallest node reached in its place).
+
+    Rows are sorted by place and, within it, by the first column of ``table``.
+    """
+    n, node = len(fp), fp.view(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if n else \
         np.zeros(0, np.int64)
     sizes = np.diff(np.append(starts, n))
     left = np.repeat(starts + sizes, sizes) - np.arange(n) - 1  # rows after this one in its place
+    first = table[:, 0]
     busy = np.flatnonzero(left > 0)
-    if not len(busy):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    table = np.zeros((n, len(pivots)), np.int8)
-    member = np.repeat(sizes > 1, sizes)
-    table[member] = np.bitwise_count(fp[member, None] ^ pivots)
-    a_all, b_all = [], []
+    a_all, b_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     step = 1
     while len(busy):
         other = busy + step
+        inside = first[other] - first[busy] <= max_bits
+        busy, other = busy[inside], other[inside]  # those further on are further off
         near = np.ones(len(busy), bool)
-        for c in range(0, len(pivots), 8):  # most pairs go with the first coordinates
+        for c in range(0, table.shape[1], 8):  # most pairs go with the first coordinates
             at = np.flatnonzero(near)
             if not len(at):
                 break
@@ -172,18 +192,17 @@ def _spanning(place: np.ndarray, fp: np.ndarray, node: np.ndarray, pivots: np.nd
 
 
 def _links(met: DataFrame, max_bits: int) -> DataFrame:
-    """Links of rows (mask, key, fp); a place holds few enough rows for one task."""
-    pivots = _pivots()
-
+    """Links of rows (mask, key, fp, first, table); a place holds few enough rows for one task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             now = [np.asarray(batch.column(i)) for i in range(3)]
+            now.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int8)
+                       .reshape(batch.num_rows, -1))
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now)]
-            n = len(now[0])
-            if not n:
-                continue
             # The last place may go on in the next batch.
             same = (now[0] == now[0][-1]) & (now[1] == now[1][-1])
             stop = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
@@ -194,14 +213,14 @@ def _links(met: DataFrame, max_bits: int) -> DataFrame:
             yield found(held)
 
     def found(cols: list[np.ndarray]) -> pa.RecordBatch:
-        mask, key, fp = cols
+        mask, key, fp, table = cols
         new = np.concatenate([[True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])])
-        a, b = _spanning(np.cumsum(new), fp.view(np.uint64), fp, pivots, max_bits)
+        a, b = _spanning(np.cumsum(new), fp.view(np.uint64), table, max_bits)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                           names=["a", "b"])
 
-    dealt = (met.select("mask", "key", "fp").repartition("mask", "key")
-             .sortWithinPartitions("mask", "key", "fp"))
+    dealt = (met.repartition("mask", "key").sortWithinPartitions("mask", "key", "first", "fp")
+             .select("mask", "key", "fp", "table"))
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -214,20 +233,22 @@ def link(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the meeting places are built for at most {MAX_BITS} bits")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    met = _meet(classes.select("fp"))
+    classes = written(with_pivots(prints.groupBy("fp").agg(F.min("doc_id").alias("node"))),
+                      "simhash-classes")
+    met = _meet(classes.select("fp", "first", "table"))
     crowded = written(met.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"))
                       .filter(F.col("n") > 1), "simhash-places")
     fine = F.create_map(*[x for m in COARSE for x in (F.lit(_signed(m)).cast("long"),
                                                       _masks(_fine(m)))])
     places = F.when(F.col("n") > CROWDED, fine[F.col("mask")]).otherwise(F.array("mask"))
-    dealt = (met.join(crowded, ["mask", "key"]).select("fp", F.explode(places).alias("mask"))
+    dealt = (met.join(crowded, ["mask", "key"])
+             .select("fp", "first", "table", F.explode(places).alias("mask"))
              .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
     links = written(_links(dealt, max_bits).distinct(), "simhash-links")
     found = components(links).withColumnRenamed("node", "fp")
     discard(crowded, links)
     # Fingerprints without links name themselves; only the others meet their component's label.
-    linked = written(classes.join(found, "fp", "left"), "simhash-linked")
+    linked = written(classes.select("fp", "node").join(found, "fp", "left"), "simhash-linked")
     labels = (linked.filter("component IS NOT NULL").groupBy("component")
               .agg(F.min("node").alias("label")))
     alone = linked.filter("component IS NULL").select(
