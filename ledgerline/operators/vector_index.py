@@ -11,10 +11,11 @@ Search. Angles between unit vectors obey the triangle inequality: with t the ang
 from query to centroid, no row of a block is nearer than max(t - high, low - t). First
 every query visits its nearest blocks, as many as hold k rows. The k-th nearest row
 found there bounds the answer: of all other blocks only those that may hold a nearer row
-are visited, and of their rows only those whose own angle allows it are compared.
-So the result is that of a full scan; what is read follows how clustered the
-vectors are. Queries and blocks meet by an equi-join on the block; a query that
-keeps nearly all blocks open costs what a scan costs.
+are visited. So the result is that of a full scan; what is compared follows how clustered the
+vectors are. Neighbouring blocks form shelves of about ``SHELF_ROWS`` rows; a query goes to the
+shelves that hold a block it visits, and a shelf and a chunk of its queries are
+compared block by block as matrices. A query that keeps nearly all blocks open costs what
+a scan costs: then vectors are shuffled once per ``QUERY_CHUNK`` queries, queries once per shelf.
 
 Defined results: vectors that are null, of another length than the index or of length
 zero have no direction: they are neither found nor find anything; fewer than k
@@ -29,12 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import rounded
-from ..functions.vectors import dot, norm, ranking
+from ..functions.vectors import norm, ranking
 from ..session import drop_scratch, fresh_path
 
 MAX_LISTS = 1024
@@ -42,8 +43,12 @@ SAMPLE_ROWS = 50_000
 #: Rings per right angle.
 RINGS = 32
 BLOCK_ROWS = 4096
+#: Rows of neighbouring blocks, and queries, that meet in one task.
+SHELF_ROWS, QUERY_CHUNK = 8192, 8192
 #: Angles are compared with this slack, far above the error of a float sum.
 SLACK = 1e-7
+#: Distances by a matrix product are compared with this slack.
+NEAR = 1e-9
 
 
 def unit_matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -78,8 +83,21 @@ class VectorIndex:
         self.blocks = self._store(self.members.groupBy(*place).agg(
             F.count(F.lit(1)).alias("rows"), F.min("angle").alias("low"),
             F.max("angle").alias("high")), "blocks")
+        self._places, self.shelves = self._shelved()
         drop_scratch(self.spark, self._paths.pop(0))  # assigned, folded into the members
 
+    def _shelved(self) -> tuple[tuple[np.ndarray, ...], DataFrame]:
+        """The blocks' (list, low, high, rows, shelf) by number, and their numbers and shelves as a
+        table. There are at most ``MAX_LISTS`` x 2 ``RINGS`` blocks and one per ``BLOCK_ROWS`` rows."""
+        blocks = self.blocks.orderBy("list", "ring", "block").collect()
+        of = lambda c, kind: np.array([r[c] for r in blocks], dtype=kind)
+        rows = of("rows", np.int64)
+        shelf = (np.cumsum(rows) - rows) // SHELF_ROWS
+        table = self.spark.createDataFrame(
+            [(r["list"], r["ring"], r["block"], i, int(s)) for i, (r, s) in enumerate(zip(blocks, shelf))],
+            "list int, ring int, block int, number int, shelf int")
+        return (of("list", np.int64), of("low", float), of("high", float), rows, shelf), table
+
     def _store(self, df: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, f"vectors-{name}")
         df.write.parquet(path)
@@ -137,24 +155,54 @@ class VectorIndex:
                                T.StructField("angle", T.DoubleType())])
         return usable.mapInArrow(run, schema)
 
-    def _lists_of(self, queries: DataFrame) -> DataFrame:
-        """(qid, list, turn): each query's angle to every centroid (at most MAX_LISTS rows)."""
-        shared, dim = self.spark.sparkContext.broadcast(self.centroids), self.dim
+    def _chosen(self, queries: DataFrame, k: int, again: bool) -> DataFrame:
+        """``VISITS``: a row per query and shelf, with the numbers of the blocks to visit there.
+
+        At first the nearest blocks, as many as hold k rows; ``again`` all others that may hold
+        a nearer row than ``bound``, but for those ``seen``."""
+        shared, dim = self.spark.sparkContext.broadcast((self.centroids, *self._places)), self.dim
+        names = ["shelf", "qid", "qvec", "qlength", "limit", "numbers", "rows"]
+
+        def first(least: np.ndarray, turn: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            near = np.argpartition(least, min(k, len(least)) - 1)[:k]
+            near = near[np.lexsort((near, turn[near], least[near]))]
+            held = np.cumsum(rows[near])
+            return near[np.concatenate([[0], held[:-1]]) < k]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            centroids, lists, low, high, rows, shelf = shared.value
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    turn = np.arccos(np.clip(unit_matrix(part.column(1), dim) @ shared.value.T,
-                                             -1, 1))
-                    n, k = turn.shape
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(np.repeat(np.arange(n), k))),
-                         pa.array(np.tile(np.arange(k, dtype=np.int32), n)),
-                         pa.array(turn.ravel())], names=["qid", "list", "turn"])
-
-        kind = queries.schema["qid"].dataType.simpleString()
-        return queries.select("qid", "qvec").mapInArrow(run, f"qid {kind}, list int, turn double")
+                for at in range(0, batch.num_rows if len(lists) else 0, 64):
+                    part = batch.slice(at, 64)
+                    turn = np.arccos(np.clip(unit_matrix(part.column(1), dim) @ centroids.T, -1, 1))
+                    turn = turn[:, lists]
+                    least = np.maximum(np.maximum(turn - high, low - turn), 0)
+                    of, where, numbers, held = [], [], [], []
+                    for q in range(part.num_rows):
+                        if again:
+                            found = np.setdiff1d(np.flatnonzero(
+                                least[q] <= part.column(4)[q].as_py()), part.column(5)[q].as_py())
+                        else:
+                            found = first(least[q], turn[q], rows)
+                        for s in np.unique(shelf[found]).tolist():
+                            here = found[shelf[found] == s]
+                            of.append(q)
+                            where.append(s)
+                            numbers.append(here.astype(np.int32))
+                            held.append(int(rows[here].sum()))
+                    if of:
+                        taken = part.take(pa.array(of))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(where, pa.int32()), *taken.columns[:4],
+                             pa.array(numbers, pa.list_(pa.int32())), pa.array(held, pa.int64())],
+                            names=names)
+
+        kind = queries.schema
+        schema = T.StructType([
+            T.StructField("shelf", T.IntegerType()), kind["qid"], kind["qvec"], kind["qlength"],
+            kind["limit"], T.StructField("numbers", T.ArrayType(T.IntegerType())),
+            T.StructField("rows", T.LongType())])
+        return queries.mapInArrow(run, schema)
 
     def search(self, queries: DataFrame, k: int = 10, qid: str = "qid", qvec: str = "qvec",
                round_to: int | None = 6, visited: list | None = None) -> DataFrame:
@@ -165,37 +213,86 @@ class VectorIndex:
         """
         asked = self._store(self._usable(queries, qid, qvec).withColumnsRenamed(
             {self.id: "qid", self.vec: "qvec", "length": "qlength"}), "queries")
-        reach = F.greatest(F.col("turn") - F.col("high"), F.col("low") - F.col("turn"), F.lit(0.0))
-        open_ = self._store(self._lists_of(asked).join(self.blocks, "list").select(
-            "qid", "list", "ring", "block", "turn", "rows", reach.alias("least")), "open")
-
-        nearest = Window.partitionBy("qid").orderBy("least", "turn", "list", "ring", "block")
-        ahead = F.sum("rows").over(nearest.rowsBetween(Window.unboundedPreceding, -1))
-        first = self._store(open_.withColumn("ahead", F.coalesce(ahead, F.lit(0)))
-                            .filter(F.col("ahead") < k).drop("ahead"), "first")
-        hits = self._store(self._nearest(self._compared(first, asked, None), k), "hits")
+        chunks = max(1, math.ceil(asked.count() / QUERY_CHUNK))
+        first = self._store(self._chosen(asked.withColumn("limit", F.lit(math.inf)), k, False),
+                            "first")
+        hits = self._store(self._nearest(self._compared(first, k, chunks), k), "hits")
         bound = hits.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("d")) \
-            .select("qid", F.when(F.col("n") >= k, F.acos(F.greatest(1 - F.col("d"), F.lit(-1.0)))
-                                  + SLACK).otherwise(F.lit(math.pi + 1)).alias("bound"))
-        second = self._store(open_.join(bound, "qid").filter("least <= bound").join(
-            first, ["qid", "list", "ring", "block"], "left_anti"), "second")
+            .select("qid", F.when(F.col("n") >= k, F.col("d")).otherwise(F.lit(math.inf)).alias("limit"),
+                    F.when(F.col("n") >= k, F.acos(F.greatest(1 - F.col("d"), F.lit(-1.0)))
+                           + SLACK).otherwise(F.lit(math.pi + 1)).alias("bound"))
+        seen = first.groupBy("qid").agg(F.flatten(F.collect_list("numbers")).alias("seen"))
+        second = self._store(self._chosen(asked.join(bound, "qid").join(seen, "qid").select(
+            "qid", "qvec", "qlength", "limit", "bound", "seen"), k, True), "second")
         if visited is not None:
             visited += [t.groupBy("qid").agg(F.sum("rows").alias("rows")) for t in (first, second)]
         found = self._nearest(hits.select("qid", self.id, "distance").unionByName(
-            self._nearest(self._compared(second, asked, "bound"), k)
-            .select("qid", self.id, "distance")), k)
+            self._compared(second, k, chunks)), k)
         shown = F.col("distance") if round_to is None else rounded("distance", round_to)
         return found.select("qid", F.col("rank").cast("long").alias("rank"), self.id,
                             shown.alias("distance"))
 
-    def _compared(self, pairs: DataFrame, asked: DataFrame, bound: str | None) -> DataFrame:
-        """(qid, id, distance) of the rows in the blocks that queries visit."""
-        visits = pairs.drop("rows", "least").join(asked, "qid")
-        met = self.members.join(visits, ["list", "ring", "block"])
-        if bound:
-            met = met.filter(F.abs(F.col("turn") - F.col("angle")) <= F.col(bound))
-        distance: Column = 1.0 - dot(self.vec, "qvec") / (F.col("length") * F.col("qlength"))
-        return met.select("qid", self.id, distance.alias("distance"))
+    def _compared(self, visits: DataFrame, k: int, chunks: int) -> DataFrame:
+        """(qid, id, distance) of the rows in the blocks that queries visit, those that may be
+        among the k nearest of a shelf.
+
+        A shelf of blocks meets a chunk of the queries that visit it as matrices; distances
+        of what is near enough are then summed number by number, so that equal vectors have equal
+        ones."""
+        dim, names = self.dim, ["qid", self.id, "distance"]
+
+        def run(key: tuple, members: pa.Table, asked: pa.Table) -> pa.Table:
+            members, asked = members.combine_chunks(), asked.combine_chunks()
+            table = lambda c: np.asarray(c.combine_chunks().flatten(), dtype=float).reshape(-1, dim)
+            out = ([], [], [])
+            if members.num_rows and asked.num_rows:
+                x, y = table(members["vec"]), table(asked["qvec"])
+                xn, yn = members["length"].to_numpy(), asked["qlength"].to_numpy()
+                xu, yu = x / xn[:, None], y / yn[:, None]
+                limit = asked["limit"].to_numpy() + NEAR
+                number = members["number"].to_numpy()
+                order = np.argsort(number, kind="stable")
+                starts = np.flatnonzero(np.diff(number[order], prepend=-1))
+                visitors: dict[int, list[int]] = {}
+                for q, numbers in enumerate(asked["numbers"].to_pylist()):
+                    for n in numbers:
+                        visitors.setdefault(n, []).append(q)
+                best, found = np.full((len(y), k), np.inf), []
+                for rows in np.split(order, starts[1:]):
+                    wanted = np.array(visitors.get(int(number[rows[0]]), []), dtype=np.int64)
+                    for at in range(0, len(wanted), 512):
+                        q = wanted[at:at + 512]
+                        distance = 1 - yu[q] @ xu[rows].T
+                        best[q] = np.partition(np.concatenate([best[q], distance], axis=1),
+                                               k - 1, axis=1)[:, :k]
+                        near = distance <= np.minimum(best[q].max(1) + NEAR, limit[q])[:, None]
+                        a, b = np.nonzero(near)
+                        found.append((q[a], rows[b], distance[a, b]))
+                most = np.minimum(best.max(1) + NEAR, limit)
+                for q, r, d in found:
+                    q, r = q[d <= most[q]], r[d <= most[q]]
+                    total = np.zeros(len(q))
+                    for j in range(dim):
+                        total += x[r, j] * y[q, j]
+                    out[0].append(q)
+                    out[1].append(r)
+                    out[2].append(1.0 - total / (xn[r] * yn[q]))
+            q, r, d = (np.concatenate(c) if c else np.zeros(0) for c in out)
+            return pa.Table.from_arrays(
+                [asked["qid"].take(pa.array(q.astype(np.int64))),
+                 members["id"].take(pa.array(r.astype(np.int64))), pa.array(d, pa.float64())],
+                names=names)
+
+        of = F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+        members = self.members.join(F.broadcast(self.shelves), ["list", "ring", "block"]).select(
+            "shelf", copies.alias("chunk"), "number", F.col(self.id).alias("id"),
+            F.col(self.vec).alias("vec"), "length")
+        asked = visits.select("shelf", of.alias("chunk"), "qid", "qvec", "qlength", "limit", "numbers")
+        schema = T.StructType([visits.schema["qid"], self.members.schema[self.id],
+                               T.StructField("distance", T.DoubleType())])
+        return members.groupBy("shelf", "chunk").cogroup(asked.groupBy("shelf", "chunk")) \
+            .applyInArrow(run, schema)
 
     def _nearest(self, met: DataFrame, k: int) -> DataFrame:
         order = Window.partitionBy("qid").orderBy(*ranking("distance", self.id))

@@ -69,3 +69,21 @@ def test_vectors_without_direction_and_small_tables(spark):
     empty = VectorIndex(frame(spark, []))
     assert empty.search(asked, 10).count() == 0
     assert index.search(asked.limit(0), 10).count() == 0
+
+
+def test_open_queries_are_listed_by_shelf_not_by_block(spark):
+    rows = clustered(600, 1, 8, 3.0, 5)
+    index = VectorIndex(frame(spark, rows), lists=16, block_rows=8)
+    assert result(index.search(frame(spark, rows[::5]).toDF("qid", "qvec"), 5)) == scan(rows, rows[::5], 5)
+    visits = spark.read.parquet(*[p for p in index._paths if "vectors-second" in p])
+    assert index.blocks.count() > 40 and visits.count() <= len(rows[::5])
+
+
+def test_shelves_and_chunks_of_queries_together_are_a_scan(spark, monkeypatch):
+    from ledgerline.operators import vector_index
+    monkeypatch.setattr(vector_index, "SHELF_ROWS", 50)
+    monkeypatch.setattr(vector_index, "QUERY_CHUNK", 20)
+    rows = clustered(300, 6, 5, 1.0, 9) + [(1000 + i, [1.0, 2.0, 3.0, 4.0, 5.0]) for i in range(40)]
+    index = VectorIndex(frame(spark, rows), lists=6, block_rows=16)
+    asked = rows[::4]
+    assert result(index.search(frame(spark, asked).toDF("qid", "qvec"), 12)) == scan(rows, asked, 12)
