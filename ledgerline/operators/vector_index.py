@@ -156,12 +156,12 @@ class VectorIndex:
         return usable.mapInArrow(run, schema)
 
     def _chosen(self, queries: DataFrame, k: int, again: bool) -> DataFrame:
-        """``VISITS``: a row per query and shelf, with the numbers of the blocks to visit there.
+        """A row per query and shelf, with the numbers of the blocks to visit there.
 
         At first the nearest blocks, as many as hold k rows; ``again`` all others that may hold
         a nearer row than ``bound``, but for those ``seen``."""
         shared, dim = self.spark.sparkContext.broadcast((self.centroids, *self._places)), self.dim
-        names = ["shelf", "qid", "qvec", "qlength", "limit", "numbers", "rows"]
+        names = ["shelf", "qid", "qvec", "qlength", "limit", "ask", "numbers", "rows"]
 
         def first(least: np.ndarray, turn: np.ndarray, rows: np.ndarray) -> np.ndarray:
             near = np.argpartition(least, min(k, len(least)) - 1)[:k]
@@ -181,7 +181,7 @@ class VectorIndex:
                     for q in range(part.num_rows):
                         if again:
                             found = np.setdiff1d(np.flatnonzero(
-                                least[q] <= part.column(4)[q].as_py()), part.column(5)[q].as_py())
+                                least[q] <= part.column(5)[q].as_py()), part.column(6)[q].as_py())
                         else:
                             found = first(least[q], turn[q], rows)
                         for s in np.unique(shelf[found]).tolist():
@@ -193,14 +193,14 @@ class VectorIndex:
                     if of:
                         taken = part.take(pa.array(of))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(where, pa.int32()), *taken.columns[:4],
+                            [pa.array(where, pa.int32()), *taken.columns[:5],
                              pa.array(numbers, pa.list_(pa.int32())), pa.array(held, pa.int64())],
                             names=names)
 
         kind = queries.schema
         schema = T.StructType([
             T.StructField("shelf", T.IntegerType()), kind["qid"], kind["qvec"], kind["qlength"],
-            kind["limit"], T.StructField("numbers", T.ArrayType(T.IntegerType())),
+            kind["limit"], kind["ask"], T.StructField("numbers", T.ArrayType(T.IntegerType())),
             T.StructField("rows", T.LongType())])
         return queries.mapInArrow(run, schema)
 
@@ -208,37 +208,40 @@ class VectorIndex:
                round_to: int | None = 6, visited: list | None = None) -> DataFrame:
         """(qid, rank, id, distance): the k rows nearest to each query by cosine distance.
 
-        ``queries`` have unique qids. ``visited`` receives two tables (qid, rows), the rows in
+        ``queries`` should have unique qids: the rows of a repeated one find everything together, as
+        often as they are many, each. ``visited`` receives two tables (qid, rows), the rows in
         the blocks that the first and the second visit read for each query.
         """
         asked = self._store(self._usable(queries, qid, qvec).withColumnsRenamed(
-            {self.id: "qid", self.vec: "qvec", "length": "qlength"}), "queries")
+            {self.id: "qid", self.vec: "qvec", "length": "qlength"}).filter("qid IS NOT NULL")
+            .withColumn("ask", F.monotonically_increasing_id()), "queries")
+        again = asked.groupBy("qid").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
         chunks = max(1, math.ceil(asked.count() / QUERY_CHUNK))
-        first = self._store(self._chosen(asked.withColumn("limit", F.lit(math.inf)), k, False),
-                            "first")
-        hits = self._store(self._nearest(self._compared(first, k, chunks), k), "hits")
+        first = self._store(self._chosen(asked.select(
+            "qid", "qvec", "qlength", F.lit(math.inf).alias("limit"), "ask"), k, False), "first")
+        hits = self._store(self._nearest(self._compared(first, again, k, chunks), k), "hits")
         bound = hits.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("d")) \
             .select("qid", F.when(F.col("n") >= k, F.col("d")).otherwise(F.lit(math.inf)).alias("limit"),
                     F.when(F.col("n") >= k, F.acos(F.greatest(1 - F.col("d"), F.lit(-1.0)))
                            + SLACK).otherwise(F.lit(math.pi + 1)).alias("bound"))
-        seen = first.groupBy("qid").agg(F.flatten(F.collect_list("numbers")).alias("seen"))
-        second = self._store(self._chosen(asked.join(bound, "qid").join(seen, "qid").select(
-            "qid", "qvec", "qlength", "limit", "bound", "seen"), k, True), "second")
+        seen = first.groupBy("ask").agg(F.flatten(F.collect_list("numbers")).alias("seen"))
+        second = self._store(self._chosen(asked.join(bound, "qid").join(seen, "ask").select(
+            "qid", "qvec", "qlength", "limit", "ask", "bound", "seen"), k, True), "second")
         if visited is not None:
             visited += [t.groupBy("qid").agg(F.sum("rows").alias("rows")) for t in (first, second)]
         found = self._nearest(hits.select("qid", self.id, "distance").unionByName(
-            self._compared(second, k, chunks)), k)
+            self._compared(second, again, k, chunks)), k)
         shown = F.col("distance") if round_to is None else rounded("distance", round_to)
         return found.select("qid", F.col("rank").cast("long").alias("rank"), self.id,
                             shown.alias("distance"))
 
-    def _compared(self, visits: DataFrame, k: int, chunks: int) -> DataFrame:
+    def _compared(self, visits: DataFrame, again: DataFrame, k: int, chunks: int) -> DataFrame:
         """(qid, id, distance) of the rows in the blocks that queries visit, those that may be
         among the k nearest of a shelf.
 
         A shelf of blocks meets a chunk of the queries that visit it as matrices; distances
         of what is near enough are then summed number by number, so that equal vectors have equal
-        ones."""
+        ones. Every row of a qid that comes ``times`` finds its rows as often (``again``)."""
         dim, names = self.dim, ["qid", self.id, "distance"]
 
         def run(key: tuple, members: pa.Table, asked: pa.Table) -> pa.Table:
@@ -291,8 +294,10 @@ class VectorIndex:
         asked = visits.select("shelf", of.alias("chunk"), "qid", "qvec", "qlength", "limit", "numbers")
         schema = T.StructType([visits.schema["qid"], self.members.schema[self.id],
                                T.StructField("distance", T.DoubleType())])
-        return members.groupBy("shelf", "chunk").cogroup(asked.groupBy("shelf", "chunk")) \
+        met = members.groupBy("shelf", "chunk").cogroup(asked.groupBy("shelf", "chunk")) \
             .applyInArrow(run, schema)
+        times = F.sequence(F.lit(1), F.coalesce("times", F.lit(1)).cast("int"))
+        return met.join(again, "qid", "left").select(*names, F.explode(times).alias("_time")).drop("_time")
 
     def _nearest(self, met: DataFrame, k: int) -> DataFrame:
         order = Window.partitionBy("qid").orderBy(*ranking("distance", self.id))

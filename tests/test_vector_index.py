@@ -87,3 +87,14 @@ def test_shelves_and_chunks_of_queries_together_are_a_scan(spark, monkeypatch):
     index = VectorIndex(frame(spark, rows), lists=6, block_rows=16)
     asked = rows[::4]
     assert result(index.search(frame(spark, asked).toDF("qid", "qvec"), 12)) == scan(rows, asked, 12)
+
+
+def test_a_repeated_query_finds_rows_as_often_as_its_rows_meet(spark):
+    rows = clustered(60, 3, 4, 1.0, 2)
+    asked = [(1, rows[5][1]), (1, rows[5][1]), (2, rows[7][1]), (None, rows[9][1])]
+    got = VectorIndex(frame(spark, rows), lists=3, block_rows=8).search(
+        spark.createDataFrame(asked, "qid long, qvec array<double>"), 6).orderBy("qid", "rank").collect()
+    near = sorted(scan(rows, [(1, rows[5][1])], 2), key=lambda r: r[1])
+    assert [r.id for r in got if r.qid == 1] == [near[0][2]] * 4 + [near[1][2]] * 2
+    assert {(r.qid, r.rank, r.id, round(r.distance, 6) + 0.0) for r in got if r.qid == 2} \
+        == scan(rows, [(2, rows[7][1])], 6) and len(got) == 12
