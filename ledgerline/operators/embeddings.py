@@ -3,11 +3,16 @@
 With A the matrix of unit TF-IDF rows (documents by terms), the vectors of terms are the
 first right singular vectors of A, and a document's vector is its row times these, scaled
 to length one. They are found by block power iteration: a random sign matrix over
-the terms is multiplied by A and by its transpose in turn. Each product is a join of
-the weights with the vectors of one side and a weighted sum per row of the other (combined
-before the shuffle), so neither side is ever held whole by the driver or one task.
-Between products the vectors are made orthogonal by their Gram matrix, ``dim + extra``
-numbers square: that is all the driver sees.
+the terms is multiplied by A and by its transpose in turn.
+
+A is stored once as cells: the weights of one document within one block of at most about
+``BLOCK_TERMS`` terms, terms of similar document frequency together. A product multiplies
+the cells of a block, at most about ``CELL_WEIGHTS`` weights or ``CELL_ROWS`` documents at a
+time, with the vectors of the other side as a matrix, and only sums leave the task. So a
+vector is shuffled once for each block that a document touches and not for each weight,
+and neither side is ever held whole by the driver, a task or a group. Between products the
+vectors are made orthogonal by their Gram matrix, ``dim + extra`` numbers square: that
+and the number of cells of each block are all the driver sees.
 
 Terms in fewer than ``min_df`` documents, which link no two documents, and terms of
 weight zero play no part. Unlike hashed buckets, unrelated terms don't share a coordinate.
@@ -16,18 +21,20 @@ Defined results: documents without a term that counts have the zero vector; null
 are empty; equal texts have equal vectors up to the last digits; if the corpus has fewer than
 ``dim`` independent rows, the remaining coordinates are zero; the vectors depend on the corpus
 alone (signs are hashes of terms, the sign of each coordinate is fixed by its largest
-sum), not on partitions, up to rounding.
+sum), not on partitions, up to rounding (vectors travel as 32-bit floats, sums are of 64 bits).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_scratch, fresh_path
@@ -37,19 +44,30 @@ DIM = 64
 EXTRA = 8
 ROUNDS = 2
 MIN_DF = 2
+#: Terms of a block; their places in it fit 15 bits, as blocks are dealt by hash.
+BLOCK_TERMS, PLACE_BITS = 24_576, 15
+#: Weights and rows (a document within a block) that a task multiplies at a time.
+CELL_WEIGHTS, CELL_ROWS = 2_000_000, 100_000
+#: Vectors that are summed as a group, and weights expanded at once.
+SUM_ROWS, STEP = 4096, 1 << 16
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=float).reshape(-1, width)
 
 
-def _arrays(matrix: np.ndarray) -> pa.Array:
+def _arrays(matrix: np.ndarray, kind: type = np.float64) -> pa.Array:
     ends = pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1])
-    return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(matrix).ravel()))
+    return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(matrix, kind).ravel()))
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table[name].combine_chunks()
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
 
 
 def gram(vectors: DataFrame, width: int) -> np.ndarray:
-    """Sum of the outer products of column ``v`` (vectors): ``width`` numbers square."""
+    """Sum of the outer products of column ``v`` (arrays): ``width`` numbers square."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
@@ -58,7 +76,7 @@ def gram(vectors: DataFrame, width: int) -> np.ndarray:
                 total += x.T @ x
         yield pa.RecordBatch.from_arrays([_arrays(total.reshape(1, -1))], names=["g"])
 
-    parts = vectors.select(vector_to_array("v").alias("v")).mapInArrow(run, "g array<double>")
+    parts = vectors.select("v").mapInArrow(run, "g array<double>")
     out = np.zeros(width * width)
     for r in parts.select(F.posexplode("g").alias("i", "x")).groupBy("i").agg(
             F.sum("x").alias("x")).collect():  # width * width rows
@@ -79,9 +97,7 @@ def turned(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
                     [batch.column(0), _arrays(_rows(batch.column(1), width) @ shared.value)],
                     names=[key, "v"])
 
-    out = vectors.select(key, vector_to_array("v").alias("v")).mapInArrow(
-        run, f"`{key}` {kind}, v array<double>")
-    return out.select(key, array_to_vector("v").alias("v"))
+    return vectors.select(key, "v").mapInArrow(run, f"`{key}` {kind}, v array<double>")
 
 
 def orthogonal(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +110,14 @@ def orthogonal(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return vectors * scale, np.where(good, values, 0)
 
 
+def _run_sums(at: np.ndarray, rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Not more than ``STEP`` rows at a time: sums of ``rows(lo, hi)`` over runs of equal ``at``."""
+    for lo in range(0, len(at), STEP):
+        part = at[lo:lo + STEP]
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        yield part[starts], np.add.reduceat(rows(lo, lo + len(part)), starts)
+
+
 class LatentVectors:
     """Vectors of the terms and documents of a ``TfIdf`` index."""
 
@@ -101,34 +125,36 @@ class LatentVectors:
                  min_df: int = MIN_DF):
         self.index, self.key, self.spark, self.dim = index, index.key, index.spark, dim
         self._paths: list[str] = []
-        width = dim + extra
-        counts = index.df.filter((F.col("df") >= min_df) & (F.col("df") < index.n_docs))
-        self.weights = self._store(
-            index.weights.join(index.norms.filter("norm > 0"), self.key)
-            .join(counts.select("term"), "term")
-            .select(self.key, "term", (F.col("w") / F.col("norm")).alias("x")), "weights")
-        known = counts.select("term")
+        self._width = width = dim + extra
+        self._key_type = index.norms.schema[self.key].dataType.simpleString()
+        self.places = self._store(self._placed(min_df), "places")
+        self.cells = self._store(self._cut(), "cells")
+        sizes = self.cells.groupBy("block").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.size("x")).alias("weights")).collect()
+        parts = [(r["block"], max(1, -(-r["weights"] // CELL_WEIGHTS), -(-r["rows"] // CELL_ROWS)))
+                 for r in sizes]  # a row per block
+        self._parts = F.broadcast(self.spark.createDataFrame(parts, "block int, parts long"))
         bit = lambda j: F.when(
-            F.pmod(F.xxhash64(F.col("term"), j), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-        terms = known.select("term", array_to_vector(F.transform(
-            F.sequence(F.lit(0), F.lit(width - 1)), bit)).alias("v"))
-        for _ in range(rounds):
-            documents = self._store(self._summed(terms, "term", self.key), "documents")
-            raw = self._store(self._summed(documents, self.key, "term"), "raw")
+            F.pmod(F.xxhash64(F.col("term"), j), F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        terms = self.places.select("place", F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)), bit).alias("v"))
+        for n in range(rounds):
+            raw = self._store(self._of_terms(self._of_documents(terms, squared=True)), "raw")
             matrix, _ = orthogonal(gram(raw, width))
-            terms = self._store(turned(raw, "term", matrix), "basis")
+            terms = turned(raw, "place", matrix)
+            if n:
+                drop_scratch(self.spark, self._paths.pop(-2))
         # Within the space found, the directions in the order of A's singular values.
-        documents = self._store(self._summed(terms, "term", self.key), "documents")
+        documents = self._store(self._of_documents(terms), "documents")
         values, turn = np.linalg.eigh(gram(documents, width))
         turn = turn[:, ::-1][:, :dim]
         turn = turn * np.where(values[::-1][:dim] > max(values[-1], 0) * 1e-10, 1.0, 0.0)
         turn = turn * np.where(turn[np.abs(turn).argmax(0), np.arange(dim)] < 0, -1.0, 1.0)
-        scratch, self._paths = self._paths[1:], self._paths[:1]
-        self.terms = self._store(turned(terms, "term", turn), "terms")
-        self.documents = self._store(
-            self._unit(turned(documents, self.key, turn), self.key), "vectors")
-        for path in scratch:
-            drop_scratch(self.spark, path)
+        self.terms = turned(terms, "place", turn).join(
+            self.places.select("place", "term"), "place").select(
+            "term", array_to_vector("v").alias("v"))
+        self.documents = self._unit(turned(documents, self.key, turn), self.key)
+        drop_scratch(self.spark, self._paths.pop(1))  # the cells
 
     def _store(self, df: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, f"latent-{name}")
@@ -142,17 +168,159 @@ class LatentVectors:
             drop_scratch(self.spark, path)
         self._paths = []
 
-    def _summed(self, vectors: DataFrame, by: str, to: str) -> DataFrame:
-        """(to, v): the rows of ``vectors`` (by, v), weighted and summed per ``to``."""
-        return self.weights.join(vectors, by).groupBy(to).agg(
-            Summarizer.sum(F.col("v"), F.col("x")).alias("v"))
+    def _placed(self, min_df: int) -> DataFrame:
+        """(term, df, place): the terms that count, numbered by block and place in it.
+
+        Blocks hold terms whose df has the same number of binary digits, or several such
+        classes where these are small."""
+        known = self.index.df.filter((F.col("df") >= min_df) & (F.col("df") < self.index.n_docs))
+        digits = F.length(F.bin("df"))
+        first, last, room = [], 0, 0
+        for r in known.groupBy(digits.alias("digits")).count().orderBy(F.desc("digits")).collect():
+            count = -(-r["count"] // BLOCK_TERMS)  # at most 63 rows
+            if r["count"] <= room:
+                first.append((r["digits"], last - 1, 1))
+                room -= r["count"]
+            else:
+                first.append((r["digits"], last, count))
+                last, room = last + count, BLOCK_TERMS - r["count"]
+        classes = F.broadcast(self.spark.createDataFrame(
+            first, "digits int, first long, blocks long"))
+        known = known.withColumn("digits", digits).join(classes, "digits").withColumn(
+            "block", F.col("first") + F.pmod(F.xxhash64("term"), F.col("blocks")))
+        number = F.row_number().over(Window.partitionBy("block").orderBy("term")) - 1
+        return known.withColumn("number", number).select(
+            "term", "df", (F.shiftleft("block", PLACE_BITS) + F.col("number")).alias("place"))
+
+    def _cut(self) -> DataFrame:
+        """(key, block, at, x): each document's weights within each block it touches."""
+        known = self.places.withColumn(
+            "idf", F.log(F.lit(self.index.n_docs) / F.col("df"))).select("term", "df", "place", "idf")
+        rows = self.index.postings.select(self.key, "term", "tf").filter(F.col(self.key).isNotNull())
+        columns = [self.key, "place", (F.col("tf") * F.col("idf")).cast("float").alias("x")]
+        if self.index.frequent is None:
+            met = rows.join(known, "term").select(*columns)
+        else:
+            # As for the weights: most postings meet their terms without a shuffle.
+            common = F.broadcast(self.index.frequent.select("term"))
+            placed = F.broadcast(known.join(common, "term", "left_semi"))
+            rare = known.join(common, "term", "left_anti")
+            met = rows.join(placed, "term").select(*columns).unionByName(
+                rows.join(common, "term", "left_anti").join(rare, "term").select(*columns))
+        block = F.shiftright("place", PLACE_BITS).cast("int")
+        at = (F.col("place") - F.shiftleft(block.cast("long"), PLACE_BITS)).cast("smallint")
+        return met.groupBy(self.key, block.alias("block")).agg(
+            F.collect_list(at).alias("at"), F.collect_list("x").alias("x"))
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.col("parts"))
+
+    def _grouped_cells(self) -> DataFrame:
+        return self.cells.join(self._parts, "block").select(
+            F.col(self.key).alias("id"), "at", "x", F.col("block").alias("_block"),
+            self._part().alias("_part"))
+
+    def _summed(self, rows: DataFrame, id_col: str, group: Column, norms: DataFrame | None = None,
+                squared: bool = False) -> DataFrame:
+        """(id, v): the vectors of equal ids added up, ``group`` by ``group`` of ids; with
+        ``norms`` (id, norm) divided by it, or by its square, and left out where it is zero."""
+        width, kind = self._width, rows.schema[id_col].dataType.simpleString()
+
+        def add(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
+            ids = _column(table, "id").dictionary_encode()
+            index = ids.indices.to_numpy()
+            order = np.argsort(index, kind="stable")
+            at, vectors = index[order], _column(table, "v").flatten().to_numpy().reshape(-1, width)
+            out = np.zeros((len(ids.dictionary), width))
+            for found, sums in _run_sums(at, lambda lo, hi: vectors[order[lo:hi]].astype(float)):
+                out[found] += sums
+            return ids.dictionary, out
+
+        def run(table: pa.Table) -> pa.Table:
+            ids, out = add(table)
+            return pa.table({id_col: ids, "v": _arrays(out)})
+
+        def divided(table: pa.Table, others: pa.Table) -> pa.Table:
+            ids, out = add(table)
+            place = pc.index_in(ids, value_set=_column(others, "id"))
+            norm = pc.fill_null(_column(others, "norm").take(place), 0.0).to_numpy(zero_copy_only=False)
+            kept = norm > 0
+            scale = norm[kept] ** 2 if squared else norm[kept]
+            return pa.table({id_col: ids.filter(pa.array(kept)), "v": _arrays(out[kept] / scale[:, None])})
+
+        schema = f"`{id_col}` {kind}, v array<double>"
+        named = rows.select(F.col(id_col).alias("id"), "v", group.alias("_group")).groupBy("_group")
+        if norms is None:
+            return named.applyInArrow(run, schema)
+        others = norms.select(F.col(id_col).alias("id"), "norm", group.alias("_group")).groupBy("_group")
+        return named.cogroup(others).applyInArrow(divided, schema)
+
+    def _of_documents(self, terms: DataFrame, squared: bool = False) -> DataFrame:
+        """(key, v): A times the vectors of terms (place, v), ``squared``: over the norms again."""
+        width, bits = self._width, PLACE_BITS
+
+        def run(cells: pa.Table, vectors: pa.Table) -> pa.Table:
+            places = _column(vectors, "place").to_numpy() & ((1 << bits) - 1)
+            of = np.zeros((1 << bits, width))
+            of[places] = _column(vectors, "v").flatten().to_numpy().reshape(-1, width)
+            lists, x = _column(cells, "at"), _column(cells, "x").flatten().to_numpy()
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            at = lists.flatten().to_numpy()
+            out = np.zeros((len(lists), width))
+            for found, sums in _run_sums(row, lambda lo, hi: of[at[lo:hi]] * x[lo:hi, None]):
+                out[found] += sums
+            return pa.table({"id": _column(cells, "id"), "v": _arrays(out, np.float32)})
+
+        block = F.shiftright("place", PLACE_BITS).cast("int").alias("block")
+        vectors = terms.select("place", F.col("v").cast("array<float>").alias("v"), block).join(
+            self._parts, "block").select("place", "v", "block", F.explode(
+                F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        cells = self._grouped_cells()
+        partial = cells.groupBy("_block", "_part").cogroup(vectors.groupBy("block", "part")) \
+            .applyInArrow(run, f"id {self._key_type}, v array<float>")
+        groups = max(1, math.ceil(self.index.n_docs / SUM_ROWS))
+        return self._summed(partial.withColumnRenamed("id", self.key), self.key,
+                            F.pmod(F.xxhash64(self.key), F.lit(groups)), self.index.norms, squared)
+
+    def _of_terms(self, documents: DataFrame) -> DataFrame:
+        """(place, v): the cells, transposed, times the vectors of documents (key, v)."""
+        width, bits = self._width, PLACE_BITS
+
+        def run(cells: pa.Table, vectors: pa.Table) -> pa.Table:
+            if not cells.num_rows:
+                return pa.table({"place": pa.array([], pa.int64()), "v": _arrays(np.zeros((0, width)), np.float32)})
+            of = _column(vectors, "v").flatten().to_numpy().reshape(-1, width)
+            lists = _column(cells, "at")
+            who = pc.fill_null(pc.index_in(_column(cells, "id"), value_set=_column(vectors, "id")), -1).to_numpy()
+            who = np.repeat(who, pc.list_value_length(lists).to_numpy())
+            at = lists.flatten().to_numpy()
+            order = np.argsort(at, kind="stable")
+            order = order[who[order] >= 0]  # documents without a norm have no vector
+            at, who, x = at[order], who[order], _column(cells, "x").flatten().to_numpy()[order]
+            out = np.zeros((1 << bits, width))
+            for found, sums in _run_sums(
+                    at, lambda lo, hi: of[who[lo:hi]].astype(float) * x[lo:hi, None]):
+                out[found] += sums
+            found = np.unique(at)
+            block = cells["_block"][0].as_py()
+            return pa.table({"place": pa.array((block << bits) + found.astype(np.int64)),
+                             "v": _arrays(out[found], np.float32)})
+
+        touched = self.cells.select(self.key, "block").join(self._parts, "block").select(
+            self.key, "block", self._part().alias("part"))
+        vectors = touched.join(documents.select(self.key, F.col("v").cast("array<float>").alias("v")),
+                               self.key).select(F.col(self.key).alias("id"), "v", "block", "part")
+        cells = self._grouped_cells()
+        partial = cells.groupBy("_block", "_part").cogroup(vectors.groupBy("block", "part")) \
+            .applyInArrow(run, "place long, v array<float>")
+        summed = self._summed(partial, "place", F.shiftright("place", 10))
+        return summed.select("place", F.col("v").cast("array<float>").alias("v"))
 
     def _unit(self, vectors: DataFrame, key: str) -> DataFrame:
         """(key, embedding) of length one."""
-        array = vectors.select(key, vector_to_array("v").alias("e"))
-        length = F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x * x))
-        return array.withColumn("n", length).select(
-            key, F.transform("e", lambda x: F.when(F.col("n") > 0, x / F.col("n")).otherwise(0.0))
+        length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+        return vectors.withColumn("n", length).select(
+            key, F.transform("v", lambda x: F.when(F.col("n") > 0, x / F.col("n")).otherwise(0.0))
             .alias("embedding"))
 
     def with_vectors(self, docs: DataFrame) -> DataFrame:
@@ -165,4 +333,5 @@ class LatentVectors:
         """(qid, qvec): query texts in the documents' space; those without a term are left out."""
         asked = self.index.encode_queries(queries).filter("qw > 0").join(self.terms, "term")
         summed = asked.groupBy("qid").agg(Summarizer.sum(F.col("v"), F.col("qw")).alias("v"))
-        return self._unit(summed, "qid").withColumnRenamed("embedding", "qvec")
+        return self._unit(summed.select("qid", vector_to_array("v").alias("v")), "qid") \
+            .withColumnRenamed("embedding", "qvec")

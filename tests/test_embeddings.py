@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+from ledgerline.operators import embeddings as E
 from ledgerline.operators import text as X
 from ledgerline.operators.embeddings import LatentVectors
 from ledgerline.operators.vector_index import VectorIndex
@@ -88,3 +89,22 @@ def test_fewer_documents_than_coordinates(spark):
     latent = LatentVectors(X.TfIdf(spark.createDataFrame(docs, "doc_id long, text string")), dim=8)
     got = vectors(latent, docs)
     assert got.shape == (3, 8) and got[0] @ got[1] > 0.99 and not got[2].any()
+
+
+def test_vectors_meet_blocks_of_terms_not_weights(spark, monkeypatch):
+    docs = corpus(80, 9) + [(None, "s1w1 c1"), (500, "s1w1 s1w2"), (500, "s1w1 c2")]
+    index = X.TfIdf(spark.createDataFrame(docs, "doc_id long, text string"))
+    whole = LatentVectors(index, dim=6)
+    met = []
+    products = LatentVectors._of_documents
+    monkeypatch.setattr(LatentVectors, "_of_documents", lambda self, *a, **k: (
+        met.append((self.cells.count(), self.cells.selectExpr("sum(size(x))").first()[0])),
+        products(self, *a, **k))[1])
+    for name, value in (("BLOCK_TERMS", 20), ("CELL_WEIGHTS", 100), ("CELL_ROWS", 30), ("SUM_ROWS", 10)):
+        monkeypatch.setattr(E, name, value)
+    cut = LatentVectors(index, dim=6)
+    assert all(rows < weights / 2 for rows, weights in met) and len(met) == 3
+    a, b = vectors(whole, docs[:80]), vectors(cut, docs[:80])
+    assert np.abs(a @ a.T - b @ b.T).max() < 1e-3
+    assert len([r for r in cut.documents.collect() if r.doc_id == 500]) == 1
+    whole.release(), cut.release(), index.release()
