@@ -21,10 +21,10 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -35,7 +35,7 @@ END_ID = 2
 #: Runs of a text that a Python worker remembers, twice.
 CACHE_WORDS = 300_000
 #: Texts of about so many bytes are taken at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 22
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -121,12 +121,28 @@ class WordIds:
                 self.young[tail] = self._encode(tail.decode()).tobytes()
             self.young[run] = self.young[word] + (self.young[tail] if tail else b"")
 
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The packed ids of each text."""
-        split = [t.split() for t in texts]
-        self._learn([run for run in set(chain.from_iterable(split)) if self._known(run) is None])
-        for runs in split:
-            yield b"".join(map(self.young.__getitem__, runs))
+    def ids(self, texts: pa.Array | list[bytes]) -> Iterator[bytes]:
+        """The packed ids of each text (null: none).
+
+        Arrow splits the texts and numbers their distinct runs, so only these are looked up."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        runs = lists.flatten().dictionary_encode()
+        found = runs.dictionary.cast(pa.binary()).to_pylist()
+        packed = list(map(self.young.get, found))
+        if new := [i for i, ids in enumerate(packed) if ids is None]:
+            self._learn([found[i] for i in new if self._known(found[i]) is None])
+            for i in new:
+                packed[i] = self.young[found[i]]
+        data = np.frombuffer(b"".join(packed), "<u4")
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        starts, of_run = np.cumsum(sizes) - sizes, runs.indices.to_numpy()
+        lengths = sizes[of_run]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        flat = data[np.arange(ends[-1]) + np.repeat(starts[of_run] - ends[:-1], lengths)]
+        bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield flat[lo:hi].tobytes()
         if len(self.young) >= CACHE_WORDS:
             self.old, self.young = self.young, {}
 
@@ -159,8 +175,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             for part in row_slices(batch, 1, SLICE_BYTES):
                 rows: dict[str, list] = {f.name: [] for f in fields}
-                texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column(1)]
-                for doc_id, ids in zip(part.column(0).to_pylist(), words.ids(texts)):
+                for doc_id, ids in zip(part.column(0).to_pylist(), words.ids(part.column(1))):
                     ids += end
                     total, start = len(ids) // 4, 0
                     for n in piece_lengths(total, max_len):

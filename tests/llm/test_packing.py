@@ -82,3 +82,25 @@ def test_no_padding_and_no_rows(docs, no_docs):
     with pytest.raises(ValueError):
         packing.pack(docs, word_tokenizer(), max_len=1000)
     assert os.path.exists(word_tokenizer())
+
+
+def test_a_run_is_looked_up_once_for_many_texts():
+    """Repeated runs cost no lookup each: a slice looks its distinct runs up."""
+    words, asked = packing.WordIds(word_tokenizer()), []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return dict.get(self, key, default)
+
+        def __getitem__(self, key):
+            asked.append(key)
+            return dict.__getitem__(self, key)
+
+    words.young = Counted()
+    texts = [f" one two\tthree, one{i % 3}\n" for i in range(300)] + ["", "  ", "\x0b\x0c"]
+    got = list(words.ids([t.encode() for t in texts]))
+    assert len(asked) < 200
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == words.tokenizer.encode(
+            text, add_special_tokens=False).ids
