@@ -2,7 +2,9 @@
 
 Join order is written for scale: the filings are paired with their filing and
 company ids *before* meeting the facts, and the tags with their tag ids, so lookups
-run on the small side. Numbers, filings and presentation rows meet partitioned by
+run on the small side. Where only ids are asked for, presentation rows look their tag up before
+they meet the numbers: they are narrower than facts, which are then not shuffled by tag (with
+natural keys the names would travel, so there the facts look them up). Numbers, filings and presentation rows meet partitioned by
 adsh. Surrogate ids are hashes of natural keys (W3): where the dimensions are known to
 hold every key of the facts (``complete``, as after a load from the same silver,
 which the publish gate checks by distinct keys), date and statement ids are
@@ -61,10 +63,14 @@ def build_fact(num: DataFrame, pre: DataFrame, sub: DataFrame, tag: DataFrame,
     Returns (value, filing_id, company_id, tag_id, date_id, statement_id), or
     with ``natural_keys`` the natural keys (adsh, cik, tag, date_key, stmt, value).
     """
+    tags, stated = _keyed_tags(tag, tagdim), pre.select("adsh", "tag_id", "stmt")
+    if not natural_keys:
+        stated = stated.join(tags.select("tag_id", "tag_fk"), "tag_id")
     facts = (num.select("adsh", "tag_id", date_key("ddate").alias("date_key"), "value")
              .join(_keyed_filings(sub, filingdim, companydim), "adsh")
-             .join(pre.select("adsh", "tag_id", "stmt"), ["adsh", "tag_id"])
-             .join(_keyed_tags(tag, tagdim), "tag_id"))
+             .join(stated, ["adsh", "tag_id"]))
+    if natural_keys:
+        facts = facts.join(tags, "tag_id")
     facts = _stated(_dated(facts, datedim, complete, "inner"), statementdim, complete)
     if complete:
         facts = facts.filter("date_id IS NOT NULL")

@@ -63,3 +63,26 @@ def test_incremental_dims_rerun_identical(spark):
     again = star.dimensions(silver, gold, "2025-01-01 00:00:00")
     for name in gold:
         assert rows(again[name]) == rows(gold[name]), name
+
+
+def test_facts_by_ids_are_not_shuffled_by_tag(spark):
+    """Presentation rows look their tags up; no exchange by tag carries the facts' values."""
+    def shuffled(node):
+        plan = node.initialPlan() if "Adaptive" in node.nodeName() else node
+        own = [] if "Exchange" not in plan.nodeName() else [
+            (plan.outputPartitioning().toString(), plan.output().mkString(" "))]
+        children = plan.children()
+        return own + [s for i in range(children.size()) for s in shuffled(children.apply(i))]
+
+    silver = _silver(spark)
+    dims = star.first_load_dimensions(silver, "2024-01-01 00:00:00")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = star.fact(silver, dims)
+        found = shuffled(facts._jdf.queryExecution().executedPlan())
+        assert found and [out for by, out in found if "(tag_id" in by]
+        assert not [out for by, out in found if "(tag_id" in by and "value#" in out]
+        assert sorted(r.value for r in facts.collect()) == [5.0, 100.0, 100.0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
