@@ -29,7 +29,7 @@ from ..operators.totals import ranked_totals
 from ..operators.vector_index import VectorIndex
 from ..session import configure, fresh_path, spread
 from ..sources.delimited import read_delimited
-from ..sources.documents import document_texts, document_warnings, read_documents
+from ..sources.documents import document_texts, document_warnings, read_documents, write_files
 from ..sources.sinks import Warehouse, write_csv
 from ..sources.tables import read_tables
 from . import adapter, fixtures, pipeline, star
@@ -447,10 +447,10 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = F.concat(F.substr("page", F.lit(1), half).cast("binary"), F.unhex(F.lit("FF")),
                        F.substr("page", half + 1).cast("binary")).cast("string")
     path = fresh_path(spark, "document-files")
-    t["pages"].select("page_id", page.alias("page")).select(
-        "page_id", F.when(F.col("page_id") % 7 == 3, damaged).otherwise(F.col("page")).alias("value")) \
-        .write.partitionBy("page_id").text(path)
-    docs = read_documents(spark, path, "*.txt", key="page_id", key_from="page_id=([^/]+)/")
+    pages = t["pages"].select("page_id", page.alias("page")).select(
+        "page_id", F.when(F.col("page_id") % 7 == 3, damaged).otherwise(F.col("page")).alias("value"))
+    write_files(pages, path, "page_id", "value")
+    docs = read_documents(spark, path, "*.txt", key="page_id", key_from="page_id=([^/.]+)")
     new = pipeline.register_document_filings(fixtures.existing_filingdim(t), docs, "10-K", "page_id")
     filings = new.select(F.col("accession_number").alias("page_id"), F.lit(True).alias("is_new"))
     stops = document_warnings(docs, "page_id").select("page_id", F.col("at").cast("long").alias("bad_at"))

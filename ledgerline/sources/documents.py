@@ -7,7 +7,11 @@ need a per-file parser (PDF) are outside the installed libraries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import os
+from collections.abc import Iterator
+
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import html_text
@@ -77,3 +81,48 @@ def document_warnings(docs: DataFrame, key: str = "doc_key") -> DataFrame:
 def write_texts(texts: DataFrame, path: str) -> None:
     """S13 re-aimed: one parquet table of (key, text), not one file per document."""
     texts.write.mode("errorifexists").parquet(path)
+
+
+def write_files(rows: DataFrame, folder: str, key: str, text: str) -> None:
+    """A text file per key below the new, shared ``folder``, a line per row; ``<key>=<its value>``
+    is part of the path.
+
+    Keys are dealt over all cores, as a file takes its time whatever it holds. In a file system
+    that the tasks see as folders they write the files themselves: Hadoop starts two processes per
+    file there, to set its rights and those of its checksum. Elsewhere Spark writes a folder per key."""
+    spark = rows.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    dealt = rows.select(key, text).repartition(parts, key)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme != "file":
+        write_folders(dealt, folder, key)
+        return
+    place = path.toUri().getPath()
+
+    def run(part: Iterator[Row]) -> None:
+        own = f"{place}/part-{TaskContext.get().partitionId():05d}"
+        os.makedirs(own, exist_ok=True)
+        # A second attempt at the task writes the same files; each appears when it is whole.
+        draft = f"{own}/_{TaskContext.get().taskAttemptId()}"
+        last, out = None, None
+        for value, line in part:
+            name = f"{own}/{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}.txt"
+            if name != last:
+                if out is not None:
+                    out.close()
+                    os.replace(draft, last)
+                last, out = name, open(draft, "wb")
+            out.write(line + b"\n")
+        if out is not None:
+            out.close()
+            os.replace(draft, last)
+
+    dealt.select(key, F.col(text).cast("binary")).sortWithinPartitions(key).foreachPartition(run)
+
+
+def write_folders(rows: DataFrame, folder: str, key: str) -> None:
+    """As ``write_files``, by Spark's writer: any file system it can write, a folder per key.
+
+    With the committer's version 2 tasks move their own files in place, not the driver all."""
+    rows.write.partitionBy(key).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)

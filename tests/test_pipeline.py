@@ -407,3 +407,24 @@ def test_empty_reset(spark):
     wh = Warehouse(spark, tempfile.mkdtemp(prefix="ll-reset-"), GOLD)
     wh.publish_empty(GOLD)
     assert all(wh.table(n).count() == 0 and wh.table(n).columns == GOLD[n].fieldNames() for n in GOLD)
+
+
+def test_a_file_per_key_by_tasks_and_by_folders(spark):
+    from ledgerline.sources.documents import write_files, write_folders
+
+    # One partition, as a table with one row group has: the files still come from many tasks.
+    data = [(i, f"text {i}\nline two") for i in range(200)] + [(7, "again"), (None, "no key"), (201, "")]
+    pages = spark.createDataFrame(data, "page_id long, value string").coalesce(1)
+    odd = F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
+    pages = pages.select("page_id", F.when(F.col("page_id") == 9, odd).otherwise(F.col("value")).alias("value"))
+    d = tempfile.mkdtemp()
+    write_files(pages, f"{d}/tasks", "page_id", "value")
+    write_folders(pages, f"{d}/folders", "page_id")
+    tasks, folders = ({r["page_id"]: bytes(r["content"]) for r in read_documents(
+        spark, f"{d}/{way}", "*.txt", key="page_id", key_from="page_id=([^/.]+)").collect()}
+        for way in ("tasks", "folders"))
+    assert tasks == folders and len(tasks) == 202
+    assert tasks["9"] == b"text 9\nline two\xff\n" and tasks["201"] == b"\n"
+    assert sorted(tasks["7"].split(b"\n")) == [b"", b"again", b"line two", b"text 7"]
+    parts = [p for p in os.listdir(f"{d}/tasks") if os.listdir(f"{d}/tasks/{p}")]
+    assert len(parts) > spark.sparkContext.defaultParallelism
