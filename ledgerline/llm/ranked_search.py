@@ -43,7 +43,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerline.llm.common import row_slices, text_bytes, text_hash, written
+from ledgerline.llm.common import batches_of, row_slices, text_bytes, text_hash, written
 
 TOP = 10
 SEGMENT_BYTES = 4 << 20
@@ -52,6 +52,12 @@ BLOCK_TERMS = 200_000
 SHORT = 1 / 16
 BLOCK = 32
 WINDOW = 256
+#: A task holds a row group of the index at a time, not its file: their bytes are looked at
+#: after every row, as a row is a whole segment.
+ROW_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1",
+              "parquet.page.size.row.check.max": "1"}
+#: Bytes of segments that reach Python at a time, or one segment.
+BATCH_BYTES = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -112,7 +118,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     names=_NAMES)
 
     return written(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-                   .mapInArrow(run, INDEX), "search-index")
+                   .mapInArrow(run, INDEX), "search-index", **ROW_GROUPS)
 
 
 def corpus_size(index_: DataFrame) -> tuple[int, int]:
@@ -307,7 +313,8 @@ def search_segment(lists: Lists, query: tuple[np.ndarray, np.ndarray], best: Bes
 
 
 def _search_block(index_: DataFrame, block: Block, n: int, total: int, k: int) -> DataFrame:
-    """query, doc_id, score: each task's best k per query of the block."""
+    """query, doc_id, score: each task's best k per query of the block, written to the shared
+    folder."""
     shared = index_.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +333,9 @@ def _search_block(index_: DataFrame, block: Block, n: int, total: int, k: int) -
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64()))],
                 names=["query", "doc_id", "score"])
 
-    return index_.select(*_NAMES).mapInArrow(run, "query int, doc_id long, score long")
+    with batches_of(index_.sparkSession, BATCH_BYTES):
+        return written(index_.select(*_NAMES).mapInArrow(run, "query int, doc_id long, score long"),
+                       "search-best")
 
 
 def search(index_: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "item_id",

@@ -109,3 +109,37 @@ def test_edge_rows(spark, docs, no_docs):
     want = brute([(r.doc_id, r.text) for r in docs.collect()],
                  [(r.item_id, r.text) for r in items.collect()])
     assert found(ranked_search.search(ranked_search.index(docs), items)) == want
+
+
+def test_memory_follows_a_segment_not_a_file(spark, monkeypatch):
+    """Readers hold a few segments of a file at a time, and so does Python."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from glob import glob
+
+    rng = random.Random(4)
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"{rng.randrange(1 << 32):08x}" for _ in range(2000)) + " common") for i in range(240)],
+        "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "common")], "item_id long, text string")
+    index = ranked_search.index(docs, segment_bytes=200_000)
+    file, = [pq.ParquetFile(f).metadata for f in glob(index.scratch_path.removeprefix("file:") + "/*.parquet")]
+    groups = [file.row_group(i) for i in range(file.num_row_groups)]
+    assert file.num_rows > 15 and len(groups) > 2
+    assert max(g.total_byte_size for g in groups) < 8 << 20
+
+    sizes = lambda: index.mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches),
+        "n long")
+    met = []
+    whole = ranked_search.written
+    monkeypatch.setattr(ranked_search, "written", lambda df, name, **o: (
+        met.extend(r.n for r in sizes().collect()) if name == "search-best" else None,
+        whole(df, name, **o))[1])
+    monkeypatch.setattr(ranked_search, "BATCH_BYTES", 1 << 20)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    got = ranked_search.search(index, items)
+    assert found(got) == brute([tuple(r) for r in docs.collect()], [(1, "common")])
+    assert sum(met) == file.num_rows and max(met) <= 4
+    assert spark.conf.get(key, None) == before
