@@ -43,7 +43,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerline.llm.common import batches_of, row_slices, text_bytes, text_hash, written
+from ledgerline.llm.common import row_slices, text_bytes, text_hash, written
+from ledgerline.session import batches_of
 
 TOP = 10
 SEGMENT_BYTES = 4 << 20

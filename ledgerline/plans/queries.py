@@ -585,7 +585,7 @@ def doc_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned vectors of all documents: their length and norm, and the cosine with the vector
     of the first document of the same text."""
     docs = _tables(spark, sf_dir)["documents"].select("doc_id", "text")
-    latent = LatentVectors(X.TfIdf(spread(docs), "doc_id", "text"), VECTOR_DIM)
+    latent = LatentVectors(X.TfIdf(spread(docs), "doc_id", "text"), VECTOR_DIM, spent=True)
     same = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("same"))
     twins = same.groupBy("same").agg(F.min("doc_id").alias("twin"))
     whole = latent.with_vectors(same.join(twins, "same").select("doc_id", "twin"))

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter
 
@@ -108,3 +109,40 @@ def test_vectors_meet_blocks_of_terms_not_weights(spark, monkeypatch):
     assert np.abs(a @ a.T - b @ b.T).max() < 1e-3
     assert len([r for r in cut.documents.collect() if r.doc_id == 500]) == 1
     whole.release(), cut.release(), index.release()
+
+
+def test_a_group_gets_a_vector_once_and_part_by_part(spark, monkeypatch):
+    """What is sent follows the terms of a group of documents, and little is kept of it."""
+    docs = corpus(120, 11)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    index = X.TfIdf(frame)
+    whole = LatentVectors(index, dim=6)
+    sent, held = [], []
+    send, store = LatentVectors._sent, LatentVectors._store
+
+    def sending(self, *args):
+        out = send(self, *args)
+        sent.append(out.selectExpr("sum(octet_length(v))").first()[0] or 0)
+        return out
+
+    def storing(self, df, name, *args, **kwargs):
+        out = store(self, df, name, *args, **kwargs)
+        held.append(Counter(p.rsplit("/", 1)[1].split("-")[1] for p in self._paths))
+        return out
+
+    monkeypatch.setattr(LatentVectors, "_sent", sending)
+    monkeypatch.setattr(LatentVectors, "_store", storing)
+    for name, value in (("BLOCK_TERMS", 12), ("CELL_ROWS", 40), ("SUM_ROWS", 5), ("SENT_BYTES", 1),
+                        ("PASSES", 3), ("PACK_WEIGHTS", 300)):
+        monkeypatch.setattr(E, name, value)
+    counts = index._paths[0]
+    cut = LatentVectors(index, dim=6, spent=True)
+    group = {r.doc_id: r.g for r in frame.selectExpr("doc_id", "pmod(xxhash64(doc_id), 3) g").collect()}
+    df = Counter(t for _, text in docs for t in set(text.split()))
+    pairs = {(group[i], t) for i, text in docs for t in text.split() if 2 <= df[t] < len(docs)}
+    assert len(sent) == 9 and sum(sent) == 3 * len(pairs) * (6 + E.EXTRA) * 4
+    assert max(h["raw"] for h in held) == 1 and max(h["documents"] for h in held) <= 2
+    a, b = vectors(whole, docs), vectors(cut, docs)
+    assert np.abs(a @ a.T - b @ b.T).max() < 1e-4
+    assert not os.path.exists(counts.removeprefix("file:")) and index.df.count() == len(df)
+    whole.release(), cut.release(), index.release()
